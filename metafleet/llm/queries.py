@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metafleet.llm import matroska, shuffling
+from metafleet.llm import bpe, matroska, minhash, shuffling
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +19,20 @@ def op3_media_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matroska.read_back(matroska.packet_lists(matroska.media_table(_table(spark, sf_dir, "documents"))))
 
 
+def op5_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
+def tokenizer_source(name: str = "word_bpe_49k.json") -> str:
+    return Path(public_tokenizers.path(name)).read_text()
+
+
+def op7_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, source = _table(spark, sf_dir, "documents"), tokenizer_source()
+    decoded = bpe.decode(bpe.encode(docs, source, bpe.build_lexicon(docs, source)), source)
+    return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op10_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shuffling.two_pass_shuffle(_table(spark, sf_dir, "documents"), shards=24)
     return out.select(
@@ -26,6 +43,8 @@ def op10_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_media_packets": op3_media_packets,
+    "op5_minhash_near_duplicates": op5_minhash_near_duplicates,
+    "op7_bpe_lexicon": op7_bpe_lexicon,
     "op10_two_pass_shuffle": op10_two_pass_shuffle,
 }
 
