@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metafleet.llm import bpe, matroska, minhash, shuffling
+from metafleet.llm import bpe, language, matroska, minhash, shuffling, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,14 @@ def op7_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op8_toxicity_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_table(_table(spark, sf_dir, "documents"))
+
+
 def op10_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shuffling.two_pass_shuffle(_table(spark, sf_dir, "documents"), shards=24)
     return out.select(
@@ -45,6 +53,8 @@ QUERIES = {
     "op3_media_packets": op3_media_packets,
     "op5_minhash_near_duplicates": op5_minhash_near_duplicates,
     "op7_bpe_lexicon": op7_bpe_lexicon,
+    "op8_toxicity_kneser_ney": op8_toxicity_kneser_ney,
+    "op9_language_mixture": op9_language_mixture,
     "op10_two_pass_shuffle": op10_two_pass_shuffle,
 }
 
