@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metafleet.llm import bpe, language, matroska, minhash, shuffling, toxicity
+from metafleet.llm import bpe, decontamination, language, matroska, minhash, shuffling, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op3_media_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matroska.read_back(matroska.packet_lists(matroska.media_table(_table(spark, sf_dir, "documents"))))
 
 
+def op4_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
@@ -51,6 +55,7 @@ def op10_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_media_packets": op3_media_packets,
+    "op4_string_tiling": op4_string_tiling,
     "op5_minhash_near_duplicates": op5_minhash_near_duplicates,
     "op7_bpe_lexicon": op7_bpe_lexicon,
     "op8_toxicity_kneser_ney": op8_toxicity_kneser_ney,
