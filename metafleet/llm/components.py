@@ -36,11 +36,11 @@ def components(edges: DataFrame) -> DataFrame:
             return roots
 
 
-def linked_classes(buckets: DataFrame, sketches: DataFrame, confirm: Callable[[DataFrame, DataFrame], DataFrame], agree: float) -> DataFrame:
+def linked_classes(buckets: DataFrame, sketches: DataFrame, confirm: Callable[[DataFrame, DataFrame], DataFrame], agrees: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
     """(node, root) for the nodes that confirmed links connect; nodes without links are left out.
 
-    ``buckets`` (bucket, node): candidates share a bucket. ``sketches`` (node, sketch): equal bytes
-    estimate similarity; pairs that agree in less than that share of them are no candidates.
+    ``buckets`` (bucket, node): candidates share a bucket. ``sketches`` (node, sketch): ``agrees``
+    takes a table of sketches and one more, as bytes, and says which may be linked with it.
     ``confirm`` takes pairs (a, b) and all members, and returns the pairs that are linked.
 
     A bucket isn't expanded into pairs. The first star ties each member to the bucket's least node.
@@ -53,7 +53,7 @@ def linked_classes(buckets: DataFrame, sketches: DataFrame, confirm: Callable[[D
     rest, links, checked, roots, turn = members.withColumn("root", F.col("node")), None, None, None, 0
     while True:
         centres = CENTRES[min(turn, len(CENTRES) - 1)]
-        pairs = star_pairs(rest, centres, agree)
+        pairs = star_pairs(rest, centres, agrees)
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
@@ -75,7 +75,7 @@ def linked_classes(buckets: DataFrame, sketches: DataFrame, confirm: Callable[[D
             return roots
 
 
-def star_pairs(rest: DataFrame, centres: int, agree: float) -> DataFrame:
+def star_pairs(rest: DataFrame, centres: int, agrees: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
     """Pairs (a, b), a < b, of one of the ``centres`` least nodes of a bucket and a later member of another class.
 
     ``rest``: (bucket, node, sketch, root). The centres are copied to each block of a bucket's members;
@@ -104,7 +104,7 @@ def star_pairs(rest: DataFrame, centres: int, agree: float) -> DataFrame:
                 ids, tops, table = ready
                 near = np.flatnonzero((ids < node) & (tops != root))
                 if len(near):
-                    same = (table[near] == np.frombuffer(sketch, np.uint8)).mean(axis=1) >= agree
+                    same = agrees(table[near], np.frombuffer(sketch, np.uint8))
                     a_out += ids[near[same]].tolist()
                     b_out += [node] * int(same.sum())
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])

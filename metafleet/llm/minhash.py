@@ -22,9 +22,6 @@ from metafleet.llm.wordhash import SPACE, WordHasher, grams, mixed, slices
 #: Bands of a signature, bins of a band. A pair at similarity 0.8 shares no band with a chance of
 #: (1 - 0.8 ** 6) ** 48, below 5e-7.
 BANDS, ROWS = 48, 6
-#: A sketch of 288 bins is off by 0.024 (one deviation) at a similarity of 0.8; pairs are dropped
-#: more than four deviations below the threshold.
-SKETCH_SLACK = 0.1
 #: Tries of an empty bin before it takes the next filled one.
 TRIES = 64
 
@@ -59,8 +56,8 @@ def digests(doc: np.ndarray, hashes: np.ndarray, docs: int) -> tuple[np.ndarray,
     return counts, mixed(sums[ends] - sums[ends - counts] + counts.astype(np.uint64)).view(np.int64)
 
 
-def signatures(doc: np.ndarray, hashes: np.ndarray, docs: int, bins: int = BANDS * ROWS) -> np.ndarray:
-    """A row of bins per document: the least hash of each bin; empty bins take over another bin's.
+def signatures(doc: np.ndarray, hashes: np.ndarray, docs: int, bins: int = BANDS * ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """A row of bins per document: the least hash of each bin; empty bins take over another bin's. Also which were filled.
 
     An empty bin tries the bins of its own hash sequence until one is filled. All documents follow the
     same sequences, so two documents agree in a bin with a chance of their similarity. Documents
@@ -75,7 +72,7 @@ def signatures(doc: np.ndarray, hashes: np.ndarray, docs: int, bins: int = BANDS
     row, bin_ = np.nonzero(~filled & filled.any(axis=1, keepdims=True))
     for attempt in range(1, TRIES + 1):
         if not len(row):
-            return out
+            return out, filled
         pick = ((mixed(np.arange(bins, dtype=np.uint64) * _GOLD + np.uint64(attempt)) >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)[bin_]
         good = filled[row, pick]
         out[row[good], bin_[good]] = out[row[good], pick[good]]
@@ -84,7 +81,7 @@ def signatures(doc: np.ndarray, hashes: np.ndarray, docs: int, bins: int = BANDS
     step = np.where(filled, np.arange(bins), 2 * bins)
     step = np.minimum.accumulate(np.concatenate([step, np.where(filled, np.arange(bins) + bins, 2 * bins)], axis=1)[:, ::-1], axis=1)[:, ::-1]
     out[row, bin_] = out[row, step[row, pick_start(bin_, bins)] % bins]
-    return out
+    return out, filled
 
 
 def pick_start(bin_: np.ndarray, bins: int) -> np.ndarray:
@@ -101,11 +98,27 @@ def band_keys(sign: np.ndarray) -> np.ndarray:
     return out
 
 
+def may_agree(table: np.ndarray, sketch: np.ndarray, similarity: float) -> np.ndarray:
+    """Which rows of a table of sketches may be as similar to the sketch as asked.
+
+    Equal bins among those that either has estimate the similarity. m such bins come from
+    u = -bins * ln(1 - m / bins) shingles of the union, so the deviation is that of m draws of u without
+    replacement; pairs are dropped more than four deviations and one and a half bins below.
+    """
+    bins = len(sketch)
+    m = ((table > 0) | (sketch > 0)).sum(axis=1)
+    same = ((table == sketch) & (sketch > 0)).sum(axis=1)
+    union = -bins * np.log1p(-np.minimum(m, bins - 0.5) / bins)
+    slack = 4 * np.sqrt(similarity * (1 - similarity) / m * np.maximum(1 - m / union, 0.02)) + 1.5 / m
+    return same >= (similarity - slack) * m
+
+
 def features(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, node, bands, sketch, own) of every row.
 
     ``node`` stands for the shingle set: a 64-bit digest of it (null: an empty set). Two of m distinct
-    sets share a digest with a chance of m * m / 2 ** 65. ``sketch`` has a byte of every bin; ``own``
+    sets share a digest with a chance of m * m / 2 ** 65. ``sketch`` has a byte of every bin, 0 where it
+    was empty; ``own``
     is the text where the id is null, since it can't be fetched by id.
     """
 
@@ -116,8 +129,8 @@ def features(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: st
             doc, hashes = shingle_table(words, starts, shingle)
             n = len(b)
             counts, node = digests(doc, hashes, n)
-            sign = signatures(doc, hashes, n)
-            keys, sketch = band_keys(sign), (mixed(sign) >> np.uint64(56)).astype(np.uint8)
+            sign, filled = signatures(doc, hashes, n)
+            keys, sketch = band_keys(sign), np.where(filled, mixed(sign) % np.uint64(255) + np.uint64(1), 0).astype(np.uint8)
             some = counts > 0
             take = lambda rows, ok: pa.array([r.tobytes() if k else None for r, k in zip(rows, ok)], pa.binary())
             own = [t if i is None else None for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist())] if b.column("doc_id").null_count else [None] * n
@@ -180,7 +193,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
             texts["t"] = written(_rightful(found, shingle), "texts")
         return confirmed(pairs, texts["t"], shingle, percent)
 
-    roots = linked_classes(buckets, classes.select("node", "sketch"), confirm, percent / 100 - SKETCH_SLACK)
+    roots = linked_classes(buckets, classes.select("node", "sketch"), confirm, lambda table, sketch: may_agree(table, sketch, percent / 100))
     named = classes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_node = written(named.join(names, "root").select("node", "component_id"), "named")
