@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metafleet.llm import bpe, decontamination, language, matroska, minhash, shuffling, toxicity
+from metafleet.llm import bpe, decontamination, language, linededup, matroska, minhash, shuffling, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op5_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+def op6_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dropped_lines(_table(spark, sf_dir, "documents"))
+
+
 def tokenizer_source(name: str = "word_bpe_49k.json") -> str:
     return Path(public_tokenizers.path(name)).read_text()
 
@@ -57,6 +61,7 @@ QUERIES = {
     "op3_media_packets": op3_media_packets,
     "op4_string_tiling": op4_string_tiling,
     "op5_minhash_near_duplicates": op5_minhash_near_duplicates,
+    "op6_fuzzy_line_dedup": op6_fuzzy_line_dedup,
     "op7_bpe_lexicon": op7_bpe_lexicon,
     "op8_toxicity_kneser_ney": op8_toxicity_kneser_ney,
     "op9_language_mixture": op9_language_mixture,
