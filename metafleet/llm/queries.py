@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metafleet.llm import bpe, decontamination, language, linededup, matroska, minhash, shuffling, toxicity
+from metafleet.llm import bpe, decontamination, language, linededup, matroska, minhash, secrets, shuffling, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
 def op3_media_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matroska.read_back(matroska.packet_lists(matroska.media_table(_table(spark, sf_dir, "documents"))))
 
@@ -58,6 +62,7 @@ def op10_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_ownership": op1_secret_ownership,
     "op3_media_packets": op3_media_packets,
     "op4_string_tiling": op4_string_tiling,
     "op5_minhash_near_duplicates": op5_minhash_near_duplicates,
@@ -68,4 +73,4 @@ QUERIES = {
     "op10_two_pass_shuffle": op10_two_pass_shuffle,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_secret_ownership": secrets.SCAN_SQL}
