@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metafleet.llm import bpe, decontamination, language, linededup, matroska, minhash, secrets, shuffling, toxicity
+from metafleet.llm import bpe, decontamination, language, linededup, matroska, minhash, secrets, shuffling, toxicity, training_order
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
 
+def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ordered = training_order.training_order(training_order.byte_ids(_table(spark, sf_dir, "documents")))
+    return ordered.select("doc_id", "seq_no", "n_tokens", "slot", "shard", "byte_offset", F.crc32("ids").alias("ids_crc32"))
+
+
 def op3_media_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matroska.read_back(matroska.packet_lists(matroska.media_table(_table(spark, sf_dir, "documents"))))
 
@@ -63,6 +68,7 @@ def op10_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_ownership": op1_secret_ownership,
+    "op2_training_order": op2_training_order,
     "op3_media_packets": op3_media_packets,
     "op4_string_tiling": op4_string_tiling,
     "op5_minhash_near_duplicates": op5_minhash_near_duplicates,
