@@ -27,11 +27,11 @@ from metafleet.llm.matroska import _small
 from metafleet.llm.shared import new_path
 
 #: Words of the lexicon at most, the most frequent ones; all others are merged when met.
-LEXICON_WORDS = 1 << 17
+LEXICON_WORDS = 1 << 18
 #: Words that a task keeps with their ids before it starts afresh.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 #: Distinct words that a task counts before it hands the counts on.
-COUNT_WORDS = 400_000
+COUNT_WORDS = 250_000
 
 
 def byte_symbols() -> list[str]:
