@@ -76,7 +76,7 @@ def _lacing(sizes: list[int], kind: int) -> bytes:
     if kind == 1:
         for n in sizes[:-1]:
             out += b"\xff" * (n // 255) + bytes([n % 255])
-    elif kind == 3:
+    elif kind == 3 and len(sizes) > 1:
         out += size_bytes(sizes[0])
         for a, b in zip(sizes, sizes[1:-1]):
             k = 1
