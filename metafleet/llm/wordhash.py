@@ -75,7 +75,7 @@ def grams(words: np.ndarray, n: int) -> np.ndarray:
     return mixed(out)
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """The batches cut where about ``most`` bytes of text have come together."""
     for b in batches:
         at, size = 0, 0
