@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metafleet.llm import bpe, decontamination, language, linededup, matroska, minhash, secrets, shuffling, toxicity, training_order
+from metafleet.llm import bpe, decontamination, language, linededup, matroska, minhash, oracles, secrets, shuffling, toxicity, training_order
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,7 +37,8 @@ def op5_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.dropped_lines(_table(spark, sf_dir, "documents"))
+    lines = linededup.dropped_lines(_table(spark, sf_dir, "documents"))
+    return lines.withColumn("dropped", F.array_join(F.transform("dropped", lambda k: k.cast("string")), ","))
 
 
 def tokenizer_source(name: str = "word_bpe_49k.json") -> str:
@@ -79,4 +80,4 @@ QUERIES = {
     "op10_two_pass_shuffle": op10_two_pass_shuffle,
 }
 
-ORACLES: dict[str, str] = {"op1_secret_ownership": secrets.SCAN_SQL}
+ORACLES: dict[str, str] = {"op1_secret_ownership": secrets.SCAN_SQL, "op5_minhash_near_duplicates": oracles.NEAR_DUPLICATES_SQL, "op6_fuzzy_line_dedup": oracles.LINES_SQL}
