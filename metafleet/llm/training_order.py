@@ -95,7 +95,8 @@ def training_order(tokens: DataFrame, key: int = 2024, length: int = LENGTH, sha
 
     placed = tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, seq_no int, n_tokens int, slot long, ids binary")
     placed = placed.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("int"))
-    ordered = placed.repartition("shard").sortWithinPartitions("shard", "slot")
+    # Shards are of one size: range partitions hold about one each, whole.
+    ordered = placed.repartitionByRange(max(1, -(-total // per_shard)), "shard").sortWithinPartitions("shard", "slot")
     return ordered.select("doc_id", "seq_no", "n_tokens", "slot", "shard", (F.col("slot") % per_shard * stride).alias("byte_offset"), "ids")
 
 
