@@ -56,8 +56,8 @@ def digests(doc: np.ndarray, hashes: np.ndarray, docs: int) -> tuple[np.ndarray,
     return counts, mixed(sums[ends] - sums[ends - counts] + counts.astype(np.uint64)).view(np.int64)
 
 
-def signatures(doc: np.ndarray, hashes: np.ndarray, docs: int, bins: int = BANDS * ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """A row of bins per document: the least hash of each bin; empty bins take over another bin's. Also which were filled.
+def signatures(doc: np.ndarray, hashes: np.ndarray, docs: int, bins: int = BANDS * ROWS) -> np.ndarray:
+    """A row of bins per document: the least hash of each bin; empty bins take over another bin's.
 
     An empty bin tries the bins of its own hash sequence until one is filled. All documents follow the
     same sequences, so two documents agree in a bin with a chance of their similarity. Documents
@@ -72,7 +72,7 @@ def signatures(doc: np.ndarray, hashes: np.ndarray, docs: int, bins: int = BANDS
     row, bin_ = np.nonzero(~filled & filled.any(axis=1, keepdims=True))
     for attempt in range(1, TRIES + 1):
         if not len(row):
-            return out, filled
+            return out
         pick = ((mixed(np.arange(bins, dtype=np.uint64) * _GOLD + np.uint64(attempt)) >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)[bin_]
         good = filled[row, pick]
         out[row[good], bin_[good]] = out[row[good], pick[good]]
@@ -81,7 +81,7 @@ def signatures(doc: np.ndarray, hashes: np.ndarray, docs: int, bins: int = BANDS
     step = np.where(filled, np.arange(bins), 2 * bins)
     step = np.minimum.accumulate(np.concatenate([step, np.where(filled, np.arange(bins) + bins, 2 * bins)], axis=1)[:, ::-1], axis=1)[:, ::-1]
     out[row, bin_] = out[row, step[row, pick_start(bin_, bins)] % bins]
-    return out, filled
+    return out
 
 
 def pick_start(bin_: np.ndarray, bins: int) -> np.ndarray:
@@ -98,18 +98,34 @@ def band_keys(sign: np.ndarray) -> np.ndarray:
     return out
 
 
+def sketches(doc: np.ndarray, hashes: np.ndarray, docs: int, bins: int = BANDS * ROWS) -> np.ndarray:
+    """Two rows of bins per document, each of one permutation: a byte of the least hash, 0 where a bin is empty."""
+    out = np.zeros((docs, 2 * bins), dtype=np.uint8)
+    for k, seed in enumerate(np.arange(1, 3, dtype=np.uint64) * _GOLD):
+        own = mixed(hashes ^ seed)
+        cell = doc * 2 * bins + k * bins + (((own >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)).astype(np.int64)
+        order = np.lexsort((own, cell))
+        cell, own = cell[order], own[order]
+        first = np.ones(len(cell), dtype=bool)
+        first[1:] = cell[1:] != cell[:-1]
+        out.ravel()[cell[first]] = mixed(own[first]) % np.uint64(255) + np.uint64(1)
+    return out
+
+
 def may_agree(table: np.ndarray, sketch: np.ndarray, similarity: float) -> np.ndarray:
     """Which rows of a table of sketches may be as similar to the sketch as asked.
 
-    Equal bins among those that either has estimate the similarity. m such bins come from
-    u = -bins * ln(1 - m / bins) shingles of the union, so the deviation is that of m draws of u without
-    replacement; pairs are dropped more than four deviations and one and a half bins below.
+    Equal bins among those that either fills estimate the similarity. In each of the two permutations
+    about m / 2 of the u shingles of the union are the least of their bin, a share f of them; so the
+    variance is s * (1 - s) / u * (1 - f) / (2 * f). Pairs are dropped more than four deviations and
+    one and a half bins below.
     """
-    bins = len(sketch)
+    bins = len(sketch) // 2
     m = ((table > 0) | (sketch > 0)).sum(axis=1)
     same = ((table == sketch) & (sketch > 0)).sum(axis=1)
-    union = -bins * np.log1p(-np.minimum(m, bins - 0.5) / bins)
-    slack = 4 * np.sqrt(similarity * (1 - similarity) / m * np.maximum(1 - m / union, 0.02)) + 1.5 / m
+    union = -bins * np.log1p(-np.minimum(m / 2, bins - 0.5) / bins)
+    f = np.minimum(m / 2 / union, 0.98)
+    slack = 4 * np.sqrt(similarity * (1 - similarity) / union * (1 - f) / (2 * f)) + 3 / m
     return same >= (similarity - slack) * m
 
 
@@ -117,8 +133,7 @@ def features(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: st
     """(doc_id, n_shingles, node, bands, sketch, own) of every row.
 
     ``node`` stands for the shingle set: a 64-bit digest of it (null: an empty set). Two of m distinct
-    sets share a digest with a chance of m * m / 2 ** 65. ``sketch`` has a byte of every bin, 0 where it
-    was empty; ``own``
+    sets share a digest with a chance of m * m / 2 ** 65. ``sketch``: see ``sketches``; ``own``
     is the text where the id is null, since it can't be fetched by id.
     """
 
@@ -129,8 +144,7 @@ def features(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: st
             doc, hashes = shingle_table(words, starts, shingle)
             n = len(b)
             counts, node = digests(doc, hashes, n)
-            sign, filled = signatures(doc, hashes, n)
-            keys, sketch = band_keys(sign), np.where(filled, mixed(sign) % np.uint64(255) + np.uint64(1), 0).astype(np.uint8)
+            keys, sketch = band_keys(signatures(doc, hashes, n)), sketches(doc, hashes, n)
             some = counts > 0
             take = lambda rows, ok: pa.array([r.tobytes() if k else None for r, k in zip(rows, ok)], pa.binary())
             own = [t if i is None else None for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist())] if b.column("doc_id").null_count else [None] * n
