@@ -16,6 +16,8 @@ from metafleet.llm.shared import written
 #: Characters of a shingle, bands of a signature, rows of a band. A pair at similarity 0.8 shares no
 #: band with a chance of (1 - 0.8 ** 3) ** 10, below 0.001; at 0.9 below 0.00001.
 WIDTH, BANDS, ROWS = 12, 10, 3
+#: Members of a bucket that are held together against all others of it.
+BLOCK = 1 << 12
 
 
 def normal(line) -> F.Column:
@@ -53,35 +55,78 @@ def similar(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.where(shared * 100 >= (F.size("set_a") + F.size("set_b") - shared) * percent).select("a", "b")
 
 
-def line_classes(bands: DataFrame, confirm) -> DataFrame | None:
-    """(node, root) of the nodes in links, or None without candidates. ``bands``: (node, bands).
+def rare_shingles(texts: DataFrame, percent: int) -> DataFrame:
+    """(bucket, node, size): the rarest shingles of every line of ``texts``, and how many the line has.
+
+    Two lines of n and m shingles that are similar by ``percent`` share at least percent / 100 * n of them.
+    So, in one order of all shingles, they share one of the first n - ceil(percent / 100 * n) + 1 of
+    the one line and likewise of the other. Rare ones come first, so a passage of many lines tells nothing.
+    """
+    each = written(texts.select("node", F.explode(F.array_distinct(shingles("line"))).alias("shingle")).select("node", F.xxhash64("shingle").alias("h")), "shingles")
+    ranked = each.join(each.groupBy("h").agg(F.count("*").alias("n")), "h").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "h"))).alias("all"))
+    size = F.size("all")
+    first = F.slice("all", F.lit(1), size - F.floor((size * percent + 99) / 100).cast("int") + 1)
+    return ranked.select("node", size.alias("size"), F.explode(first).alias("x")).where("x.n > 1").select(F.col("x.h").alias("bucket"), "node", "size")
+
+
+def star_members(rest: DataFrame, *more: str) -> DataFrame:
+    """(bucket, node, centre, apart, and ``more``) of the members but the least node, in buckets of several classes."""
+    spans = rest.groupBy("bucket").agg(F.min("node").alias("centre"), F.min_by("root", "node").alias("centre_root"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    members = rest.join(spans.select("bucket", "centre", "centre_root"), "bucket").where("node <> centre")
+    return written(members.select("bucket", "node", "centre", (F.col("root") != F.col("centre_root")).alias("apart"), *more), "members")
+
+
+def star_pairs(members: DataFrame) -> DataFrame:
+    return members.where("apart").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def still_open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The ``members``, with their roots, of the buckets whose members but the centre lie in several classes."""
+    others = members.drop("centre", "apart").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = others.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
+    return written(others.join(open_, "bucket"), "open")
+
+
+def block_pairs(rest: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of members of a bucket that lie in different classes and whose sizes allow a link.
+
+    The members of a large bucket are dealt to blocks, and all of them are held against each block.
+    """
+    sized = rest.join(rest.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), "bucket")
+    left = sized.select("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("size").alias("size_a"))
+    right = sized.select("bucket", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"))
+    fits = F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent
+    both = left.join(right, ["bucket", "block"]).where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & fits)
+    return both.select("a", "b").distinct()
+
+
+def line_classes(bands: DataFrame, fetch, percent: int) -> DataFrame | None:
+    """(node, root) of the nodes in links, or None without candidates. ``bands``: (node, bands); ``fetch``
+    takes nodes and returns their (node, line).
 
     Every bucket's members are tied to its least node, and the pairs are confirmed. Buckets whose other
-    members then lie in several classes, which happens where lines share a passage but are no copies,
-    are split by one further band, each of those after the ones they were made of; so they get purer
-    from level to level, and what a level makes is linear in what the level before left open.
+    members then lie in one class are settled. The members of the others, where lines share a passage but
+    are no copies, meet again by their rare shingles, which no similar pair fails to share: again tied
+    to the least node, and, where several classes are left, all pairs of different classes are confirmed. So
+    every two lines that share a band are of one class or known not to be similar.
     """
-    rest = bands.select(F.posexplode("bands").alias("last", "bucket"), "node")
-    checked = links = roots = None
-    while True:
-        root = F.col("root") if "root" in rest.columns else F.col("node")
-        spans = rest.groupBy("bucket").agg(F.min("node").alias("centre"), F.min_by(root, "node").alias("centre_root"), F.min(root).alias("lo"), F.max(root).alias("hi")).where("lo <> hi")
-        members = rest.join(spans.select("bucket", "centre", "centre_root"), "bucket").where("node <> centre")
-        members = written(members.select("bucket", "node", "last", "centre", (root != F.col("centre_root")).alias("apart")), "members")
-        if members.isEmpty():
-            return roots
-        pairs = members.where("apart").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-        pairs = written(pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
-        found = written(confirm(pairs, members), "links")
-        checked = pairs if checked is None else checked.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        if roots is None or not found.isEmpty():
-            roots = components(links)
-        others = members.join(roots, "node", "left").select("bucket", "node", "last", F.coalesce("root", "node").alias("root"))
-        open_ = others.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-        split = written(others.join(open_, "bucket").where(F.col("last") + 1 < BANDS), "open")
-        each = split.join(bands, "node").select("node", "root", "bucket", "bands", F.explode(F.sequence(F.col("last") + 1, F.lit(BANDS - 1))).alias("last"))
-        rest = each.select(F.xxhash64("bucket", F.element_at("bands", F.col("last") + 1)).alias("bucket"), "node", "last", "root")
+    members = star_members(bands.select(F.explode("bands").alias("bucket"), "node").withColumn("root", F.col("node")))
+    if members.isEmpty():
+        return None
+    texts = fetch(members.select("node").unionByName(members.select(F.col("centre").alias("node"))).distinct())
+    links = written(similar(written(star_pairs(members), "pairs"), texts, percent), "links")
+    roots = components(links)
+    nodes = still_open(members, roots).select("node").distinct()
+    rest = written(rare_shingles(texts.join(nodes, "node"), percent), "rare").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    members = star_members(rest, "size")
+    if members.isEmpty():
+        return roots
+    links = links.unionByName(written(similar(written(star_pairs(members), "pairs"), texts, percent), "links"))
+    roots = components(links)
+    pairs = written(block_pairs(still_open(members, roots), percent), "pairs")
+    if pairs.isEmpty():
+        return roots
+    return components(links.unionByName(written(similar(pairs, texts, percent), "links")))
 
 
 def repeated_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -97,17 +142,13 @@ def repeated_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", t
     place = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("at"), "doc_id", "line_no")
     firsts = written(spots.groupBy("node").agg(F.min(place).alias("first")), "firsts")
     bands = written(band_table(lines), "bands")
-    texts = {}
 
-    def confirm(pairs: DataFrame, members: DataFrame) -> DataFrame:
-        if "t" not in texts:
-            both = members.select("node").unionByName(members.select(F.col("centre").alias("node"))).distinct()
-            wanted = firsts.join(both, "node").select("node", F.col("first.doc_id").alias("d"), F.col("first.line_no").alias("l"))
-            same = (lines.node == wanted.node) & lines.doc_id.eqNullSafe(wanted.d) & (lines.line_no == wanted.l)
-            texts["t"] = written(lines.join(wanted, same).select(lines.node, "line").dropDuplicates(["node"]), "texts")
-        return similar(pairs, texts["t"], percent)
+    def fetch(nodes: DataFrame) -> DataFrame:
+        wanted = firsts.join(nodes, "node").select("node", F.col("first.doc_id").alias("d"), F.col("first.line_no").alias("l"))
+        same = (lines.node == wanted.node) & lines.doc_id.eqNullSafe(wanted.d) & (lines.line_no == wanted.l)
+        return written(lines.join(wanted, same).select(lines.node, "line").dropDuplicates(["node"]), "texts")
 
-    roots = line_classes(bands, confirm)
+    roots = line_classes(bands, fetch, percent)
     if roots is not None:
         named = firsts.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
         best = named.groupBy("root").agg(F.min("first").alias("best"))
