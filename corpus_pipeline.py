@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from metafleet.llm import bpe, decontamination, language, linededup, minhash
 from metafleet.llm.queries import tokenizer_source
-from metafleet.llm.shared import dropped, new_path
+from metafleet.llm.shared import dropped, new_path, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -18,6 +18,25 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_gone"]), "left_anti").select(*COLUMNS)
 
 
+def _rows(docs: DataFrame, nulls_first: bool = False) -> DataFrame:
+    """``docs`` with a key of each row, ``_row``, written once so that it stays; keys follow the ids.
+
+    The operators get the key in the place of the id, so that what they judge are rows, also where ids
+    are null or repeat. Rows of one id are spread by their texts.
+    """
+    at = F.col("doc_id").asc_nulls_first() if nulls_first else F.col("doc_id").asc_nulls_last()
+    return written(docs.select(*COLUMNS).orderBy(at, F.xxhash64("text")).withColumn("_row", F.monotonically_increasing_id()), "rows")
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("doc_id", F.col("_row"))
+
+
+def _without_rows(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """``rows`` without those whose key ``gone`` has in doc_id."""
+    return rows.join(gone.select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti").select(*COLUMNS)
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the texts in which no language is found: null texts and those without a letter."""
     found = language.language_table(docs)
@@ -29,19 +48,21 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes repeated lines out of the texts; every document stays, n_chars follows its text."""
-    out = linededup.without_repeated_lines(docs)
+    rows = _rows(docs, nulls_first=True).withColumnRenamed("doc_id", "_id").withColumn("doc_id", F.col("_row"))
+    out = linededup.without_repeated_lines(rows).drop("doc_id").withColumnRenamed("_id", "doc_id")
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates: five-word shingles, similarity of 0.8 or more."""
-    found = minhash.near_duplicates(docs, shingle=5, percent=80)
-    return _without(docs, found.where("not kept"))
+    rows = _rows(docs)
+    return _without_rows(rows, minhash.near_duplicates(_keyed(rows), shingle=5, percent=80).where("not kept"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a benchmark item."""
-    return _without(docs, decontamination.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    rows = _rows(docs)
+    return _without_rows(rows, decontamination.leaks(_keyed(rows), spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,6 +34,20 @@ def test_near_duplicates_keep_one(spark, docs_of, prose, tmp_path):
     assert {r.doc_id for r in out.collect()} == {2, 9, None, 11}
 
 
+def test_null_and_repeated_ids(spark, docs_of, prose, tmp_path):
+    item = " ".join(f"bench{k}" for k in range(30))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
+    texts = lambda out: sorted(r.text for r in out.collect())
+    copy, one, two = prose(1, 100), prose(2, 60), prose(3, 60)
+    rows = [(1, copy), (None, copy + " x"), (None, one), (7, copy + " y"), (7, two), (8, prose(4, 50)), (8, prose(4, 50))]
+    assert texts(corpus_pipeline.near_duplicate_stage(spark, docs_of(rows), "")) == sorted([copy, one, two, prose(4, 50)])
+    rows = [(None, item), (None, one), (7, two), (7, prose(5, 40) + " " + item)]
+    assert texts(corpus_pipeline.decontamination_stage(spark, docs_of(rows), f"file://{tmp_path}")) == sorted([one, two])
+    rows = [(None, one), (None, one + "\n" + two), (7, prose(5, 40) + "\n" + one), (7, prose(6, 40) + "\n" + prose(7, 40))]
+    got = texts(corpus_pipeline.line_stage(spark, docs_of(rows), ""))
+    assert sorted(x for t in got for x in t.split("\n") if x) == sorted([one, two, prose(5, 40), prose(6, 40), prose(7, 40)])
+
+
 def test_empty(spark, docs_of, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
     docs = docs_of([])
