@@ -1,20 +1,27 @@
-"""Connected components and star linking of bucket members."""
+"""Connected components, and the classes that similar members of shared buckets form."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metafleet.llm.shared import written
 
-#: Centres of a bucket in the first, second, ... star; the last number holds for all further rounds.
-CENTRES = (1, 64, 512, 4096)
-#: Members of a bucket that one task holds against its centres.
-BLOCK = 1 << 16
+#: Stars of a bucket before the members of different classes are held against each other.
+STARS = 3
+#: Members of a bucket that one task holds against all others of it.
+BLOCK = 1 << 12
+#: Pairs of a node and another class that are confirmed in each further round; the last takes all that are left.
+BEST = (1, 8, 64, None)
+
+_GOLD = 0x9E3779B97F4A7C15
+
+
+def seed(k: int) -> Column:
+    """The k-th of evenly spread 63-bit numbers."""
+    return F.lit((k + 1) * _GOLD % (1 << 63))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -36,78 +43,139 @@ def components(edges: DataFrame) -> DataFrame:
             return roots
 
 
-def linked_classes(buckets: DataFrame, sketches: DataFrame, confirm: Callable[[DataFrame, DataFrame], DataFrame], agrees: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    """(node, root) for the nodes that confirmed links connect; nodes without links are left out.
+def rooted(rows: DataFrame, roots: DataFrame, node: str = "node", root: str = "root") -> DataFrame:
+    """``rows`` with the root of ``node``: its own where ``roots`` lacks it."""
+    named = roots.select(F.col("node").alias(node), F.col("root").alias(root))
+    return rows.join(named, node, "left").withColumn(root, F.coalesce(root, node))
+
+
+def with_links(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after further links (a, b): only the links between different roots are followed."""
+    ends = rooted(rooted(links.select("a", "b"), roots, "a", "ra"), roots, "b", "rb")
+    tops = components(ends.where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    known = roots.unionByName(tops.join(roots, "node", "left_anti").select("node", F.col("node").alias("root")))
+    return written(rooted(known.withColumnRenamed("root", "mid"), tops, "mid", "root").select("node", "root"), "roots")
+
+
+def parities(words: int, h: str = "h") -> list[Column]:
+    """Aggregates over the distinct elements of a set, hashed to ``h``: ``n`` and the words ``w0``, ``w1``, ... of a
+    bit table; each element turns one bit over."""
+    bit, word = F.expr(f"shiftleft(1L, cast({h} & 63 as int))"), F.pmod(F.shiftright(h, 6), F.lit(words))
+    return [F.count("*").alias("n"), *(F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{k}") for k in range(words))]
+
 
-    ``buckets`` (bucket, node): candidates share a bucket. ``sketches`` (node, sketch): ``agrees``
-    takes a table of sketches and one more, as bytes, and says which may be linked with it.
-    ``confirm`` takes pairs (a, b) and all members, and returns the pairs that are linked.
+def difference(a: str, b: str, words: int) -> Column:
+    """How many elements two sets differ by, at least: every bit that differs has an element of its own."""
+    total = F.lit(0)
+    for k in range(words):
+        total = total + F.bit_count(F.col(f"{a}w{k}").bitwiseXOR(F.col(f"{b}w{k}")))
+    return total
 
-    A bucket isn't expanded into pairs. The first star ties each member to the bucket's least node.
-    Buckets whose other members then lie in one class are settled; in the others the next centres are
-    held against all later members of other classes, until no bucket is left. So every two members of
-    a bucket share a class or were compared, and buckets of true copies end after one round.
+
+def may_link(a: str, b: str, words: int, percent: int) -> Column:
+    """False only for sets that are surely less similar than ``percent``.
+
+    Sets of n and m elements that differ by s have a similarity of (n + m - s) / (n + m + s), and of
+    n / m at most.
     """
-    spans = buckets.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("most")).where("centre <> most").select("bucket")
-    members = written(buckets.join(spans, "bucket").distinct().join(sketches, "node").select("bucket", "node", "sketch"), "members")
-    rest, links, checked, roots, turn = members.withColumn("root", F.col("node")), None, None, None, 0
-    while True:
-        centres = CENTRES[min(turn, len(CENTRES) - 1)]
-        pairs = star_pairs(rest, centres, agrees)
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        found = written(confirm(pairs, members), "links")
-        checked = pairs if checked is None else checked.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        if roots is None or not found.isEmpty():
-            roots = components(links)
-        # The centres have met all members; buckets with one class among the others are settled.
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-        later = rest.drop("root") if turn else members
-        done = later.select("bucket", "node", rank.alias("rank")).where(F.col("rank") <= centres).select("bucket", "node")
-        left = later.join(done, ["bucket", "node"], "left_anti").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        left = written(left, "left")
-        open_ = left.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-        rest = written(left.join(open_, "bucket").select("bucket", "node", "sketch", "root"), "rest")
-        turn += 1
-        if rest.isEmpty():
-            return roots
+    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    close = difference(a, b, words) * (100 + percent) <= (n + m) * (100 - percent)
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & close
+
+
+def shared_buckets(buckets: DataFrame) -> DataFrame:
+    """Of (bucket, node), distinct rows, those whose bucket has another node; ``lo`` is the bucket's least node."""
+    each = Window.partitionBy("bucket")
+    spans = buckets.select("bucket", "node", F.min("node").over(each).alias("lo"), F.max("node").over(each).alias("hi"))
+    return spans.where("lo <> hi").select("bucket", "node", "lo")
 
 
-def star_pairs(rest: DataFrame, centres: int, agrees: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    """Pairs (a, b), a < b, of one of the ``centres`` least nodes of a bucket and a later member of another class.
+def _renamed(sketches: DataFrame, side: str) -> DataFrame:
+    return sketches.select(*(F.col(c).alias(side + c if c != "node" else side) for c in sketches.columns))
 
-    ``rest``: (bucket, node, sketch, root). The centres are copied to each block of a bucket's members;
-    a task keeps the centres' sketches and streams the members past them.
+
+def _sketched(pairs: DataFrame, sketches: DataFrame, words: int, percent: int) -> DataFrame:
+    """Of pairs (a, b) those that may be linked, with ``off``: the share that they differ by at least."""
+    both = pairs.join(_renamed(sketches, "a"), "a").join(_renamed(sketches, "b"), "b")
+    return both.where(may_link("a", "b", words, percent)).withColumn("off", difference("a", "b", words) / (F.col("an") + F.col("bn")))
+
+
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members, with their roots, of the buckets whose members lie in several classes; ``lo`` is a bucket's least root."""
+    named = rooted(members.select("bucket", "node"), roots)
+    several = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket", "lo")
+    return written(named.join(several, "bucket"), "open")
+
+
+def star_pairs(members: DataFrame, turn: int) -> DataFrame:
+    """(a, b) of each member (bucket, node, root, lo) and its bucket's centre of this turn, if that is of another class.
+
+    The centre is a node of the class with the least root; a large class has the least one, as a rule.
+    """
+    mixed = F.col("node").bitwiseXOR(seed(turn))
+    centres = members.where("root = lo").groupBy("bucket").agg(F.min(mixed).bitwiseXOR(seed(turn)).alias("centre"))
+    return members.where("root <> lo").join(centres, "bucket").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+
+
+def block_pairs(members: DataFrame, sketches: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b, off) of all members of a bucket that lie in different classes and may be linked.
+
+    A bucket's members are dealt to blocks, and all of them are held against each block; what the sketches
+    rule out leaves no row.
     """
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-    top = rest.select("bucket", "node", "sketch", "root", rank.alias("rank")).where(F.col("rank") <= centres).drop("rank")
-    blocks = rest.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    copies = top.join(blocks, "bucket").select("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("role"), "node", "root", "sketch")
-    others = rest.join(blocks, "bucket").select("bucket", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), F.lit(1).alias("role"), "node", "root", "sketch")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, nodes, roots, sketches = None, [], [], []
-        for b in batches:
-            a_out, b_out = [], []
-            for bucket, block, role, node, root, sketch in zip(*(b.column(c).to_pylist() for c in ("bucket", "block", "role", "node", "root", "sketch"))):
-                if key != (bucket, block):
-                    key, nodes, roots, sketches, ready = (bucket, block), [], [], [], None
-                if role == 0:
-                    nodes.append(node)
-                    roots.append(root)
-                    sketches.append(np.frombuffer(sketch, np.uint8))
-                    continue
-                if ready is None:
-                    ready = (np.array(nodes), np.array(roots), np.stack(sketches))
-                ids, tops, table = ready
-                near = np.flatnonzero((ids < node) & (tops != root))
-                if len(near):
-                    same = agrees(table[near], np.frombuffer(sketch, np.uint8))
-                    a_out += ids[near[same]].tolist()
-                    b_out += [node] * int(same.sum())
-            yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
-
-    dealt = copies.unionByName(others).repartition("bucket", "block").sortWithinPartitions("bucket", "block", "role", "node")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    rows = members.select("bucket", "node", "root").join(sketches, "node")
+    sized = rows.join(members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), "bucket")
+    side = lambda s: [F.col(c).alias(s + c) for c in ("root", *sketches.columns) if c != "node"]
+    left = sized.select("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("node").alias("a"), *side("a"))
+    right = sized.select("bucket", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), F.col("node").alias("b"), *side("b"))
+    both = left.join(right, ["bucket", "block"]).where((F.col("a") < F.col("b")) & (F.col("aroot") != F.col("broot")) & may_link("a", "b", words, percent))
+    return both.select("a", "b", (difference("a", "b", words) / (F.col("an") + F.col("bn"))).alias("off")).distinct()
+
+
+def linked_classes(members: DataFrame, sketches: DataFrame, confirm: Callable[[DataFrame], DataFrame], words: int, percent: int, across: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(node, root) for the nodes that confirmed links connect; nodes without links may be left out.
+
+    ``members``: see ``shared_buckets``; candidates share a bucket. ``sketches``: node and ``parities`` of its set, which
+    rule pairs out without an error. ``confirm`` takes pairs (a, b) and returns those that are linked.
+    ``across`` does what ``block_pairs`` does, in another way.
+
+    A bucket isn't expanded into pairs. In each star a member is confirmed with the likeliest of its buckets'
+    centres, so that a group of copies soon is one class. Only members of buckets that still hold several
+    classes are then held against each other; of the pairs that the sketches leave, a node's likeliest ones
+    with each other class are confirmed first, the rest if the classes are still apart. At the end every two
+    members of a bucket are of one class or known not to be linked.
+    """
+    spark = members.sparkSession
+    roots = spark.createDataFrame([], "node long, root long")
+    none = spark.createDataFrame([], "a long, b long")
+    checked, rest = none, members.withColumn("root", F.col("node"))
+
+    def tested(pairs: DataFrame) -> None:
+        nonlocal checked, roots
+        pairs = written(pairs, "pairs")
+        found = written(confirm(pairs), "links")
+        checked = checked.unionByName(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        if not found.isEmpty():
+            roots = with_links(roots, found)
+
+    for turn in range(STARS):
+        may = _sketched(star_pairs(rest, turn), sketches, words, percent)
+        best = may.groupBy("a").agg(F.min(F.struct("off", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+        tested(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(checked, ["a", "b"], "left_anti"))
+        rest = _open(rest, roots)
+        if rest.isEmpty():
+            return roots
+    held = across(rest) if across else block_pairs(rest, sketches, words, percent)
+    left = written(held.join(checked, ["a", "b"], "left_anti"), "left")
+    for most in BEST:
+        apart = rooted(rooted(left, roots, "a", "ra"), roots, "b", "rb").where("ra <> rb")
+        left = written(apart.select("a", "b", "off", "ra", "rb").join(checked, ["a", "b"], "left_anti"), "left")
+        if left.isEmpty():
+            return roots
+        if most is None:
+            tested(left.select("a", "b"))
+        else:
+            rank = F.row_number().over(Window.partitionBy("a", "rb").orderBy("off", "b"))
+            tested(left.select("a", "b", rank.alias("rank")).where(F.col("rank") <= most).select("a", "b"))
+        left = left.select("a", "b", "off")
+    return roots

@@ -1,175 +1,159 @@
 """Fuzzy line deduplication by MinHash, with DataFrame operations only (operator 6).
 
-A line's shingles are the strings of up to ``WIDTH`` characters that begin at its words. Lines that share
-a band of their MinHash signatures are candidates, exact Jaccard similarity of the shingle sets decides,
+A line's shingles are its strings of ``WIDTH`` characters, one from every position on. Lines that share a
+band of their MinHash signatures are candidates, exact Jaccard similarity of the shingle sets decides,
 and of every connected component one line stays: the first by document and line number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metafleet.llm.components import components
+from metafleet.llm.components import linked_classes, parities, seed, shared_buckets
 from metafleet.llm.shared import written
 
-#: Characters of a shingle, bands of a signature, rows of a band. A pair at similarity 0.8 shares no
-#: band with a chance of (1 - 0.8 ** 3) ** 10, below 0.001; at 0.9 below 0.00001.
-WIDTH, BANDS, ROWS = 12, 10, 3
-#: Members of a bucket that are held together against all others of it.
-BLOCK = 1 << 12
+#: Characters (UTF-16 units) of a shingle; minima of a signature.
+WIDTH, MINIMA = 12, 9
+#: Which minima a band has: the lines of a 3 x 3 plane, so that any two minima meet in one band. A pair at
+#: similarity 0.8 shares no band with a chance of 0.0094, at 0.9 of 0.0006.
+BANDS = ((0, 1, 2), (3, 4, 5), (6, 7, 8), (0, 3, 6), (1, 4, 7), (2, 5, 8), (0, 4, 8), (1, 5, 6), (2, 3, 7), (0, 5, 7), (1, 3, 8), (2, 4, 6))
+#: Words of the bit table that rules pairs out.
+WORDS = 16
+#: Nodes that are sent to every task, at most: 8 MB. More are joined by a shuffle.
+SENT = 1 << 20
 
 
-def normal(line) -> F.Column:
+def normal(line) -> Column:
     """Lower case, white space folded to single blanks, none at the ends."""
     low = F.lower(line)
-    # Few lines have more than single blanks: the search is cheaper than a replacement for every word.
-    return F.trim(F.when(low.rlike(r"\s\s|[^\S ]"), F.regexp_replace(low, r"\s+", " ")).otherwise(low))
+    # Few lines have more than single blanks: these searches are cheaper than a replacement for every line.
+    odd = F.contains(low, F.lit("  "))
+    for c in "\t\x0b\f\r":
+        odd = odd | F.contains(low, F.lit(c))
+    return F.trim(F.when(odd, F.regexp_replace(low, r"[ \t\x0b\f\r]+", " ")).otherwise(low))
 
 
-def shingles(line) -> F.Column:
-    """The shingles of a normal line, one from each word on; fewer characters are left at the end."""
-    return F.regexp_extract_all(line, F.lit(f"(?:^| )(?=(.{{1,{WIDTH}}}))"), F.lit(1))
+def _once(value) -> Column:
+    """The value as a column of its own row, so that no later expression computes it again."""
+    return F.explode(F.array(value))
 
 
-def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, line_no, node, line): every line that isn't blank, in normal form; ``node`` is its 64-bit hash."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "raw"))
-    lines = rows.select("doc_id", "line_no", normal("raw").alias("line")).where("line <> ''")
-    return lines.select("doc_id", "line_no", F.xxhash64("line").alias("node"), "line")
+def _starts(units) -> Column:
+    """Where the shingles of a line begin, in bytes of its UTF-16 units; a shorter line is one shingle."""
+    return F.sequence(F.lit(1), F.greatest(F.octet_length(units) - (2 * WIDTH - 1), F.lit(1)), F.lit(2))
 
 
-def band_table(lines: DataFrame) -> DataFrame:
-    """(node, bands): a bucket for each band of every distinct line."""
-    hashed = lines.select("node", F.explode(shingles("line")).alias("shingle")).select("node", F.xxhash64("shingle").alias("h"))
-    least = [F.min(F.xxhash64(F.lit(k), "h")).alias(f"m{k}") for k in range(BANDS * ROWS)]
-    sign = hashed.groupBy("node").agg(*least)
-    return sign.select("node", F.array(*(F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS))).alias("bands"))
+def _shingle(units, start) -> Column:
+    return F.xxhash64(F.substring(units, start, F.lit(2 * WIDTH)))
 
 
-def similar(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a, b) of nodes those with 100 * intersection >= percent * union of their shingle sets."""
-    sets = texts.select("node", F.array_distinct(shingles("line")).alias("set"))
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    return both.where(shared * 100 >= (F.size("set_a") + F.size("set_b") - shared) * percent).select("a", "b")
+def shingle_rows(lines: DataFrame) -> DataFrame:
+    """(node, h): a row for every position of every line (node, line)."""
+    units = lines.select("node", F.encode("line", "UTF-16BE").alias("units"))
+    return units.select("node", "units", F.explode(_starts("units")).alias("start")).select("node", _shingle("units", F.col("start")).alias("h"))
 
 
-def rare_shingles(texts: DataFrame, percent: int) -> DataFrame:
-    """(bucket, node, size): the rarest shingles of every line of ``texts``, and how many the line has.
+def shingle_array(line) -> Column:
+    """The hashes of a line's shingles in order of their positions."""
+    rows = F.transform(F.array(F.encode(line, "UTF-16BE")), lambda u: F.transform(_starts(u), lambda start: _shingle(u, start)))
+    return F.get(rows, F.lit(0))
 
-    Two lines of n and m shingles that are similar by ``percent`` share at least percent / 100 * n of them.
-    So, in one order of all shingles, they share one of the first n - ceil(percent / 100 * n) + 1 of
-    the one line and likewise of the other. Rare ones come first, so a passage of many lines tells nothing.
-    """
-    each = written(texts.select("node", F.explode(F.array_distinct(shingles("line"))).alias("shingle")).select("node", F.xxhash64("shingle").alias("h")), "shingles")
-    ranked = each.join(each.groupBy("h").agg(F.count("*").alias("n")), "h").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "h"))).alias("all"))
-    size = F.size("all")
-    first = F.slice("all", F.lit(1), size - F.floor((size * percent + 99) / 100).cast("int") + 1)
-    return ranked.select("node", size.alias("size"), F.explode(first).alias("x")).where("x.n > 1").select(F.col("x.h").alias("bucket"), "node", "size")
 
+def sketch_table(texts: DataFrame) -> DataFrame:
+    """(node, n, w0, ...) of distinct lines (node, line): the ``parities`` of their shingle sets."""
+    arrays = texts.repartition("node").select("node", _once(F.sort_array(shingle_array("line"))).alias("all"))
+    each = arrays.select("node", "all", F.posexplode("all").alias("k", "h")).where((F.col("k") == 0) | (F.col("h") != F.get("all", F.col("k") - 1)))
+    return each.select("node", "h").groupBy("node").agg(*parities(WORDS))
 
-def star_members(rest: DataFrame, *more: str) -> DataFrame:
-    """(bucket, node, centre, apart, and ``more``) of the members but the least node, in buckets of several classes."""
-    spans = rest.groupBy("bucket").agg(F.min("node").alias("centre"), F.min_by("root", "node").alias("centre_root"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    members = rest.join(spans.select("bucket", "centre", "centre_root"), "bucket").where("node <> centre")
-    return written(members.select("bucket", "node", "centre", (F.col("root") != F.col("centre_root")).alias("apart"), *more), "members")
 
+def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, row_key, line_no, node, line): every line that isn't blank, in normal form.
 
-def star_pairs(members: DataFrame) -> DataFrame:
-    return members.where("apart").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    ``node`` is its 64-bit hash, ``row_key`` the text's: rows with equal ids and different texts are different rows.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row_key"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "raw"))
+    lines = rows.select("doc_id", "row_key", "line_no", _once(normal("raw")).alias("line")).where("line <> ''")
+    return lines.select("doc_id", "row_key", "line_no", F.xxhash64("line").alias("node"), "line")
 
 
-def still_open(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """The ``members``, with their roots, of the buckets whose members but the centre lie in several classes."""
-    others = members.drop("centre", "apart").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_ = others.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-    return written(others.join(open_, "bucket"), "open")
+def band_table(lines: DataFrame) -> DataFrame:
+    """(bucket, node): a bucket for each band of every distinct line.
 
+    The shingle nearest to a fixed number, as bits go, is the least of a random order: a minimum per number.
+    """
+    signs = shingle_rows(lines).groupBy("node").agg(*(F.min(F.col("h").bitwiseXOR(seed(k))).alias(f"m{k}") for k in range(MINIMA)))
+    keys = F.array(*(F.xxhash64(F.lit(b), *(f"m{k}" for k in band)) for b, band in enumerate(BANDS)))
+    return signs.select(F.explode(keys).alias("bucket"), "node")
 
-def block_pairs(rest: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) of members of a bucket that lie in different classes and whose sizes allow a link.
 
-    The members of a large bucket are dealt to blocks, and all of them are held against each block.
-    """
-    sized = rest.join(rest.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), "bucket")
-    left = sized.select("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("size").alias("size_a"))
-    right = sized.select("bucket", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"))
-    fits = F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent
-    both = left.join(right, ["bucket", "block"]).where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & fits)
-    return both.select("a", "b").distinct()
-
-
-def line_classes(bands: DataFrame, fetch, percent: int) -> DataFrame | None:
-    """(node, root) of the nodes in links, or None without candidates. ``bands``: (node, bands); ``fetch``
-    takes nodes and returns their (node, line).
-
-    Every bucket's members are tied to its least node, and the pairs are confirmed. Buckets whose other
-    members then lie in one class are settled. The members of the others, where lines share a passage but
-    are no copies, meet again by their rare shingles, which no similar pair fails to share: again tied
-    to the least node, and, where several classes are left, all pairs of different classes are confirmed. So
-    every two lines that share a band are of one class or known not to be similar.
+def similar(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b) of nodes those with 100 * intersection >= percent * union of their shingle sets.
+
+    ``texts``: (node, line, n), n the size of the set.
     """
-    members = star_members(bands.select(F.explode("bands").alias("bucket"), "node").withColumn("root", F.col("node")))
-    if members.isEmpty():
+    left, right = (texts.select(F.col("node").alias(c), F.col("line").alias(f"line_{c}"), F.col("n").alias(f"n_{c}")) for c in "ab")
+    both = pairs.join(left, "a").join(right, "b")
+    sized = both.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), _once(F.size(F.array_intersect(shingle_array("line_a"), shingle_array("line_b")))).alias("shared"))
+    return sized.where(F.col("shared") * 100 >= (F.col("n") - F.col("shared")) * percent).select("a", "b")
+
+
+def line_classes(lines: DataFrame, percent: int) -> DataFrame | None:
+    """(node, root) of the nodes in links, or None without candidates. ``lines``: (node, line), rows may repeat."""
+    members = written(shared_buckets(band_table(lines)), "members")
+    nodes = members.select("node").distinct()
+    n = nodes.count()
+    if not n:
         return None
-    texts = fetch(members.select("node").unionByName(members.select(F.col("centre").alias("node"))).distinct())
-    links = written(similar(written(star_pairs(members), "pairs"), texts, percent), "links")
-    roots = components(links)
-    nodes = still_open(members, roots).select("node").distinct()
-    rest = written(rare_shingles(texts.join(nodes, "node"), percent), "rare").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    members = star_members(rest, "size")
-    if members.isEmpty():
-        return roots
-    links = links.unionByName(written(similar(written(star_pairs(members), "pairs"), texts, percent), "links"))
-    roots = components(links)
-    pairs = written(block_pairs(still_open(members, roots), percent), "pairs")
-    if pairs.isEmpty():
-        return roots
-    return components(links.unionByName(written(similar(pairs, texts, percent), "links")))
+    wanted = F.broadcast(nodes) if n <= SENT else nodes
+    texts = written(lines.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("line").alias("line")), "texts")
+    sketches = written(sketch_table(texts), "sketches")
+    sized = texts.join(sketches.select("node", "n"), "node")
+    return linked_classes(members, sketches, lambda pairs: similar(pairs, sized, percent), WORDS, percent)
 
 
 def repeated_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, line_no, first_doc, first_line): every line to drop, and the line that stays for it.
+    """(doc_id, row_key, line_no, first_doc, first_line): every line to drop, and the line that stays for it.
 
     Lines are equal up to case and white space, or similar by ``percent``; links join into components.
-    Blank lines and null texts have no lines here. A null doc_id comes before all others; rows with
-    equal ids are taken for copies of one row. Two of m distinct lines share a hash with a chance of
-    m * m / 2 ** 65.
+    Blank lines and null texts have no lines here. A null doc_id comes before all others. Rows are told
+    apart by id and text: rows with both equal are one row and share their fate. Lines of any length
+    are taken whole. Two of m distinct lines share a hash with a chance of m * m / 2 ** 65.
     """
-    lines = lines_of(docs, id_col, text_col)
-    spots = written(lines.select("node", "doc_id", "line_no"), "spots")
-    place = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("at"), "doc_id", "line_no")
-    firsts = written(spots.groupBy("node").agg(F.min(place).alias("first")), "firsts")
-    bands = written(band_table(lines), "bands")
-
-    def fetch(nodes: DataFrame) -> DataFrame:
-        wanted = firsts.join(nodes, "node").select("node", F.col("first.doc_id").alias("d"), F.col("first.line_no").alias("l"))
-        same = (lines.node == wanted.node) & lines.doc_id.eqNullSafe(wanted.d) & (lines.line_no == wanted.l)
-        return written(lines.join(wanted, same).select(lines.node, "line").dropDuplicates(["node"]), "texts")
-
-    roots = line_classes(bands, fetch, percent)
+    lines = written(line_table(docs, id_col, text_col), "lines")
+    place = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("at"), "doc_id", "row_key", "line_no")
+    roots = line_classes(lines.select("node", "line"), percent)
+    spots = lines.select("doc_id", "row_key", "line_no", "node")
     if roots is not None:
-        named = firsts.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
-        best = named.groupBy("root").agg(F.min("first").alias("best"))
-        firsts = written(named.join(best, "root").select("node", F.col("best").alias("first")), "firsts")
-    found = spots.join(firsts, "node").where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no"))))
-    return found.select("doc_id", "line_no", F.col("first.doc_id").alias("first_doc"), F.col("first.line_no").alias("first_line"))
+        spots = spots.join(roots, "node", "left").withColumn("node", F.coalesce("root", "node"))
+    firsts = spots.groupBy("node").agg(F.min(place).alias("first"), F.min(F.xxhash64("doc_id", "row_key", "line_no")).alias("lo"), F.max(F.xxhash64("doc_id", "row_key", "line_no")).alias("hi"))
+    found = spots.join(firsts.where("lo <> hi").select("node", "first"), "node")
+    own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row_key") == F.col("first.row_key")) & (F.col("line_no") == F.col("first.line_no"))
+    return found.where(~own).select("doc_id", "row_key", "line_no", F.col("first.doc_id").alias("first_doc"), F.col("first.line_no").alias("first_line"))
+
+
+def _drops(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+    found = repeated_lines(docs, percent, id_col, text_col).groupBy("doc_id", "row_key").agg(F.array_sort(F.collect_set("line_no")).alias("_mf_dropped"))
+    return found.select(F.col("doc_id").alias("_mf_id"), F.col("row_key").alias("_mf_key"), "_mf_dropped")
+
+
+def _with_drops(docs: DataFrame, drops: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    same = F.col(id_col).cast("long").eqNullSafe(drops["_mf_id"]) & (F.xxhash64(text_col) == drops["_mf_key"])
+    return docs.join(drops, same, "left")
 
 
 def dropped_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_dropped, dropped (line numbers in order)."""
-    drop = repeated_lines(docs, percent, id_col, text_col).groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("dropped"))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.size(F.split(text_col, "\n")), F.lit(0)).alias("n_lines"))
-    drop = drop.withColumnRenamed("doc_id", "drop_id")
-    found = rows.join(drop, rows.doc_id.eqNullSafe(drop.drop_id), "left")
-    none = F.array().cast("array<int>")
-    return found.select("doc_id", F.greatest("n_lines", F.lit(0)).alias("n_lines"), F.size(F.coalesce("dropped", none)).alias("n_dropped"), F.coalesce("dropped", none).alias("dropped"))
+    lines = F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.size(F.split(text_col, "\n")))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row_key"), lines.alias("n_lines"))
+    drops = _drops(docs, percent, id_col, text_col)
+    found = rows.join(drops, rows.doc_id.eqNullSafe(drops["_mf_id"]) & (rows.row_key == drops["_mf_key"]), "left")
+    dropped = F.coalesce("_mf_dropped", F.array().cast("array<int>"))
+    return found.select("doc_id", "n_lines", F.size(dropped).alias("n_dropped"), dropped.alias("dropped"))
 
 
 def without_repeated_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, all its columns, with the dropped lines taken out of the texts. Null texts stay null."""
-    drop = repeated_lines(docs, percent, id_col, text_col).groupBy("doc_id").agg(F.collect_set("line_no").alias("_mf_dropped")).withColumnRenamed("doc_id", "_mf_id")
-    joined = docs.join(drop, F.col(id_col).cast("long").eqNullSafe(drop["_mf_id"]), "left")
+    joined = _with_drops(docs, _drops(docs, percent, id_col, text_col), id_col, text_col)
     kept = F.array_join(F.filter(F.split(text_col, "\n"), lambda _, k: ~F.array_contains("_mf_dropped", k)), "\n")
     return joined.withColumn(text_col, F.when(F.col("_mf_dropped").isNull(), F.col(text_col)).otherwise(kept)).select(*docs.columns)

@@ -1,9 +1,9 @@
 """Near-duplicate documents by one-permutation MinHash (operator 5).
 
 Every document gets one signature from a single hash of its word shingles; empty bins are filled by
-optimal densification. Bands of the signature are buckets. A bucket's members are held against a few
-centres (a star), never against each other, and sketches rule out most of those pairs before the
-texts are fetched; links are confirmed on the full shingle sets.
+optimal densification. Bands of the signature are buckets. A bucket's members are tied to its centre (a
+star), not to each other; bit tables of the sets rule out most pairs that can't be linked before the texts
+are fetched, and never one that can; links are confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -15,13 +15,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metafleet.llm.components import linked_classes
+from metafleet.llm.components import BLOCK, linked_classes, shared_buckets
 from metafleet.llm.shared import written
 from metafleet.llm.wordhash import SPACE, WordHasher, grams, mixed, slices
 
 #: Bands of a signature, bins of a band. A pair at similarity 0.8 shares no band with a chance of
-#: (1 - 0.8 ** 6) ** 48, below 5e-7.
-BANDS, ROWS = 48, 6
+#: (1 - 0.8 ** 6) ** 36, below 2e-5.
+BANDS, ROWS = 36, 6
+#: Words of the bit table that rules pairs out.
+WORDS = 32
 #: Tries of an empty bin before it takes the next filled one.
 TRIES = 64
 
@@ -98,44 +100,83 @@ def band_keys(sign: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketches(doc: np.ndarray, hashes: np.ndarray, docs: int, bins: int = BANDS * ROWS) -> np.ndarray:
-    """Two rows of bins per document, each of one permutation: a byte of the least hash, 0 where a bin is empty."""
-    out = np.zeros((docs, 2 * bins), dtype=np.uint8)
-    for k, seed in enumerate(np.arange(1, 3, dtype=np.uint64) * _GOLD):
-        own = mixed(hashes ^ seed)
-        cell = doc * 2 * bins + k * bins + (((own >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)).astype(np.int64)
-        order = np.lexsort((own, cell))
-        cell, own = cell[order], own[order]
-        first = np.ones(len(cell), dtype=bool)
-        first[1:] = cell[1:] != cell[:-1]
-        out.ravel()[cell[first]] = mixed(own[first]) % np.uint64(255) + np.uint64(1)
+def bit_tables(doc: np.ndarray, hashes: np.ndarray, docs: int) -> np.ndarray:
+    """A row of ``WORDS`` words per document, as ``components.parities`` has them: each shingle turns one bit over."""
+    out = np.zeros((docs, WORDS), dtype=np.uint64)
+    word = ((hashes.view(np.int64) >> 6) % WORDS).astype(np.int64)
+    np.bitwise_xor.at(out.ravel(), doc * WORDS + word, np.uint64(1) << (hashes & np.uint64(63)))
     return out
 
 
-def may_agree(table: np.ndarray, sketch: np.ndarray, similarity: float) -> np.ndarray:
-    """Which rows of a table of sketches may be as similar to the sketch as asked.
+def _held(node: np.ndarray, root: np.ndarray, n: np.ndarray, bits: np.ndarray, part: np.ndarray, percent: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(a, b, off) of one group's rows: part 0 against part 1, or all against each other if there is no part 1."""
+    left = np.flatnonzero(part == 0)
+    right = left if len(left) == len(part) else np.flatnonzero(part == 1)
+    out = []
+    for k in left:
+        to = right[(node[right] > node[k]) | (right is not left)]
+        to = to[(root[to] != root[k]) & (np.minimum(n[to], n[k]) * 100 >= np.maximum(n[to], n[k]) * percent)]
+        if len(to):
+            apart = np.bitwise_count(bits[to] ^ bits[k]).sum(axis=1, dtype=np.int64)
+            may = apart * (100 + percent) <= (n[to] + n[k]) * (100 - percent)
+            to, apart = to[may], apart[may]
+            out.append((np.minimum(node[to], node[k]), np.maximum(node[to], node[k]), apart / (n[to] + n[k])))
+    return out
+
+
+def held_apart(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """What ``components.block_pairs`` gives, in Arrow batches.
 
-    Equal bins among those that either fills estimate the similarity. In each of the two permutations
-    about m / 2 of the u shingles of the union are the least of their bin, a share f of them; so the
-    variance is s * (1 - s) / u * (1 - f) / (2 * f). Pairs are dropped more than four deviations and
-    one and a half bins below.
+    The members of a bucket are dealt to blocks, and every two blocks meet in a group of two blocks at most.
     """
-    bins = len(sketch) // 2
-    m = ((table > 0) | (sketch > 0)).sum(axis=1)
-    same = ((table == sketch) & (sketch > 0)).sum(axis=1)
-    union = -bins * np.log1p(-np.minimum(m / 2, bins - 0.5) / bins)
-    f = np.minimum(m / 2 / union, 0.98)
-    slack = 4 * np.sqrt(similarity * (1 - similarity) / union * (1 - f) / (2 * f)) + 3 / m
-    return same >= (similarity - slack) * m
+    rows = members.select("bucket", "node", "root").join(sketches, "node")
+    sized = rows.join(members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), "bucket")
+    mine = sized.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    dealt = mine.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    words = [f"w{k}" for k in range(WORDS)]
+    dealt = dealt.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("part"), "node", "root", "n", *words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(t: pa.Table) -> pa.RecordBatch:
+            if not len(t):
+                return pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=["a", "b", "off"])
+            node, root, n, part = (t.column(c).to_numpy() for c in ("node", "root", "n", "part"))
+            bits = np.stack([t.column(w).to_numpy() for w in words], axis=1).view(np.uint64)
+            ends = np.append(changes(t), len(t))
+            got = [x for s, e in zip(ends, ends[1:]) for x in _held(node[s:e], root[s:e], n[s:e], bits[s:e], part[s:e], percent)]
+            a, b, off = (np.concatenate(c) for c in zip(*got)) if got else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(off)], names=["a", "b", "off"])
+
+        def changes(t: pa.Table) -> np.ndarray:
+            new = np.zeros(len(t), dtype=bool)
+            new[:1] = True
+            for c in ("bucket", "i", "j"):
+                x = t.column(c).to_numpy()
+                new[1:] |= x[1:] != x[:-1]
+            return np.flatnonzero(new)
+
+        rest = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = pa.concat_tables([rest, t]) if rest is not None else t
+            last = changes(t)[-1] if len(t) else 0
+            yield found(t.slice(0, last))
+            rest = t.slice(last)
+        if rest is not None:
+            yield found(rest)
+
+    grouped = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return grouped.mapInArrow(run, "a long, b long, off double").distinct()
 
 
 def features(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, node, bands, sketch, own) of every row.
+    """(doc_id, n_shingles, node, bands, own, w0, w1, ...) of every row.
 
     ``node`` stands for the shingle set: a 64-bit digest of it (null: an empty set). Two of m distinct
-    sets share a digest with a chance of m * m / 2 ** 65. ``sketch``: see ``sketches``; ``own``
+    sets share a digest with a chance of m * m / 2 ** 65. The words are the set's bit table; ``own``
     is the text where the id is null, since it can't be fetched by id.
     """
+    words_ = [f"w{k}" for k in range(WORDS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(SPACE)
@@ -144,17 +185,16 @@ def features(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: st
             doc, hashes = shingle_table(words, starts, shingle)
             n = len(b)
             counts, node = digests(doc, hashes, n)
-            keys, sketch = band_keys(signatures(doc, hashes, n)), sketches(doc, hashes, n)
+            keys, bits = band_keys(signatures(doc, hashes, n)), bit_tables(doc, hashes, n).view(np.int64)
             some = counts > 0
-            take = lambda rows, ok: pa.array([r.tobytes() if k else None for r, k in zip(rows, ok)], pa.binary())
             own = [t if i is None else None for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist())] if b.column("doc_id").null_count else [None] * n
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(counts, pa.int64()), pa.array(node, pa.int64(), mask=~some), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * BANDS)]), pa.int32()), pa.array(keys[some].view(np.int64).ravel())), take(sketch, some), pa.array(own, pa.string())],
-                names=["doc_id", "n_shingles", "node", "bands", "sketch", "own"],
+                [b.column("doc_id"), pa.array(counts, pa.int64()), pa.array(node, pa.int64(), mask=~some), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * BANDS)]), pa.int32()), pa.array(keys[some].view(np.int64).ravel())), pa.array(own, pa.string()), *(pa.array(np.ascontiguousarray(bits[:, k])) for k in range(WORDS))],
+                names=["doc_id", "n_shingles", "node", "bands", "own", *words_],
             )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, node long, bands array<long>, sketch binary, own string")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, node long, bands array<long>, own string, " + ", ".join(f"{w} long" for w in words_))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -192,27 +232,25 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     null id is nobody's least id: such a row is kept only if all of its component's ids are null.
     """
     feats = written(features(docs, shingle, id_col, text_col), "features")
-    classes = feats.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("own").alias("own"))
-    classes = written(classes, "classes")
-    buckets = classes.select(F.explode("bands").alias("bucket"), "node")
-
-    texts = {}
-
-    def confirm(pairs: DataFrame, members: DataFrame) -> DataFrame:
-        if "t" not in texts:
-            # The texts of all nodes that share a bucket with another, fetched once.
-            wanted = classes.join(members.select("node").distinct(), "node").select("node", "least", "own")
-            by_id = docs.select(F.col(id_col).cast("long").alias("least"), F.col(text_col).alias("text")).join(wanted.where("least is not null"), "least")
-            found = by_id.select("node", "text").unionByName(wanted.where("least is null").select("node", F.col("own").alias("text")))
-            texts["t"] = written(_rightful(found, shingle), "texts")
-        return confirmed(pairs, texts["t"], shingle, percent)
-
-    roots = linked_classes(buckets, classes.select("node", "sketch"), confirm, lambda table, sketch: may_agree(table, sketch, percent / 100))
+    some = feats.where("node is not null")
+    words = [f"w{k}" for k in range(WORDS)]
+    classes = written(some.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), *(F.first(w).alias(w) for w in words)), "classes")
+    # Bands travel once for each node and task: equal rows are one before the shuffle.
+    members = written(shared_buckets(some.select(F.explode("bands").alias("bucket"), "node").distinct()), "members")
+
+    # The texts of all nodes that share a bucket with another, fetched once.
+    wanted = classes.join(members.select("node").distinct(), "node").select("node", "least")
+    by_id = docs.select(F.col(id_col).cast("long").alias("least"), F.col(text_col).alias("text")).join(wanted.where("least is not null"), "least").select("node", "text")
+    by_row = some.where("own is not null").select("node", F.col("own").alias("text")).join(wanted.where("least is null").select("node"), "node")
+    texts = written(_rightful(by_id.unionByName(by_row), shingle), "texts")
+
+    sketches = classes.select("node", "n", *words)
+    roots = linked_classes(members, sketches, lambda pairs: confirmed(pairs, texts, shingle, percent), WORDS, percent, lambda rest: held_apart(rest, sketches, percent))
     named = classes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_node = written(named.join(names, "root").select("node", "component_id"), "named")
     # Rows without words have no node: each is its own component.
-    some = feats.where("node is not null").select("doc_id", "n_shingles", "node").join(by_node, "node").select("doc_id", "n_shingles", "component_id")
+    some = some.select("doc_id", "n_shingles", "node").join(by_node, "node").select("doc_id", "n_shingles", "component_id")
     none = feats.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return some.unionByName(none).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 

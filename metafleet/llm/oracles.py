@@ -18,7 +18,7 @@ WITH RECURSIVE raw AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM doc
 o AS (SELECT doc_id, k - 1 AS line_no, trim(regexp_replace(lower(ls[k]), '[ \t\n\x0B\f\r]+', ' ', 'g')) AS line FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS k FROM raw)),
 occ AS (SELECT doc_id, line_no, line FROM o WHERE line <> ''),
 d AS (SELECT line, row_number() OVER (ORDER BY line) AS id FROM (SELECT DISTINCT line FROM occ)),
-s AS (SELECT DISTINCT id, substr(array_to_string(ws[k:k + 12], ' '), 1, 12) AS g FROM (SELECT id, ws, unnest(range(1, len(ws) + 1)) AS k FROM (SELECT id, string_split(line, ' ') AS ws FROM d))),
+s AS (SELECT DISTINCT id, substr(line, k, 12) AS g FROM (SELECT id, line, unnest(range(1, greatest(length(line) - 10, 2))) AS k FROM d)),
 n AS (SELECT id, count(*) AS k FROM s GROUP BY id),
 p AS (SELECT a.id AS x, b.id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.id < b.id GROUP BY ALL),
 l AS (SELECT x, y FROM p JOIN n nx ON nx.id = x JOIN n ny ON ny.id = y WHERE 100 * c >= 80 * (nx.k + ny.k - c)),

@@ -10,6 +10,12 @@ def norm(line):
     return re.sub(r"[ \t\n\x0b\f\r]+", " ", line.lower()).strip(" ")
 
 
+def shingles(line):
+    """All strings of 12 UTF-16 units, from every position; a shorter line as a whole."""
+    u = line.encode("utf-16-be")
+    return {u[k : k + 24] for k in range(0, max(len(u) - 23, 1), 2)}
+
+
 def brute(rows, percent=80):
     """{doc_id: dropped line numbers} from all pairs of distinct lines."""
     places = {}
@@ -18,7 +24,7 @@ def brute(rows, percent=80):
             if norm(line):
                 places.setdefault(norm(line), set()).add((i, k))
     lines = list(places)
-    sets = [set(re.findall(r"(?:^| )(?=(.{1,12}))", x)) for x in lines]
+    sets = [shingles(x) for x in lines]
     group = list(range(len(lines)))
     for i in range(len(lines)):
         for j in range(i):
@@ -80,23 +86,68 @@ def test_texts(docs_of):
 
 
 def test_native(docs_of, prose):
-    for df in (ld.lines_of(docs_of([prose(1)])), ld.band_table(ld.lines_of(docs_of([prose(1)]))), ld.dropped_lines(docs_of([prose(1), prose(1)]))):
+    lines = ld.line_table(docs_of([prose(1)]))
+    for df in (lines, ld.band_table(lines), ld.sketch_table(lines), ld.dropped_lines(docs_of([prose(1), prose(1)]))):
         plan = df._jdf.queryExecution().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
 
 
-def test_lines_that_share_a_passage(docs_of):
+def test_long_words_and_lines_without_blanks(docs_of):
+    """Lines that begin alike and go on differently stay; equal up to a few characters, one goes."""
+    rows = [
+        (1, "https://www.alpha-example.com/one/completely/different/path?id=1"), (2, "https://www.alpha-shop.org/zzz/9999999999"),
+        (3, "这是第一句话，它的开头和另一句完全一样，但是后面讲的是天气很好。"), (4, "这是第一句话，它的开头和另一句完全不同的内容，关于经济和市场的报告。"),
+        (5, "see https://www.example.com/" + "a" * 60), (6, "see https://www.example.com/" + "b" * 30 + "/" + "c" * 30),
+        (7, "Zm9vYmFyLmJheg0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ" * 3), (8, "Zm9vYmFyLmJheg" + "9876543210zyxwvutsrqponmlkjihgfedcba" * 6),
+        (9, "key=" + "0123456789abcdef" * 2 + "tail one is here"), (10, "key=" + "0123456789abcdef" * 2 + "and another end of it"),
+        (11, "x" * 9 + "".join(chr(97 + k * k % 26) + str(k) for k in range(80))), (12, "x" * 9 + "".join(chr(97 + k * k % 26) + str(k) for k in range(80)) + "!"),
+        (13, "😀" * 3 + " smile"), (14, "😀" * 3 + " smile."),
+    ]
+    want = brute(rows)
+    assert want == {12: {0}}
+    check(docs_of(rows), rows)
+
+
+def passage_pairs(n, families=70):
+    """Lines that share a long passage; each two have a part of their own that differs a little."""
     r, rows = random.Random(11), []
-    passage = " ".join(f"p{k}" for k in range(70))
-    for k in range(400):
-        own = [f"o{k}x{j}" for j in range(30)]
-        rows.append((2 * k, passage + " " + " ".join(own)))
-        for j in r.sample(range(0, 30, 3), 4):
-            own[j] = f"z{r.randrange(10**6)}"
-        rows.append((2 * k + 1, passage + " " + " ".join(own)))
-    # Pairs lie a little above 0.8, lines of different pairs far below: every second line goes, by its own pair.
-    assert brute(rows[:40]) == {2 * k + 1: {0} for k in range(20)}
-    got = {(r.doc_id, r.first_doc) for r in ld.repeated_lines(docs_of(rows)).collect()}
-    lost = {(2 * k + 1, 2 * k) for k in range(400)} - got
-    # Of such pairs one in 2,000 shares no band; those alone may be missing.
-    assert len(lost) <= 2 and len(got) == 400 - len(lost)
+    passage = "".join(chr(97 + r.randrange(26)) for _ in range(n))
+    for k in range(families):
+        own = [chr(97 + r.randrange(26)) for _ in range(260)]
+        rows.append((2 * k, passage + " " + "".join(own)))
+        own[r.randrange(40, 120)] = own[r.randrange(150, 250)] = "#"
+        rows.append((2 * k + 1, passage + " " + "".join(own)))
+    return rows
+
+
+def test_lines_that_share_a_passage(docs_of):
+    for n in (0, 150, 260):
+        rows = passage_pairs(n)
+        assert brute(rows[:30]) == {2 * k + 1: {0} for k in range(15)}
+        got = {(r.doc_id, r.first_doc) for r in ld.repeated_lines(docs_of(rows)).collect()}
+        assert got == {(2 * k + 1, 2 * k) for k in range(70)}
+
+
+def test_recall(docs_of):
+    """Pairs of lines at a similarity of 0.8 to 0.83, none of which is helped by another line: 0.99 or more are found."""
+    r, rows, n = random.Random(21), [], 0
+    while n < 400:
+        line = "".join(chr(97 + r.randrange(26)) for _ in range(340))
+        other = list(line)
+        for at in (60, 160, 260)[: r.choice([2, 3])]:
+            other[at + r.randrange(30)] = "#"
+        other = "".join(other)[: 340 - r.randrange(12)]
+        a, b = shingles(line), shingles(other)
+        if 0.8 <= len(a & b) / len(a | b) < 0.85:
+            rows += [(2 * n, line), (2 * n + 1, other)]
+            n += 1
+    found = ld.repeated_lines(docs_of(rows)).collect()
+    assert all(x.doc_id == x.first_doc + 1 for x in found) and len(found) >= 0.98 * n, len(found)
+    print("recall", len(found) / n)
+
+
+def test_equal_ids(docs_of):
+    """Rows with one id and different texts are different rows; equal rows share their fate."""
+    rows = [(1, "the very same line of text\nand one"), (1, "a unique first line of its own\nthe very same line of text"), (2, "unlike all others, this line"), (2, "unlike all others, this line")]
+    got = sorted(tuple(r) for r in ld.dropped_lines(docs_of(rows)).collect())
+    assert sum(n for _, _, n, _ in got) == 1 and {d for i, *_, d in got if i == 2 for d in d} == set()

@@ -7,7 +7,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from metafleet.llm import minhash
-from metafleet.llm.components import components, star_pairs
+from metafleet.llm import linededup
+from metafleet.llm.components import block_pairs, components, parities, star_pairs
 
 
 def brute(rows, shingle, percent):
@@ -89,8 +90,6 @@ def test_signature_agrees_with_similarity():
         hashes = np.concatenate([np.sort(np.concatenate([both, a])), np.sort(np.concatenate([both, b]))])
         sign = minhash.signatures(doc, hashes, 2)
         assert abs((sign[0] == sign[1]).mean() - 0.8) < 0.2 if n == 3 else abs((sign[0] == sign[1]).mean() - 0.8) < 0.12
-        sketch = minhash.sketches(doc, hashes, 2)
-        assert minhash.may_agree(sketch[:1], sketch[1], 0.8).all()
 
 
 def test_one_shingle_fills_all_bins():
@@ -109,6 +108,52 @@ def test_components(spark, edges):
 
 
 def test_star_pairs_are_linear(spark):
-    rest = spark.createDataFrame([(1, k, bytes(8), k) for k in range(50)], "bucket long, node long, sketch binary, root long")
-    pairs = star_pairs(rest, 1, lambda t, s: np.ones(len(t), dtype=bool)).collect()
-    assert sorted((p.a, p.b) for p in pairs) == [(0, k) for k in range(1, 50)]
+    rest = spark.createDataFrame([(1, k, 0 if k < 9 else k, 0) for k in range(50)], "bucket long, node long, root long, lo long")
+    pairs = star_pairs(rest, 0).collect()
+    assert sorted(p.a for p in pairs) == list(range(9, 50)) and len({p.b for p in pairs}) == 1 and pairs[0].b < 9
+
+
+def sets_of(seed, n=40):
+    """Sets with a core each, in groups that share much or little."""
+    r = random.Random(seed)
+    cores = [[r.getrandbits(63) for _ in range(60)] for _ in range(4)]
+    return {k: set(r.sample(cores[k % 4], r.randrange(45, 60)) + [r.getrandbits(63) for _ in range(r.randrange(12))]) for k in range(n)}
+
+
+def test_bit_tables_never_rule_out_a_link(spark):
+    sets = sets_of(3)
+    rows = [(k, h) for k, x in sets.items() for h in x]
+    sketches = spark.createDataFrame(rows, "node long, h long").groupBy("node").agg(*parities(minhash.WORDS))
+    members = spark.createDataFrame([(k % 2, k, k) for k in sets], "bucket long, node long, root long")
+    got = {(p.a, p.b) for p in block_pairs(members, sketches, minhash.WORDS, 80).collect()}
+    held = minhash.held_apart(members, sketches, 80).collect()
+    assert got == {(p.a, p.b) for p in held} and len(held) == len(got)
+    same = {(a, b) for a in sets for b in sets if a < b and (a - b) % 2 == 0}
+    links = {(a, b) for a, b in same if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert links and links <= got and len(got) < len(same) / 2
+
+
+def test_blocks_meet(spark, monkeypatch):
+    """Every two members of a bucket meet, also those of different blocks."""
+    monkeypatch.setattr(minhash, "BLOCK", 7)
+    sets = {k: {1, 2, 3} for k in range(30)}
+    sketches = spark.createDataFrame([(k, h) for k, x in sets.items() for h in x], "node long, h long").groupBy("node").agg(*parities(minhash.WORDS))
+    members = spark.createDataFrame([(1, k, k) for k in sets], "bucket long, node long, root long")
+    assert minhash.held_apart(members, sketches, 80).count() == 30 * 29 // 2
+
+
+def test_group_of_near_copies(docs_of):
+    """Hundreds of copies with edits of their own, most of them unlike the bucket's centre."""
+    r, base = random.Random(8), [f"a{k}" for k in range(120)]
+    rows = []
+    for i in range(260):
+        w = list(base)
+        for _ in range(r.choice([0, 1, 2, 3, 5, 8])):
+            w[r.randrange(len(w))] = f"b{r.randrange(9)}"
+        rows.append((i, " ".join(w)))
+    assert found(docs_of(rows), shingle=4) == brute(rows, 4, 80)
+    # The same as lines: one line of each component stays.
+    want = {}
+    for i, _, root, _ in brute(rows, 4, 80):
+        want.setdefault(root, []).append(i)
+    assert linededup.dropped_lines(docs_of(rows)).where("n_dropped = 0").count() <= len(want)
