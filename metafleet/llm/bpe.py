@@ -11,6 +11,8 @@ import heapq
 import json
 import os
 import re
+import sys
+import types
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -119,6 +121,29 @@ def pieces(text: str) -> list[str]:
     return regex.split(r"\p{White_Space}+", text) if re.search("[\x1c-\x1f]", text) else text.split()
 
 
+def shared_bpe(source: str) -> Bpe:
+    """The tables of a source, built once in each Python worker."""
+    held = sys.modules.setdefault("_metafleet_tables", types.ModuleType("_metafleet_tables")).__dict__
+    if held.get("source") != source:
+        held.update(source=source, bpe=Bpe(source))
+    return held["bpe"]
+
+
+class _Decoded(dict):
+    """The tokens of a piece's ids, joined by blanks."""
+
+    def __init__(self, bpe: Bpe):
+        self.token = bpe.token
+
+    def __missing__(self, ids: bytes) -> str:
+        found = " ".join([self.token[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        if len(ids) < 400:
+            self[ids] = found
+        return found
+
+
 class _Ids(dict):
     """Ids of pieces as little-endian uint32, from the lexicon or else by merging."""
 
@@ -139,8 +164,10 @@ class _Ids(dict):
 def word_counts(docs: DataFrame, source: str, text_col: str = "text") -> DataFrame:
     """(word, n): how often each piece without white space stands in the whole corpus."""
 
+    shared = docs.sparkSession.sparkContext.broadcast(source)
+
     def count(batches):
-        bpe, seen = Bpe(source), Counter()
+        bpe, seen = shared_bpe(shared.value), Counter()
 
         def out():
             batch = pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
@@ -165,13 +192,15 @@ def build_lexicon(docs: DataFrame, source: str, text_col: str = "text", words: i
     The table is bounded by that parameter. Returns the name under which executors find the file.
     """
 
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(source)
+
     def encode(batches):
-        bpe = Bpe(source)
+        bpe = shared_bpe(shared.value)
         for b in batches:
             ids = [np.array(bpe.encoded(w), "<u4").tobytes() for w in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["word", "ids"])
 
-    spark = docs.sparkSession
     counts = word_counts(docs, source, text_col).where((F.col("n") >= 2) & F.length("word").between(1, 100))
     top = counts.orderBy(F.desc("n"), "word").limit(words).repartition(spark.sparkContext.defaultParallelism, "word")
     rows = sorted((r.word.encode(), bytes(r.ids)) for r in top.select("word").mapInArrow(encode, "word string, ids binary").toLocalIterator())
@@ -185,30 +214,43 @@ def build_lexicon(docs: DataFrame, source: str, text_col: str = "text", words: i
     return os.path.basename(path)
 
 
-def encode(docs: DataFrame, source: str, lexicon: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, source: str, lexicon: str | None = None, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """(doc_id, ids): the ids of every whole text as little-endian uint32. Null texts are empty ones.
 
-    ``source``: the tokenizer file's contents. ``lexicon``: what ``build_lexicon`` returned.
+    ``source``: the tokenizer file's contents. ``lexicon``: what ``build_lexicon`` returned. With ``decoded``
+    each row's ids are decoded in the same pass, as ``decode`` does. Repeated rows are encoded each for itself.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(source)
 
     def run(batches):
-        bpe = Bpe(source)
-        ids = _Ids(bpe, Lexicon.mapped(SparkFiles.get(lexicon)) if lexicon else None)
+        bpe = shared_bpe(shared.value)
+        ids, words = _Ids(bpe, Lexicon.mapped(SparkFiles.get(lexicon)) if lexicon else None), _Decoded(bpe)
         for b in _small(batches, 4 << 20):
-            out = []
+            out, back = [], []
             for text in b.column(1).to_pylist():
-                parts = (np.array([p], "<u4").tobytes() if isinstance(p, int) else b"".join(map(ids.__getitem__, p)) for p in bpe.parts(text or ""))
-                out.append(b"".join(parts))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["doc_id", "ids"])
-
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids binary")
+                found: list[bytes] = []
+                for p in bpe.parts(text or ""):
+                    if isinstance(p, int):
+                        found.append(p.to_bytes(4, "little"))
+                    else:
+                        found += map(ids.__getitem__, p)
+                out.append(b"".join(found))
+                if decoded:
+                    # Pieces may be empty: a text of white space at an end, or a piece that no token covers.
+                    back.append(" ".join(map(words.__getitem__, filter(None, found))))
+            columns = {"doc_id": b.column(0), "ids": pa.array(out, pa.binary())} | ({"decoded": pa.array(back, pa.string())} if decoded else {})
+            yield pa.RecordBatch.from_pydict(columns)
+
+    schema = "doc_id long, ids binary" + ", decoded string" * decoded
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, source: str) -> DataFrame:
     """Adds ``decoded`` to (doc_id, ids): the tokens of the ids, joined by blanks. Unknown ids raise."""
+    shared = encoded.sparkSession.sparkContext.broadcast(source)
 
     def run(batches):
-        bpe = Bpe(source)
+        bpe = shared_bpe(shared.value)
         token = [bpe.token.get(i) for i in range(max(bpe.token) + 1)]
         for b in _small(batches, 2 << 20):
             out = [" ".join([token[i] for i in np.frombuffer(x, "<u4").tolist()]) for x in b.column("ids").to_pylist()]

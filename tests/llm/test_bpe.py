@@ -54,7 +54,7 @@ def test_lexicon_shares_suffixes():
 
 
 def test_query(docs_of, odd_rows):
-    docs = docs_of([*odd_rows, (20, "naïve <|endoftext|> Text"), (21, "naïve naïve naïve")])
+    docs = docs_of([*odd_rows, (20, "naïve <|endoftext|> Text"), (21, "naïve naïve naïve"), (22, "  <|endoftext|>  <|endoftext|>x "), (23, "<|startoftext|>")])
     for words in (0, 5, 1000):
         lexicon = bpe.build_lexicon(docs, SOURCE, words=words)
         got = bpe.decode(bpe.encode(docs, SOURCE, lexicon), SOURCE).collect()
@@ -62,7 +62,9 @@ def test_query(docs_of, odd_rows):
         for r in docs.collect():
             e = THEIRS.encode(r.text or "", add_special_tokens=False).ids
             want.append((str(r.doc_id), len(e), hashlib.sha256(struct.pack(f"<{len(e)}I", *e)).hexdigest(), THEIRS.decode(e, skip_special_tokens=False)))
-        assert sorted((str(r.doc_id), len(r.ids) // 4, hashlib.sha256(r.ids).hexdigest(), r.decoded) for r in got) == sorted(want)
+        once = bpe.encode(docs, SOURCE, lexicon, decoded=True).collect()
+        for rows in (got, once):
+            assert sorted((str(r.doc_id), len(r.ids) // 4, hashlib.sha256(r.ids).hexdigest(), r.decoded) for r in rows) == sorted(want)
 
 
 def test_empty(docs_of):
