@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metafleet.llm import bpe, decontamination, language, linededup, matroska, minhash, oracles, secrets, shuffling, toxicity, training_order
+from metafleet.llm.shared import new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,7 +48,7 @@ def tokenizer_source(name: str = "word_bpe_49k.json") -> str:
 
 def op7_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, source = _table(spark, sf_dir, "documents"), tokenizer_source()
-    decoded = bpe.decode(bpe.encode(docs, source, bpe.build_lexicon(docs, source)), source)
+    decoded = bpe.encode(docs, source, bpe.build_lexicon(docs, source), decoded=True)
     return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
@@ -60,8 +61,9 @@ def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = shuffling.two_pass_shuffle(_table(spark, sf_dir, "documents"), shards=24)
-    return out.select(
+    path = new_path(spark, "shards")
+    shuffling.write_shards(shuffling.two_pass_shuffle(_table(spark, sf_dir, "documents"), shards=24), path)
+    return shuffling.read_shards(spark, path).select(
         "doc_id", shuffling.record_size("text").alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
     )

@@ -37,6 +37,18 @@ def test_odd_rows(docs_of, odd_rows):
 
 
 def test_files(spark, docs_of, prose, tmp_path):
-    path = f"file://{tmp_path}/out"
-    s.write_shards(s.two_pass_shuffle(docs_of([prose(k, 9) for k in range(30)]), 4), path)
-    assert spark.read.parquet(path).groupBy("shard").count().count() == 4
+    path, shuffled = f"file://{tmp_path}/out", s.two_pass_shuffle(docs_of([prose(k, 9) for k in range(30)]), 4, bucket_bytes=300)
+    s.write_shards(shuffled, path)
+    back = s.read_shards(spark, path)
+    assert sorted(back.select(*shuffled.columns).collect()) == sorted(shuffled.collect())
+    # Every file holds its rows in slot order.
+    for f in [r[0] for r in back.selectExpr("input_file_name()").distinct().collect()]:
+        slots = [r.slot for r in spark.read.parquet(f).collect()]
+        assert slots == sorted(slots)
+    s.write_shards(s.two_pass_shuffle(docs_of([]), 4), path + "-none")
+    assert s.read_shards(spark, path + "-none").count() == 0
+
+
+def test_texts_move_once(docs_of, prose):
+    plan = s.two_pass_shuffle(docs_of([prose(1)]), 4)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
