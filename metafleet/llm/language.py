@@ -17,11 +17,10 @@ from pyspark.sql import functions as F
 from metafleet.llm.toxicity import crc_fold
 from metafleet.llm.wordhash import slices
 
-#: Trigram buckets of a language's table, its smoothing, and how many languages are told apart at most
-#: (those with most texts; the tables go to every executor).
-BUCKETS, SMOOTHING, LANGUAGES = 1 << 15, 0.5, 256
-#: EM rounds, and the most languages that a document's set may have.
-ROUNDS, MOST = 8, 3
+#: Trigram buckets of a language's table (128 KB a language, in every executor), and its smoothing.
+BUCKETS, SMOOTHING = 1 << 15, 0.5
+#: EM rounds; words times languages that are held at a time.
+ROUNDS, CELLS = 8, 1 << 22
 
 #: a-z and all bytes above 127 stand for themselves, A-Z for a-z, the rest is a gap.
 _LETTER = np.full(256, 32, dtype=np.uint32)
@@ -74,18 +73,15 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, languages: int = LANGUAGES) -> tuple[list[str], np.ndarray]:
-    """The languages of ``docs`` (lang, text) and, per bucket and language, the log-probability."""
-    counts = trigram_counts(docs)
-    names = [r.lang for r in docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
-    names.sort()
+def fit(docs: DataFrame) -> tuple[list[str], np.ndarray]:
+    """All languages of ``docs`` (lang, text) and, per bucket and language, the log-probability."""
+    got = trigram_counts(docs).toArrow()
+    lang = got.column("lang").to_pylist()
+    names = sorted(set(lang))
     table = np.zeros((BUCKETS, len(names)))
-    got = counts.where(F.col("lang").isin(names)).toArrow() if names else None
-    if got is not None and len(got):
+    if names:
         at = {x: k for k, x in enumerate(names)}
-        table[got.column("bucket").to_numpy(), [at[x] for x in got.column("lang").to_pylist()]] = got.column("n").to_numpy()
-    some = table.sum(axis=0) > 0
-    names, table = [x for x, k in zip(names, some) if k], table[:, some]
+        table[got.column("bucket").to_numpy(), [at[x] for x in lang]] = got.column("n").to_numpy()
     return names, np.log((table + SMOOTHING) / (table.sum(axis=0) + SMOOTHING * BUCKETS)).astype(np.float32)
 
 
@@ -102,27 +98,36 @@ def _em(e: np.ndarray, doc: np.ndarray, starts: np.ndarray, share: np.ndarray, r
 def mixtures(code: np.ndarray, starts: np.ndarray, words: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each text that has words: its number, all shares, and the shares of the chosen set (others 0).
 
-    The sets tried are the 1, 2, ... languages of the greatest shares; the penalty of a set is half the
-    logarithm of the number of words for each share but one.
+    The sets tried are the 1, 2, ... languages of the greatest shares, as long as the penalised
+    likelihood rises; the penalty of a set is half the logarithm of the number of words for each share but one.
     """
     ll = np.add.reduceat(table[code], starts, axis=0)
     top = ll.max(axis=1, keepdims=True)
     e = np.exp(np.maximum(ll - top, -40.0))
     m = np.diff(words)
     some = np.flatnonzero(m)
-    doc, first = np.repeat(np.arange(len(some)), m[some]), words[:-1][some]
+    size = m[some]
+    doc, first = np.repeat(np.arange(len(some)), size), words[:-1][some]
     langs = table.shape[1]
     share, _ = _em(e, doc, first, np.full((len(some), langs), 1 / langs), ROUNDS)
     order = np.argsort(-share, axis=1, kind="stable")
-    best, chosen = np.full(len(some), -np.inf), np.zeros_like(share)
-    for k in range(1, min(langs, MOST) + 1):
-        mask = np.zeros_like(share)
-        np.put_along_axis(mask, order[:, :k], 1.0, axis=1)
-        start = share * mask + 1e-6 * mask
-        fitted, value = _em(e, doc, first, start / start.sum(axis=1, keepdims=True), ROUNDS if k > 1 else 0)
-        value = value - 0.5 * (k - 1) * np.log(np.maximum(m[some], 2))
-        better = value > best
-        best[better], chosen[better] = value[better], fitted[better]
+    chosen = np.zeros_like(share)
+    np.put_along_axis(chosen, order[:, :1], 1.0, axis=1)
+    best = np.add.reduceat(np.log((e * chosen[doc]).sum(axis=1)), first)
+    going = np.arange(len(some))
+    for k in range(2, langs + 1):
+        if not len(going):
+            break
+        sizes = size[going]
+        at = np.repeat(first[going] - np.append(0, np.cumsum(sizes)[:-1]), sizes) + np.arange(sizes.sum())
+        mask = np.zeros((len(going), langs))
+        np.put_along_axis(mask, order[going, :k], 1.0, axis=1)
+        start = share[going] * mask + 1e-6 * mask
+        fitted, value = _em(e[at], np.repeat(np.arange(len(going)), sizes), np.append(0, np.cumsum(sizes)[:-1]), start / start.sum(axis=1, keepdims=True), ROUNDS)
+        value = value - 0.5 * (k - 1) * np.log(np.maximum(sizes, 2))
+        better = value > best[going]
+        going, fitted = going[better], fitted[better]
+        best[going], chosen[going] = value[better], fitted
     return some, share, chosen
 
 
@@ -130,13 +135,15 @@ def identify(docs: DataFrame, names: list[str], table: np.ndarray, id_col: str =
     """(doc_id, lang_pred, score, languages) of every row: the language of the greatest share in the chosen set.
 
     ``languages`` has the set with its shares. Null texts and texts without a letter, and all texts if
-    no language was learned, are ``und`` with score 0.
+    no language was learned, are ``und`` with score 0. Repeated rows are predicted alike. Texts are read whole; a
+    task holds 8 bytes for each word and language of its longest text.
     """
     model = docs.sparkSession.sparkContext.broadcast((names, table))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, table = model.value
-        for b in slices(batches, "text"):
+        # A word has about six bytes; one text is never cut.
+        for b in slices(batches, "text", max(1 << 10, min(1 << 18, 6 * CELLS // max(len(names), 1)))):
             pred, score, sets = ["und"] * len(b), [0.0] * len(b), [[] for _ in range(len(b))]
             code, starts, words = trigrams(b.column("text"))
             if names and len(starts):

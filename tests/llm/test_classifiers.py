@@ -91,3 +91,107 @@ def test_language_odd_rows(docs_of, odd_rows, labelled):
     assert language.language_table(docs_of([])).count() == 0
     unknown = language.language_table(docs_of(odd_rows).withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {r.lang_pred for r in unknown} == {"und"}
+
+
+def kneser_ney(texts):
+    """Both classes' probabilities {(v, w): (p0, p1)} from dictionaries, ``None`` as a word that no text has."""
+    pairs = [{}, {}]
+    for words, label in texts:
+        for v, w in zip(["<s>", *words], words):
+            pairs[label][v, w] = pairs[label].get((v, w), 0) + 1
+    seen = set(pairs[0]) | set(pairs[1])
+    vocabulary = sorted({w for _, w in seen})
+    shared = {w: sum(x == w for _, x in seen) for w in vocabulary} | {None: 0}
+    everything = sum(shared.values()) + len(vocabulary) + 1
+    out = {}
+    ney = lambda c: (lambda a, b: a / (a + 2 * b) if a else 0.5)(sum(x == 1 for x in c), sum(x == 2 for x in c))
+    for k in (0, 1):
+        n = {w: sum(x == w for _, x in pairs[k]) for w in vocabulary} | {None: 0}
+        d, total = ney(list(n.values())), sum(n.values())
+        types = sum(x > 0 for x in n.values())
+        low = {w: max(n[w] - d, 0) / total + d * types / total * (shared[w] + 1) / everything for w in n}
+        high = ney(list(pairs[k].values()))
+        for v in {v for v, _ in seen} | {"never"}:
+            after = {w: c for (x, w), c in pairs[k].items() if x == v}
+            t = sum(after.values())
+            for w in low:
+                p = (max(after.get(w, 0) - high, 0) / t + high * len(after) / t * low[w]) if t else low[w]
+                out.setdefault((v, w), [0, 0])[k] = p
+    return out
+
+
+def test_kneser_ney_against_dictionaries(docs_of, spark):
+    r = random.Random(4)
+    texts = [([r.choice("abcdefghij") if r.random() < 0.9 else r.choice("xyz") for _ in range(r.randrange(1, 9))], k % 2) for k in range(60)] + [(["only", "toxic"], 1), (["only", "plain"], 0)]
+    want = kneser_ney(texts)
+    for v in {v for v, _ in want}:
+        for k in (0, 1):
+            assert abs(sum(p[k] for (x, _), p in want.items() if x == v) - 1) < 1e-9
+    frame = spark.createDataFrame([(" ".join(w), k) for w, k in texts], "text string, label int")
+    model = toxicity.fit_model(toxicity.pair_counts(frame))
+    hasher = toxicity.WordHasher(toxicity.PUNCTUATION)
+    import numpy as np
+    import pyarrow as pa
+
+    number = lambda w: np.uint64(0) if w == "<s>" else hasher.words(pa.array([w or "brandnew"]))[0][0]
+    keys = list(want)
+    got = toxicity.ratios(model, np.array([number(v) for v, _ in keys], np.uint64), np.array([number(w) for _, w in keys], np.uint64))
+    assert np.abs(got - [np.log(want[x][1] / want[x][0]) for x in keys]).max() < 1e-5
+
+
+def test_toxic_expression_of_ordinary_words(docs_of, spark):
+    """Words that both classes use alike, in an order that only toxic texts have."""
+    r = random.Random(6)
+    rows, labels = [], []
+    for i in range(500):
+        w = [r.choice("alpha beta gamma delta go away red blue one two".split()) for _ in range(40)]
+        w = [x for k, x in enumerate(w) if not (x == "away" and k and w[k - 1] == "go")]
+        if i % 3 == 0:
+            for _ in range(3):
+                w[r.randrange(30) : 0] = ["go", "away"]
+        rows.append((i, " ".join(w)))
+        labels.append((i, 1, int(i % 3 == 0)))
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = toxicity.toxicity(docs_of(rows), labels).join(labels, "doc_id").where("held_out").collect()
+    assert sum(x.predicted == x.toxic for x in got) / len(got) > 0.9
+
+
+def test_mixture_against_plain_em():
+    """Shares and chosen sets equal those of an EM written out for one text."""
+    import numpy as np
+
+    r = np.random.default_rng(2)
+    table = np.log(r.dirichlet(np.full(50, 0.1), 6).T + 1e-4).astype(np.float32)
+    texts = [[r.choice(50, 3, p=np.exp(table[:, k]) / np.exp(table[:, k]).sum()) for k in r.choice(langs, 60)] for langs in ([0], [1, 2], [0, 1, 2, 3], [5, 4, 3, 2, 1])]
+    code = np.concatenate([np.concatenate(t) for t in texts])
+    starts, words = np.arange(0, len(code), 3), np.arange(0, 60 * len(texts) + 1, 60)
+    some, share, chosen = language.mixtures(code, starts, words, table)
+
+    def em(ll, p):
+        for _ in range(language.ROUNDS):
+            z = p * np.exp(ll)
+            p = (z / z.sum(1, keepdims=True)).mean(0)
+        return p, np.log((p * np.exp(ll)).sum(1)).sum()
+
+    for d, t in enumerate(texts):
+        ll = np.array([table[w].sum(0) for w in t], dtype=np.float64)
+        full, _ = em(ll, np.full(6, 1 / 6))
+        order, best = np.argsort(-full), None
+        for k in range(1, 7):
+            keep = np.isin(np.arange(6), order[:k])
+            p, value = em(ll, (full + 1e-6) * keep / ((full + 1e-6) * keep).sum())
+            value -= 0.5 * (k - 1) * np.log(60)
+            if best is not None and value <= best[0]:
+                break
+            best = (value, p)
+        assert np.abs(share[d] - full).max() < 1e-3 and np.abs(chosen[d] - best[1]).max() < 1e-3
+    assert (chosen > 0).sum(1).max() > 3
+
+
+def test_many_languages(docs_of):
+    """More than 256 languages are all learned."""
+    rows = [(k, " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}q{x}" for x in "abcdef") * 3, f"l{k:03d}", "s", 1) for k in range(300)]
+    names, table = language.fit(docs_of(rows))
+    assert len(names) == 300
+    got = language.identify(docs_of(rows), names, table).collect()
+    assert sum(x.lang_pred == f"l{x.doc_id:03d}" for x in got) > 280
