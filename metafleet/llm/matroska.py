@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 EBML, DOC_TYPE, SEGMENT, INFO, TIMESTAMP_SCALE = 0x1A45DFA3, 0x4282, 0x18538067, 0x1549A966, 0x2AD7B1
 TRACKS, TRACK_ENTRY, TRACK_NUMBER, TRACK_TYPE, CODEC_ID = 0x1654AE6B, 0xAE, 0xD7, 0x83, 0x86
 AUDIO, SAMPLING_FREQUENCY, CHANNELS, BIT_DEPTH = 0xE1, 0xB5, 0x9F, 0x6264
+DEFAULT_DURATION, BLOCK_DURATION = 0x23E383, 0x9B
 CLUSTER, TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK = 0x1F43B675, 0xE7, 0xA3, 0xA0, 0xA1
 CUES, CUE_POINT, CUE_TIME, CUE_TRACK_POSITIONS, CUE_TRACK, CUE_CLUSTER_POSITION = 0x1C53BB6B, 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
 
@@ -99,7 +100,8 @@ def mux(payload: bytes) -> bytes:
     """A Matroska file with the payload as one track of unsigned 8-bit samples, laced, with cues."""
     head = element(EBML, element(DOC_TYPE, b"matroska"))
     audio = element(AUDIO, element(SAMPLING_FREQUENCY, b"\x45\xfa\x00\x00") + uint(CHANNELS, 1) + uint(BIT_DEPTH, 8))
-    track = element(TRACK_ENTRY, uint(TRACK_NUMBER, 1) + uint(TRACK_TYPE, 2) + element(CODEC_ID, b"A_PCM/INT/LIT") + audio)
+    frame = uint(DEFAULT_DURATION, FRAME * 1_000_000 // RATE)
+    track = element(TRACK_ENTRY, uint(TRACK_NUMBER, 1) + uint(TRACK_TYPE, 2) + frame + element(CODEC_ID, b"A_PCM/INT/LIT") + audio)
     body = bytearray(element(INFO, uint(TIMESTAMP_SCALE, 1_000_000)) + element(TRACKS, track))
     cues, span = bytearray(), FRAME * LACE
     for start in range(0, len(payload), span * BLOCKS):
@@ -176,7 +178,11 @@ def _elements(data, at: int, end: int, stop=frozenset()) -> Iterator[tuple[int,
 
 
 def demux(data) -> tuple[list[tuple[int, int, int, int, int, bool]], list[tuple[int, int, int]]]:
-    """Packets (cluster, track, time in ms, first byte, size, is laced) and cues (time, track, cluster's byte)."""
+    """Packets (cluster, track, time in ms, first byte, size, is laced) and cues (time, track, cluster's byte).
+
+    A block has one time; the frames laced in it follow each other by the track's default duration, or
+    else by equal parts of the block's duration. Without either all have the block's time.
+    """
     packets: list[tuple[int, int, int, int, int, bool]] = []
     cues: list[tuple[int, int, int]] = []
     number = lambda a, b: int.from_bytes(data[a:b], "big")
@@ -184,20 +190,30 @@ def demux(data) -> tuple[list[tuple[int, int, int, int, int, bool]], list[tuple[
         if kind != SEGMENT:
             continue
         segment, clusters, scale = at, -1, 1_000_000
+        lasts: dict[int, int] = {}
         for kind, _, at, end in _elements(data, at, end, {CLUSTER, CUES, TRACKS, INFO}):
             if kind == INFO:
                 scale = next((number(a, b) for k, _, a, b in _elements(data, at, end) if k == TIMESTAMP_SCALE), scale)
+            elif kind == TRACKS:
+                for k, _, a, b in _elements(data, at, end):
+                    if k == TRACK_ENTRY:
+                        found = {x: number(c, d) for x, _, c, d in _elements(data, a, b) if x in (TRACK_NUMBER, DEFAULT_DURATION)}
+                        lasts[found.get(TRACK_NUMBER, 0)] = found.get(DEFAULT_DURATION, 0)
             elif kind == CLUSTER:
                 clusters, base = clusters + 1, 0
                 for kind, _, a, b in _elements(data, at, end):
                     if kind == TIMESTAMP:
                         base = number(a, b)
+                    span = 0
                     if kind == BLOCK_GROUP:
-                        a, b = next(((c, d) for k, _, c, d in _elements(data, a, b) if k == BLOCK), (0, 0))
+                        group = {k: (c, d) for k, _, c, d in _elements(data, a, b)}
+                        a, b = group.get(BLOCK, (0, 0))
+                        span = number(*group[BLOCK_DURATION]) * scale if BLOCK_DURATION in group else 0
                     if b and kind in (SIMPLE_BLOCK, BLOCK_GROUP):
                         track, time, frames = _frames(data, a, b)
-                        for p, size in frames:
-                            packets.append((clusters, track, (base + time) * scale // 1_000_000, p, size, len(frames) > 1))
+                        step = lasts.get(track, 0) or span // len(frames)
+                        for k, (p, size) in enumerate(frames):
+                            packets.append((clusters, track, ((base + time) * scale + k * step) // 1_000_000, p, size, len(frames) > 1))
             elif kind == CUES:
                 for kind, _, a, b in _elements(data, at, end):
                     if kind == CUE_POINT:
@@ -231,7 +247,11 @@ def _small(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBa
 
 
 def media_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, media): every text's payload as a Matroska file. Null texts are empty ones."""
+    """(doc_id, n_bytes, media): every text's payload as a Matroska file.
+
+    Null texts are empty ones; repeated rows have files each, equal ones. A task holds a few MB of texts at a
+    time, or one text if that is longer, and its file.
+    """
 
     def write(batches):
         for b in _small(batches, 4 << 20):

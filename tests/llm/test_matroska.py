@@ -29,6 +29,19 @@ def test_lacing(sizes, kind):
     assert (track, time) == (1, 5) and [body[a : a + n] for a, n in found] == frames
 
 
+def test_times_of_laced_frames():
+    """Frames follow each other by 128 ms, in and across blocks and clusters."""
+    packets, cues = m.demux(m.mux(bytes(100_000)))
+    assert [p[2] for p in packets] == [128 * k for k in range(len(packets))] and packets[0][5]
+    starts = {p[0]: p[2] for p in reversed(packets)}
+    assert [c[0] for c in cues] == [starts[k] for k in range(len(cues))]
+    # By a block's duration where the track names none; all at once without either.
+    block = m.element(m.BLOCK, m._block(3, 4, [b"ab", b"cd", b"ef"]))
+    for more, times in ((m.uint(m.BLOCK_DURATION, 30), [14, 24, 34]), (b"", [14, 14, 14])):
+        data = m.element(m.SEGMENT, m.element(m.CLUSTER, m.uint(m.TIMESTAMP, 10) + m.element(m.BLOCK_GROUP, block + more)))
+        assert [p[2] for p in m.demux(data)[0]] == times
+
+
 def test_unknown_sizes_and_long_sizes():
     block = m.element(m.SIMPLE_BLOCK, m._block(1, 3, [b"abc"]))
     cluster = m.id_bytes(m.CLUSTER) + b"\x01" + b"\xff" * 7 + m.uint(m.TIMESTAMP, 10) + block
