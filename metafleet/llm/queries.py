@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metafleet.llm import bpe, decontamination, language, linededup, matroska, minhash, oracles, secrets, shuffling, toxicity, training_order
-from metafleet.llm.shared import new_path
+from metafleet.llm.shared import new_path, written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +22,7 @@ def op1_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered = training_order.training_order(training_order.byte_ids(_table(spark, sf_dir, "documents")))
-    return ordered.select("doc_id", "seq_no", "n_tokens", "slot", "shard", "byte_offset", F.crc32("ids").alias("ids_crc32"))
+    return written(training_order.write_shards(ordered, new_path(spark, "sequences")), "slots")
 
 
 def op3_media_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
