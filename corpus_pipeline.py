@@ -12,63 +12,82 @@ from metafleet.llm.shared import dropped, new_path, written
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id ``gone`` (doc_id) has; a null id is an id like others."""
-    ids = gone.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_gone"]), "left_anti").select(*COLUMNS)
-
-
-def _rows(docs: DataFrame, nulls_first: bool = False) -> DataFrame:
-    """``docs`` with a key of each row, ``_row``, written once so that it stays; keys follow the ids.
+def _rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of each row, ``_row``, written once so that it stays.
 
     The operators get the key in the place of the id, so that what they judge are rows, also where ids
-    are null or repeat. Rows of one id are spread by their texts.
+    are null or repeat.
     """
-    at = F.col("doc_id").asc_nulls_first() if nulls_first else F.col("doc_id").asc_nulls_last()
-    return written(docs.select(*COLUMNS).orderBy(at, F.xxhash64("text")).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    return written(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
 
 
 def _keyed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("doc_id", F.col("_row"))
 
 
-def _without_rows(rows: DataFrame, gone: DataFrame) -> DataFrame:
-    """``rows`` without those whose key ``gone`` has in doc_id."""
-    return rows.join(gone.select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti").select(*COLUMNS)
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """``rows`` without those whose key is in ``gone`` (_row)."""
+    return rows.join(gone.distinct(), "_row", "left_anti").select(*COLUMNS)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the texts in which no language is found: null texts and those without a letter."""
-    found = language.language_table(docs)
-    letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    rejected = found.where("lang_pred = 'und'").select("doc_id")
-    # Texts with a letter stay whatever was learned, and whatever other row has their id.
-    return _without(docs.where(~letter), rejected).unionByName(docs.where(letter).select(*COLUMNS))
+    """Drops the rows that the operator finds no language in, and names the language of those that have none.
+
+    Learns from all rows with a language. Rejected are null and empty texts and those without a letter. A null
+    ``lang`` becomes the predicted one; a given one stays. If nothing can be learned, no row goes.
+    Repeated rows share their fate; texts of any length are read whole.
+    """
+    names, table = language.fit(docs.where("lang is not null and text is not null").select("lang", "text"))
+    if not names:
+        return docs.select(*COLUMNS)
+    rows = _rows(docs)
+    found = language.identify(_keyed(rows), names, table).select(F.col("doc_id").alias("_row"), "lang_pred")
+    named = rows.join(found.where("lang_pred <> 'und'"), "_row")
+    return named.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes repeated lines out of the texts; every document stays, n_chars follows its text."""
-    rows = _rows(docs, nulls_first=True).withColumnRenamed("doc_id", "_id").withColumn("doc_id", F.col("_row"))
-    out = linededup.without_repeated_lines(rows).drop("doc_id").withColumnRenamed("_id", "doc_id")
+    """Takes repeated lines out of the texts; every document stays, n_chars follows its text.
+
+    Of similar lines the first by id and line number stays, null ids first. Null and empty texts stay as they
+    are. Rows are told apart by id and text: rows with both equal lose the same lines, and the next stage
+    leaves one of them.
+    """
+    out = linededup.without_repeated_lines(docs.select(*COLUMNS))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates: five-word shingles, similarity of 0.8 or more."""
+    """Keeps one row of each group of near duplicates: five-word shingles, similarity of 0.8 or more.
+
+    The row of the least id stays, null ids last; of repeated rows one. Texts without words (null, empty) are
+    like no other and stay. Texts of any length are compared whole.
+    """
     rows = _rows(docs)
-    return _without_rows(rows, minhash.near_duplicates(_keyed(rows), shingle=5, percent=80).where("not kept"))
+    found = minhash.near_duplicates(_keyed(rows), shingle=5, percent=80).select(F.col("doc_id").alias("_row"), "component_id")
+    placed = found.join(rows.select("_row", "doc_id"), "_row").withColumn("place", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
+    best = placed.groupBy("component_id").agg(F.min("place").alias("best"))
+    gone = placed.join(best, "component_id").where(F.col("_row") != F.col("best._row"))
+    return _without(rows, gone.select("_row"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a benchmark item."""
+    """Drops the rows whose text holds a benchmark item: tiles cover half of its tokens or more.
+
+    Null and empty texts hold none; repeated rows share their fate; an empty benchmark drops nothing.
+    """
     rows = _rows(docs)
-    return _without_rows(rows, decontamination.leaks(_keyed(rows), spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    found = decontamination.leaks(_keyed(rows), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(rows, found.select(F.col("doc_id").alias("_row")))
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encodes the texts and decodes the ids: doc_id, n_tokens, ids, decoded."""
+    """Encodes the texts and decodes the ids: doc_id, n_tokens, ids, decoded.
+
+    One row for each row, whatever its id; null and empty texts have no tokens and decode to an empty text.
+    """
     source = tokenizer_source()
-    decoded = bpe.decode(bpe.encode(docs, source, bpe.build_lexicon(docs, source)), source)
+    decoded = bpe.encode(docs, source, bpe.build_lexicon(docs, source), decoded=True)
     return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", "decoded")
 
 
@@ -80,7 +99,7 @@ STAGES = [
     ("bpe", encoding_stage),
 ]
 
-#: SQL can't express these stages; tests hold them against brute force.
+#: SQL can't express these stages; the tests hold all five against brute force.
 ORACLE_SQL = None
 
 
