@@ -118,7 +118,7 @@ def star_pairs(members: DataFrame, turn: int) -> DataFrame:
 
 
 def block_pairs(members: DataFrame, sketches: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b, off) of all members of a bucket that lie in different classes and may be linked.
+    """(a, b, off, ra, rb) of all members of a bucket that lie in different classes, ra and rb, and may be linked.
 
     A bucket's members are dealt to blocks, and all of them are held against each block; what the sketches
     rule out leaves no row.
@@ -129,7 +129,8 @@ def block_pairs(members: DataFrame, sketches: DataFrame, words: int, percent: in
     left = sized.select("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("node").alias("a"), *side("a"))
     right = sized.select("bucket", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), F.col("node").alias("b"), *side("b"))
     both = left.join(right, ["bucket", "block"]).where((F.col("a") < F.col("b")) & (F.col("aroot") != F.col("broot")) & may_link("a", "b", words, percent))
-    return both.select("a", "b", (difference("a", "b", words) / (F.col("an") + F.col("bn"))).alias("off")).distinct()
+    off = difference("a", "b", words) / (F.col("an") + F.col("bn"))
+    return both.select("a", "b", off.alias("off"), F.col("aroot").alias("ra"), F.col("broot").alias("rb")).distinct()
 
 
 def linked_classes(members: DataFrame, sketches: DataFrame, confirm: Callable[[DataFrame], DataFrame], words: int, percent: int, across: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -167,9 +168,10 @@ def linked_classes(members: DataFrame, sketches: DataFrame, confirm: Callable[[D
             return roots
     held = across(rest) if across else block_pairs(rest, sketches, words, percent)
     left = written(held.join(checked, ["a", "b"], "left_anti"), "left")
-    for most in BEST:
-        apart = rooted(rooted(left, roots, "a", "ra"), roots, "b", "rb").where("ra <> rb")
-        left = written(apart.select("a", "b", "off", "ra", "rb").join(checked, ["a", "b"], "left_anti"), "left")
+    for turn, most in enumerate(BEST):
+        if turn:
+            apart = rooted(rooted(left.select("a", "b", "off"), roots, "a", "ra"), roots, "b", "rb").where("ra <> rb")
+            left = written(apart.join(checked, ["a", "b"], "left_anti"), "left")
         if left.isEmpty():
             return roots
         if most is None:
@@ -177,5 +179,4 @@ def linked_classes(members: DataFrame, sketches: DataFrame, confirm: Callable[[D
         else:
             rank = F.row_number().over(Window.partitionBy("a", "rb").orderBy("off", "b"))
             tested(left.select("a", "b", rank.alias("rank")).where(F.col("rank") <= most).select("a", "b"))
-        left = left.select("a", "b", "off")
     return roots

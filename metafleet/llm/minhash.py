@@ -108,8 +108,8 @@ def bit_tables(doc: np.ndarray, hashes: np.ndarray, docs: int) -> np.ndarray:
     return out
 
 
-def _held(node: np.ndarray, root: np.ndarray, n: np.ndarray, bits: np.ndarray, part: np.ndarray, percent: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(a, b, off) of one group's rows: part 0 against part 1, or all against each other if there is no part 1."""
+def _held(node: np.ndarray, root: np.ndarray, n: np.ndarray, bits: np.ndarray, part: np.ndarray, percent: int) -> list[tuple[np.ndarray, ...]]:
+    """(a, b, off, ra, rb) of one group's rows: part 0 against part 1, or all against each other if there is no part 1."""
     left = np.flatnonzero(part == 0)
     right = left if len(left) == len(part) else np.flatnonzero(part == 1)
     out = []
@@ -120,7 +120,8 @@ def _held(node: np.ndarray, root: np.ndarray, n: np.ndarray, bits: np.ndarray, p
             apart = np.bitwise_count(bits[to] ^ bits[k]).sum(axis=1, dtype=np.int64)
             may = apart * (100 + percent) <= (n[to] + n[k]) * (100 - percent)
             to, apart = to[may], apart[may]
-            out.append((np.minimum(node[to], node[k]), np.maximum(node[to], node[k]), apart / (n[to] + n[k])))
+            less = node[k] < node[to]
+            out.append((np.minimum(node[to], node[k]), np.maximum(node[to], node[k]), apart / (n[to] + n[k]), np.where(less, root[k], root[to]), np.where(less, root[to], root[k])))
     return out
 
 
@@ -133,19 +134,17 @@ def held_apart(members: DataFrame, sketches: DataFrame, percent: int) -> DataFra
     sized = rows.join(members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), "bucket")
     mine = sized.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")))
     dealt = mine.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    words = [f"w{k}" for k in range(WORDS)]
+    words, kinds = [f"w{k}" for k in range(WORDS)], (np.int64, np.int64, np.float64, np.int64, np.int64)
     dealt = dealt.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("part"), "node", "root", "n", *words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(t: pa.Table) -> pa.RecordBatch:
-            if not len(t):
-                return pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=["a", "b", "off"])
             node, root, n, part = (t.column(c).to_numpy() for c in ("node", "root", "n", "part"))
             bits = np.stack([t.column(w).to_numpy() for w in words], axis=1).view(np.uint64)
             ends = np.append(changes(t), len(t))
             got = [x for s, e in zip(ends, ends[1:]) for x in _held(node[s:e], root[s:e], n[s:e], bits[s:e], part[s:e], percent)]
-            a, b, off = (np.concatenate(c) for c in zip(*got)) if got else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(off)], names=["a", "b", "off"])
+            columns = zip(*got) if got else [()] * 5
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, kind), *c])) for c, kind in zip(columns, kinds)], names=["a", "b", "off", "ra", "rb"])
 
         def changes(t: pa.Table) -> np.ndarray:
             new = np.zeros(len(t), dtype=bool)
@@ -166,7 +165,7 @@ def held_apart(members: DataFrame, sketches: DataFrame, percent: int) -> DataFra
             yield found(rest)
 
     grouped = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return grouped.mapInArrow(run, "a long, b long, off double").distinct()
+    return grouped.mapInArrow(run, "a long, b long, off double, ra long, rb long").distinct()
 
 
 def features(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
