@@ -23,7 +23,7 @@ from metafleet.llm.wordhash import SPACE, WordHasher, grams, mixed, slices
 #: (1 - 0.8 ** 6) ** 36, below 2e-5.
 BANDS, ROWS = 36, 6
 #: Words of the bit table that rules pairs out.
-WORDS = 32
+WORDS = 16
 #: Tries of an empty bin before it takes the next filled one.
 TRIES = 64
 
