@@ -18,10 +18,7 @@ def with_hash(rows: DataFrame, text: str = "definition") -> DataFrame:
 def first_per_hash(rows: DataFrame, order: str, text: str = "definition") -> DataFrame:
     """(definition_hash, first, definition): one row per content, from the least ``order``."""
     hashed = with_hash(rows, text).where(F.col("definition_hash") != NO_HASH)
-    first = hashed.groupBy("definition_hash").agg(F.min(order).alias("first"))
-    # All rows of a hash hold the same text: any will do, and no text is sorted.
-    texts = hashed.groupBy("definition_hash").agg(F.any_value(text).alias("definition"))
-    return first.join(texts, "definition_hash")
+    return hashed.groupBy("definition_hash").agg(F.min(order).alias("first"), F.min_by(text, order).alias("definition"))
 
 
 def definition_upsert(store: DataFrame, rows: DataFrame, order: str, text: str = "definition") -> DataFrame:

@@ -6,31 +6,38 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Scopes of a fleet at most, where their list travels with the plan.
+SCOPES = 100_000
 
 
 def presence_counts(items: DataFrame, scopes: DataFrame, item: Sequence[str], scope: str) -> DataFrame:
     """(item, present, missing): in how many of the scopes each item is and isn't."""
-    n = scopes.select(scope).distinct().agg(F.count("*").alias("scopes"))
+    n = scopes.select(scope).distinct().count()
     found = items.join(scopes.select(scope).distinct(), scope, "left_semi").groupBy(*item).agg(F.countDistinct(scope).alias("present"))
-    return found.crossJoin(n).select(*item, "present", (F.col("scopes") - F.col("present")).alias("missing"))
+    return found.select(*item, "present", (F.lit(n) - F.col("present")).alias("missing"))
 
 
 def presence_drift(items: DataFrame, scopes: DataFrame, item: Sequence[str], scope: str) -> DataFrame:
     """(item, scope): every scope that lacks an item which some other has.
 
-    Items that no scope lacks are left out before the scopes are paired, so the result bounds the work.
+    Each item's scopes become a set, and only what that set lacks of the fleet's list leaves rows. The list
+    travels with the plan; a fleet has hundreds of databases, and more than ``SCOPES`` are an error.
     """
-    some = presence_counts(items, scopes, item, scope).where("missing > 0").select(*item)
-    expected = some.crossJoin(scopes.select(scope).distinct())
-    return expected.join(items.select(*item, scope).distinct(), [*item, scope], "left_anti")
+    fleet = [r[0] for r in scopes.select(scope).distinct().limit(SCOPES + 1).collect()]
+    if len(fleet) > SCOPES:
+        raise ValueError(f"more than {SCOPES} scopes")
+    kind = items.schema[scope].dataType
+    everyone = F.array(*(F.lit(x) for x in fleet)).cast(T.ArrayType(kind))
+    have = items.where(F.array_contains(everyone, F.col(scope))).groupBy(*item).agg(F.collect_set(scope).alias("_have"))
+    return have.select(*item, F.explode(F.array_except(everyone, "_have")).alias(scope))
 
 
 def majority(rows: DataFrame, item: Sequence[str], value: str) -> DataFrame:
     """(item, versions, usual): the number of values, and the most frequent one; the least of equals."""
     counts = rows.groupBy(*item, value).agg(F.count("*").alias("n"))
-    tops = counts.groupBy(*item).agg(F.count("*").alias("versions"), F.max("n").alias("n"))
-    usual = counts.join(tops, [*item, "n"]).groupBy(*item).agg(F.min(value).alias("usual"))
-    return tops.drop("n").join(usual, list(item))
+    return counts.groupBy(*item).agg(F.count("*").alias("versions"), F.min_by(value, F.struct((-F.col("n")).alias("k"), F.col(value).alias("v"))).alias("usual"))
 
 
 def definition_drift(rows: DataFrame, item: Sequence[str], scope: str, value: str) -> DataFrame:

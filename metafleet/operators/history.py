@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metafleet.operators.merge import Merge
@@ -11,10 +11,17 @@ from metafleet.operators.merge import Merge
 def history_append(merge: Merge, as_of) -> DataFrame:
     """The versions that a merge closed, valid from their last change to ``as_of`` (exclusive).
 
-    Written with ``_month`` as a partition, so that ``expire_history`` drops whole folders.
+    ``_month`` (year and month of the end, as 202401) is there to partition the files by, so that
+    ``expire_history`` reads no folder that is too old.
     """
     closed = merge.rows.where("_action IN ('update', 'delete')").select("before.*")
-    return closed.withColumns({"_ValidFrom": F.col("_ModifyDate"), "_ValidTo": F.lit(as_of).cast(closed.schema["_ModifyDate"].dataType)})
+    ended = closed.withColumns({"_ValidFrom": F.col("_ModifyDate"), "_ValidTo": F.lit(as_of).cast(closed.schema["_ModifyDate"].dataType)})
+    return ended.withColumn("_month", month("_ValidTo"))
+
+
+def month(t) -> Column:
+    """Year and month of a time as a number: 202401."""
+    return F.year(t) * 100 + F.month(t)
 
 
 def all_versions(current: DataFrame, history: DataFrame) -> DataFrame:
@@ -37,8 +44,10 @@ def between(current: DataFrame, history: DataFrame, start, end) -> DataFrame:
 
 
 def expire_history(history: DataFrame, now, months: int = 6) -> DataFrame:
-    """Without the versions that ended longer ago than so many months."""
-    return history.where(F.col("_ValidTo") >= F.add_months(F.lit(now).cast("date"), -months).cast("timestamp_ntz"))
+    """Without the versions that ended longer ago than so many months, to the second."""
+    first = F.lit(now).cast(history.schema["_ValidTo"].dataType) - F.make_interval(months=F.lit(months))
+    kept = history.where(F.col("_ValidTo") >= first)
+    return kept.where(F.col("_month") >= month(first)) if "_month" in history.columns else kept
 
 
 def replay(changes: DataFrame, keys: list[str], order: str) -> DataFrame:

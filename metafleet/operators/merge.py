@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metafleet.functions.keys import item_id, name_key, row_hash
+from metafleet.sources.scratch import written
 
 BOOKKEEPING = ("_RowHash", "_InsertDate", "_ModifyDate")
 
@@ -20,6 +21,10 @@ class Merge:
     rows: DataFrame
     keys: list[str]
 
+    def once(self) -> Merge:
+        """The same merge, its rows written to the shared folder: table, changes and history read them without joining again."""
+        return Merge(written(self.rows, "merge"), self.keys)
+
     def next(self) -> DataFrame:
         """The table after the merge."""
         return self.rows.where("_action <> 'delete'").select("after.*")
@@ -141,3 +146,24 @@ def with_parents(snapshot: DataFrame, roles: dict[str, Sequence[str]]) -> DataFr
         parts = [name_key(c) if snapshot.schema[c].dataType.typeName() == "string" else F.col(c) for c in columns]
         snapshot = snapshot.withColumn(role, F.when(known, item_id(*parts)))
     return snapshot
+
+
+def merge_with_parents(
+    current: DataFrame, snapshot: DataFrame, collected: DataFrame, roles: dict[str, Sequence[str]], items: DataFrame, keys: Sequence[str], as_of, scope: Sequence[str] = ("scope_id",), **options,
+) -> tuple[Merge, DataFrame]:
+    """Gives a snapshot its ids (see ``with_parents``) and merges it by ``keys``; also the rows that refer to unknown items.
+
+    ``items`` (object_key): the dimension as ``identity.resolve_objects`` gives it, which makes the same ids
+    of the same names. Rows of which a role is named and not in it are left out of the merge.
+    """
+    rows = with_parents(snapshot, roles)
+    known = items.select("object_key").distinct()
+    lost = F.lit(False)
+    for role in roles:
+        there = known.select(F.col("object_key").alias(role), F.lit(True).alias(f"_{role}_there"))
+        rows = rows.join(there, role, "left")
+        lost = lost | (F.col(role).isNotNull() & F.col(f"_{role}_there").isNull())
+    rows = rows.withColumn("_lost", lost).drop(*(f"_{role}_there" for role in roles))
+    columns = [c for c in current.columns if c not in BOOKKEEPING]
+    merge = merge_snapshot(current, rows.where("not _lost").select(*columns), collected, keys, as_of, scope, **options)
+    return merge, rows.where("_lost").drop("_lost")

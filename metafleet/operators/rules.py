@@ -1,4 +1,7 @@
-"""Rules over the whole fleet's catalog, violations as rows: rule, scope, object, item, current, proper."""
+"""Rules over the whole fleet's catalog, violations as rows: rule, database, schema, object, item, current, proper.
+
+A table is named by its database, schema and name: tables of one name in two schemas are two tables.
+"""
 
 from __future__ import annotations
 
@@ -7,18 +10,34 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metafleet.functions.keys import joined, name_key
+from metafleet.functions.keys import joined, name_key, quoted
 from metafleet.operators.relational import ordered_concat
 
 
+#: What names a table in a fleet.
+TABLE = ("database_id", "schema_name", "object_name")
+
+
 def _rows(df: DataFrame, rule: str, item: Column, current: Column, proper: Column) -> DataFrame:
     text = lambda c: c.cast("string")
-    return df.select(F.lit(rule).alias("rule"), "database_id", "object_name", text(item).alias("item"), text(current).alias("current"), text(proper).alias("proper"))
+    return df.select(F.lit(rule).alias("rule"), *TABLE, text(item).alias("item"), text(current).alias("current"), text(proper).alias("proper"))
+
+
+def _part(name: Column) -> Column:
+    """A name as part of a dotted one: in brackets unless it is a plain identifier."""
+    return F.when(name.rlike("^[A-Za-z_@#][A-Za-z0-9_@#$]*$"), name).otherwise(quoted(name))
+
+
+def _text(value: Column) -> Column:
+    """The value as a string literal, quotes doubled."""
+    return joined(F.lit("N'"), F.replace(value, F.lit("'"), F.lit("''")), F.lit("'"))
 
 
-def rename_script(current: Column, proper: Column) -> Column:
-    """The statement that gives an object its proper name."""
-    return joined(F.lit("EXEC sp_rename '"), current, F.lit("', '"), proper, F.lit("';"))
+def rename_script(schema: Column, current: Column, proper: Column, table: Column | None = None) -> Column:
+    """The statement that gives a constraint, or an index of ``table``, its proper name; it can be run as it is."""
+    parts = [_part(c) for c in ([schema, current] if table is None else [schema, table, current])]
+    kind = "OBJECT" if table is None else "INDEX"
+    return joined(F.lit("EXEC sp_rename "), _text(F.concat_ws(".", *parts)), F.lit(", "), _text(proper), F.lit(f", N'{kind}';"))
 
 
 def name_convention(df: DataFrame, rule: str, actual: str, proper: Column) -> DataFrame:
@@ -27,40 +46,40 @@ def name_convention(df: DataFrame, rule: str, actual: str, proper: Column) -> Da
 
 
 def default_name(defaults: DataFrame) -> DataFrame:
-    """``defaults``: database_id, object_name, column_name, name; proper is DF_table_column."""
+    """``defaults``: TABLE, column_name, name; proper is DF_table_column."""
     return name_convention(defaults, "default_name", "name", F.concat_ws("_", F.lit("DF"), "object_name", "column_name"))
 
 
 def foreign_key_name(columns: DataFrame) -> DataFrame:
-    """``columns``: database_id, object_name, name, column_name, ordinal; proper is FK_table_columns."""
-    keys = ordered_concat(columns, ["database_id", "object_name", "name"], "column_name", "ordinal", "columns")
+    """``columns``: TABLE, name, column_name, ordinal; proper is FK_table_columns."""
+    keys = ordered_concat(columns, [*TABLE, "name"], "column_name", "ordinal", "columns")
     return name_convention(keys, "foreign_key_name", "name", F.concat_ws("_", F.lit("FK"), "object_name", "columns"))
 
 
 def index_name(columns: DataFrame) -> DataFrame:
     """``columns``: as above with kind (PK, UQ, IX), is_clustered, is_included; included columns don't count."""
-    group = ["database_id", "object_name", "name", "kind", "is_clustered"]
+    group = [*TABLE, "name", "kind", "is_clustered"]
     keys = ordered_concat(columns.where("not is_included"), group, "column_name", "ordinal", "columns")
     prefix = F.concat(F.when(F.col("is_clustered"), "C").otherwise(""), F.col("kind"))
     return name_convention(keys, "index_name", "name", F.concat_ws("_", prefix, "object_name", "columns"))
 
 
 def heap(indexes: DataFrame) -> DataFrame:
-    """``indexes``: database_id, object_name, type; tables without a clustered index."""
+    """``indexes``: TABLE, type; tables without a clustered index."""
     return _rows(indexes.where("type = 0"), "heap", F.col("object_name"), F.lit("heap"), F.lit("clustered index"))
 
 
 def missing_default(columns: DataFrame, defaults: DataFrame, names: Sequence[str] = ("_ModifyDate", "_InsertDate")) -> DataFrame:
     """The named columns without a default; history tables are exempt."""
     asked = columns.where(F.col("column_name").isin(*names)).where(~F.col("object_name").like(r"%\_history"))
-    bare = asked.join(defaults.select("database_id", "object_name", "column_name").distinct(), ["database_id", "object_name", "column_name"], "left_anti")
+    bare = asked.join(defaults.select(*TABLE, "column_name").distinct(), [*TABLE, "column_name"], "left_anti")
     return _rows(bare, "missing_default", F.col("column_name"), F.lit("none"), F.lit("default"))
 
 
 def missing_foreign_key(columns: DataFrame, keys: DataFrame, names: Sequence[str]) -> DataFrame:
     """The named id columns, in any table, that no foreign key starts from."""
     asked = columns.where(F.col("column_name").isin(*names))
-    bare = asked.join(keys.select("database_id", "object_name", "column_name").distinct(), ["database_id", "object_name", "column_name"], "left_anti")
+    bare = asked.join(keys.select(*TABLE, "column_name").distinct(), [*TABLE, "column_name"], "left_anti")
     return _rows(bare, "missing_foreign_key", F.col("column_name"), F.lit("none"), F.lit("foreign key"))
 
 
@@ -81,9 +100,10 @@ def variant_in_type(columns: DataFrame) -> DataFrame:
 
 
 def missing_reference(refs: DataFrame, objects: DataFrame) -> DataFrame:
-    """``refs`` (database_id, object_name, ref_name): names that aren't among the objects, by name key."""
-    have = objects.select("database_id", name_key("object_name").alias("_k")).distinct()
-    lost = refs.where("ref_name is not null").withColumn("_k", name_key("ref_name")).join(have, ["database_id", "_k"], "left_anti")
+    """``refs`` (TABLE, ref_schema, ref_name): names that aren't among the objects, by name key."""
+    have = objects.select("database_id", name_key("schema_name").alias("_s"), name_key("object_name").alias("_k")).distinct()
+    named = refs.where("ref_name is not null").withColumns({"_s": name_key("ref_schema"), "_k": name_key("ref_name")})
+    lost = named.join(have, ["database_id", "_s", "_k"], "left_anti")
     return _rows(lost, "missing_reference", F.col("ref_name"), F.lit("missing"), F.lit("an existing object"))
 
 
@@ -107,9 +127,9 @@ def class_changed(old: DataFrame, new: DataFrame, dependants: DataFrame, key: st
 
 def required_column(columns: DataFrame, position: int, name: str, kind: str) -> DataFrame:
     """Tables that don't have the named column of that type at that position."""
-    tables = columns.select("database_id", "object_name").distinct()
+    tables = columns.select(*TABLE).distinct()
     good = columns.where((F.col("ordinal") == position) & (F.col("column_name") == name) & (F.col("type_name") == kind))
-    bad = tables.join(good, ["database_id", "object_name"], "left_anti")
+    bad = tables.join(good, list(TABLE), "left_anti")
     return _rows(bad, "required_column", F.lit(name), F.lit("missing"), F.lit(f"{position}:{name}:{kind}"))
 
 

@@ -55,12 +55,16 @@ def run_totals(queue: DataFrame) -> DataFrame:
 
 
 def dataset_checksum(snapshot: DataFrame, scope: Sequence[str], columns: Sequence[str], scopes: DataFrame | None = None) -> DataFrame:
-    """(scope, n_rows, checksum): order-free, and equal rows don't cancel. Scopes without rows have 0 and 0."""
-    sums = snapshot.groupBy(*scope).agg(F.count("*").alias("n_rows"), F.sum(row_checksum(columns).cast("decimal(38,0)")).alias("checksum"))
+    """(scope, n_rows, checksum): order-free, and equal rows don't cancel. Scopes without rows have 0 and 0.
+
+    The checksum is the rows' sum modulo 2 ** 62.
+    """
+    total = F.sum(row_checksum(columns).cast("decimal(38,0)")) % F.lit(1 << 62)
+    sums = snapshot.groupBy(*scope).agg(F.count("*").alias("n_rows"), total.cast("long").alias("checksum"))
     if scopes is None:
         return sums
     out = scopes.select(*scope).distinct().join(sums, list(scope), "left")
-    return out.select(*scope, F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("checksum", F.lit(0).cast("decimal(38,0)")).alias("checksum"))
+    return out.select(*scope, F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("checksum", F.lit(0).cast("long")).alias("checksum"))
 
 
 def checksum_gate(tasks: DataFrame) -> DataFrame:

@@ -28,17 +28,19 @@ FIXTURES = {
     "counter_cur": "SELECT user_id % 8 AS scope_id, event_type AS counter, count(*) AS n, max(ts) AS last_seen FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1, 2",
     "counter_new": "SELECT user_id % 8 AS scope_id, event_type AS counter, count(*) AS n, CASE WHEN event_type = 'view' THEN NULL ELSE max(ts) END AS last_seen FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' AND event_type <> 'signup' GROUP BY 1, 2",
     "counter_scope": "SELECT DISTINCT user_id % 8 AS scope_id FROM events WHERE user_id % 8 <> 3",
+    "sync_scope": "SELECT DISTINCT CAST(0 AS INT) AS instance_id, CAST(o_custkey % 8 AS INT) AS database_id, o_custkey % 8 <> 5 AS is_enabled FROM orders",
+    "sync_new": "SELECT * FROM snap_cur WHERE scope_id % 3 = 0 UNION ALL SELECT * FROM snap_new WHERE scope_id % 3 <> 0",
     "definition_text": "SELECT doc_id AS object_id, source AS database_name, text AS definition FROM documents",
     "spec": "SELECT * FROM (VALUES (1, 'instance', true, 720), (2, 'database', true, 720), (3, 'database', true, 1440), (4, 'database', false, 720), (5, 'instance', true, 1550)) AS v(dataset_id, level, is_enabled, minutes)",
     "status": "SELECT n_regionkey AS instance_id, CASE WHEN d.dataset_id IN (1, 5) THEN NULL ELSE n_nationkey END AS database_id, d.dataset_id AS dataset_id, CAST(max(n_nationkey) * 7 AS BIGINT) AS checksum, TIMESTAMP '2024-01-14 00:00:00' AS last_sync, CASE WHEN min(n_nationkey) % 2 = 0 THEN TIMESTAMP '2024-01-14 12:00:00' ELSE TIMESTAMP '2024-01-13 23:59:59' END AS last_check, CAST(NULL AS TIMESTAMP) AS last_error, CAST(NULL AS STRING) AS error_message FROM nation CROSS JOIN spec AS d WHERE d.dataset_id <> 4 AND (n_nationkey + d.dataset_id) % 4 <> 0 GROUP BY n_regionkey, CASE WHEN d.dataset_id IN (1, 5) THEN NULL ELSE n_nationkey END, d.dataset_id",
     "sync_event": "SELECT event_id, ts, CAST(user_id % 5 AS INT) AS instance_id, CASE WHEN event_id % 5 = 1 THEN NULL ELSE CAST(user_id % 25 AS INT) END AS database_id, CAST(event_id % 5 AS INT) AS dataset_id, CASE WHEN event_type = 'error' THEN NULL ELSE CAST(round(value / 100) AS BIGINT) END AS checksum, CASE WHEN event_type = 'error' THEN props END AS error_message FROM events",
     "scope_error": "SELECT CAST(n_regionkey AS INT) AS instance_id, CAST(n_nationkey AS INT) AS database_id, TIMESTAMP '2024-01-15 00:00:00' AS ts, 'no connection' AS message FROM nation WHERE n_nationkey % 6 = 1",
     "drift_item": "SELECT n.n_nationkey AS database_id, p.p_brand AS item, CASE WHEN p.b % 3 <> 0 AND (n.n_nationkey + p.b) % 9 = 0 THEN 'B' ELSE 'A' END AS definition FROM nation n CROSS JOIN (SELECT DISTINCT p_brand, CAST(substr(p_brand, 7) AS INT) AS b FROM part) p WHERE p.b % 5 = 0 OR (n.n_nationkey * 3 + p.b) % 7 <> 0",
-    "cat_column": "SELECT c_nationkey AS database_id, c_name AS object_name, CASE WHEN o_orderkey % 9 = 0 THEN '_ModifyDate' WHEN o_orderkey % 9 = 1 THEN '_InsertDate' WHEN o_orderkey % 9 = 2 THEN '_ObjectID' ELSE concat('c', CAST(o_orderkey % 9 AS STRING)) END AS column_name, min(CASE WHEN o_orderkey % 4 = 0 THEN 'datetime' WHEN o_orderkey % 4 = 1 THEN 'sql_variant' ELSE 'int' END) AS type_name, min(o_orderkey % 9 + 1) AS ordinal FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY 1, 2, 3",
-    "cat_default": "SELECT database_id, object_name, column_name, CASE WHEN ordinal % 2 = 0 THEN concat('DF_', object_name, '_', column_name) ELSE concat('df_', object_name, '_', column_name) END AS name FROM cat_column WHERE (ordinal + database_id) % 3 <> 0",
-    "cat_fk": "SELECT c_nationkey AS database_id, c_name AS object_name, CASE WHEN o_orderkey % 3 = 0 THEN concat('FK_', c_name, '_', 'k1_k2') ELSE concat('FK_', CAST(o_orderkey AS STRING)) END AS name, concat('k', CAST(l_linenumber AS STRING)) AS column_name, l_linenumber AS ordinal FROM customer JOIN orders ON c_custkey = o_custkey JOIN (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_linenumber <= 2) l ON l_orderkey = o_orderkey WHERE o_orderkey % 5 = 0 AND (o_orderkey % 3 <> 0 OR o_orderkey = (c_custkey * 15))",
-    "cat_index": "SELECT c_nationkey AS database_id, c_name AS object_name, CASE WHEN c_custkey % 2 = 0 THEN concat('CPK_', c_name, '_a_b') ELSE concat('PK_', c_name) END AS name, 'PK' AS kind, c_custkey % 4 < 2 AS is_clustered, v.column_name AS column_name, v.ordinal AS ordinal, v.is_included AS is_included, CAST(c_custkey % 3 AS INT) AS type FROM customer CROSS JOIN (SELECT * FROM (VALUES ('b', 2, false), ('a', 1, false), ('z', 3, true)) AS w(column_name, ordinal, is_included)) v",
-    "cat_ref": "SELECT c_nationkey AS database_id, c_name AS object_name, CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 5 = 1 THEN concat(upper(c_name), '  ') ELSE concat('lost', CAST(c_custkey AS STRING)) END AS ref_name, CASE WHEN c_custkey % 4 = 0 THEN 'x' END AS table_type FROM customer",
+    "cat_column": "SELECT c_nationkey AS database_id, c_mktsegment AS schema_name, c_name AS object_name, CASE WHEN o_orderkey % 9 = 0 THEN '_ModifyDate' WHEN o_orderkey % 9 = 1 THEN '_InsertDate' WHEN o_orderkey % 9 = 2 THEN '_ObjectID' ELSE concat('c', CAST(o_orderkey % 9 AS STRING)) END AS column_name, min(CASE WHEN o_orderkey % 4 = 0 THEN 'datetime' WHEN o_orderkey % 4 = 1 THEN 'sql_variant' ELSE 'int' END) AS type_name, min(o_orderkey % 9 + 1) AS ordinal FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY 1, 2, 3, 4",
+    "cat_default": "SELECT database_id, schema_name, object_name, column_name, CASE WHEN ordinal % 2 = 0 THEN concat('DF_', object_name, '_', column_name) ELSE concat('df_', object_name, '_', column_name) END AS name FROM cat_column WHERE (ordinal + database_id) % 3 <> 0",
+    "cat_fk": "SELECT c_nationkey AS database_id, c_mktsegment AS schema_name, c_name AS object_name, CASE WHEN o_orderkey = first_order THEN concat('FK_', c_name, '_', 'k1_k2') ELSE concat('FK_', CAST(o_orderkey AS STRING)) END AS name, concat('k', CAST(l_linenumber AS STRING)) AS column_name, l_linenumber AS ordinal FROM customer JOIN orders ON c_custkey = o_custkey JOIN (SELECT o_custkey AS first_customer, min(o_orderkey) AS first_order FROM orders GROUP BY o_custkey) f ON first_customer = c_custkey JOIN (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) l ON l_orderkey = o_orderkey",
+    "cat_index": "SELECT c_nationkey AS database_id, c_mktsegment AS schema_name, c_name AS object_name, CASE WHEN c_custkey % 2 = 0 THEN concat('CPK_', c_name, '_a_b') ELSE concat('PK_', c_name) END AS name, 'PK' AS kind, c_custkey % 4 < 2 AS is_clustered, v.column_name AS column_name, v.ordinal AS ordinal, v.is_included AS is_included, CAST(c_custkey % 3 AS INT) AS type FROM customer CROSS JOIN (SELECT * FROM (VALUES ('b', 2, false), ('a', 1, false), ('z', 3, true)) AS w(column_name, ordinal, is_included)) v",
+    "cat_ref": "SELECT c_nationkey AS database_id, c_mktsegment AS schema_name, c_name AS object_name, CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 5 = 1 THEN concat(upper(c_name), '  ') ELSE concat('lost', CAST(c_custkey AS STRING)) END AS ref_name, c_mktsegment AS ref_schema, CASE WHEN c_custkey % 4 = 0 THEN 'x' END AS table_type FROM customer",
 }
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from metafleet.functions import keys as K
 from metafleet.operators import definitions, drift, history, identity, merge, relational, rules, status
-from metafleet.plans import views
+from metafleet.plans import registry, sync, views
 from metafleet.plans.fixtures import Inputs, oracle
 from metafleet.sources import snapshot
 
@@ -141,9 +141,38 @@ def _id_sql(*parts: str) -> str:
     return "('0x' || substr(sha256(concat_ws(chr(31), " + ", ".join(_ENC.format(p) for p in parts) + ")), 1, 15))::BIGINT"
 
 
-@query("merge_with_parents", f"SELECT database_id, object_name, ref_name, {_id_sql('database_id::VARCHAR', 'lower(rtrim(object_name))')} AS object_key, CASE WHEN ref_name IS NOT NULL THEN {_id_sql('database_id::VARCHAR', 'lower(rtrim(ref_name))')} END AS parent_key FROM cat_ref")
+def _object_sql(schema: str, name: str) -> str:
+    return _id_sql("database_id::VARCHAR", f"lower(rtrim({schema}))", f"lower(rtrim({name}))", "'u'")
+
+
+_ROLES = {"object_key": ["database_id", "schema_name", "object_name", "object_type"], "parent_key": ["database_id", "ref_schema", "ref_name", "object_type"]}
+_REFS = f"(SELECT database_id, schema_name, object_name, ref_name, {_object_sql('schema_name', 'object_name')} AS object_key, CASE WHEN ref_name IS NOT NULL THEN {_object_sql('ref_schema', 'ref_name')} END AS parent_key FROM cat_ref)"
+_ITEMS = f"(SELECT DISTINCT {_object_sql('schema_name', 'object_name')} FROM item_object)"
+
+
+def _refs(i: Inputs) -> DataFrame:
+    return i.cat_ref.drop("table_type").withColumn("object_type", F.lit("U"))
+
+
+@query("with_parents", f"SELECT * FROM {_REFS}")
+def _(i):
+    return merge.with_parents(_refs(i), _ROLES).drop("object_type", "ref_schema")
+
+
+@query("merge_with_parents", f"""SELECT coalesce(n.database_id, c.database_id) AS database_id, coalesce(n.object_key, c.object_key) AS object_key, n.parent_key, CASE WHEN c.object_key IS NULL THEN 'insert' WHEN n.object_key IS NULL THEN 'delete' WHEN c.parent_key IS DISTINCT FROM n.parent_key THEN 'update' ELSE 'same' END AS action
+FROM (SELECT database_id, object_key, CASE WHEN database_id % 2 = 0 THEN parent_key END AS parent_key FROM {_REFS} WHERE object_key % 3 <> 0) c FULL JOIN (SELECT * FROM {_REFS} WHERE object_key IN {_ITEMS} AND (parent_key IS NULL OR parent_key IN {_ITEMS})) n ON c.object_key = n.object_key""")
 def _(i):
-    return merge.with_parents(i.cat_ref.drop("table_type"), {"object_key": ["database_id", "object_name"], "parent_key": ["database_id", "ref_name"]})
+    before = merge.with_parents(_refs(i), _ROLES).where("object_key % 3 <> 0").select("database_id", "object_key", F.when(F.col("database_id") % 2 == 0, F.col("parent_key")).alias("parent_key"))
+    current = merge.first_load(before, ["database_id"], ["object_key"], at(T0))
+    m, _lost = merge.merge_with_parents(current, _refs(i), i.cat_ref.select("database_id"), _ROLES, identity.resolve_objects(i.item_object), ["object_key"], at(T1), ["database_id"], on_empty="clear")
+    return m.rows.select("database_id", "object_key", F.col("after.parent_key").alias("parent_key"), F.col("_action").alias("action"))
+
+
+@query("unknown_parents", f"SELECT database_id, object_key, parent_key FROM {_REFS} WHERE object_key NOT IN {_ITEMS} OR (parent_key IS NOT NULL AND parent_key NOT IN {_ITEMS})")
+def _(i):
+    current = merge.first_load(merge.with_parents(_refs(i), _ROLES).select("database_id", "object_key", "parent_key"), ["database_id"], ["object_key"], at(T0))
+    _m, lost = merge.merge_with_parents(current, _refs(i), i.cat_ref.select("database_id"), _ROLES, identity.resolve_objects(i.item_object), ["object_key"], at(T1), ["database_id"])
+    return lost.select("database_id", "object_key", "parent_key")
 
 
 # --- history ----------------------------------------------------------------------------------------
@@ -157,20 +186,20 @@ def _(i):
 
 @query("as_of", "SELECT * FROM snap_cur")
 def _(i):
-    m = _merged(i)
+    m = _merged(i).once()
     before = history.as_of(m.next(), history.history_append(m, at(T1)), at("TIMESTAMP '2024-02-01 12:00:00'"))
     return before.select(*i.snap_cur.columns)
 
 
 @query("as_of_now", f"SELECT scope_id, item_key, status, priority, cents FROM ({_next(_CLEAR)})")
 def _(i):
-    m = _merged(i)
+    m = _merged(i).once()
     return history.as_of(m.next(), history.history_append(m, at(T1)), at(T2)).select(*i.snap_cur.columns)
 
 
 @query("between", f"SELECT scope_id, item_key, modified AS valid_from, NULL::TIMESTAMP AS valid_to FROM ({_next(_CLEAR)}) UNION ALL SELECT c.scope_id, c.item_key, {T0}, {T1} FROM {_CLEAR} WHERE {_ACTION} IN ('update', 'delete')")
 def _(i):
-    m = _merged(i)
+    m = _merged(i).once()
     rows = history.between(m.next(), history.history_append(m, at(T1)), at(T0), at(T2))
     return rows.select("scope_id", "item_key", F.col("_ValidFrom").alias("valid_from"), F.col("_ValidTo").alias("valid_to"))
 
@@ -182,7 +211,7 @@ def _(i):
 
 @query("replay_changes", f"SELECT scope_id, item_key, status, cents FROM ({_next(_CLEAR)})")
 def _(i):
-    m = _merged(i)
+    m = _merged(i).once()
     log = m.changes().withColumn("run", F.lit(1))
     start = merge.first_load(i.snap_cur, ["scope_id"], ["item_key"], at(T0))
     first = start.select("scope_id", "item_key", F.lit("insert").alias("_action"), F.lit(None).cast(log.schema["before"].dataType).alias("before"), F.struct(*start.columns).alias("after"), F.lit(0).alias("run"))
@@ -285,10 +314,18 @@ def _(i):
     return status.run_totals(status.stale_queue(_matrix(i), at(_NOW)))
 
 
-@query("dataset_checksum")
+_ROW_SUM = """('0x' || substr(sha256('{"cents":' || cents || ',"item_key":' || item_key || ',"priority":"' || priority || '","scope_id":' || scope_id || ',"status":"' || status || '"}'), 1, 15))::BIGINT"""
+_SUMS = "(SELECT scope_id, count(*) AS n_rows, (sum(" + _ROW_SUM + ")::HUGEINT % 4611686018427387904)::BIGINT AS checksum FROM @ GROUP BY scope_id)"
+_COLUMNS = ["scope_id", "item_key", "status", "priority", "cents"]
+
+
+def _sums(table: str) -> str:
+    return _SUMS.replace("@", table)
+
+
+@query("dataset_checksum", f"SELECT k.scope_id, coalesce(n_rows, 0) AS n_rows, coalesce(checksum, 0) AS checksum FROM (SELECT scope_id FROM snap_cur UNION SELECT scope_id FROM collected) k LEFT JOIN {_sums('snap_cur')} s USING (scope_id)")
 def _(i):
-    """Rows only: DuckDB lacks the 64-bit hash. ``dataset_checksum_sha`` is the same over SHA-256."""
-    return status.dataset_checksum(i.snap_cur, ["scope_id"], ["item_key", "status", "priority", "cents"], i.snap_cur.select("scope_id").unionByName(i.collected))
+    return status.dataset_checksum(i.snap_cur, ["scope_id"], _COLUMNS, i.snap_cur.select("scope_id").unionByName(i.collected))
 
 
 @query("dataset_checksum_sha", "SELECT scope_id, count(*) AS n_rows, sum(('0x' || substr(sha256(concat_ws('|', item_key, status, priority, cents)), 1, 12))::BIGINT)::BIGINT AS checksum FROM snap_cur GROUP BY scope_id")
@@ -297,11 +334,15 @@ def _(i):
     return i.snap_cur.groupBy("scope_id").agg(F.count("*").alias("n_rows"), F.sum(part).alias("checksum"))
 
 
-@query("checksum_gate", """SELECT scope_id FROM (SELECT scope_id, count(*) AS n, sum(cents) AS s FROM snap_cur GROUP BY 1) c FULL JOIN (SELECT scope_id, count(*) AS n, sum(cents) AS s FROM snap_new GROUP BY 1) n USING (scope_id) WHERE (scope_id % 2 = 1 OR c.s IS NULL OR n.s <> c.s)""")
+_HALF_NEW = "(SELECT * FROM snap_cur WHERE scope_id < 4 UNION ALL SELECT * FROM snap_new WHERE scope_id >= 4)"
+
+
+@query("checksum_gate", f"SELECT scope_id, n.checksum AS checksum FROM {_sums('snap_cur')} c FULL JOIN {_sums(_HALF_NEW)} n USING (scope_id) WHERE (scope_id % 2 = 1 OR c.checksum IS NULL OR n.checksum <> c.checksum)")
 def _(i):
-    sums = lambda df, name: df.groupBy("scope_id").agg(F.sum("cents").alias(name))
-    tasks = sums(i.snap_cur, "old_checksum").join(sums(i.snap_new, "new_checksum"), "scope_id", "full_outer").withColumn("has_checksum", F.col("scope_id") % 2 == 0)
-    return status.checksum_gate(tasks).select("scope_id")
+    half = i.snap_cur.where("scope_id < 4").unionByName(i.snap_new.where("scope_id >= 4"))
+    sums = lambda df, name: status.dataset_checksum(df, ["scope_id"], _COLUMNS).select("scope_id", F.col("checksum").alias(name))
+    tasks = sums(i.snap_cur, "old_checksum").join(sums(half, "new_checksum"), "scope_id", "full_outer").withColumn("has_checksum", F.col("scope_id") % 2 == 0)
+    return status.checksum_gate(tasks).select("scope_id", F.col("new_checksum").alias("checksum"))
 
 
 _LAST = """e AS (SELECT * FROM sync_event),
@@ -411,6 +452,57 @@ def _(i):
     return drift.orphans(i.item_index.select("index_id", "object_id"), relational.active_only(i.item_object, deleted="is_deleted"), ["object_id"])
 
 
+# --- a whole run --------------------------------------------------------------------------------------
+
+_SYNC = [registry.DatasetSpec("orders", "database", 720, "complex", True, True, ("item_key",)), registry.DatasetSpec("settings", "database", 720, "complex", False, False, ("name",)), registry.DatasetSpec("counters", "database", 720, "simple", False, False)]
+# Tasks whose database and dataset sum up to a multiple of four were checked a moment ago.
+_CHECKED = "CASE WHEN (database_id + dataset_id) % 4 = 0 THEN TIMESTAMP '2024-01-15 00:00:00' ELSE TIMESTAMP '2024-01-14 00:00:00' END"
+_PLAIN_SUM = """('0x' || substr(sha256('{"cents":' || cents || ',"item_key":' || item_key || ',"priority":"' || priority || '","status":"' || status || '"}'), 1, 15))::BIGINT"""
+_PLAIN_SUMS = "(SELECT k.database_id, coalesce((sum(" + _PLAIN_SUM + ")::HUGEINT % 4611686018427387904)::BIGINT, 0) AS checksum FROM (SELECT DISTINCT database_id FROM sync_scope) k LEFT JOIN @ s ON s.scope_id = k.database_id GROUP BY k.database_id)"
+_DUE = f"(SELECT database_id, dataset_id, a.checksum AS was, b.checksum AS now FROM (SELECT * FROM sync_scope WHERE is_enabled AND database_id <> 7) CROSS JOIN (SELECT unnest([1, 2, 3]) AS dataset_id) JOIN {_PLAIN_SUMS.replace('@', 'snap_cur')} a USING (database_id) JOIN {_PLAIN_SUMS.replace('@', 'sync_new')} b USING (database_id) WHERE (database_id + dataset_id) % 4 <> 0)"
+_GOING = f"(SELECT database_id, dataset_id FROM {_DUE} WHERE dataset_id <> 1 OR was <> now)"
+
+
+def _sync(i: Inputs) -> sync.SyncRun:
+    named = lambda df: df.withColumn("scope_id", F.col("scope_id").cast("int")).withColumnRenamed("scope_id", "database_id").withColumn("instance_id", F.lit(0))
+    scope = sync.SCOPE["database"]
+    scopes = i.sync_scope.where("database_id <> 7")
+    sources = {
+        "orders": sync.Source(merge.first_load(named(i.snap_cur), scope, ["item_key"], at(T0)), named(i.sync_new), scopes),
+        "settings": sync.Source(merge.first_load(named(i.setting_cur), scope, ["name"], at(T0)), named(i.setting_new), scopes),
+        "counters": sync.Source(named(i.counter_cur), named(i.counter_new), scopes),
+    }
+    sums = status.dataset_checksum(named(i.snap_cur), scope, ["item_key", "status", "priority", "cents"], i.sync_scope)
+    specs = registry.spec_frame(i.spark, _SYNC)
+    tasks = i.sync_scope.join(sums.select("database_id", "checksum"), "database_id").join(specs.select("dataset_id"), F.col("dataset_id") > 0)
+    known = tasks.select("instance_id", "database_id", "dataset_id", F.when(F.col("dataset_id") == 1, F.col("checksum")).alias("checksum"), at("TIMESTAMP '2024-01-14 00:00:00'").alias("last_sync"), at(_CHECKED).alias("last_check"), F.lit(None).cast("timestamp_ntz").alias("last_error"), F.lit(None).cast("string").alias("error_message"))
+    instances = i.sync_scope.select("instance_id").distinct().withColumn("is_enabled", F.lit(True))
+    matrix = status.task_matrix(specs, instances, i.sync_scope, known)
+    return sync.sync_run(_SYNC, matrix, known, sources, at(_NOW))
+
+
+@query("sync_run_status", f"""SELECT k.database_id AS database_id, k.dataset_id AS dataset_id, CASE WHEN k.dataset_id = 1 THEN coalesce(d.now, a.checksum) END AS checksum, CASE WHEN g.database_id IS NOT NULL THEN {_NOW} ELSE TIMESTAMP '2024-01-14 00:00:00' END AS last_sync, CASE WHEN d.database_id IS NOT NULL THEN {_NOW} ELSE {_CHECKED.replace('database_id', 'k.database_id').replace('dataset_id', 'k.dataset_id')} END AS last_check
+FROM (SELECT database_id, unnest([1, 2, 3]) AS dataset_id FROM sync_scope) k JOIN {_PLAIN_SUMS.replace('@', 'snap_cur')} a ON a.database_id = k.database_id LEFT JOIN {_DUE} d ON d.database_id = k.database_id AND d.dataset_id = k.dataset_id LEFT JOIN {_GOING} g ON g.database_id = k.database_id AND g.dataset_id = k.dataset_id""")
+def _(i):
+    return _sync(i).status.select("database_id", "dataset_id", "checksum", "last_sync", "last_check")
+
+
+def _next_sql(name: str, k: int, current: str, new: str, key: str) -> str:
+    rows = f"(SELECT scope_id, {key} FROM {current} WHERE scope_id NOT IN (SELECT database_id FROM {_GOING} WHERE dataset_id = {k}) UNION ALL SELECT scope_id, {key} FROM {new} WHERE scope_id IN (SELECT database_id FROM {_GOING} WHERE dataset_id = {k}))"
+    return f"SELECT '{name}' AS dataset, scope_id::INT AS database_id, count(*) AS n_rows FROM {rows} GROUP BY scope_id"
+
+
+@query("sync_run_tables", " UNION ALL ".join([_next_sql("orders", 1, "snap_cur", "sync_new", "item_key"), _next_sql("settings", 2, "setting_cur", "setting_new", "name"), _next_sql("counters", 3, "counter_cur", "counter_new", "counter")]))
+def _(i):
+    tables = [df.groupBy("database_id").agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("dataset"), "database_id", "n_rows") for name, df in _sync(i).tables.items()]
+    return tables[0].unionByName(tables[1]).unionByName(tables[2])
+
+
+@query("sync_run_history", f"SELECT c.scope_id::INT AS database_id, c.item_key AS item_key, c.status AS status, {T0} AS valid_from, {_NOW} AS valid_to FROM snap_cur c LEFT JOIN sync_new n ON c.scope_id = n.scope_id AND c.item_key = n.item_key WHERE c.scope_id IN (SELECT database_id FROM {_GOING} WHERE dataset_id = 1) AND (n.item_key IS NULL OR (c.status, c.priority, c.cents) IS DISTINCT FROM (n.status, n.priority, n.cents))")
+def _(i):
+    return _sync(i).closed["orders"].select("database_id", "item_key", "status", F.col("_ValidFrom").alias("valid_from"), F.col("_ValidTo").alias("valid_to"))
+
+
 # --- views ------------------------------------------------------------------------------------------
 
 _VD = "(SELECT d.database_id, d.instance_id, d.database_name, i.instance_name FROM scope_database d JOIN scope_instance i ON d.instance_id = i.instance_id WHERE d.is_enabled AND i.is_enabled)"
@@ -466,7 +558,7 @@ def _(i):
 
 
 def _rule_sql(rule: str, item: str, current: str, proper: str, rest: str) -> str:
-    return f"SELECT '{rule}' AS rule, database_id, object_name, ({item})::VARCHAR AS item, ({current})::VARCHAR AS current, ({proper})::VARCHAR AS proper FROM {rest}"
+    return f"SELECT '{rule}' AS rule, database_id, schema_name, object_name, ({item})::VARCHAR AS item, ({current})::VARCHAR AS current, ({proper})::VARCHAR AS proper FROM {rest}"
 
 
 @query("rule_default_name", _rule_sql("default_name", "name", "name", "'DF_' || object_name || '_' || column_name", "cat_default WHERE name <> 'DF_' || object_name || '_' || column_name"))
@@ -474,27 +566,31 @@ def _(i):
     return rules.default_name(i.cat_default)
 
 
-@query("rule_rename_script", "SELECT name, 'EXEC sp_rename ''' || name || ''', ''' || 'DF_' || object_name || '_' || column_name || ''';' AS script FROM cat_default WHERE name <> 'DF_' || object_name || '_' || column_name")
+def _plain_part(c: str) -> str:
+    return f"CASE WHEN regexp_matches({c}, '^[A-Za-z_@#][A-Za-z0-9_@#$]*$') THEN {c} ELSE '[' || replace({c}, ']', ']]') || ']' END"
+
+
+@query("rule_rename_script", f"SELECT name, 'EXEC sp_rename N''' || {_plain_part('schema_name')} || '.' || {_plain_part('name')} || ''', N''DF_' || object_name || '_' || column_name || ''', N''OBJECT'';' AS script FROM cat_default WHERE name <> 'DF_' || object_name || '_' || column_name")
 def _(i):
-    return rules.default_name(i.cat_default).select(F.col("current").alias("name"), rules.rename_script(F.col("current"), F.col("proper")).alias("script"))
+    return rules.default_name(i.cat_default).select(F.col("current").alias("name"), rules.rename_script(F.col("schema_name"), F.col("current"), F.col("proper")).alias("script"))
 
 
-@query("rule_fk_name", _rule_sql("foreign_key_name", "name", "name", "'FK_' || object_name || '_' || cols", "(SELECT database_id, object_name, name, string_agg(column_name, '_' ORDER BY ordinal) AS cols FROM cat_fk GROUP BY ALL) WHERE name <> 'FK_' || object_name || '_' || cols"))
+@query("rule_fk_name", _rule_sql("foreign_key_name", "name", "name", "'FK_' || object_name || '_' || cols", "(SELECT database_id, schema_name, object_name, name, string_agg(column_name, '_' ORDER BY ordinal) AS cols FROM cat_fk GROUP BY ALL) WHERE name <> 'FK_' || object_name || '_' || cols"))
 def _(i):
     return rules.foreign_key_name(i.cat_fk)
 
 
-@query("rule_index_name", _rule_sql("index_name", "name", "name", "CASE WHEN is_clustered THEN 'C' ELSE '' END || kind || '_' || object_name || '_' || cols", "(SELECT database_id, object_name, name, kind, is_clustered, string_agg(column_name, '_' ORDER BY ordinal) AS cols FROM cat_index WHERE NOT is_included GROUP BY ALL) WHERE name <> CASE WHEN is_clustered THEN 'C' ELSE '' END || kind || '_' || object_name || '_' || cols"))
+@query("rule_index_name", _rule_sql("index_name", "name", "name", "CASE WHEN is_clustered THEN 'C' ELSE '' END || kind || '_' || object_name || '_' || cols", "(SELECT database_id, schema_name, object_name, name, kind, is_clustered, string_agg(column_name, '_' ORDER BY ordinal) AS cols FROM cat_index WHERE NOT is_included GROUP BY ALL) WHERE name <> CASE WHEN is_clustered THEN 'C' ELSE '' END || kind || '_' || object_name || '_' || cols"))
 def _(i):
     return rules.index_name(i.cat_index)
 
 
-@query("rule_heap", _rule_sql("heap", "object_name", "'heap'", "'clustered index'", "(SELECT DISTINCT database_id, object_name, type FROM cat_index) WHERE type = 0"))
+@query("rule_heap", _rule_sql("heap", "object_name", "'heap'", "'clustered index'", "(SELECT DISTINCT database_id, schema_name, object_name, type FROM cat_index) WHERE type = 0"))
 def _(i):
-    return rules.heap(i.cat_index.select("database_id", "object_name", "type").distinct())
+    return rules.heap(i.cat_index.select(*rules.TABLE, "type").distinct())
 
 
-_BARE = "cat_column c WHERE column_name IN ({n}) AND NOT EXISTS (SELECT 1 FROM {t} d WHERE d.database_id = c.database_id AND d.object_name = c.object_name AND d.column_name = c.column_name)"
+_BARE = "cat_column c WHERE column_name IN ({n}) AND NOT EXISTS (SELECT 1 FROM {t} d WHERE d.database_id = c.database_id AND d.schema_name = c.schema_name AND d.object_name = c.object_name AND d.column_name = c.column_name)"
 
 
 @query("rule_missing_default", _rule_sql("missing_default", "column_name", "'none'", "'default'", _BARE.format(n="'_ModifyDate', '_InsertDate'", t="cat_default")))
@@ -522,7 +618,7 @@ def _(i):
     return rules.name_convention(i.item_object, "name_convention", "object_name", F.upper("object_name"))
 
 
-@query("rule_missing_reference", _rule_sql("missing_reference", "ref_name", "'missing'", "'an existing object'", "cat_ref r WHERE ref_name IS NOT NULL AND NOT EXISTS (SELECT 1 FROM item_object o WHERE o.database_id = r.database_id AND lower(rtrim(o.object_name)) = lower(rtrim(r.ref_name)))"))
+@query("rule_missing_reference", _rule_sql("missing_reference", "ref_name", "'missing'", "'an existing object'", "cat_ref r WHERE ref_name IS NOT NULL AND NOT EXISTS (SELECT 1 FROM item_object o WHERE o.database_id = r.database_id AND lower(rtrim(o.schema_name)) = lower(rtrim(r.ref_schema)) AND lower(rtrim(o.object_name)) = lower(rtrim(r.ref_name)))"))
 def _(i):
     return rules.missing_reference(i.cat_ref, i.item_object)
 
@@ -542,7 +638,7 @@ def _(i):
     return rules.class_changed(i.snap_cur, i.snap_new, i.lineitem.select(F.col("l_orderkey").alias("item_key")), "item_key", "status")
 
 
-@query("rule_required_column", _rule_sql("required_column", "'_ModifyDate'", "'missing'", "'1:_ModifyDate:int'", "(SELECT DISTINCT database_id, object_name FROM cat_column) t WHERE NOT EXISTS (SELECT 1 FROM cat_column c WHERE c.database_id = t.database_id AND c.object_name = t.object_name AND ordinal = 1 AND column_name = '_ModifyDate' AND type_name = 'int')"))
+@query("rule_required_column", _rule_sql("required_column", "'_ModifyDate'", "'missing'", "'1:_ModifyDate:int'", "(SELECT DISTINCT database_id, schema_name, object_name FROM cat_column) t WHERE NOT EXISTS (SELECT 1 FROM cat_column c WHERE c.database_id = t.database_id AND c.schema_name = t.schema_name AND c.object_name = t.object_name AND ordinal = 1 AND column_name = '_ModifyDate' AND type_name = 'int')"))
 def _(i):
     return rules.required_column(i.cat_column, 1, "_ModifyDate", "int")
 
@@ -618,9 +714,9 @@ def _(i):
     return relational.union_distinct(i.snap_cur.select("scope_id", "status"), i.snap_new.select("scope_id", "status"))
 
 
-@query("union_all", "SELECT rule, count(*) AS n FROM (SELECT 'heap' AS rule FROM (SELECT DISTINCT database_id, object_name, type FROM cat_index) WHERE type = 0 UNION ALL SELECT 'variant_in_type' FROM cat_column WHERE type_name = 'sql_variant') GROUP BY 1")
+@query("union_all", "SELECT rule, count(*) AS n FROM (SELECT 'heap' AS rule FROM (SELECT DISTINCT database_id, schema_name, object_name, type FROM cat_index) WHERE type = 0 UNION ALL SELECT 'variant_in_type' FROM cat_column WHERE type_name = 'sql_variant') GROUP BY 1")
 def _(i):
-    both = rules.heap(i.cat_index.select("database_id", "object_name", "type").distinct()).unionByName(rules.variant_in_type(i.cat_column))
+    both = rules.heap(i.cat_index.select(*rules.TABLE, "type").distinct()).unionByName(rules.variant_in_type(i.cat_column))
     return both.groupBy("rule").agg(F.count("*").alias("n"))
 
 

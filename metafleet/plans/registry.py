@@ -10,7 +10,11 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class DatasetSpec:
-    """``mode``: simple (whole scopes are replaced) or complex (merged by key). ``minutes``: stale age."""
+    """``mode``: simple (whole scopes are replaced) or complex (merged by key). ``minutes``: stale age.
+
+    ``volatile`` columns neither count as changes nor for the checksum; those of ``keep_last`` keep their
+    value where a snapshot has none. ``plans.sync`` runs datasets by these specs.
+    """
 
     name: str
     level: str
@@ -21,6 +25,7 @@ class DatasetSpec:
     keys: tuple[str, ...] = ()
     is_enabled: bool = True
     volatile: tuple[str, ...] = field(default=())
+    keep_last: tuple[str, ...] = field(default=())
 
     def __post_init__(self):
         if self.level not in ("instance", "database") or self.mode not in ("simple", "complex"):

@@ -1,73 +1,56 @@
-"""Versioned tables: only the buckets that changed are rewritten, and readers see whole versions.
+"""Current-state tables as Parquet, partitioned by a hash of the scope, so that a merge rewrites few partitions.
 
-A table is a folder of versions; ``_current`` lists which version each bucket is in and is replaced last.
-A crash before that leaves the old version. One writer per table.
+Spark's dynamic partition overwrite replaces the touched partitions and leaves the others alone. A crash
+between two partitions leaves each of them old or new as a whole; the merges that write here stamp rows
+with the snapshot's time, so running them again finishes the work. One writer per table.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from metafleet.sources.scratch import written
+
+PART = "_part"
 
-class VersionedTable:
-    """``path`` is in any file system that Spark reads; ``scope`` are the columns that buckets are made of."""
 
-    def __init__(self, spark: SparkSession, path: str, scope: list[str], buckets: int = 64):
-        self.spark, self.path, self.scope, self.buckets = spark, path.rstrip("/"), scope, buckets
+class ScopedTable:
+    """``path`` is in any file system that Spark reads; ``scope`` are the columns that partitions are made of."""
+
+    def __init__(self, spark: SparkSession, path: str, scope: list[str], parts: int = 64):
+        self.spark, self.path, self.scope, self.parts = spark, path.rstrip("/"), scope, parts
         jvm = spark.sparkContext._jvm
         self._path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
         self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self._io = jvm.org.apache.commons.io.IOUtils
-
-    def bucket(self):
-        return F.pmod(F.xxhash64(*self.scope), F.lit(self.buckets)).cast("int")
-
-    def manifest(self) -> dict:
-        """{"last": version, "schema": ..., "buckets": {bucket: version}}; empty for a new table."""
-        at = self._path(f"{self.path}/_current")
-        if not self._fs.exists(at):
-            return {}
-        stream = self._fs.open(at)
-        try:
-            return json.loads(self._io.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def read(self) -> DataFrame:
-        """The current version. Buckets without rows have no folder."""
-        from pyspark.sql.types import StructType
-
-        now = self.manifest()
-        if not now:
-            raise ValueError(f"no version of {self.path} yet")
-        schema = StructType.fromJson(now["schema"])
-        paths = [p for b, v in now["buckets"].items() if self._fs.exists(self._path(p := f"{self.path}/v={v}/_bucket={b}"))]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
-
-    def write(self, df: DataFrame, version: str, touched: DataFrame | None = None) -> list[int]:
-        """Writes a version; ``touched`` (the scope columns) says which scopes changed, default all.
 
-        ``df`` must hold every row of the buckets those scopes are in. Versions are never written twice:
-        a version that is already current is left alone, so a replayed run changes nothing.
-        """
-        now = self.manifest()
-        if now.get("last") == version:
-            return []
-        if touched is None or not now:
-            buckets = list(range(self.buckets))
-        else:
-            buckets = sorted(r[0] for r in touched.select(self.bucket()).distinct().collect())
-        rows = df.withColumn("_bucket", self.bucket()).where(F.col("_bucket").isin(buckets))
-        rows.repartition("_bucket").sortWithinPartitions(*self.scope).write.mode("overwrite").partitionBy("_bucket").option("compression", "zstd").parquet(f"{self.path}/v={version}")
-        found = now.get("buckets", {}) | {str(b): version for b in buckets}
-        text = json.dumps({"last": version, "schema": df.schema.jsonValue(), "buckets": found})
-        staged, current = self._path(f"{self.path}/_current.{version}"), self._path(f"{self.path}/_current")
-        stream = self._fs.create(staged, True)
-        stream.write(bytearray(text.encode()))
-        stream.close()
-        self._fs.delete(current, False)
-        self._fs.rename(staged, current)
-        return buckets
+    def part(self):
+        return F.pmod(F.xxhash64(*self.scope), F.lit(self.parts)).cast("int")
+
+    def exists(self) -> bool:
+        return self._fs.exists(self._path(f"{self.path}/_schema/_SUCCESS"))
+
+    def touched(self, scopes: DataFrame) -> list[int]:
+        """The partitions that scopes are in: as many numbers as there are partitions, at most."""
+        return sorted(r[0] for r in scopes.select(self.part()).distinct().collect())
+
+    def read(self, parts: list[int] | None = None) -> DataFrame:
+        """The table, or some partitions of it: only their folders are read."""
+        schema = self.spark.read.parquet(f"{self.path}/_schema").schema
+        rows = self.spark.read.schema(schema).parquet(self.path)
+        return (rows if parts is None else rows.where(F.col(PART).isin(parts))).drop(PART)
+
+    def overwrite(self, df: DataFrame, parts: list[int] | None = None) -> None:
+        """Replaces the partitions ``parts`` (default: all) by ``df``, which holds all of their rows."""
+        # The rows may come from the partitions that they replace, so they are written aside first.
+        rows = written(df.withColumn(PART, self.part()), "table")
+        rows = rows if parts is None else rows.where(F.col(PART).isin(parts))
+        # Rebalancing splits large partitions and joins small ones into files of one size.
+        out = rows.hint("rebalance", PART).write.mode("overwrite").partitionBy(PART).option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+        out.parquet(self.path)
+        full = {r[0] for r in rows.select(PART).distinct().collect()}
+        for p in set(range(self.parts) if parts is None else parts) - full:
+            self._fs.delete(self._path(f"{self.path}/{PART}={p}"), True)
+        if not self.exists():
+            # Readers pass over it; a table without rows keeps its columns by it.
+            rows.limit(0).write.mode("overwrite").parquet(f"{self.path}/_schema")

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from metafleet.operators.history import history_append
 from metafleet.operators.merge import first_load, merge_snapshot
-from metafleet.sources.store import VersionedTable
+from metafleet.sources.scratch import written
+from metafleet.sources.store import ScopedTable
 
 
 def latest_snapshots(batch: DataFrame, scope: Sequence[str], at: str) -> DataFrame:
@@ -19,42 +21,48 @@ def latest_snapshots(batch: DataFrame, scope: Sequence[str], at: str) -> DataFra
     return batch.join(last, [*scope, at], "left_semi")
 
 
-def merge_into(table: VersionedTable, keys: Sequence[str], at: str, changes_path: str | None = None) -> Callable[[DataFrame, int], None]:
+def merge_into(table: ScopedTable, keys: Sequence[str], at: str, changes_path: str | None = None, history_path: str | None = None) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: merges a batch of snapshots (scope, keys, ..., ``at``) into the table.
 
-    Replaying a batch id changes nothing. Snapshots that aren't newer than the scope's last merged one
-    are dropped, so that history never runs backwards. With ``changes_path`` each batch's changes are
-    written there, in a folder of its id.
+    Only the partitions of the batch's scopes are read, joined and written. A row whose first key is null says
+    that its scope was collected, perhaps without rows. Snapshots that aren't newer than the scope's last
+    merged one are dropped, so that history never runs backwards and replaying a batch changes nothing;
+    a scope without rows forgets its time. Changes and closed versions of each batch go to folders of its id.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        version = f"batch-{batch_id:012d}"
-        now = table.manifest()
-        if now.get("last", "") >= version:
-            return
         scope = table.scope
-        fresh = latest_snapshots(batch, scope, at)
-        if not now:
-            table.write(first_load(fresh.drop(at), scope, keys, F.current_timestamp()).withColumn("_MergedAt", F.lit(None).cast(batch.schema[at].dataType)).join(fresh.select(*scope, at).distinct(), scope).withColumn("_MergedAt", F.col(at)).drop(at), version)
-            return
-        current = table.read()
-        merged = current.groupBy(*scope).agg(F.max("_MergedAt").alias("_Seen"))
-        fresh = fresh.join(merged, scope, "left").where(F.col("_Seen").isNull() | (F.col(at) > F.col("_Seen"))).drop("_Seen")
+        fresh = written(latest_snapshots(batch, scope, at), "batch")
         times = fresh.select(*scope, F.col(at).alias("_At")).distinct()
-        result = merge_snapshot(current.drop("_MergedAt"), fresh.drop(at), times, keys, F.current_timestamp(), scope)
+        parts = table.touched(times)
+        if not parts:
+            return
+        rows = fresh.where(F.col(keys[0]).isNotNull())
+        if not table.exists():
+            start = first_load(rows.drop(at), scope, keys, F.current_timestamp())
+            table.overwrite(start.join(times, scope).withColumnRenamed("_At", "_MergedAt"))
+            return
+        current = table.read(parts)
+        seen = current.groupBy(*scope).agg(F.max("_MergedAt").alias("_Seen"))
+        times = written(times.join(seen, scope, "left").where(F.col("_Seen").isNull() | (F.col("_At") > F.col("_Seen"))).select(*scope, "_At"), "times")
+        rows = rows.join(times, scope, "left_semi")
+        now = F.lit(batch.sparkSession.sql("SELECT current_timestamp()").first()[0])
+        merge = merge_snapshot(current.drop("_MergedAt"), rows.drop(at), times, keys, now, scope, on_empty="clear").once()
+        folder = f"batch-{batch_id:012d}"
         if changes_path:
-            result.changes().write.mode("overwrite").parquet(f"{changes_path}/{version}")
-        seen = current.select(*scope, "_MergedAt").groupBy(*scope).agg(F.max("_MergedAt").alias("_MergedAt"))
-        stamped = result.next().join(times, scope, "left").join(seen, scope, "left").withColumn("_MergedAt", F.coalesce("_At", "_MergedAt")).drop("_At")
-        table.write(stamped.select(*current.columns), version, times.select(*scope))
+            merge.changes().write.mode("overwrite").parquet(f"{changes_path}/{folder}")
+        if history_path:
+            history_append(merge, now).write.mode("overwrite").parquet(f"{history_path}/{folder}")
+        stamped = merge.next().join(times, scope, "left").join(seen, scope, "left").withColumn("_MergedAt", F.coalesce("_At", "_Seen"))
+        table.overwrite(stamped.select(*current.columns), parts)
 
     return run
 
 
-def stream_snapshots(spark: SparkSession, path: str, schema: T.StructType, table: VersionedTable, keys: Sequence[str], at: str, checkpoint: str, changes_path: str | None = None) -> StreamingQuery:
+def stream_snapshots(spark: SparkSession, path: str, schema: T.StructType, table: ScopedTable, keys: Sequence[str], at: str, checkpoint: str, changes_path: str | None = None, history_path: str | None = None) -> StreamingQuery:
     """Merges the snapshot files that have landed under ``path`` and ends; start it again for later ones."""
     source = spark.readStream.schema(schema).parquet(path)
-    return source.writeStream.foreachBatch(merge_into(table, keys, at, changes_path)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return source.writeStream.foreachBatch(merge_into(table, keys, at, changes_path, history_path)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def stream_changes(spark: SparkSession, changes_path: str, schema: T.StructType) -> DataFrame:
@@ -62,11 +70,10 @@ def stream_changes(spark: SparkSession, changes_path: str, schema: T.StructType)
     return spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(changes_path)
 
 
-def stream_status(events: DataFrame, keys: Sequence[str], ts: str, late: str = "1 day") -> DataFrame:
-    """The last event of each key and day from a stream of status events; events later than ``late`` are ignored.
+def stream_status(events: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """The last event of each key from a stream of status events; an event older than the last one is ignored.
 
-    The state of a closed day is dropped with the watermark, so state is bounded by keys, not by events.
+    Write it in update or complete mode. State is one row per key, so it grows with the fleet, not with events.
     """
-    day = F.window(ts, "1 day")
     fields = F.struct(*(F.col(c) for c in events.columns if c not in keys))
-    return events.withWatermark(ts, late).groupBy(day, *keys).agg(F.max_by(fields, F.col(ts)).alias("last")).select(*keys, F.col("window.start").alias("day"), "last.*")
+    return events.groupBy(*keys).agg(F.max_by(fields, F.col(ts)).alias("last")).select(*keys, "last.*")

@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metafleet.functions import keys as K
-from metafleet.operators import definitions, drift, identity, relational, rules, status
+from metafleet.operators import history, definitions, drift, identity, relational, rules, status
 from metafleet.plans.registry import DATASETS, DatasetSpec, spec_frame
 from metafleet.sources import snapshot
-from metafleet.sources.store import VersionedTable
+from metafleet.sources.store import ScopedTable
 
 D1, D2, D3 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
 
@@ -131,16 +131,46 @@ def test_null_safe_sets(spark):
 
 
 def test_store(spark, tmp_path):
-    table = VersionedTable(spark, f"file://{tmp_path}/t", ["scope_id"], buckets=4)
+    table = ScopedTable(spark, f"file://{tmp_path}/t", ["scope_id"], parts=4)
     rows = lambda df: sorted(tuple(r) for r in df.collect())
-    with pytest.raises(ValueError):
-        table.read()
+    assert not table.exists()
     first = spark.createDataFrame([(s, s * 10) for s in range(8)], "scope_id int, v int")
-    table.write(first, "v1")
-    assert rows(table.read()) == [(s, s * 10) for s in range(8)]
-    # Scope 3 becomes empty; only its bucket is rewritten.
-    left = first.where("scope_id <> 3")
-    assert len(table.write(left, "v2", spark.createDataFrame([(3,)], "scope_id int"))) == 1
-    assert rows(table.read()) == [(s, s * 10) for s in range(8) if s != 3]
-    assert set(table.manifest()["buckets"].values()) == {"v1", "v2"}
-    assert table.write(first, "v2") == [] and rows(table.read()) == [(s, s * 10) for s in range(8) if s != 3]
+    table.overwrite(first)
+    assert table.exists() and rows(table.read()) == [(s, s * 10) for s in range(8)]
+    # Scope 3 becomes empty; only its partition is rewritten, from rows read of it.
+    files = lambda: {str(f): f.stat().st_mtime_ns for f in (tmp_path / "t").glob("_part=*/*.parquet")}
+    parts, before = table.touched(spark.createDataFrame([(3,)], "scope_id int")), files()
+    table.overwrite(table.read(parts).where("scope_id <> 3"), parts)
+    assert len(parts) == 1 and rows(table.read()) == [(s, s * 10) for s in range(8) if s != 3]
+    assert all(before.get(f) == t for f, t in files().items() if f"_part={parts[0]}/" not in f)
+    table.overwrite(first.limit(0))
+    assert table.exists() and table.read().count() == 0 and table.read().columns == ["scope_id", "v"]
+
+
+def test_two_schemas(spark):
+    """Tables of one name in two schemas of a database are two tables to every rule."""
+    names = lambda df: sorted((r.schema_name, r.object_name, r.item) for r in df.collect())
+    fk = spark.createDataFrame([(1, s, "t", "FK_t_a", c, k) for s, c, k in (("x", "a", 1), ("y", "a", 1), ("y", "b", 2))], "database_id int, schema_name string, object_name string, name string, column_name string, ordinal int")
+    assert names(rules.foreign_key_name(fk)) == [("y", "t", "FK_t_a")]
+    index = fk.selectExpr("*", "'PK' AS kind", "false AS is_clustered", "false AS is_included").withColumn("name", F.lit("PK_t_a"))
+    assert names(rules.index_name(index)) == [("y", "t", "PK_t_a")]
+    columns = spark.createDataFrame([(1, "x", "t", "_ModifyDate", "int", 1), (1, "y", "t", "_ModifyDate", "int", 2)], "database_id int, schema_name string, object_name string, column_name string, type_name string, ordinal int")
+    have = columns.where("schema_name = 'x'")
+    assert names(rules.missing_default(columns, have)) == [("y", "t", "_ModifyDate")]
+    assert names(rules.missing_foreign_key(columns, have, ["_ModifyDate"])) == [("y", "t", "_ModifyDate")]
+    assert names(rules.required_column(columns, 1, "_ModifyDate", "int")) == [("y", "t", "_ModifyDate")]
+    refs = columns.selectExpr("database_id", "schema_name", "object_name", "schema_name AS ref_schema", "'T ' AS ref_name")
+    assert names(rules.missing_reference(refs, have)) == [("y", "t", "T ")]
+
+
+def test_rename_scripts(spark):
+    row = spark.createDataFrame([("dbo", "it's a.name]", "DF_it's", "tab le")], "s string, c string, p string, t string")
+    found = row.select(rules.rename_script(F.col("s"), F.col("c"), F.col("p")).alias("a"), rules.rename_script(F.col("s"), F.col("p"), F.col("c"), F.col("t")).alias("b")).first()
+    assert found.a == "EXEC sp_rename N'dbo.[it''s a.name]]]', N'DF_it''s', N'OBJECT';"
+    assert found.b == "EXEC sp_rename N'dbo.[tab le].[DF_it''s]', N'it''s a.name]', N'INDEX';"
+
+
+def test_expire_to_the_second(spark):
+    closed = spark.createDataFrame([(1, datetime(2024, 1, 15, 9, 59, 59)), (2, datetime(2024, 1, 15, 10, 0, 0))], "k int, _ValidTo timestamp_ntz")
+    for df in (closed, closed.withColumn("_month", history.month("_ValidTo"))):
+        assert [r.k for r in history.expire_history(df, datetime(2024, 7, 15, 10)).collect()] == [2]

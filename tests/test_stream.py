@@ -1,7 +1,7 @@
 from datetime import datetime
 
-from metafleet.sources.store import VersionedTable
-from metafleet.streaming.stream import stream_changes, stream_snapshots, stream_status
+from metafleet.sources.store import ScopedTable
+from metafleet.streaming.stream import merge_into, stream_changes, stream_snapshots, stream_status
 
 D1, D2, D3 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
 SCHEMA = "scope_id int, k int, v string, at timestamp"
@@ -9,7 +9,7 @@ SCHEMA = "scope_id int, k int, v string, at timestamp"
 
 def test_snapshots_merge_and_late_ones_are_dropped(spark, tmp_path):
     landed, changes = f"file://{tmp_path}/landed", f"file://{tmp_path}/changes"
-    table = VersionedTable(spark, f"file://{tmp_path}/table", ["scope_id"], buckets=4)
+    table = ScopedTable(spark, f"file://{tmp_path}/table", ["scope_id"], parts=4)
 
     def land(rows):
         df = spark.createDataFrame(rows, SCHEMA)
@@ -27,11 +27,32 @@ def test_snapshots_merge_and_late_ones_are_dropped(spark, tmp_path):
     assert spark.table("logged").count() == 3
 
 
+def test_empty_snapshots_history_and_touched_parts(spark, tmp_path):
+    """A scope that came empty loses its rows; other partitions keep their files; closed versions are kept."""
+    table = ScopedTable(spark, f"file://{tmp_path}/table", ["scope_id"], parts=8)
+    run = merge_into(table, ["k"], "at", history_path=f"file://{tmp_path}/history")
+    run(spark.createDataFrame([(s, 1, "a", D1) for s in range(20)], SCHEMA), 0)
+    files = lambda: {f: f.stat().st_mtime_ns for f in (tmp_path / "table").glob("_part=*/*.parquet")}
+    before = files()
+    run(spark.createDataFrame([(3, None, None, D2), (4, 1, "b", D2)], SCHEMA), 1)
+    assert sorted((r.scope_id, r.v) for r in table.read().collect()) == sorted([(s, "a") for s in range(20) if s not in (3, 4)] + [(4, "b")])
+    kept = [f for f in before if f in files()]
+    assert 0 < len(before) - len(kept) <= 2 * len(before) / 8 + 2
+    closed = spark.read.option("recursiveFileLookup", "true").parquet(f"file://{tmp_path}/history")
+    assert sorted((r.scope_id, r.v) for r in closed.collect()) == [(3, "a"), (4, "a")] and closed.where("_month is null").isEmpty()
+    alone = ScopedTable(spark, f"file://{tmp_path}/alone", ["scope_id"], parts=4)
+    one = merge_into(alone, ["k"], "at")
+    one(spark.createDataFrame([(1, 1, "a", D1)], SCHEMA), 0)
+    one(spark.createDataFrame([(1, None, None, D2)], SCHEMA), 1)
+    assert alone.exists() and not list((tmp_path / "alone").glob("_part=*"))
+
+
 def test_status_stream(spark, tmp_path):
     rows = [(1, datetime(2024, 1, 1, h), h) for h in (1, 5, 3)] + [(2, datetime(2024, 1, 9), 9)]
     df = spark.createDataFrame(rows, "task int, ts timestamp, checksum int")
     df.coalesce(1).write.parquet(f"file://{tmp_path}/events")
     events = spark.readStream.schema(df.schema).parquet(f"file://{tmp_path}/events")
-    query = stream_status(events, ["task"], "ts").writeStream.outputMode("append").format("memory").queryName("last_status").trigger(availableNow=True).start()
+    query = stream_status(events, ["task"], "ts").writeStream.outputMode("complete").format("memory").queryName("last_status").trigger(availableNow=True).start()
     query.awaitTermination()
-    assert [(r.task, r.checksum) for r in spark.table("last_status").collect()] == [(1, 5)]
+    # The event of 3 o'clock came after that of 5 o'clock and is ignored.
+    assert sorted((r.task, r.checksum) for r in spark.table("last_status").collect()) == [(1, 5), (2, 9)]
