@@ -11,6 +11,7 @@ import heapq
 import json
 import os
 import re
+import struct
 import sys
 import types
 import unicodedata
@@ -31,10 +32,12 @@ from metafleet.llm.shared import new_path
 #: Words of the lexicon at most, the most frequent ones; all others are merged when met.
 LEXICON_WORDS = 1 << 18
 #: Words that a task keeps with their ids before it starts afresh.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 #: Distinct words that a task counts before it hands the counts on.
 COUNT_WORDS = 250_000
 
+_NONE = 1 << 62
+
 
 def byte_symbols() -> list[str]:
     """The character that stands for each byte: itself if printable, else the next from 256 on."""
@@ -55,56 +58,70 @@ class Bpe:
         symbols = byte_symbols()
         self.inner = [vocab[s] for s in symbols]
         self.last = [vocab[s + end] for s in symbols]
+        # A pair's two ids as one number; its rank and what it becomes as another, so that the least comes first.
         self.merges = {}
         for rank, pair in enumerate(model["merges"]):
-            a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            left, right = pair if isinstance(pair, list) else pair.split(" ")
+            self.merges[vocab[left] << 32 | vocab[right]] = rank << 32 | vocab[left + right]
+        #: The pattern takes a run of letters as one word.
+        self.letters = r"[\p{L}]+" in split
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.token = {i: s for s, i in vocab.items()} | {i: s for s, i in self.special.items()}
+        self.raw = {i: i.to_bytes(4, "little") for i in self.token}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
     def merged(self, ids: list[int]) -> list[int]:
         """Merges the pair of lowest rank, leftmost first, until none is left."""
         merges = self.merges
-        if len(ids) <= 24:
-            while len(ids) > 1:
-                best, at = None, 0
-                for k in range(len(ids) - 1):
-                    found = merges.get((ids[k], ids[k + 1]))
-                    if found and (best is None or found < best):
-                        best, at = found, k
-                if best is None:
+        if len(ids) <= 40:
+            ranks = [merges.get(a << 32 | b, _NONE) for a, b in zip(ids, ids[1:])]
+            while ranks:
+                best = min(ranks)
+                if best == _NONE:
                     break
-                ids[at : at + 2] = [best[1]]
+                k = ranks.index(best)
+                ids[k : k + 2] = [best & 0xFFFFFFFF]
+                del ranks[k]
+                if k:
+                    ranks[k - 1] = merges.get(ids[k - 1] << 32 | ids[k], _NONE)
+                if k < len(ranks):
+                    ranks[k] = merges.get(ids[k] << 32 | ids[k + 1], _NONE)
             return ids
         n = len(ids)
         right, left = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*found, k, ids[k], ids[k + 1]) for k in range(n - 1) if (found := merges.get((ids[k], ids[k + 1])))]
+        heap = [(found, k, ids[k], ids[k + 1]) for k in range(n - 1) if (found := merges.get(ids[k] << 32 | ids[k + 1])) is not None]
         heapq.heapify(heap)
         alive = [True] * n
         while heap:
-            _, new, k, a, b = heapq.heappop(heap)
+            best, k, a, b = heapq.heappop(heap)
             j = right[k]
             if not alive[k] or ids[k] != a or j >= n or ids[j] != b:
                 continue
-            ids[k], alive[j] = new, False
+            ids[k], alive[j] = best & 0xFFFFFFFF, False
             right[k] = right[j]
             if right[j] < n:
                 left[right[j]] = k
             for p in (left[k], k):
                 q = right[p] if p >= 0 else n
-                if p >= 0 and q < n and (found := merges.get((ids[p], ids[q]))):
-                    heapq.heappush(heap, (*found, p, ids[p], ids[q]))
+                if p >= 0 and q < n and (found := merges.get(ids[p] << 32 | ids[q])) is not None:
+                    heapq.heappush(heap, (found, p, ids[p], ids[q]))
         return [x for k, x in enumerate(ids) if alive[k]]
 
     def encoded(self, piece: str) -> list[int]:
         """Ids of a normalised piece without white space."""
         out: list[int] = []
-        for word in self.words.findall(piece):
+        inner = self.inner
+        for word in (piece,) if self.letters and piece.isascii() and piece.isalpha() else self.words.findall(piece):
             raw = word.encode()
-            out += self.merged([*(self.inner[b] for b in raw[:-1]), self.last[raw[-1]]])
+            ids = [inner[b] for b in raw]
+            ids[-1] = self.last[raw[-1]]
+            out += self.merged(ids)
         return out
 
+    def packed(self, ids: list[int]) -> bytes:
+        """Ids as little-endian uint32."""
+        return b"".join([self.raw[i] for i in ids])
+
     def parts(self, text: str) -> Iterator[int | list[str]]:
         """Ids of special tokens that the text holds, and the normalised pieces between them."""
         for k, part in enumerate(self.cut.split(text) if self.cut and "<" in text else (text,)):
@@ -129,31 +146,21 @@ def shared_bpe(source: str) -> Bpe:
     return held["bpe"]
 
 
-class _Decoded(dict):
-    """The tokens of a piece's ids, joined by blanks."""
-
-    def __init__(self, bpe: Bpe):
-        self.token = bpe.token
-
-    def __missing__(self, ids: bytes) -> str:
-        found = " ".join([self.token[i] for i in np.frombuffer(ids, "<u4").tolist()])
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        if len(ids) < 400:
-            self[ids] = found
-        return found
-
-
-class _Ids(dict):
-    """Ids of pieces as little-endian uint32, from the lexicon or else by merging."""
+class _Pieces(dict):
+    """By piece: its ids as little-endian uint32, from the lexicon or else by merging, and their tokens joined by blanks."""
 
     def __init__(self, bpe: Bpe, lexicon: Lexicon | None):
         self.bpe, self.lexicon = bpe, lexicon
 
-    def __missing__(self, piece: str) -> bytes:
-        found = self.lexicon.get(piece.encode()) if self.lexicon else None
-        if found is None:
-            found = np.array(self.bpe.encoded(piece), "<u4").tobytes()
+    def __missing__(self, piece: str) -> tuple[bytes, str]:
+        bpe = self.bpe
+        packed = self.lexicon.get(piece.encode()) if self.lexicon else None
+        if packed is None:
+            ids = bpe.encoded(piece)
+            packed = bpe.packed(ids)
+        else:
+            ids = struct.unpack(f"<{len(packed) // 4}I", packed)
+        found = packed, " ".join([bpe.token[i] for i in ids])
         if len(self) >= CACHE_WORDS:
             self.clear()
         if len(piece) < 200:
@@ -198,7 +205,7 @@ def build_lexicon(docs: DataFrame, source: str, text_col: str = "text", words: i
     def encode(batches):
         bpe = shared_bpe(shared.value)
         for b in batches:
-            ids = [np.array(bpe.encoded(w), "<u4").tobytes() for w in b.column(0).to_pylist()]
+            ids = [bpe.packed(bpe.encoded(w)) for w in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["word", "ids"])
 
     counts = word_counts(docs, source, text_col).where((F.col("n") >= 2) & F.length("word").between(1, 100))
@@ -224,20 +231,20 @@ def encode(docs: DataFrame, source: str, lexicon: str | None = None, id_col: str
 
     def run(batches):
         bpe = shared_bpe(shared.value)
-        ids, words = _Ids(bpe, Lexicon.mapped(SparkFiles.get(lexicon)) if lexicon else None), _Decoded(bpe)
+        pieces_ = _Pieces(bpe, Lexicon.mapped(SparkFiles.get(lexicon)) if lexicon else None)
         for b in _small(batches, 4 << 20):
             out, back = [], []
             for text in b.column(1).to_pylist():
-                found: list[bytes] = []
+                found: list[tuple[bytes, str]] = []
                 for p in bpe.parts(text or ""):
                     if isinstance(p, int):
-                        found.append(p.to_bytes(4, "little"))
+                        found.append((bpe.raw[p], bpe.token[p]))
                     else:
-                        found += map(ids.__getitem__, p)
-                out.append(b"".join(found))
+                        found += map(pieces_.__getitem__, p)
+                out.append(b"".join([x for x, _ in found]))
                 if decoded:
-                    # Pieces may be empty: a text of white space at an end, or a piece that no token covers.
-                    back.append(" ".join(map(words.__getitem__, filter(None, found))))
+                    # A piece without ids, such as an empty one at a text's end, has no tokens.
+                    back.append(" ".join([t for x, t in found if x]))
             columns = {"doc_id": b.column(0), "ids": pa.array(out, pa.binary())} | ({"decoded": pa.array(back, pa.string())} if decoded else {})
             yield pa.RecordBatch.from_pydict(columns)
 
