@@ -41,9 +41,11 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     if not names:
         return docs.select(*COLUMNS)
     rows = _rows(docs)
-    found = language.identify(_keyed(rows), names, table).select(F.col("doc_id").alias("_row"), "lang_pred")
-    named = rows.join(found.where("lang_pred <> 'und'"), "_row")
-    return named.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
+    found = written(language.identify(_keyed(rows), names, table).select(F.col("doc_id").alias("_row"), "lang_pred"), "verdicts")
+    # Few rows are rejected or without a language: the texts need not move for them.
+    lacking = found.join(rows.where("lang is null").select("_row"), "_row")
+    kept = rows.join(found.where("lang_pred = 'und'").select("_row"), "_row", "left_anti").join(lacking, "_row", "left")
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
