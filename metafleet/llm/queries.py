@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metafleet.llm import bpe, decontamination, language, linededup, matroska, minhash, oracles, secrets, shuffling, toxicity, training_order
+from metafleet.llm import bpe, decontamination, language, linededup, manifest, matroska, minhash, oracles, secrets, shuffling, toxicity, training_order
 from metafleet.llm.shared import new_path, written
 
 
@@ -69,6 +69,10 @@ def op10_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle_time_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_ownership": op1_secret_ownership,
     "op2_training_order": op2_training_order,
@@ -80,6 +84,7 @@ QUERIES = {
     "op8_toxicity_kneser_ney": op8_toxicity_kneser_ney,
     "op9_language_mixture": op9_language_mixture,
     "op10_two_pass_shuffle": op10_two_pass_shuffle,
+    "op12_merkle_time_forward": op12_merkle_time_forward,
 }
 
 ORACLES: dict[str, str] = {"op1_secret_ownership": secrets.SCAN_SQL, "op5_minhash_near_duplicates": oracles.NEAR_DUPLICATES_SQL, "op6_fuzzy_line_dedup": oracles.LINES_SQL}
