@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metafleet.llm import bpe, decontamination, language, linededup, manifest, matroska, minhash, oracles, secrets, shuffling, toxicity, training_order
+from metafleet.llm import alignment, bpe, decontamination, language, linededup, manifest, matroska, minhash, oracles, secrets, shuffling, toxicity, training_order
 from metafleet.llm.shared import new_path, written
 
 
@@ -69,6 +69,11 @@ def op10_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitespace_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    return alignment.align(_table(spark, sf_dir, "documents"), tokenizer_source("byte_bpe_50k.json"), model)
+
+
 def op12_merkle_time_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(_table(spark, sf_dir, "documents"))
 
@@ -84,6 +89,7 @@ QUERIES = {
     "op8_toxicity_kneser_ney": op8_toxicity_kneser_ney,
     "op9_language_mixture": op9_language_mixture,
     "op10_two_pass_shuffle": op10_two_pass_shuffle,
+    "op11_whitespace_anchors": op11_whitespace_anchors,
     "op12_merkle_time_forward": op12_merkle_time_forward,
 }
 
