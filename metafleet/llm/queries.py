@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metafleet.llm import alignment, bpe, decontamination, language, linededup, manifest, matroska, minhash, oracles, secrets, shuffling, toxicity, training_order
+from metafleet.llm import alignment, bpe, decontamination, interpolation, language, linededup, manifest, matroska, minhash, oracles, secrets, shuffling, toxicity, training_order
 from metafleet.llm.shared import new_path, written
 
 
@@ -78,6 +78,10 @@ def op12_merkle_time_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(_table(spark, sf_dir, "documents"))
 
 
+def op13_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.score(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_ownership": op1_secret_ownership,
     "op2_training_order": op2_training_order,
@@ -91,6 +95,7 @@ QUERIES = {
     "op10_two_pass_shuffle": op10_two_pass_shuffle,
     "op11_whitespace_anchors": op11_whitespace_anchors,
     "op12_merkle_time_forward": op12_merkle_time_forward,
+    "op13_deleted_interpolation": op13_deleted_interpolation,
 }
 
 ORACLES: dict[str, str] = {"op1_secret_ownership": secrets.SCAN_SQL, "op5_minhash_near_duplicates": oracles.NEAR_DUPLICATES_SQL, "op6_fuzzy_line_dedup": oracles.LINES_SQL}
