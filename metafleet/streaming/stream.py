@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from metafleet.operators.history import history_append
 from metafleet.operators.merge import first_load, merge_snapshot
@@ -21,13 +21,14 @@ def latest_snapshots(batch: DataFrame, scope: Sequence[str], at: str) -> DataFra
     return batch.join(last, [*scope, at], "left_semi")
 
 
-def merge_into(table: ScopedTable, keys: Sequence[str], at: str, changes_path: str | None = None, history_path: str | None = None) -> Callable[[DataFrame, int], None]:
+def merge_into(table: ScopedTable, keys: Sequence[str], at: str, changes_path: str | None = None, history_path: str | None = None, log_first: bool = False) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: merges a batch of snapshots (scope, keys, ..., ``at``) into the table.
 
     Only the partitions of the batch's scopes are read, joined and written. A row whose first key is null says
     that its scope was collected, perhaps without rows. Snapshots that aren't newer than the scope's last
     merged one are dropped, so that history never runs backwards and replaying a batch changes nothing;
-    a scope without rows forgets its time. Changes and closed versions of each batch go to folders of its id.
+    a scope without rows forgets its time. Changes and closed versions of each batch go to folders of its id;
+    with ``log_first`` the first load is logged as well, as inserts.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -39,7 +40,11 @@ def merge_into(table: ScopedTable, keys: Sequence[str], at: str, changes_path: s
             return
         rows = fresh.where(F.col(keys[0]).isNotNull())
         if not table.exists():
-            start = first_load(rows.drop(at), scope, keys, F.current_timestamp())
+            start = written(first_load(rows.drop(at), scope, keys, F.current_timestamp()), "first")
+            if changes_path and log_first:
+                whole = F.struct(*start.columns)
+                logged = start.select(*scope, *keys, F.lit("insert").alias("_action"), F.when(F.lit(False), whole).alias("before"), whole.alias("after"), F.lit(batch_id).alias("_batch"))
+                logged.write.mode("overwrite").parquet(f"{changes_path}/batch-{batch_id:012d}")
             table.overwrite(start.join(times, scope).withColumnRenamed("_At", "_MergedAt"))
             return
         current = table.read(parts)
@@ -50,7 +55,7 @@ def merge_into(table: ScopedTable, keys: Sequence[str], at: str, changes_path: s
         merge = merge_snapshot(current.drop("_MergedAt"), rows.drop(at), times, keys, now, scope, on_empty="clear").once()
         folder = f"batch-{batch_id:012d}"
         if changes_path:
-            merge.changes().write.mode("overwrite").parquet(f"{changes_path}/{folder}")
+            merge.changes().withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{changes_path}/{folder}")
         if history_path:
             history_append(merge, now).write.mode("overwrite").parquet(f"{history_path}/{folder}")
         stamped = merge.next().join(times, scope, "left").join(seen, scope, "left").withColumn("_MergedAt", F.coalesce("_At", "_Seen"))
@@ -59,21 +64,142 @@ def merge_into(table: ScopedTable, keys: Sequence[str], at: str, changes_path: s
     return run
 
 
-def stream_snapshots(spark: SparkSession, path: str, schema: T.StructType, table: ScopedTable, keys: Sequence[str], at: str, checkpoint: str, changes_path: str | None = None, history_path: str | None = None) -> StreamingQuery:
+def stream_snapshots(spark: SparkSession, path: str, schema: T.StructType, table: ScopedTable, keys: Sequence[str], at: str, checkpoint: str, changes_path: str | None = None, history_path: str | None = None, log_first: bool = False) -> StreamingQuery:
     """Merges the snapshot files that have landed under ``path`` and ends; start it again for later ones."""
     source = spark.readStream.schema(schema).parquet(path)
-    return source.writeStream.foreachBatch(merge_into(table, keys, at, changes_path, history_path)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return source.writeStream.foreachBatch(merge_into(table, keys, at, changes_path, history_path, log_first)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def stream_changes(spark: SparkSession, changes_path: str, schema: T.StructType) -> DataFrame:
-    """The changes of all merges as a stream: rows are only ever added."""
+    """The changes of all merges as a stream: rows are only ever added. ``_batch`` orders them."""
     return spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(changes_path)
 
 
-def stream_status(events: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    """The last event of each key from a stream of status events; an event older than the last one is ignored.
+def apply_changes(table: ScopedTable, keys: Sequence[str], consumer: str) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function of a consumer that keeps a copy of the merged table from its changes.
 
-    Write it in update or complete mode. State is one row per key, so it grows with the fleet, not with events.
+    Of several changes of a row in one batch the last by ``_batch`` counts. A batch that has been applied leaves a
+    marker of its consumer and number, so a batch that is delivered again is passed over. A crash before the
+    marker delivers it again too: changes carry whole rows, so applying them once more gives the same table.
     """
-    fields = F.struct(*(F.col(c) for c in events.columns if c not in keys))
-    return events.groupBy(*keys).agg(F.max_by(fields, F.col(ts)).alias("last")).select(*keys, "last.*")
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        if table.marked(consumer) >= batch_id:
+            return
+        on = [*table.scope, *keys]
+        last = batch.groupBy(*on).agg(F.max_by(F.struct("_action", "after"), F.col("_batch")).alias("_last"))
+        last = written(last, "changes")
+        parts = table.touched(last.select(*table.scope))
+        if parts:
+            rows = last.where("_last._action <> 'delete'").select("_last.after.*")
+            if table.exists():
+                rows = table.read(parts).join(last.select(*on), on, "left_anti").unionByName(rows)
+            table.overwrite(rows, parts if table.exists() else None)
+        table.mark(consumer, batch_id)
+
+    return run
+
+
+def by_batch(path: str) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function that writes each batch to a folder of its number: a batch run again replaces its own rows."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch-{batch_id:012d}")
+
+    return run
+
+
+class TaskStatus(StatefulProcessor):
+    """A task's status, folded from its events as ``operators.status.status_apply`` does, one by one.
+
+    An event that is older than the watermark or not newer than the task's last one goes to the side as ``late``.
+    A timer at the last event's time and ``idle_ms`` ends the task: its state is dropped and its last
+    status goes out as ``idle``.
+    """
+
+    STATE = T.StructType([T.StructField(n, T.StringType() if n == "message" else T.LongType()) for n in ("ts", "event_id", "checksum", "synced", "failed", "message")])
+
+    def __init__(self, keys: Sequence[str], idle_ms: int):
+        self.keys, self.idle_ms = list(keys), idle_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("status", self.STATE)
+
+    def _row(self, key, kind: str, ts, event_id, checksum, synced, checked, failed, message) -> Row:
+        named = dict(zip(self.keys, key))
+        return Row(**named, kind=kind, ts=ts, event_id=event_id, checksum=checksum, last_sync=synced, last_check=checked, last_error=failed, error_message=message)
+
+    def handleInputRows(self, key, rows, timerValues):
+        oldest = timerValues.getCurrentWatermarkInMs() * 1000
+        state = tuple(self.state.get()) if self.state.exists() else None
+        began = state
+        for r in sorted(rows, key=lambda r: (r.ts, r.event_id)):
+            if r.ts < oldest or (state and (r.ts, r.event_id) <= state[:2]):
+                yield self._row(key, "late", r.ts, r.event_id, r.checksum, None, r.ts, None, r.error_message)
+                continue
+            _, _, checksum, synced, failed, message = state or (None,) * 6
+            if r.error_message is not None:
+                failed, message = r.ts, r.error_message
+            else:
+                synced = r.ts if r.checksum is None or checksum is None or r.checksum != checksum else synced
+                checksum = r.checksum
+            state = (r.ts, r.event_id, checksum, synced, failed, message)
+        if state != began:
+            self.state.update(state)
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(state[0] // 1000 + self.idle_ms)
+            yield self._status(key, "status", state)
+
+    def _status(self, key, kind: str, state) -> Row:
+        ts, event_id, checksum, synced, failed, message = state
+        return self._row(key, kind, ts, event_id, checksum, synced, ts, failed, message)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.state.exists():
+            yield self._status(key, "idle", tuple(self.state.get()))
+            self.state.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def stream_status(events: DataFrame, keys: Sequence[str], ts: str, delay: str, idle_ms: int) -> DataFrame:
+    """The stream of task statuses from a stream of events (keys, ``ts``, event_id, checksum, error_message).
+
+    Rows: keys, kind, ts, event_id, checksum, last_sync, last_check, last_error, error_message; ``kind`` is ``status``
+    (the task's status after a batch), ``late`` (an event that changed nothing) or ``idle`` (a task that had no event
+    for ``idle_ms`` before the watermark, with its last status). The state holds the tasks that aren't idle, so it doesn't grow with
+    events or with tasks long gone. Start it by ``start_status``.
+    """
+    watermark = int(events.sparkSession.sql(f"SELECT CAST(INTERVAL {delay} AS INTERVAL SECOND) AS d").first()[0].total_seconds() * 1000)
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    # Spark itself would drop late rows by the column that has the watermark. The column that goes on has the mark
+    # and no time, so that late rows arrive as well.
+    unmarked = F.lit(None).cast("timestamp").alias("_event_time", metadata={"spark.watermarkDelayMs": watermark})
+    fields = ("event_id", "checksum", "error_message")
+    marked = events.withWatermark(ts, delay).select(*keys, micros.alias("ts"), *(F.col(c) for c in fields), unmarked)
+    kinds = ", ".join(f"`{k}` {t}" for k, t in marked.select(*keys).dtypes)
+    times = ("ts", "last_sync", "last_check", "last_error")
+    schema = f"{kinds}, kind string, ts long, event_id long, checksum long, last_sync long, last_check long, last_error long, error_message string"
+    out = marked.groupBy(*keys).transformWithState(TaskStatus(keys, idle_ms), schema, "Append", "EventTime")
+    return out.withColumns({c: F.timestamp_micros(c) for c in times})
+
+
+def start_status(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Runs ``stream_status`` over what has come and ends; its rows go to ``path`` by batch. The state's timers need RocksDB."""
+    conf, name = rows.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(name)
+    conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        return rows.writeStream.foreachBatch(by_batch(path)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        conf.set(name, before)
+
+
+def status_table(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The last status of each task that isn't idle, from what ``start_status`` wrote."""
+    own = [c for c in rows.columns if c not in keys]
+    last = rows.where("kind <> 'late'").groupBy(*keys).agg(F.max_by(F.struct(*own), F.struct("ts", "event_id", F.col("kind") == "idle")).alias("last"))
+    return last.where("last.kind = 'status'").select(*keys, "last.*")
