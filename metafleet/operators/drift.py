@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-#: Scopes of a fleet at most, where their list travels with the plan.
-SCOPES = 100_000
+from metafleet.sources.scratch import written
+
+#: Bits of a bitmap, as ``bitmap_construct_agg`` makes them.
+BITS = 32_768
+#: Scopes that are sent to every task, at most; more are joined by a shuffle.
+SENT = 1 << 18
 
 
 def presence_counts(items: DataFrame, scopes: DataFrame, item: Sequence[str], scope: str) -> DataFrame:
@@ -19,19 +22,38 @@ def presence_counts(items: DataFrame, scopes: DataFrame, item: Sequence[str], sc
     return found.select(*item, "present", (F.lit(n) - F.col("present")).alias("missing"))
 
 
+def _numbered(scopes: DataFrame, scope: str) -> tuple[DataFrame, int]:
+    """(scope, _bucket, _bit) of every scope, and the number of buckets: a bitmap has 32,768 bits, and a bucket half as many scopes, about."""
+    each = scopes.select(scope).where(F.col(scope).isNotNull()).distinct()
+    buckets = max(1, -(-each.count() // (BITS // 2)))
+    rows = each.withColumn("_bucket", F.pmod(F.xxhash64(scope), F.lit(buckets)).cast("int"))
+    bit = F.row_number().over(Window.partitionBy("_bucket").orderBy(scope)) - 1
+    return written(rows.withColumn("_bit", bit.cast("long")), "scopes"), buckets
+
+
 def presence_drift(items: DataFrame, scopes: DataFrame, item: Sequence[str], scope: str) -> DataFrame:
     """(item, scope): every scope that lacks an item which some other has.
 
-    Each item's scopes become a set, and only what that set lacks of the fleet's list leaves rows. The list
-    travels with the plan; a fleet has hundreds of databases, and more than ``SCOPES`` are an error.
+    The scopes are numbered, and an item's scopes become bitmaps, one for each bucket of the fleet. A bitmap that has all of its
+    bucket's scopes leaves no row; of the others the bits that are not set name the scopes that lack the item. Null scopes don't count.
     """
-    fleet = [r[0] for r in scopes.select(scope).distinct().limit(SCOPES + 1).collect()]
-    if len(fleet) > SCOPES:
-        raise ValueError(f"more than {SCOPES} scopes")
-    kind = items.schema[scope].dataType
-    everyone = F.array(*(F.lit(x) for x in fleet)).cast(T.ArrayType(kind))
-    have = items.where(F.array_contains(everyone, F.col(scope))).groupBy(*item).agg(F.collect_set(scope).alias("_have"))
-    return have.select(*item, F.explode(F.array_except(everyone, "_have")).alias(scope))
+    numbers, buckets = _numbered(scopes, scope)
+    small = numbers.count() <= SENT
+    sent = F.broadcast if small else lambda df: df
+    bits = items.join(sent(numbers), scope).groupBy(*item, "_bucket").agg(F.bitmap_construct_agg("_bit").alias("_have"))
+    fleet = numbers.groupBy("_bucket").agg(F.collect_list(F.struct("_bit", scope)).alias("_all"))
+    if buckets > 1:
+        # Buckets of which an item is in no scope have no bitmap yet.
+        bits = written(bits, "bitmaps")
+        every = bits.select(*item).distinct().withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+        same = F.lit(True)
+        for c in (*item, "_bucket"):
+            same = same & F.col(f"e.{c}").eqNullSafe(F.col(f"b.{c}"))
+        bits = every.alias("e").join(bits.alias("b"), same, "left").select("e.*", "b._have")
+    lacking = bits.join(sent(fleet), "_bucket").where(F.coalesce(F.bitmap_count("_have"), F.lit(0)) < F.size("_all"))
+    byte = lambda bit: F.conv(F.hex(F.substring("_have", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    unset = lambda s: F.col("_have").isNull() | (byte(s["_bit"]).bitwiseAND(F.pow(F.lit(2), s["_bit"] % 8).cast("int")) == 0)
+    return lacking.select(*item, F.explode(F.filter("_all", unset)).alias("_gone")).select(*item, F.col(f"_gone.{scope}").alias(scope))
 
 
 def majority(rows: DataFrame, item: Sequence[str], value: str) -> DataFrame:

@@ -54,3 +54,33 @@ def replay(changes: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The current table from its change log (with ``order``, the run's time): the last change of each key wins."""
     last = changes.groupBy(*keys).agg(F.max_by(F.struct("_action", "after"), F.col(order)).alias("last"))
     return last.where("last._action <> 'delete'").select("last.after.*")
+
+
+def _months(from_, to) -> Column:
+    """The numbers of the months that an interval touches; its end is not part of it."""
+    number = lambda t: F.year(t) * 12 + F.month(t)
+    return F.sequence(number(from_), F.greatest(number(from_), number(to - F.expr("INTERVAL '0.000001' SECOND"))))
+
+
+def temporal_join(left: DataFrame, right: DataFrame, keys: list[str], horizon) -> DataFrame:
+    """Two tables of versions (keys, ..., ``_ValidFrom``, ``_ValidTo``) joined where both were valid at once.
+
+    ``_ValidFrom`` and ``_ValidTo`` of a row are those of the common time; versions still valid last to ``horizon`` and have a null
+    end where both do. Other columns of the right side that the left has too are called ``right_...``. Intervals are cut to months, so
+    that versions meet by key and month in an equi-join, however long a key's history is; a pair comes out in the
+    first month that both touch, and once. Versions of no duration meet nothing.
+    """
+    end = F.lit(horizon).cast(left.schema["_ValidTo"].dataType)
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        rest = [c for c in df.columns if c not in (*keys, "_ValidFrom", "_ValidTo")]
+        rows = df.withColumns({f"_from_{name}": F.col("_ValidFrom"), f"_to_{name}": F.coalesce("_ValidTo", end), f"_open_{name}": F.col("_ValidTo").isNull()})
+        rows = rows.where(F.col(f"_from_{name}") < F.col(f"_to_{name}")).withColumn("_cut", F.explode(_months(F.col(f"_from_{name}"), F.col(f"_to_{name}"))))
+        taken = set(left.columns) if name == "r" else set()
+        return rows.select(*keys, "_cut", *(F.col(f"_{c}_{name}") for c in ("from", "to", "open")), *(F.col(c).alias(f"right_{c}" if c in taken else c) for c in rest))
+
+    both = side(left, "l").join(side(right, "r"), [*keys, "_cut"])
+    start, stop = F.greatest("_from_l", "_from_r"), F.least("_to_l", "_to_r")
+    first = F.col("_cut") == F.year(start) * 12 + F.month(start)
+    found = both.where((start < stop) & first).withColumns({"_ValidFrom": start, "_ValidTo": F.when(~(F.col("_open_l") & F.col("_open_r")), stop)})
+    return found.drop("_cut", *(f"_{c}_{s}" for c in ("from", "to", "open") for s in "lr"))
