@@ -454,12 +454,19 @@ def _(i):
 
 # --- a whole run --------------------------------------------------------------------------------------
 
-_SYNC = [registry.DatasetSpec("orders", "database", 720, "complex", True, True, ("item_key",)), registry.DatasetSpec("settings", "database", 720, "complex", False, False, ("name",)), registry.DatasetSpec("counters", "database", 720, "simple", False, False)]
+_SYNC = [
+    registry.DatasetSpec("orders", "database", 720, "complex", True, True, ("item_key",)), registry.DatasetSpec("settings", "database", 720, "complex", False, False, ("name",)),
+    registry.DatasetSpec("counters", "database", 720, "simple", False, False), registry.DatasetSpec("waits", "database", 720, "complex", False, False, ("counter",), zero=("n",)),
+]
+_IDS = "[1, 2, 3, 4]"
+# Scope 4 came without any order; scope 7 can't be reached; the counters of scope 2 could not be read.
+_CAME = "(SELECT * FROM sync_new WHERE scope_id <> 4)"
 # Tasks whose database and dataset sum up to a multiple of four were checked a moment ago.
 _CHECKED = "CASE WHEN (database_id + dataset_id) % 4 = 0 THEN TIMESTAMP '2024-01-15 00:00:00' ELSE TIMESTAMP '2024-01-14 00:00:00' END"
 _PLAIN_SUM = """('0x' || substr(sha256('{"cents":' || cents || ',"item_key":' || item_key || ',"priority":"' || priority || '","status":"' || status || '"}'), 1, 15))::BIGINT"""
 _PLAIN_SUMS = "(SELECT k.database_id, coalesce((sum(" + _PLAIN_SUM + ")::HUGEINT % 4611686018427387904)::BIGINT, 0) AS checksum FROM (SELECT DISTINCT database_id FROM sync_scope) k LEFT JOIN @ s ON s.scope_id = k.database_id GROUP BY k.database_id)"
-_DUE = f"(SELECT database_id, dataset_id, a.checksum AS was, b.checksum AS now FROM (SELECT * FROM sync_scope WHERE is_enabled AND database_id <> 7) CROSS JOIN (SELECT unnest([1, 2, 3]) AS dataset_id) JOIN {_PLAIN_SUMS.replace('@', 'snap_cur')} a USING (database_id) JOIN {_PLAIN_SUMS.replace('@', 'sync_new')} b USING (database_id) WHERE (database_id + dataset_id) % 4 <> 0)"
+_STALE = f"(SELECT database_id, dataset_id FROM (SELECT * FROM sync_scope WHERE is_enabled AND database_id <> 7) CROSS JOIN (SELECT unnest({_IDS}) AS dataset_id) WHERE (database_id + dataset_id) % 4 <> 0)"
+_DUE = f"(SELECT database_id, dataset_id, a.checksum AS was, b.checksum AS now FROM {_STALE} JOIN {_PLAIN_SUMS.replace('@', 'snap_cur')} a USING (database_id) JOIN {_PLAIN_SUMS.replace('@', _CAME)} b USING (database_id) WHERE NOT (database_id = 2 AND dataset_id = 3))"
 _GOING = f"(SELECT database_id, dataset_id FROM {_DUE} WHERE dataset_id <> 1 OR was <> now)"
 
 
@@ -467,10 +474,12 @@ def _sync(i: Inputs) -> sync.SyncRun:
     named = lambda df: df.withColumn("scope_id", F.col("scope_id").cast("int")).withColumnRenamed("scope_id", "database_id").withColumn("instance_id", F.lit(0))
     scope = sync.SCOPE["database"]
     scopes = i.sync_scope.where("database_id <> 7")
+    waits = named(i.counter_cur.drop("last_seen"))
     sources = {
-        "orders": sync.Source(merge.first_load(named(i.snap_cur), scope, ["item_key"], at(T0)), named(i.sync_new), scopes),
+        "orders": sync.Source(merge.first_load(named(i.snap_cur), scope, ["item_key"], at(T0)), named(i.sync_new.where("scope_id <> 4")), scopes),
         "settings": sync.Source(merge.first_load(named(i.setting_cur), scope, ["name"], at(T0)), named(i.setting_new), scopes),
-        "counters": sync.Source(named(i.counter_cur), named(i.counter_new), scopes),
+        "counters": sync.Source(named(i.counter_cur), named(i.counter_new), scopes.where("database_id <> 2")),
+        "waits": sync.Source(merge.first_load(waits, scope, ["counter"], at(T0)), named(i.counter_new.drop("last_seen")), scopes),
     }
     sums = status.dataset_checksum(named(i.snap_cur), scope, ["item_key", "status", "priority", "cents"], i.sync_scope)
     specs = registry.spec_frame(i.spark, _SYNC)
@@ -478,31 +487,88 @@ def _sync(i: Inputs) -> sync.SyncRun:
     known = tasks.select("instance_id", "database_id", "dataset_id", F.when(F.col("dataset_id") == 1, F.col("checksum")).alias("checksum"), at("TIMESTAMP '2024-01-14 00:00:00'").alias("last_sync"), at(_CHECKED).alias("last_check"), F.lit(None).cast("timestamp_ntz").alias("last_error"), F.lit(None).cast("string").alias("error_message"))
     instances = i.sync_scope.select("instance_id").distinct().withColumn("is_enabled", F.lit(True))
     matrix = status.task_matrix(specs, instances, i.sync_scope, known)
-    return sync.sync_run(_SYNC, matrix, known, sources, at(_NOW))
+    unreachable = i.sync_scope.where("database_id = 7").select("instance_id", "database_id", F.lit("no connection").alias("message"))
+    return sync.sync_run(_SYNC, matrix, known, sources, at(_NOW), unreachable)
 
 
-@query("sync_run_status", f"""SELECT k.database_id AS database_id, k.dataset_id AS dataset_id, CASE WHEN k.dataset_id = 1 THEN coalesce(d.now, a.checksum) END AS checksum, CASE WHEN g.database_id IS NOT NULL THEN {_NOW} ELSE TIMESTAMP '2024-01-14 00:00:00' END AS last_sync, CASE WHEN d.database_id IS NOT NULL THEN {_NOW} ELSE {_CHECKED.replace('database_id', 'k.database_id').replace('dataset_id', 'k.dataset_id')} END AS last_check
-FROM (SELECT database_id, unnest([1, 2, 3]) AS dataset_id FROM sync_scope) k JOIN {_PLAIN_SUMS.replace('@', 'snap_cur')} a ON a.database_id = k.database_id LEFT JOIN {_DUE} d ON d.database_id = k.database_id AND d.dataset_id = k.dataset_id LEFT JOIN {_GOING} g ON g.database_id = k.database_id AND g.dataset_id = k.dataset_id""")
+@query("sync_run_status", f"""SELECT k.database_id AS database_id, k.dataset_id AS dataset_id, CASE WHEN k.dataset_id = 1 THEN coalesce(d.now, a.checksum) END AS checksum, CASE WHEN g.database_id IS NOT NULL THEN {_NOW} ELSE TIMESTAMP '2024-01-14 00:00:00' END AS last_sync,
+CASE WHEN d.database_id IS NOT NULL OR bad THEN {_NOW} ELSE {_CHECKED.replace('database_id', 'k.database_id').replace('dataset_id', 'k.dataset_id')} END AS last_check, CASE WHEN bad THEN {_NOW} END AS last_error, CASE WHEN k.database_id = 7 THEN 'no connection' WHEN bad THEN 'not collected' END AS error_message
+FROM (SELECT database_id, dataset_id, database_id = 7 OR (database_id = 2 AND dataset_id = 3) AS bad FROM (SELECT database_id, unnest({_IDS}) AS dataset_id FROM sync_scope)) k JOIN {_PLAIN_SUMS.replace('@', 'snap_cur')} a ON a.database_id = k.database_id LEFT JOIN {_DUE} d ON d.database_id = k.database_id AND d.dataset_id = k.dataset_id LEFT JOIN {_GOING} g ON g.database_id = k.database_id AND g.dataset_id = k.dataset_id""")
 def _(i):
-    return _sync(i).status.select("database_id", "dataset_id", "checksum", "last_sync", "last_check")
+    return _sync(i).status.drop("instance_id")
 
 
-def _next_sql(name: str, k: int, current: str, new: str, key: str) -> str:
-    rows = f"(SELECT scope_id, {key} FROM {current} WHERE scope_id NOT IN (SELECT database_id FROM {_GOING} WHERE dataset_id = {k}) UNION ALL SELECT scope_id, {key} FROM {new} WHERE scope_id IN (SELECT database_id FROM {_GOING} WHERE dataset_id = {k}))"
-    return f"SELECT '{name}' AS dataset, scope_id::INT AS database_id, count(*) AS n_rows FROM {rows} GROUP BY scope_id"
+def _next_sql(name: str, k: int, current: str, new: str, key: str, keep: bool = True) -> str:
+    going = f"SELECT database_id FROM {_GOING} WHERE dataset_id = {k}" + f" AND database_id IN (SELECT scope_id FROM {new})" * keep
+    rows = f"(SELECT scope_id, {key} FROM {current} WHERE scope_id NOT IN ({going}) UNION ALL SELECT scope_id, {key} FROM {new} WHERE scope_id IN ({going}))"
+    return f"SELECT '{name}' AS dataset, scope_id::INT AS database_id, count(*) AS n_rows, count(*) AS n_keys FROM {rows} GROUP BY scope_id"
 
 
-@query("sync_run_tables", " UNION ALL ".join([_next_sql("orders", 1, "snap_cur", "sync_new", "item_key"), _next_sql("settings", 2, "setting_cur", "setting_new", "name"), _next_sql("counters", 3, "counter_cur", "counter_new", "counter")]))
+_WAITS_GOING = f"(SELECT database_id FROM {_GOING} WHERE dataset_id = 4 AND database_id IN (SELECT scope_id FROM counter_new))"
+_WAITS = f"""SELECT 'waits' AS dataset, coalesce(c.scope_id, n.scope_id)::INT AS database_id, count(*) AS n_rows, sum(CASE WHEN k.database_id IS NULL THEN c.n ELSE coalesce(n.n, 0) END)::BIGINT AS n_keys
+FROM counter_cur c FULL JOIN counter_new n ON c.scope_id = n.scope_id AND c.counter = n.counter LEFT JOIN {_WAITS_GOING} k ON k.database_id = coalesce(c.scope_id, n.scope_id) WHERE c.counter IS NOT NULL OR k.database_id IS NOT NULL GROUP BY 2"""
+
+
+@query("sync_run_tables", " UNION ALL ".join([_next_sql("orders", 1, "snap_cur", _CAME, "item_key"), _next_sql("settings", 2, "setting_cur", "setting_new", "name"), _next_sql("counters", 3, "counter_cur", "counter_new", "counter", keep=False), _WAITS]))
 def _(i):
-    tables = [df.groupBy("database_id").agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("dataset"), "database_id", "n_rows") for name, df in _sync(i).tables.items()]
-    return tables[0].unionByName(tables[1]).unionByName(tables[2])
+    parts = []
+    for name, df in _sync(i).tables.items():
+        total = F.sum("n") if name == "waits" else F.count("*")
+        parts.append(df.groupBy("database_id").agg(F.count("*").alias("n_rows"), total.alias("n_keys")).select(F.lit(name).alias("dataset"), "database_id", "n_rows", "n_keys"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
-@query("sync_run_history", f"SELECT c.scope_id::INT AS database_id, c.item_key AS item_key, c.status AS status, {T0} AS valid_from, {_NOW} AS valid_to FROM snap_cur c LEFT JOIN sync_new n ON c.scope_id = n.scope_id AND c.item_key = n.item_key WHERE c.scope_id IN (SELECT database_id FROM {_GOING} WHERE dataset_id = 1) AND (n.item_key IS NULL OR (c.status, c.priority, c.cents) IS DISTINCT FROM (n.status, n.priority, n.cents))")
+@query("sync_run_history", f"SELECT c.scope_id::INT AS database_id, c.item_key AS item_key, c.status AS status, {T0} AS valid_from, {_NOW} AS valid_to FROM snap_cur c LEFT JOIN {_CAME} n ON c.scope_id = n.scope_id AND c.item_key = n.item_key WHERE c.scope_id IN (SELECT database_id FROM {_GOING} WHERE dataset_id = 1 AND database_id IN (SELECT scope_id FROM {_CAME})) AND (n.item_key IS NULL OR (c.status, c.priority, c.cents) IS DISTINCT FROM (n.status, n.priority, n.cents))")
 def _(i):
     return _sync(i).closed["orders"].select("database_id", "item_key", "status", F.col("_ValidFrom").alias("valid_from"), F.col("_ValidTo").alias("valid_to"))
 
 
+# --- a run with items: objects first, then what refers to them ---------------------------------------------
+
+_OBJECT = ("database_id", "schema_name", "object_name", "object_type")
+_ITEM_SPECS = [
+    registry.DatasetSpec("references", "database", 720, "complex", False, False, ("object_key",), after=("objects",), roles={"object_key": _OBJECT, "parent_key": ("database_id", "ref_schema", "ref_name", "object_type")}, refers={"object_key": "object_key", "parent_key": "object_key"}),
+    registry.DatasetSpec("objects", "database", 720, "complex", False, True, ("object_key",), roles={"object_key": _OBJECT}, defines="object_key"),
+]
+# Every third object was there before; every fifth isn't any more, and database 3 could not be read.
+_BEFORE, _SEEN = "c_custkey % 3 = 0", "c_custkey % 5 <> 0 AND c_nationkey <> 3"
+
+
+def _item_run(i: Inputs) -> sync.SyncRun:
+    objects = i.customer.select(F.lit(0).alias("instance_id"), F.col("c_nationkey").cast("int").alias("database_id"), F.col("c_mktsegment").alias("schema_name"), F.col("c_name").alias("object_name"), F.lit("U").alias("object_type"), "c_custkey", "c_nationkey")
+    keyed = merge.with_parents(objects, {"object_key": _OBJECT})
+    dim = keyed.where(_BEFORE).select("object_key", *_OBJECT, F.lit(False).alias("is_deleted"), F.lit(None).cast("timestamp_ntz").alias("delete_date"))
+    current = merge.first_load(keyed.where(_BEFORE).select("instance_id", "database_id", "object_key", "c_custkey"), sync.SCOPE["database"], ["object_key"], at(T0))
+    refs = i.cat_ref.select(F.lit(0).alias("instance_id"), F.col("database_id").cast("int").alias("database_id"), "schema_name", "object_name", "ref_schema", "ref_name", F.lit("U").alias("object_type"))
+    none = merge.first_load(merge.with_parents(refs.limit(0), _ITEM_SPECS[0].roles).select("instance_id", "database_id", "object_key", "parent_key"), sync.SCOPE["database"], ["object_key"], at(T0))
+    scopes = i.nation.where("n_nationkey <> 3").select(F.lit(0).alias("instance_id"), F.col("n_nationkey").cast("int").alias("database_id"))
+    sources = {"objects": sync.Source(current, objects.where(_SEEN), scopes, items=dim), "references": sync.Source(none, refs, scopes)}
+    known = i.sql("SELECT * FROM status").limit(0)
+    instances = scopes.select("instance_id").distinct().withColumn("is_enabled", F.lit(True))
+    every = i.nation.select(F.lit(0).alias("instance_id"), F.col("n_nationkey").cast("int").alias("database_id"), F.lit(True).alias("is_enabled"))
+    return sync.sync_run(_ITEM_SPECS, status.task_matrix(registry.spec_frame(i.spark, _ITEM_SPECS), instances, every, known), known, sources, at(_NOW))
+
+
+_KEYED = f"(SELECT *, {_id_sql('c_nationkey::VARCHAR', 'lower(rtrim(c_mktsegment))', 'lower(rtrim(c_name))', chr(39) + 'u' + chr(39))} AS object_key FROM customer)"
+_ALIVE = f"(SELECT object_key FROM {_KEYED} WHERE ({_SEEN}) OR (c_nationkey = 3 AND {_BEFORE}))"
+
+
+@query("sync_items", f"SELECT object_key, c_nationkey::INT AS database_id, c_name AS object_name, NOT ({_SEEN}) AND c_nationkey <> 3 AS is_deleted, CASE WHEN NOT ({_SEEN}) AND c_nationkey <> 3 THEN {_NOW} END AS delete_date FROM {_KEYED} WHERE ({_BEFORE}) OR ({_SEEN})")
+def _(i):
+    return _item_run(i).items["object_key"].select("object_key", "database_id", "object_name", "is_deleted", "delete_date")
+
+
+@query("sync_references", f"""SELECT 'kept' AS found, database_id::INT AS database_id, object_key, parent_key FROM {_REFS} WHERE database_id <> 3 AND object_key IN {_ALIVE} AND (parent_key IS NULL OR parent_key IN {_ALIVE})
+UNION ALL SELECT 'lost', database_id::INT, object_key, parent_key FROM {_REFS} WHERE database_id <> 3 AND (object_key NOT IN {_ALIVE} OR (parent_key IS NOT NULL AND parent_key NOT IN {_ALIVE}))""")
+def _(i):
+    run = _item_run(i)
+    columns = ["database_id", "object_key", "parent_key"]
+    return run.tables["references"].select(F.lit("kept").alias("found"), *columns).unionByName(run.lost["references"].select(F.lit("lost").alias("found"), *columns))
+
+
 # --- views ------------------------------------------------------------------------------------------
 
 _VD = "(SELECT d.database_id, d.instance_id, d.database_name, i.instance_name FROM scope_database d JOIN scope_instance i ON d.instance_id = i.instance_id WHERE d.is_enabled AND i.is_enabled)"

@@ -13,7 +13,10 @@ class DatasetSpec:
     """``mode``: simple (whole scopes are replaced) or complex (merged by key). ``minutes``: stale age.
 
     ``volatile`` columns neither count as changes nor for the checksum; those of ``keep_last`` keep their
-    value where a snapshot has none. ``plans.sync`` runs datasets by these specs.
+    value where a snapshot has none; with ``zero`` columns nothing is deleted and they become 0 where a row is missing. ``after``:
+    the datasets that run before. ``roles``: id columns and the columns that name their items; ``defines`` is the role whose
+    dimension the dataset keeps, ``refers`` says of other roles in which dimension their items are.
+    ``plans.sync`` runs datasets by these specs.
     """
 
     name: str
@@ -26,12 +29,24 @@ class DatasetSpec:
     is_enabled: bool = True
     volatile: tuple[str, ...] = field(default=())
     keep_last: tuple[str, ...] = field(default=())
+    zero: tuple[str, ...] = field(default=())
+    after: tuple[str, ...] = field(default=())
+    roles: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    defines: str | None = None
+    refers: dict[str, str] = field(default_factory=dict)
+
+    @property
+    def on_empty(self) -> str:
+        """A merged dataset's scope that comes empty keeps its rows: no export is empty but by mistake."""
+        return "clear" if self.mode == "simple" else "keep"
 
     def __post_init__(self):
         if self.level not in ("instance", "database") or self.mode not in ("simple", "complex"):
             raise ValueError(f"{self.name}: level or mode is unknown")
         if self.versioned and self.mode == "simple":
             raise ValueError(f"{self.name}: only merged datasets have a history")
+        if set(self.refers) - set(self.roles) or (self.defines and self.defines not in self.roles):
+            raise ValueError(f"{self.name}: no columns name the items of a role")
 
 
 # Name, level, stale minutes, mode, has checksum, is versioned, key columns beside the scope.

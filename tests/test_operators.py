@@ -174,3 +174,77 @@ def test_expire_to_the_second(spark):
     closed = spark.createDataFrame([(1, datetime(2024, 1, 15, 9, 59, 59)), (2, datetime(2024, 1, 15, 10, 0, 0))], "k int, _ValidTo timestamp_ntz")
     for df in (closed, closed.withColumn("_month", history.month("_ValidTo"))):
         assert [r.k for r in history.expire_history(df, datetime(2024, 7, 15, 10)).collect()] == [2]
+
+
+def _spec(name, **options):
+    from metafleet.plans.registry import DatasetSpec
+
+    return DatasetSpec(name, "database", 60, options.pop("mode", "complex"), options.pop("has_checksum", False), False, ("k",), **options)
+
+
+def test_waves_follow_what_datasets_wait_for():
+    from metafleet.plans.sync import waves
+
+    specs = [_spec("columns", after=("objects",)), _spec("facts", after=("columns", "objects")), _spec("objects"), _spec("alone", after=("not in this run",))]
+    assert [sorted(s.name for s in w) for w in waves(specs)] == [["alone", "objects"], ["columns"], ["facts"]]
+    with pytest.raises(ValueError, match="a, b"):
+        waves([_spec("a", after=("b",)), _spec("b", after=("a",))])
+
+
+@pytest.fixture
+def one_run(spark):
+    """A run over scopes 1 to 3 of instance 0 for one dataset; returns rows by scope and status by scope."""
+    from metafleet.operators.merge import first_load
+    from metafleet.operators.status import STATE, task_matrix
+    from metafleet.plans import sync
+    from metafleet.plans.registry import spec_frame
+
+    now = datetime(2024, 1, 2)
+
+    def make(spec, snapshot, scopes, checksums=None, unreachable=None):
+        frame = lambda rows: spark.createDataFrame([(0, *r) for r in rows], "instance_id int, database_id int, k int, v string")
+        every = spark.createDataFrame([(0, s, True) for s in (1, 2, 3)], "instance_id int, database_id int, is_enabled boolean")
+        known = spark.createDataFrame([], "instance_id int, database_id int, dataset_id int, " + ", ".join(f"{c} {t}" for c, t in STATE.items()))
+        current = frame([(s, 1, "old") for s in (1, 2, 3)])
+        current = current if spec.mode == "simple" else first_load(current, sync.SCOPE["database"], ["k"], F.lit(now))
+        matrix = task_matrix(spec_frame(spark, [spec]), every.select("instance_id", "is_enabled").distinct(), every, known)
+        got = [every.where(F.col("database_id").isin(scopes)).select("instance_id", "database_id")]
+        sums = checksums and spark.createDataFrame([(0, *r) for r in checksums], "instance_id int, database_id int, checksum long")
+        away = unreachable and spark.createDataFrame([(0, s, "no connection") for s in unreachable], "instance_id int, database_id int, message string")
+        run = sync.sync_run([spec], matrix, known, {spec.name: sync.Source(current, frame(snapshot), got[0], checksums=sums)}, F.lit(now), away)
+        rows = sorted((r.database_id, r.v) for r in run.tables[spec.name].collect())
+        return rows, {r.database_id: (r.checksum, r.error_message) for r in run.status.collect()}
+
+    return make
+
+
+def test_an_empty_scope_keeps_merged_rows_and_loses_replaced_ones(one_run):
+    """Scope 1 came with rows, 2 came empty, 3 could not be read."""
+    rows, state = one_run(_spec("merged"), [(1, 1, "new")], [1, 2])
+    assert rows == [(1, "new"), (2, "old"), (3, "old")] and state == {1: (None, None), 2: (None, None), 3: (None, "not collected")}
+    rows, _ = one_run(_spec("replaced", mode="simple"), [(1, 1, "new")], [1, 2])
+    assert rows == [(1, "new"), (3, "old")]
+
+
+def test_unreachable_scopes_and_missing_checksums(one_run):
+    rows, state = one_run(_spec("merged", has_checksum=True), [(1, 1, "new"), (2, 1, "new")], [1, 2], [(1, 7), (2, 8)], [3])
+    assert rows == [(1, "new"), (2, "new"), (3, "old")] and state == {1: (7, None), 2: (8, None), 3: (None, "no connection")}
+    with pytest.raises(ValueError, match="1 scopes were read and have no checksum"):
+        one_run(_spec("merged", has_checksum=True), [(1, 1, "new")], [1, 2], [(1, 7)])
+
+
+def test_landed_datasets_answer_the_gate_by_their_digests(spark, tmp_path):
+    from metafleet.operators.merge import first_load
+    from metafleet.plans import sync
+    from metafleet.sources.landing import Landing
+
+    frame = lambda rows: spark.createDataFrame([(0, *r) for r in rows], "instance_id int, database_id int, k int, v string")
+    scope = sync.SCOPE["database"]
+    scopes = spark.createDataFrame([(0, s) for s in (1, 2)], "instance_id int, database_id int")
+    landing = Landing(spark, f"file://{tmp_path}/landed", scope, ["k"], ranges=2).land(frame([(s, k, "x") for s in (1, 2) for k in range(9)]), scopes)
+    sums = {r.database_id: r.checksum for r in landing.checksums().collect()}
+    tasks = spark.createDataFrame([(0, 1, sums[1]), (0, 2, 5)], "instance_id int, database_id int, old_checksum long")
+    source = sync.Source(first_load(frame([]), scope, ["k"], F.lit(datetime(2024, 1, 1))), landing=landing)
+    gate = sync.gated(_spec("landed", has_checksum=True), tasks, source)
+    assert {(r.database_id, r.checksum, r.moved) for r in gate.collect()} == {(1, sums[1], 0), (2, sums[2], 1)}
+    assert {r.database_id for r in landing.rows(gate).collect()} == {2}
