@@ -108,3 +108,16 @@ def variant_cast(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 def sentinel_name(name, kind) -> Column:
     """An index's name, or the sentinel for one of type 0."""
     return F.when(_col(kind) == 0, F.lit(HEAP)).otherwise(_col(name))
+
+
+def as_variant(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Columns of JSON text as variants: every value keeps the type that it has in its row. What isn't JSON becomes null."""
+    return df.withColumns({c: F.try_parse_json(c) for c in columns})
+
+
+def variant_fields(df: DataFrame, column: str, fields: dict[str, str], paths: dict[str, str] | None = None) -> DataFrame:
+    """Adds the fields (name: declared type) of a variant column; a value that its declared type can't hold is null.
+
+    A field lies at ``$.name`` if ``paths`` doesn't say otherwise.
+    """
+    return df.withColumns({name: F.try_variant_get(column, (paths or {}).get(name, f"$.{name}"), kind) for name, kind in fields.items()})
