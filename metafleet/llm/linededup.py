@@ -132,28 +132,37 @@ def repeated_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", t
     return found.where(~own).select("doc_id", "row_key", "line_no", F.col("first.doc_id").alias("first_doc"), F.col("first.line_no").alias("first_line"))
 
 
-def _drops(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
-    found = repeated_lines(docs, percent, id_col, text_col).groupBy("doc_id", "row_key").agg(F.array_sort(F.collect_set("line_no")).alias("_mf_dropped"))
-    return found.select(F.col("doc_id").alias("_mf_id"), F.col("row_key").alias("_mf_key"), "_mf_dropped")
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """The names, or longer ones where ``docs`` has such columns."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
 
 
-def _with_drops(docs: DataFrame, drops: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    same = F.col(id_col).cast("long").eqNullSafe(drops["_mf_id"]) & (F.xxhash64(text_col) == drops["_mf_key"])
-    return docs.join(drops, same, "left")
+def _drops(docs: DataFrame, percent: int, id_col: str, text_col: str, names: list[str]) -> DataFrame:
+    """The lines to drop of each row, in columns of these names: id, text's hash, line numbers."""
+    found = repeated_lines(docs, percent, id_col, text_col).groupBy("doc_id", "row_key").agg(F.array_sort(F.collect_set("line_no")).alias("lines"))
+    return found.select(*(F.col(c).alias(name) for c, name in zip(("doc_id", "row_key", "lines"), names)))
 
 
 def dropped_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_dropped, dropped (line numbers in order)."""
     lines = F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.size(F.split(text_col, "\n")))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row_key"), lines.alias("n_lines"))
-    drops = _drops(docs, percent, id_col, text_col)
-    found = rows.join(drops, rows.doc_id.eqNullSafe(drops["_mf_id"]) & (rows.row_key == drops["_mf_key"]), "left")
-    dropped = F.coalesce("_mf_dropped", F.array().cast("array<int>"))
+    drops = _drops(docs, percent, id_col, text_col, ["id", "key", "lines"])
+    found = rows.join(drops, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row_key") == F.col("key")), "left")
+    dropped = F.coalesce("lines", F.array().cast("array<int>"))
     return found.select("doc_id", "n_lines", F.size(dropped).alias("n_dropped"), dropped.alias("dropped"))
 
 
 def without_repeated_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, all its columns, with the dropped lines taken out of the texts. Null texts stay null."""
-    joined = _with_drops(docs, _drops(docs, percent, id_col, text_col), id_col, text_col)
-    kept = F.array_join(F.filter(F.split(text_col, "\n"), lambda _, k: ~F.array_contains("_mf_dropped", k)), "\n")
-    return joined.withColumn(text_col, F.when(F.col("_mf_dropped").isNull(), F.col(text_col)).otherwise(kept)).select(*docs.columns)
+    names = _free(docs, "_mf_id", "_mf_key", "_mf_dropped")
+    drops = _drops(docs, percent, id_col, text_col, names)
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(names[0])) & (F.xxhash64(text_col) == F.col(names[1]))
+    kept = F.array_join(F.filter(F.split(text_col, "\n"), lambda _, k: ~F.array_contains(names[2], k)), "\n")
+    joined = docs.join(drops, same, "left")
+    return joined.withColumn(text_col, F.when(F.col(names[2]).isNull(), F.col(text_col)).otherwise(kept)).select(*docs.columns)

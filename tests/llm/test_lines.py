@@ -151,3 +151,13 @@ def test_equal_ids(docs_of):
     rows = [(1, "the very same line of text\nand one"), (1, "a unique first line of its own\nthe very same line of text"), (2, "unlike all others, this line"), (2, "unlike all others, this line")]
     got = sorted(tuple(r) for r in ld.dropped_lines(docs_of(rows)).collect())
     assert sum(n for _, _, n, _ in got) == 1 and {d for i, *_, d in got if i == 2 for d in d} == set()
+
+
+def test_columns_that_clash_stay(docs_of):
+    rows = [(1, "one line of text\nand another line"), (2, "one line of text\nnothing else here"), (3, None)]
+    names = ("_mf_id", "_mf_key", "_mf_dropped", "_MF_ID_", "row_key", "line_no", "node", "line", "lines", "id", "key")
+    docs = docs_of(rows).withColumns({c: F.lit(7) for c in names})
+    got = ld.without_repeated_lines(docs)
+    assert got.columns == docs.columns
+    assert {r.doc_id: (r.text, r._mf_id, r._mf_dropped) for r in got.collect()} == {1: (rows[0][1], 7, 7), 2: ("nothing else here", 7, 7), 3: (None, 7, 7)}
+    assert ld.dropped_lines(docs).count() == 3
