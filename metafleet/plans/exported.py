@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metafleet.functions import keys as K
+from metafleet.operators import merge, status
+from metafleet.plans import registry, schemas, sync
 from metafleet.plans.exports import Catalog
-from metafleet.plans.fixtures import Inputs, oracle
-from metafleet.plans.queries import ORACLES, T0, at, query
+from metafleet.plans.fixtures import Inputs
+from metafleet.plans.queries import ORACLES, T0, T1, at, query
 
 #: Catalog tables of a fleet in both engines' SQL: databases are nations, tables customers, indexes orders, index columns lines.
 #: Object ids repeat from database to database, as they do in a fleet.
@@ -59,6 +61,7 @@ CHECKS = {
     "views": (["_SchemaName", "_ObjectName", "has_snapshot", "ledger_view_type"], f"SELECT x._DatabaseID, s.name AS _SchemaName, x.name AS _ObjectName, {_since('has_snapshot', 15)}, {_since('ledger_view_type', 16)} FROM views x{_SCHEMA}{_V} WHERE NOT x.is_ms_shipped"),
     "stats": (["_SchemaName", "_ObjectName", "_ObjectType", "_IndexName", "has_persisted_sample", "auto_drop"], f"SELECT x._DatabaseID, {_NAMES}, x.name AS _IndexName, {_since('has_persisted_sample', 15)}, {_since('auto_drop', 16)} FROM stats x{_OWN}{_V} WHERE NOT x.auto_created"),
     "indexes": (["_SchemaName", "_ObjectName", "_ObjectType", "_IndexName", "index_id", "optimize_for_sequential_key"], f"SELECT x._DatabaseID, {_NAMES}, CASE WHEN x.type = 0 THEN '<<HEAP>>' ELSE x.name END AS _IndexName, x.index_id, {_since('optimize_for_sequential_key', 15)} FROM indexes x{_OWN}{_V}"),
+    "columns": (["_SchemaName", "_ObjectName", "_ObjectType", "_ColumnName", "column_id"], f"SELECT x._DatabaseID, {_NAMES}, x.name AS _ColumnName, x.column_id FROM columns x{_OWN}"),
     "index_columns": (["_ObjectName", "_IndexName", "_ColumnName", "index_column_id", "column_store_order_ordinal"], f"SELECT x._DatabaseID, o.name AS _ObjectName, i.index_name AS _IndexName, c.name AS _ColumnName, x.index_column_id, {_since('column_store_order_ordinal', 15)} FROM index_columns x{_OWN}{_join('i', 'ni', object_id='object_id', index_id='index_id')}{_join('c', 'columns', object_id='object_id', column_id='column_id')}{_V}"),
     "partitions": (["_ObjectName", "_IndexName", "partition_id", "rows", "xml_compression"], f"SELECT x._DatabaseID, o.name AS _ObjectName, i.index_name AS _IndexName, x.partition_id, x.rows, {_since('xml_compression', 16)} FROM partitions x{_OWN}{_join('i', 'ni', object_id='object_id', index_id='index_id')}{_V}"),
     "computed_columns": (["_ObjectName", "_ColumnName", "is_dropped_ledger_column"], f"SELECT x._DatabaseID, o.name AS _ObjectName, x.name AS _ColumnName, {_since('is_dropped_ledger_column', 16)} FROM computed_columns x{_OWN}{_V}"),
@@ -81,6 +84,44 @@ for _dataset, (_columns, _text) in CHECKS.items():
     _register(_dataset, _columns, _text)
 
 
+# --- the registry's own datasets, from export to merged tables ------------------------------------------------
+
+_SYNCED = ("objects", "indexes", "stats", "columns", "index_columns", "partitions", "foreign_keys", "check_constraints", "key_constraints")
+_DIMENSIONS = {"_ObjectID": "database_id int, _SchemaName string, _ObjectName string, _ObjectType string", "_IndexID": "database_id int, _ObjectID long, _IndexName string, _IndexKind string", "_ColumnID": "database_id int, _ObjectID long, _ColumnName string"}
+
+
+def _catalog_run(i: Inputs) -> sync.SyncRun:
+    """A first run of the registry's specs: ids are resolved as objects, indexes and columns come, and what refers to them follows."""
+    specs = [spec for spec in registry.DATASETS if spec.name in _SYNCED]
+    catalog = _catalog(i)
+    catalog.tables["indexes"] = catalog.tables["indexes"].withColumn("type", F.lit(1))  # one heap a table at most
+    scopes = i.nation.select(F.lit(0).alias("instance_id"), F.col("n_nationkey").cast("int").alias("database_id"), F.lit(True).alias("is_enabled"))
+    sources = {}
+    for spec in specs:
+        rows = catalog.export(spec.name).drop("_RowHash").withColumns({"instance_id": F.lit(0), "database_id": F.col("_DatabaseID").cast("int")}).drop("_DatabaseID")
+        if "_IndexID" in spec.roles:
+            rows = rows.withColumn("_IndexKind", F.lit("stat" if spec.name == "stats" else "index"))
+        fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.SCHEMAS[spec.name].struct())
+        none = i.spark.createDataFrame([], "instance_id int, database_id int, " + ", ".join(f"{role} long" for role in spec.roles) + f", {fields}")
+        items = spec.defines and i.spark.createDataFrame([], f"{spec.defines} long, {_DIMENSIONS[spec.defines]}, is_deleted boolean, delete_date timestamp_ntz")
+        sources[spec.name] = sync.Source(merge.first_load(none, sync.SCOPE["database"], spec.keys, at(T0)), rows, scopes, items=items or None)
+    known = i.sql("SELECT * FROM status").limit(0)
+    instances = scopes.select("instance_id", "is_enabled").distinct()
+    return sync.sync_run(specs, status.task_matrix(registry.spec_frame(i.spark, specs), instances, scopes, known), known, sources, at(T1))
+
+
+@query("sync_catalog")
+def _(i):
+    out = None
+    for name, df in _catalog_run(i).tables.items():
+        part = df.groupBy("database_id").agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("dataset"), "database_id", "n_rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+ORACLES["sync_catalog"] = _sql(" UNION ALL ".join(f"SELECT '{d}' AS dataset, _DatabaseID::INT AS database_id, count(*) AS n_rows FROM ({CHECKS[d][1]}) GROUP BY _DatabaseID" for d in _SYNCED))
+
+
 @query("export_triggers")
 def _(i):
     return _catalog(i).triggers().select("_DatabaseID", "_SchemaName", "_ObjectName", "_ParentObjectName", "parent_class")

@@ -56,6 +56,7 @@ EXPORTS = {
     "views": Export("views", where="not is_ms_shipped", self_named=True),
     "stats": Export("stats", (own(),), "not auto_created", plain={"_IndexName": "name"}),
     "indexes": Export("indexes", (own(),), plain={"_IndexName": "sentinel"}),
+    "columns": Export("columns", (own(),), plain={"_ColumnName": "name"}),
     "index_columns": Export("index_columns", (own(), index(), column("_ColumnName", "object_id", "column_id"))),
     "partitions": Export("partitions", (own(), index())),
     "computed_columns": Export("computed_columns", (own(),), plain={"_ColumnName": "name"}),

@@ -49,63 +49,69 @@ class DatasetSpec:
             raise ValueError(f"{self.name}: no columns name the items of a role")
 
 
-# Name, level, stale minutes, mode, has checksum, is versioned, key columns beside the scope.
-_ROWS = """
-dm_hadr_cluster instance 1440 simple yes no -
-dm_db_log_space_usage database 720 simple no no -
-dm_io_virtual_file_stats database 1440 simple no no file_id
-dm_os_wait_stats instance 720 complex no no wait_type
-database_query_store_options database 1440 simple yes no -
-dm_resource_governor_resource_pools instance 720 simple no no -
-dm_os_volume_stats database 1440 simple no no file_id
-dm_os_host_info instance 1440 simple yes no -
-dm_db_partition_stats database 720 complex no no _IndexID,partition_number
-dm_os_sys_memory instance 720 simple no no -
-dm_os_nodes instance 720 simple no no -
-dm_db_index_usage_stats database 720 complex no no _IndexID
-dm_server_services instance 1440 simple yes no -
-dm_hadr_database_replica_states database 720 simple no no replica_id
-dm_os_sys_info instance 720 simple no no -
-dm_os_enumerate_fixed_drives instance 720 simple no no -
-dm_os_cluster_nodes instance 1440 simple yes no -
-dm_os_process_memory instance 720 simple no no -
-database_automatic_tuning_options database 1440 simple yes no -
-database_scoped_configurations database 1440 simple yes no -
-database_files database 720 simple no no -
-filegroups database 720 simple yes no data_space_id
-sql_modules database 720 complex yes yes _ObjectID
-triggers database 720 complex yes yes _ObjectID
-foreign_key_columns database 720 complex yes no _ObjectID,_ParentObjectID,_ReferencedObjectID
-foreign_keys database 720 complex yes yes _ObjectID
-default_constraints database 720 complex yes yes _ObjectID
-check_constraints database 720 complex yes yes _ObjectID
-key_constraints database 720 complex yes yes _ObjectID
-stats database 720 complex yes no _IndexID
-index_columns database 720 complex yes yes _IndexID,_ColumnID
-partitions database 720 complex no no _IndexID,partition_number
-indexes database 720 complex yes yes _IndexID
-identity_columns database 720 complex no no _ColumnID
-computed_columns database 720 complex yes yes _ColumnID
-columns database 720 complex yes yes _ColumnID
-views database 720 complex yes yes _ObjectID
-tables database 720 complex yes yes _ObjectID
-objects database 720 complex yes yes _ObjectID
-configurations instance 720 complex yes yes configuration_id
-master_files instance 1550 complex yes no _DatabaseName,file_id
-databases instance 720 complex yes yes name
-SERVERPROPERTY instance 720 simple no no -
-DATABASEPROPERTYEX database 720 simple no no -
-restorehistory instance 1440 simple yes no restore_history_id
-sysarticles database 1440 complex yes yes _ObjectID,artid
-syspublications database 1440 simple yes no pubid
-sysreplservers database 1440 simple yes no srvid
-global_variables instance 1440 simple no no -
-"""
+#: Id columns and the columns that name their items: objects by scope, schema, name and type, the rest under an object.
+OBJECT = {"_ObjectID": ("database_id", "_SchemaName", "_ObjectName", "_ObjectType")}
+PARENT = {"_ParentObjectID": ("database_id", "_ParentSchemaName", "_ParentObjectName", "_ParentObjectType")}
+REFERENCED = {"_ReferencedObjectID": ("database_id", "_ReferencedSchemaName", "_ReferencedObjectName", "_ReferencedObjectType")}
+#: ``_IndexKind`` keeps indexes and statistics of one name apart.
+INDEX = OBJECT | {"_IndexID": ("_ObjectID", "_IndexName", "_IndexKind")}
+COLUMN = OBJECT | {"_ColumnID": ("_ObjectID", "_ColumnName")}
+_OF_OBJECT, _OF_INDEX, _OF_COLUMN = ({c: c} for c in ("_ObjectID", "_IndexID", "_ColumnID"))
+_OF_PARENT, _OF_REFERENCED = ({c: "_ObjectID"} for c in ("_ParentObjectID", "_ReferencedObjectID"))
+_LAST_USED = ("last_user_seek", "last_user_scan", "last_user_lookup", "last_user_update", "last_system_seek", "last_system_scan", "last_system_lookup", "last_system_update")
 
+# Names, levels, stale minutes, modes, whether there is a checksum and a history, keys.
 DATASETS = [
-    DatasetSpec(n, level, int(m), mode, c == "yes", v == "yes", () if k == "-" else tuple(k.split(",")))
-    for n, level, m, mode, c, v, k in (line.split() for line in _ROWS.strip().splitlines())
-]
+    DatasetSpec("dm_hadr_cluster", "instance", 1440, "simple", True, False),
+    DatasetSpec("dm_db_log_space_usage", "database", 720, "simple", False, False),
+    DatasetSpec("dm_io_virtual_file_stats", "database", 1440, "simple", False, False, ("file_id",)),
+    DatasetSpec("dm_os_wait_stats", "instance", 720, "complex", False, False, ("wait_type",), zero=("waiting_tasks_count", "wait_time_ms", "max_wait_time_ms", "signal_wait_time_ms")),
+    DatasetSpec("database_query_store_options", "database", 1440, "simple", True, False),
+    DatasetSpec("dm_resource_governor_resource_pools", "instance", 720, "simple", False, False),
+    DatasetSpec("dm_os_volume_stats", "database", 1440, "simple", False, False, ("file_id",)),
+    DatasetSpec("dm_os_host_info", "instance", 1440, "simple", True, False),
+    DatasetSpec("dm_db_partition_stats", "database", 720, "complex", False, False, ("_IndexID", "partition_number"), after=("indexes",), roles=INDEX, refers=_OF_INDEX),
+    DatasetSpec("dm_os_sys_memory", "instance", 720, "simple", False, False),
+    DatasetSpec("dm_os_nodes", "instance", 720, "simple", False, False),
+    DatasetSpec("dm_db_index_usage_stats", "database", 720, "complex", False, False, ("_IndexID",), after=("indexes",), keep_last=_LAST_USED, roles=INDEX, refers=_OF_INDEX),
+    DatasetSpec("dm_server_services", "instance", 1440, "simple", True, False),
+    DatasetSpec("dm_hadr_database_replica_states", "database", 720, "simple", False, False, ("replica_id",)),
+    DatasetSpec("dm_os_sys_info", "instance", 720, "simple", False, False),
+    DatasetSpec("dm_os_enumerate_fixed_drives", "instance", 720, "simple", False, False),
+    DatasetSpec("dm_os_cluster_nodes", "instance", 1440, "simple", True, False),
+    DatasetSpec("dm_os_process_memory", "instance", 720, "simple", False, False),
+    DatasetSpec("database_automatic_tuning_options", "database", 1440, "simple", True, False),
+    DatasetSpec("database_scoped_configurations", "database", 1440, "simple", True, False),
+    DatasetSpec("database_files", "database", 720, "simple", False, False),
+    DatasetSpec("filegroups", "database", 720, "simple", True, False, ("data_space_id",)),
+    DatasetSpec("sql_modules", "database", 720, "complex", True, True, ("_ObjectID",), after=("objects",), roles=OBJECT, refers=_OF_OBJECT),
+    DatasetSpec("triggers", "database", 720, "complex", True, True, ("_ObjectID",), after=("objects",), roles=OBJECT | PARENT, refers=_OF_PARENT),
+    DatasetSpec("foreign_key_columns", "database", 720, "complex", True, False, ("_ObjectID", "_ParentObjectID", "_ReferencedObjectID"), after=("foreign_keys",), roles=OBJECT | PARENT | REFERENCED, refers=_OF_PARENT | _OF_REFERENCED),
+    DatasetSpec("foreign_keys", "database", 720, "complex", True, True, ("_ObjectID",), after=("objects",), roles=OBJECT | PARENT | REFERENCED, refers=_OF_PARENT | _OF_REFERENCED),
+    DatasetSpec("default_constraints", "database", 720, "complex", True, True, ("_ObjectID",), after=("objects",), roles=OBJECT | PARENT, refers=_OF_PARENT),
+    DatasetSpec("check_constraints", "database", 720, "complex", True, True, ("_ObjectID",), after=("objects",), roles=OBJECT | PARENT, refers=_OF_PARENT),
+    DatasetSpec("key_constraints", "database", 720, "complex", True, True, ("_ObjectID",), after=("objects",), roles=OBJECT | PARENT, refers=_OF_PARENT),
+    DatasetSpec("stats", "database", 720, "complex", True, False, ("_IndexID",), after=("objects",), roles=INDEX, refers=_OF_OBJECT),
+    DatasetSpec("index_columns", "database", 720, "complex", True, True, ("_IndexID", "_ColumnID"), after=("indexes", "columns"), roles=INDEX | COLUMN, refers=_OF_INDEX | _OF_COLUMN),
+    DatasetSpec("partitions", "database", 720, "complex", False, False, ("_IndexID", "partition_number"), after=("indexes",), roles=INDEX, refers=_OF_INDEX),
+    DatasetSpec("indexes", "database", 720, "complex", True, True, ("_IndexID",), after=("objects",), roles=INDEX, defines="_IndexID", refers=_OF_OBJECT),
+    DatasetSpec("identity_columns", "database", 720, "complex", False, False, ("_ColumnID",), after=("columns",), roles=COLUMN, refers=_OF_COLUMN),
+    DatasetSpec("computed_columns", "database", 720, "complex", True, True, ("_ColumnID",), after=("columns",), roles=COLUMN, refers=_OF_COLUMN),
+    DatasetSpec("columns", "database", 720, "complex", True, True, ("_ColumnID",), after=("objects",), roles=COLUMN, defines="_ColumnID", refers=_OF_OBJECT),
+    DatasetSpec("views", "database", 720, "complex", True, True, ("_ObjectID",), after=("objects",), roles=OBJECT, refers=_OF_OBJECT),
+    DatasetSpec("tables", "database", 720, "complex", True, True, ("_ObjectID",), after=("objects",), roles=OBJECT, refers=_OF_OBJECT),
+    DatasetSpec("objects", "database", 720, "complex", True, True, ("_ObjectID",), roles=OBJECT, defines="_ObjectID"),
+    DatasetSpec("configurations", "instance", 720, "complex", True, True, ("configuration_id",)),
+    DatasetSpec("master_files", "instance", 1550, "complex", True, False, ("_DatabaseName", "file_id")),
+    DatasetSpec("databases", "instance", 720, "complex", True, True, ("name",)),
+    DatasetSpec("SERVERPROPERTY", "instance", 720, "simple", False, False),
+    DatasetSpec("DATABASEPROPERTYEX", "database", 720, "simple", False, False),
+    DatasetSpec("restorehistory", "instance", 1440, "simple", True, False, ("restore_history_id",)),
+    DatasetSpec("sysarticles", "database", 1440, "complex", True, True, ("_ObjectID", "artid")),
+    DatasetSpec("syspublications", "database", 1440, "simple", True, False, ("pubid",)),
+    DatasetSpec("sysreplservers", "database", 1440, "simple", True, False, ("srvid",)),
+    DatasetSpec("global_variables", "instance", 1440, "simple", False, False),
+]
 
 
 def spec_frame(spark: SparkSession, datasets: list[DatasetSpec] | None = None) -> DataFrame:

@@ -44,6 +44,10 @@ SCHEMAS = {
         "object_id int, name string, index_id int, type smallint, type_desc string, is_unique boolean, data_space_id int, is_primary_key boolean, is_unique_constraint boolean, fill_factor smallint, is_disabled boolean, has_filter boolean, filter_definition string",
         ((15, "optimize_for_sequential_key boolean"),),
     ),
+    "columns": Schema(
+        "object_id int, name string, column_id int, system_type_id smallint, user_type_id int, max_length smallint, precision smallint, scale smallint, collation_name string, is_nullable boolean, is_identity boolean, is_computed boolean",
+        ((16, "is_data_deletion_filter_column boolean, ledger_view_column_type int, ledger_view_column_type_desc string, is_dropped_ledger_column boolean"),),
+    ),
     "index_columns": Schema("object_id int, index_id int, index_column_id int, column_id int, key_ordinal smallint, partition_ordinal smallint, is_descending_key boolean, is_included_column boolean", ((15, "column_store_order_ordinal smallint"),)),
     "partitions": Schema("partition_id bigint, object_id int, index_id int, partition_number int, hobt_id bigint, rows bigint, data_compression smallint, data_compression_desc string", ((16, "xml_compression boolean, xml_compression_desc string"),)),
     "computed_columns": Schema(
