@@ -31,3 +31,24 @@ x AS (SELECT doc_id, line_no FROM a JOIN f USING (comp) WHERE (doc_id, line_no)
 z AS (SELECT doc_id, count(*) AS n_dropped, string_agg(line_no::VARCHAR, ',' ORDER BY line_no) AS dropped FROM x GROUP BY doc_id)
 SELECT raw.doc_id, coalesce(len(ls), 0)::INTEGER AS n_lines, coalesce(n_dropped, 0)::INTEGER AS n_dropped, coalesce(dropped, '') AS dropped FROM raw LEFT JOIN z ON z.doc_id = raw.doc_id
 """
+
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0} END"
+#: The checksum of the id's decimal digits, bit by bit.
+_CRC = "xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT), lambda c, b: list_reduce(range(8), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, xor(c, b)), 4294967295), 4294967295)"
+_HEAD = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
+MERKLE_SQL = f"""
+WITH RECURSIVE e AS (SELECT doc_id, coalesce('x' || lang, '') AS k, sha256({_HEAD} || {_FIELD.format('text')}) AS leaf,
+CASE WHEN {_CRC} % 3 = 0 THEN sha256({_HEAD} || {_FIELD.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) END AS other FROM documents),
+l AS (SELECT doc_id, k, leaf, coalesce(other, leaf) AS other, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY k) AS n FROM e),
+a AS (SELECT k, 0 AS lv, pos AS i, leaf AS d, n FROM l UNION ALL SELECT k, lv + 1, i // 8, sha256(string_agg(d, '' ORDER BY i)), (n + 7) // 8 FROM a WHERE n > 1 GROUP BY k, lv, i // 8, n),
+t AS (SELECT k, lv AS h, d, row_number() OVER (ORDER BY k) - 1 AS pos, count(*) OVER () AS n FROM a WHERE n = 1),
+b AS (SELECT 0 AS lv, pos AS i, d, n FROM t UNION ALL SELECT lv + 1, i // 8, sha256(string_agg(d, '' ORDER BY i)), (n + 7) // 8 FROM b WHERE n > 1 GROUP BY lv, i // 8, n),
+p AS (SELECT l.k, l.pos, a.lv AS s, a.i, a.d, a.i = l.pos >> (3 * a.lv) AS own FROM l JOIN a ON a.k = l.k AND a.n > 1 AND a.i >> 3 = l.pos >> (3 * a.lv + 3)
+UNION ALL SELECT l.k, l.pos, t.h + b.lv, b.i, b.d, b.i = t.pos >> (3 * b.lv) FROM l JOIN t ON t.k = l.k JOIN b ON b.n > 1 AND b.i >> 3 = t.pos >> (3 * b.lv + 3)),
+f AS (SELECT k, pos, 0 AS s, other AS cur FROM l UNION ALL SELECT f.k, f.pos, f.s + 1, sha256(string_agg(CASE WHEN own THEN cur ELSE d END, '' ORDER BY i)) FROM f JOIN p ON p.k = f.k AND p.pos = f.pos AND p.s = f.s GROUP BY f.k, f.pos, f.s),
+g AS (SELECT k, pos, max_by(cur, s) AS folded FROM f GROUP BY k, pos),
+q AS (SELECT k, pos, string_agg(d, '' ORDER BY s, i) AS proof FROM p WHERE NOT own GROUP BY k, pos)
+SELECT l.doc_id, l.leaf, t.d AS subroot, r.d AS root, sha256(coalesce(q.proof, '')) AS proof_sha256, g.folded AS folded_root, g.folded = r.d AS verified
+FROM l JOIN t ON t.k = l.k JOIN (SELECT d FROM b WHERE n = 1) r ON true JOIN g ON g.k = l.k AND g.pos = l.pos LEFT JOIN q ON q.k = l.k AND q.pos = l.pos
+"""

@@ -98,4 +98,4 @@ QUERIES = {
     "op13_deleted_interpolation": op13_deleted_interpolation,
 }
 
-ORACLES: dict[str, str] = {"op1_secret_ownership": secrets.SCAN_SQL, "op5_minhash_near_duplicates": oracles.NEAR_DUPLICATES_SQL, "op6_fuzzy_line_dedup": oracles.LINES_SQL}
+ORACLES: dict[str, str] = {"op1_secret_ownership": secrets.SCAN_SQL, "op5_minhash_near_duplicates": oracles.NEAR_DUPLICATES_SQL, "op6_fuzzy_line_dedup": oracles.LINES_SQL, "op12_merkle_time_forward": oracles.MERKLE_SQL}
