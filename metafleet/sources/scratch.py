@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; in local mode a temporary one where that is unset.
@@ -28,8 +32,12 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to a new path of the shared folder and read again: computed once, whoever reads it."""
+    """``df`` written to a new path of the shared folder and read again: computed once, whoever reads it.
+
+    It cuts the lineage and survives lost executors.
+    """
     path = new_path(df.sparkSession, name)
+    _made.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -38,3 +46,14 @@ def dropped(spark: SparkSession, path: str) -> None:
     """Deletes a path of the shared folder."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what ``written`` has written inside: for work whose result has been stored by then."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        while len(_made) > before:
+            dropped(spark, _made.pop())

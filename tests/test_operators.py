@@ -248,3 +248,16 @@ def test_landed_datasets_answer_the_gate_by_their_digests(spark, tmp_path):
     gate = sync.gated(_spec("landed", has_checksum=True), tasks, source)
     assert {(r.database_id, r.checksum, r.moved) for r in gate.collect()} == {(1, sums[1], 0), (2, sums[2], 1)}
     assert {r.database_id for r in landing.rows(gate).collect()} == {2}
+
+
+def test_passing_tables_go(spark):
+    from metafleet.sources import scratch
+
+    kept = scratch.written(spark.range(3), "kept")
+    with scratch.passing(spark):
+        gone = scratch.written(spark.range(3), "gone")
+        assert gone.count() == 3
+    path = gone.inputFiles()[0].rsplit("/", 1)[0]
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    assert not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    assert kept.count() == 3
