@@ -1,42 +1,5 @@
-"""Tables written to the folder that driver and executors share."""
+"""Tables written to the folder that driver and executors share (``sources.scratch``)."""
 
-from __future__ import annotations
+from metafleet.sources.scratch import dropped, new_path, passing, shared_dir, written
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; in local mode a temporary one where that is unset.
-
-    A cluster without the setting is an error: a machine-local folder would lose data there.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def dropped(spark: SparkSession, path: str) -> None:
-    """Delete a path of the shared folder."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+__all__ = ["dropped", "new_path", "passing", "shared_dir", "written"]
