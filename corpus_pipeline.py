@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from metafleet.llm import bpe, decontamination, language, linededup, minhash
 from metafleet.llm.queries import tokenizer_source
-from metafleet.llm.shared import dropped, new_path, written
+from metafleet.llm.shared import dropped, new_path, passing, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -106,11 +106,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``, each stage's table written and read again."""
+    """The stages over ``documents``, each stage's table written and read again; what a stage has written for itself goes at its end."""
     docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS), None
     for name, stage in STAGES:
         path = new_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with passing(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
         if last:
             dropped(spark, last)
