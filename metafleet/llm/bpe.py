@@ -225,7 +225,8 @@ def encode(docs: DataFrame, source: str, lexicon: str | None = None, id_col: str
     """(doc_id, ids): the ids of every whole text as little-endian uint32. Null texts are empty ones.
 
     ``source``: the tokenizer file's contents. ``lexicon``: what ``build_lexicon`` returned. With ``decoded``
-    each row's ids are decoded in the same pass, as ``decode`` does. Repeated rows are encoded each for itself.
+    each row's ids are decoded in the same pass, as ``decode`` does. Repeated rows are encoded each for itself,
+    texts of any length whole, one at a time; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(source)
 

@@ -156,7 +156,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, id_
 
     A row for each pair whose tiles cover ``coverage`` of the item's tokens or more. Tokens are letters
     and digits in lower case. Items of fewer tokens than a seed are never found, nor null texts; rows
-    of documents with equal ids give one row for each item, the best. A null doc_id is an id like others.
+    of documents with equal ids give one row for each item, the best. A null doc_id is an id like others. Texts of any
+    length are read whole; of equally good rows of one id and item the one of more tiles counts. Without rows on either side
+    there is no leak.
     """
     items = written(benchmark_tokens(benchmark, "item_id", "text").where(F.size("tokens") >= SEED), "items")
     seeds = written(seed_table(items, ["item_id"]).distinct(), "seeds")

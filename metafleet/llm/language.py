@@ -99,7 +99,8 @@ def mixtures(code: np.ndarray, starts: np.ndarray, words: np.ndarray, table: np.
     """For each text that has words: its number, all shares, and the shares of the chosen set (others 0).
 
     The sets tried are the 1, 2, ... languages of the greatest shares, as long as the penalised
-    likelihood rises; the penalty of a set is half the logarithm of the number of words for each share but one.
+    likelihood rises; the penalty of a set is half the logarithm of the number of words for each share but one. Of equal shares
+    the language that comes first by name counts as the greater.
     """
     ll = np.add.reduceat(table[code], starts, axis=0)
     top = ll.max(axis=1, keepdims=True)

@@ -249,7 +249,7 @@ def _small(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBa
 def media_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, media): every text's payload as a Matroska file.
 
-    Null texts are empty ones; repeated rows have files each, equal ones. A task holds a few MB of texts at a
+    Null texts are empty ones; repeated rows have files each, equal ones; an empty table gives none. A task holds a few MB of texts at a
     time, or one text if that is longer, and its file.
     """
 

@@ -71,7 +71,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     ``WIDE_REPOSITORIES`` repositories or more), a place that several patterns find once. ``repositories`` and
     ``owners`` are those of the row's most copied value, 0 without any. Null texts are empty ones, null
     owners one owner, rows with equal ids one repository. Repeated rows are scanned each for itself, texts
-    of any length as a whole. Candidates are written once, by hash, without their values.
+    of any length as a whole. An empty table gives no rows. Candidates are written once, by hash, without their values.
     """
     found = valued(candidates(docs, id_col, text_col, owner_col))
     facts = found.select("row", "doc_id", "owner", "kind", "i", "gap", "size", "hash", live_looking(F.col("value")).alias("live"), F.length("value").alias("value_size"))

@@ -191,7 +191,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, fit_rows: int =
     Learns from the rows of ``labels`` (doc_id, toxic) whose fold (crc32 of the id) isn't 0; a null
     toxic teaches nothing, of several labels the greatest counts. Null and empty texts have no
     evidence: their score is the curve's at 0. Texts of any length are read whole, repeated rows score alike. Without labels of both classes every score is the
-    share of toxic ones (0 without any labels). Null ids are not held out.
+    share of toxic ones (0 without any labels). Null ids are not held out; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     fold = crc_fold("doc_id", folds)

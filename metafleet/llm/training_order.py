@@ -43,7 +43,10 @@ def permute(index: np.ndarray, n: int, key: int) -> np.ndarray:
 
 
 def byte_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids): the texts' UTF-8 bytes as ids of one byte, and ``END``. Null texts are empty ones."""
+    """(doc_id, ids): the texts' UTF-8 bytes as ids of one byte, and ``END``.
+
+    Null texts are empty ones, repeated rows have ids each; texts of any length are taken whole.
+    """
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.concat(text, F.lit(bytes([END]))).alias("ids"))
 

@@ -69,3 +69,30 @@ def test_odd_rows(spark, docs_of, odd_rows):
     assert d.leaks(docs_of([]), bench).count() == 0 and d.leaks(docs_of(odd_rows), bench.limit(0)).count() == 0
     df = docs_of(odd_rows).withColumns({c: F.lit(1) for c in ("tokens", "item_id", "row", "seed", "cut", "text_key")})
     assert d.leaks(df, bench).count() == 2
+
+
+def test_leaks_equal_brute_force(spark, docs_of):
+    """Every document against every item: tiles of the whole token lists, by the definition."""
+    r = random.Random(5)
+    vocabulary = [f"v{k}" for k in range(40)]
+    items = [(k, " ".join(r.choice(vocabulary) for _ in range(r.randrange(4, 24)))) for k in range(8)]
+    rows = []
+    for k in range(200):
+        text = [r.choice(vocabulary) for _ in range(r.randrange(0, 40))]
+        for _ in range(r.randrange(3)):
+            whole = r.choice(items)[1].split()
+            cuts = sorted(r.sample(range(len(whole) + 1), 2))
+            at = r.randrange(len(text) + 1)
+            text[at:at] = whole[cuts[0] : cuts[1]]
+        rows.append((k, r.choice([" ", ", ", "\n"]).join(text)))
+    want = set()
+    for doc_id, text in rows:
+        tokens = text.replace(",", " ").split()
+        for item_id, item in items:
+            tiles = brute(item.split(), tokens, d.SEED)
+            matched = sum(n for _, _, n in tiles)
+            if matched >= d.COVERAGE * len(item.split()):
+                want.add((doc_id, item_id, matched, len(item.split()), len(tiles)))
+    got = {(x.doc_id, x.item_id, x.matched, x.item_tokens, x.tiles) for x in d.leaks(docs_of(rows), bench_of(spark, items)).collect()}
+    assert not got ^ want, (len(got), len(want), sorted(got - want)[:5], sorted(want - got)[:5])
+    assert len(want) > 20
