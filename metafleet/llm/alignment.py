@@ -8,10 +8,12 @@ corpus in buckets of B ids, so that a pair's count and its B id's highest are kn
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
 import types
+from array import array
 from collections.abc import Iterator
 from hashlib import sha256
 
@@ -27,12 +29,16 @@ from metafleet.llm.wordhash import slices
 
 #: Bytes of text in a chunk, about; bytes of a text that are tokenised at once.
 CHUNK, PIECE = 1 << 23, 1 << 20
-#: Segments and windows that a task keeps before it starts afresh.
-KEPT = 300_000
+#: Segments and windows of late that a task keeps, of each; as many older ones beside them.
+KEPT = 160_000
 
 #: Where no token of either tokenizer goes across: before blanks that follow something else than white space.
 _CUT = re.compile(r"(?<=\S)(?= )")
+#: Letters that all versions of Unicode have, with ASCII.
+_PLAIN = re.compile("[\x00-\x7F\u00C0-\u017F]*")
 _ODD = 0x9E3779B1
+# Fixed value: the words of byte-level BPE.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Tokens:
@@ -57,78 +63,158 @@ class Tokens:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(piece)]
         #: A piece with a blank after another character would go across a cut: then texts aren't cut.
         self.cuts = not any(re.search("[^▁]▁", p) for p in piece)
-        self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        self.a_len, self.b_len = ([len(x) for x in t] for t in (self.a_bytes, self.b_bytes))
+        self.a_size, self.b_size = np.array(self.a_len, np.int64), np.array(self.b_len, np.int64)
         self.a_blank, self.b_blank = (np.array([x[:1] == b" " for x in t]) for t in (self.a_bytes, self.b_bytes))
         self.guard = len(self.b.encode("x"))
-        self.segments: dict[str, tuple[bytes, bytes, bool]] = {}
-        self.windows: dict[tuple[bytes, bytes], tuple[str, bytes]] = {}
+        self.fast = fast_form(self.a, a_source, self.a_bytes)
+        self.segments, self.windows = Kept(), Kept()
+        #: Segments whose tokens don't give their bytes.
+        self.bad: set[str] = set()
 
     def learn(self, segments: list[str]) -> None:
-        """Tokenises segments: A's ids, B's ids, and whether both give the segment's bytes."""
-        # Every segment begins with a blank; after the guard B adds none of its own, also where nothing else is left.
-        b_ids = [ids[self.guard :] for ids in self.b.encode(["x" + s for s in segments], num_threads=1)]
-        for s, a, b in zip(segments, self.a.encode_batch_fast(segments, add_special_tokens=False), b_ids):
-            raw = s.encode()
-            good = b"".join([self.a_bytes[k] for k in a.ids]) == raw and b"".join([self.b_bytes[k] for k in b]) == raw
-            self.segments[s] = np.array(a.ids, np.int32).tobytes(), np.array(b, np.int32).tobytes(), good
-
-    def ids(self, piece: str) -> tuple[bytes, bytes] | None:
-        """The ids of a piece that begins with a blank; None if the tokens don't give its bytes."""
+        """Tokenises segments that aren't kept yet: A's ids and B's ids.
+
+        Segments that end with something else than white space are tokenised as one text, since no token goes from one to the next;
+        A's fast form takes those of plain letters, where its words are the same in all versions of Unicode.
+        """
+        inner = [s for s in segments if not s[-1].isspace()] if self.cuts else []
+        plain = [s for s in inner if s.isascii() or _PLAIN.fullmatch(s)] if self.fast else []
+        a = self._split(self.fast.encode_ordinary("".join(plain)), self.a_size, plain) if plain else {}
+        rest = segments if not a else [s for s in segments if s not in a] if len(a) < len(segments) else []
+        if rest:
+            a |= {s: array("i", e.ids).tobytes() for s, e in zip(rest, self.a.encode_batch_fast(rest, add_special_tokens=False))}
+        # After the guard B adds no blank of its own, also where nothing but blanks is left.
+        b = self._split(self.b.encode("x" + "".join(inner))[self.guard :], self.b_size, inner) if inner else {}
+        rest = segments if not b else [s for s in segments if s not in b] if len(b) < len(segments) else []
+        if rest:
+            b |= {s: array("i", ids[self.guard :]).tobytes() for s, ids in zip(rest, self.b.encode(["x" + s for s in rest], num_threads=1))}
+        found = [(a[s], b[s]) for s in segments]
+        if not self.whole(b"".join([x for x, _ in found]), b"".join([y for _, y in found]), "".join(segments).encode()):
+            self.bad.update(s for s, (x, y) in zip(segments, found) if not self.whole(x, y, s.encode()))
+        self.segments.young.update(zip(segments, found))
+
+    def _split(self, ids: list[int], size: np.ndarray, segments: list[str]) -> dict[str, bytes]:
+        """The ids of each of several segments from those of all; nothing if they don't fall apart so."""
+        raw = np.fromiter(ids, np.int32, len(ids))
+        ends = np.cumsum(size[raw])
+        cuts = np.cumsum([len(s) if s.isascii() else len(s.encode()) for s in segments])
+        at = np.searchsorted(ends, cuts)
+        if not len(ends) or ends[-1] != cuts[-1] or (ends[at] != cuts).any():
+            return {}
+        blob, bounds = raw.tobytes(), (4 * (at + 1)).tolist()
+        return dict(zip(segments, map(blob.__getitem__, map(slice, [0, *bounds], bounds))))
+
+    def ids(self, piece: str) -> list[tuple[bytes, bytes]] | None:
+        """A's and B's ids of the segments of a piece that begins with a blank; None if the tokens don't give its bytes."""
         parts = _CUT.split(piece) if self.cuts else [piece]
-        if len(self.segments) > KEPT:
-            self.segments.clear()
-        new = [s for s in dict.fromkeys(parts) if s not in self.segments]
+        new = self.segments.lacking(parts)
         if new:
             self.learn(new)
-        found = [self.segments[s] for s in parts]
+        young = self.segments.young
+        found = [young[s] for s in parts]
+        good = not self.bad or self.bad.isdisjoint(parts) or self.whole(b"".join([x for x, _ in found]), b"".join([y for _, y in found]), piece.encode())
         for s in new:
             if len(s) > 200:
-                del self.segments[s]
-        a, b = b"".join([x for x, _, _ in found]), b"".join([y for _, y, _ in found])
-        if all(z for _, _, z in found) or self.whole(a, b, piece.encode()):
-            return a, b
-        return None
+                del young[s]
+                self.bad.discard(s)
+        return found if good else None
 
     def whole(self, a: bytes, b: bytes, raw: bytes) -> bool:
-        return all(b"".join([t[k] for k in np.frombuffer(x, np.int32).tolist()]) == raw for t, x in ((self.a_bytes, a), (self.b_bytes, b)))
-
-    def window(self, key: tuple[bytes, bytes]) -> tuple[str, bytes]:
-        """A window's groups as text, and its links as keys (see ``pair_key``)."""
-        a, b = (np.frombuffer(x, np.int32) for x in key)
-        at_a, at_b = shared_ends(np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]))
-        text, links = [], []
-        i = j = 0
-        for x, y in zip((at_a + 1).tolist(), (at_b + 1).tolist()):
-            text.append(",".join(map(str, a[i:x].tolist())) + "|" + ",".join(map(str, b[j:y].tolist())))
-            links.append(pair_key(int(a[x - 1]), int(b[y - 1])))
-            i, j = x, y
-        found = ";".join(text), np.array(links, np.uint64).tobytes()
-        if len(self.windows) > KEPT:
-            self.windows.clear()
+        return all(b"".join(map(t.__getitem__, memoryview(x).cast("i").tolist())) == raw for t, x in ((self.a_bytes, a), (self.b_bytes, b)))
+
+    def window(self, key: tuple[bytes, bytes]) -> str:
+        """A window's groups as text, for its tuples of ids. Both sides end at one byte."""
+        found = self.windows.old.get(key)
+        if found is None:
+            a, b = memoryview(key[0]).cast("i").tolist(), memoryview(key[1]).cast("i").tolist()
+            a_len, b_len = [self.a_len[k] for k in a], [self.b_len[k] for k in b]
+            found = ";".join(map("%d|%d".__mod__, zip(a, b))) if a_len == b_len else self._groups(a, b, a_len, b_len)
         if len(key[0]) + len(key[1]) <= 400:
-            self.windows[key] = found
+            self.windows.young[key] = found
         return found
 
-    def aligned(self, a_raw: bytes, b_raw: bytes) -> tuple[int, int, list[tuple[str, bytes]]]:
-        """Tokens of A, of B, and the windows of a piece."""
+    def _groups(self, a: list[int], b: list[int], a_len: list[int], b_len: list[int]) -> str:
+        text, i, j, x, y = [], 0, 0, 0, 0
+        a_end, b_end, n = a_len[0], b_len[0], len(a)
+        while True:
+            if a_end == b_end:
+                text.append(f"{a[x]}|{b[y]}" if i == x and j == y else ",".join(map(str, a[i : x + 1])) + "|" + ",".join(map(str, b[j : y + 1])))
+                i, j = x, y = x + 1, y + 1
+                if i == n:
+                    return ";".join(text)
+                a_end, b_end = a_end + a_len[i], b_end + b_len[j]
+            elif a_end < b_end:
+                x += 1
+                a_end += a_len[x]
+            else:
+                y += 1
+                b_end += b_len[y]
+
+    def aligned(self, segments: list[tuple[bytes, bytes]]) -> tuple[int, int, list[str], np.ndarray]:
+        """Tokens of A, of B, the windows' groups and the links' keys of a piece.
+
+        A key is one pair of ids, one to one: the B id comes first, spread over all leading bits.
+        """
+        a_raw, b_raw = b"".join([x for x, _ in segments]), b"".join([y for _, y in segments])
         a, b = np.frombuffer(a_raw, np.int32), np.frombuffer(b_raw, np.int32)
         at_a, at_b = shared_ends(np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]))
         # Anchors: verified shared ends before tokens that begin with a blank in both, and the piece's end.
         anchor = np.ones(len(at_a), bool)
         anchor[:-1] = self.a_blank[a[at_a[:-1] + 1]] & self.b_blank[b[at_b[:-1] + 1]]
-        xs, ys = (4 * (at_a[anchor] + 1)).tolist(), (4 * (at_b[anchor] + 1)).tolist()
-        windows, found, i, j = self.windows, [], 0, 0
-        for x, y in zip(xs, ys):
-            key = a_raw[i:x], b_raw[j:y]
-            got = windows.get(key)
-            found.append(got if got is not None else self.window(key))
-            i, j = x, y
-        return len(a), len(b), found
-
+        keys = segments
+        # Between segments there is an anchor; if there is no other one the windows are the segments.
+        if np.count_nonzero(anchor) != len(segments):
+            xs, ys = (4 * (at_a[anchor] + 1)).tolist(), (4 * (at_b[anchor] + 1)).tolist()
+            keys = list(zip(map(a_raw.__getitem__, map(slice, [0, *xs], xs)), map(b_raw.__getitem__, map(slice, [0, *ys], ys))))
+        self.windows.turn()
+        get, window = self.windows.young.get, self.window
+        links = (b[at_b].astype(np.uint64) * np.uint64(_ODD) & np.uint64(0xFFFFFFFF)) << np.uint64(32) | a[at_a].astype(np.uint64)
+        return len(a), len(b), [get(key) or window(key) for key in keys], links
+
+
+class Kept:
+    """What was met of late: when ``KEPT`` things are young they are old, and what was old goes."""
+
+    def __init__(self):
+        self.young, self.old = {}, {}
+
+    def turn(self) -> None:
+        if len(self.young) > KEPT:
+            self.young, self.old = {}, self.young
+
+    def lacking(self, keys: list) -> list:
+        """Those of the keys that aren't kept, each once; old ones become young."""
+        self.turn()
+        young, old, out = self.young, self.old, []
+        for key in dict.fromkeys(keys):
+            if key not in young:
+                if key in old:
+                    young[key] = old[key]
+                else:
+                    out.append(key)
+        return out
+
+
+def fast_form(tokenizer, source: str, token_bytes: list[bytes]):
+    """The same byte-level BPE by ranks, which is faster, or None where that isn't sure to give the same ids of ASCII texts.
+
+    Merging the neighbours of the lowest rank does what the merges do if ranks follow the merges and the merges make every token
+    of its own bytes: then two neighbours that make up a token are always the two that its merge names.
+    """
+    import tiktoken
 
-def pair_key(a: int, b: int) -> int:
-    """A key of a pair of ids, one to one: the B id comes first, spread over all leading bits."""
-    return (b * _ODD & 0xFFFFFFFF) << 32 | a
+    spec = json.loads(source)
+    model, steps = spec["model"], [spec["pre_tokenizer"]]
+    made = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    known = steps[0]["type"] == "ByteLevel" and steps[0].get("use_regex", True) and not steps[0].get("add_prefix_space") and not spec["normalizer"]
+    if not known or made != sorted(set(made)) or len(made) + 256 != len(model["vocab"]) - sum(t["content"] in model["vocab"] for t in spec["added_tokens"]):
+        return None
+    special = {t["content"] for t in spec["added_tokens"]}
+    if any(len(tokenizer.model.tokenize(t)) != 1 for t in model["vocab"] if t not in special):
+        return None
+    ranks = {token_bytes[k]: k for t, k in model["vocab"].items() if t not in special}
+    return tiktoken.Encoding("ranks", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
 
 def shared_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,14 +253,14 @@ def align_text(tokens: Tokens, text: str | None, keep: bool) -> tuple[int, int,
         ids = tokens.ids(piece)
         if ids is None:
             return none
-        a, b, found = tokens.aligned(*ids)
-        groups = ";".join([g for g, _ in found])
+        a, b, found, keys = tokens.aligned(ids)
+        groups = ";".join(found)
         digest.update((";" + groups if n_a else groups).encode())
         n_a, n_b = n_a + a, n_b + b
-        links += [x for _, x in found]
+        links.append(keys)
         if keep:
             kept.append(groups)
-    keys = np.frombuffer(b"".join(links), np.uint64)
+    keys = np.concatenate(links)
     return n_a, n_b, len(keys), digest.hexdigest(), keys, ";".join(kept) if keep else None
 
 
