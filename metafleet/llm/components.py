@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from metafleet.llm.shared import written
 
-#: Stars of a bucket before the members of different classes are held against each other.
-STARS = 3
+#: Stars of a bucket, at least and at most, before the members of different classes are held against each other; beyond the least
+#: number they go on while one leaves at most so many hundredths of the open members.
+STARS, MOST_STARS, LEAVES = 3, 12, 70
 #: Members of a bucket that one task holds against all others of it.
 BLOCK = 1 << 12
 #: Pairs of a node and another class that are confirmed in each further round; the last takes all that are left.
@@ -84,10 +85,13 @@ def may_link(a: str, b: str, words: int, percent: int) -> Column:
 
 
 def shared_buckets(buckets: DataFrame) -> DataFrame:
-    """Of (bucket, node), distinct rows, those whose bucket has another node; ``lo`` is the bucket's least node."""
-    each = Window.partitionBy("bucket")
-    spans = buckets.select("bucket", "node", F.min("node").over(each).alias("lo"), F.max("node").over(each).alias("hi"))
-    return spans.where("lo <> hi").select("bucket", "node", "lo")
+    """Of (bucket, node), distinct rows, those whose bucket has another node; ``lo`` is the bucket's least node.
+
+    Extremes are aggregates, combined before they are dealt out, and only those of shared buckets are written. The join takes them back
+    to the rows, and Spark splits it where a bucket is large: no task sees a whole bucket. ``buckets`` is read twice.
+    """
+    spans = buckets.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
+    return buckets.join(written(spans.select("bucket", "lo"), "spans"), "bucket").select("bucket", "node", "lo")
 
 
 def _renamed(sketches: DataFrame, side: str) -> DataFrame:
@@ -159,13 +163,17 @@ def linked_classes(members: DataFrame, sketches: DataFrame, confirm: Callable[[D
         if not found.isEmpty():
             roots = with_links(roots, found)
 
-    for turn in range(STARS):
+    n_open = members.count()
+    for turn in range(MOST_STARS):
         may = _sketched(star_pairs(rest, turn), sketches, words, percent)
         best = may.groupBy("a").agg(F.min(F.struct("off", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
         tested(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(checked, ["a", "b"], "left_anti"))
         rest = _open(rest, roots)
-        if rest.isEmpty():
+        was, n_open = n_open, rest.count()
+        if not n_open:
             return roots
+        if turn + 1 >= STARS and n_open * 100 > was * LEAVES:
+            break
     held = across(rest) if across else block_pairs(rest, sketches, words, percent)
     left = written(held.join(checked, ["a", "b"], "left_anti"), "left")
     for turn, most in enumerate(BEST):

@@ -82,7 +82,8 @@ def band_table(lines: DataFrame) -> DataFrame:
 
     The shingle nearest to a fixed number, as bits go, is the least of a random order: a minimum per number.
     """
-    signs = shingle_rows(lines).groupBy("node").agg(*(F.min(F.col("h").bitwiseXOR(seed(k))).alias(f"m{k}") for k in range(MINIMA)))
+    minima = shingle_rows(lines).groupBy("node").agg(*(F.min(F.col("h").bitwiseXOR(seed(k))).alias(f"m{k}") for k in range(MINIMA)))
+    signs = written(minima, "signatures")
     keys = F.array(*(F.xxhash64(F.lit(b), *(f"m{k}" for k in band)) for b, band in enumerate(BANDS)))
     return signs.select(F.explode(keys).alias("bucket"), "node")
 
@@ -118,7 +119,7 @@ def repeated_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", t
     Lines are equal up to case and white space, or similar by ``percent``; links join into components.
     Blank lines and null texts have no lines here. A null doc_id comes before all others. Rows are told
     apart by id and text: rows with both equal are one row and share their fate. Lines of any length
-    are taken whole. Two of m distinct lines share a hash with a chance of m * m / 2 ** 65.
+    are taken whole; an empty table has no lines. Two of m distinct lines share a hash with a chance of m * m / 2 ** 65.
     """
     lines = written(line_table(docs, id_col, text_col), "lines")
     place = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("at"), "doc_id", "row_key", "line_no")

@@ -228,14 +228,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     distinct shingles have 100 * intersection >= percent * union; ``component_id`` is the least id
     reachable by links, ``kept`` says whether it is the row's own. Texts without words (null, empty)
     are linked with nothing. Rows with equal ids share their fate only if their texts are linked. A
-    null id is nobody's least id: such a row is kept only if all of its component's ids are null.
+    null id is nobody's least id: such a row is kept only if all of its component's ids are null. Texts of any
+    length are compared whole, a task holds one of them at a time or two that it confirms; an empty table gives no rows.
     """
     feats = written(features(docs, shingle, id_col, text_col), "features")
     some = feats.where("node is not null")
     words = [f"w{k}" for k in range(WORDS)]
-    classes = written(some.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), *(F.first(w).alias(w) for w in words)), "classes")
-    # Bands travel once for each node and task: equal rows are one before the shuffle.
-    members = written(shared_buckets(some.select(F.explode("bands").alias("bucket"), "node").distinct()), "members")
+    # Copies have one node: from here on rows are distinct sets.
+    classes = written(some.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), *(F.first(w).alias(w) for w in words)), "classes")
+    members = written(shared_buckets(classes.select(F.explode("bands").alias("bucket"), "node")), "members")
 
     # The texts of all nodes that share a bucket with another, fetched once.
     wanted = classes.join(members.select("node").distinct(), "node").select("node", "least")

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -157,3 +158,18 @@ def test_group_of_near_copies(docs_of):
     for i, _, root, _ in brute(rows, 4, 80):
         want.setdefault(root, []).append(i)
     assert linededup.dropped_lines(docs_of(rows)).where("n_dropped = 0").count() <= len(want)
+
+
+@pytest.mark.parametrize("shared, more, most", [(4, 1, 0.004), (8, 2, 0.001), (32, 8, 0.001), (160, 40, 0.001)])
+def test_pairs_at_the_threshold_share_a_band(shared, more, most):
+    """Pairs of sets at a similarity of exactly 0.8: the share that no bucket has both of."""
+    rng, pairs = np.random.default_rng(shared), 4000
+    hashes = rng.integers(0, 1 << 64, (pairs, shared + more), dtype=np.uint64)
+    sides = []
+    for n in (shared, shared + more):
+        doc = np.repeat(np.arange(pairs), n)
+        flat = hashes[:, :n].ravel()
+        order = np.lexsort((flat, doc))
+        sides.append(minhash.band_keys(minhash.signatures(doc[order], flat[order], pairs)))
+    missed = 1 - (sides[0] == sides[1]).any(axis=1).mean()
+    assert missed <= most, missed
