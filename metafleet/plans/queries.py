@@ -330,10 +330,15 @@ def _(i):
     return status.dataset_checksum(i.snap_cur, ["scope_id"], _COLUMNS, i.snap_cur.select("scope_id").unionByName(i.collected))
 
 
+def _long_sum(value):
+    """The sum where a long holds it, and beyond its remainder by 2 ** 63: some 65,000 values of 48 bits are more."""
+    return (F.sum(value.cast("decimal(38,0)")) % F.lit(str(1 << 63)).cast("decimal(38,0)")).cast("long")
+
+
 @query("dataset_checksum_sha", "SELECT scope_id, count(*) AS n_rows, sum(('0x' || substr(sha256(concat_ws('|', item_key, status, priority, cents)), 1, 12))::BIGINT)::BIGINT AS checksum FROM snap_cur GROUP BY scope_id")
 def _(i):
     part = F.conv(F.substring(F.sha2(F.concat_ws("|", "item_key", "status", "priority", "cents"), 256), 1, 12), 16, 10).cast("long")
-    return i.snap_cur.groupBy("scope_id").agg(F.count("*").alias("n_rows"), F.sum(part).alias("checksum"))
+    return i.snap_cur.groupBy("scope_id").agg(F.count("*").alias("n_rows"), _long_sum(part).alias("checksum"))
 
 
 _HALF_NEW = "(SELECT * FROM snap_cur WHERE scope_id < 4 UNION ALL SELECT * FROM snap_new WHERE scope_id >= 4)"

@@ -35,6 +35,16 @@ def test_query(spark, duck, name):
     assert ours == theirs
 
 
+def test_checksum_beyond_a_long(spark, duck, tmp_path):
+    """A scope of so many rows that their sum is no long any more; scopes whose sum is one keep it."""
+    spark.range(110_000).selectExpr("id * 10 + 1 AS o_orderkey", "CASE WHEN id < 100000 THEN 8 ELSE id END AS o_custkey", "'O' AS o_orderstatus", "'1-URGENT' AS o_orderpriority", "CAST(id AS DOUBLE) AS o_totalprice").write.parquet(f"{tmp_path}/orders.parquet")
+    got = {r.scope_id: (r.n_rows, r.checksum) for r in QUERIES["dataset_checksum_sha"](spark, str(tmp_path)).collect()}
+    whole = ORACLES["dataset_checksum_sha"].replace("FROM orders", f"FROM '{tmp_path}/orders.parquet/*.parquet'").replace("::BIGINT)::BIGINT", "::BIGINT)::HUGEINT")
+    want = {s: (n, total) for s, n, total in duck.execute(whole).fetchall()}
+    assert max(t for _, t in want.values()) >= 1 << 63 > min(t for _, t in want.values())
+    assert got == {s: (n, t % (1 << 63)) for s, (n, t) in want.items()}
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
