@@ -62,25 +62,42 @@ def _months(from_, to) -> Column:
     return F.sequence(number(from_), F.greatest(number(from_), number(to - F.expr("INTERVAL '0.000001' SECOND"))))
 
 
-def temporal_join(left: DataFrame, right: DataFrame, keys: list[str], horizon) -> DataFrame:
+#: Versions of a key from which on its history is long: its pairs are found month by month. The pairs of a shorter one are looked
+#: at one by one, fewer than so many for each version.
+LONG = 512
+#: The cut of a version that is not cut, no month's number.
+_WHOLE = -(1 << 31)
+
+
+def _long_keys(sides: list[DataFrame], keys: list[str], long: int) -> DataFrame:
+    """The keys of which a side has ``long`` versions or more, few by that: each stands for as many rows."""
+    found = [df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") >= long).select(*keys) for df in sides]
+    return found[0].unionByName(found[1]).distinct().withColumn("_long", F.lit(True))
+
+
+def temporal_join(left: DataFrame, right: DataFrame, keys: list[str], horizon, long: int = LONG) -> DataFrame:
     """Two tables of versions (keys, ..., ``_ValidFrom``, ``_ValidTo``) joined where both were valid at once.
 
     ``_ValidFrom`` and ``_ValidTo`` of a row are those of the common time; versions still valid last to ``horizon`` and have a null
-    end where both do. Other columns of the right side that the left has too are called ``right_...``. Intervals are cut to months, so
-    that versions meet by key and month in an equi-join, however long a key's history is; a pair comes out in the
-    first month that both touch, and once. Versions of no duration meet nothing.
+    end where both do. Other columns of the right side that the left has too are called ``right_...``. Versions meet by their key
+    in an equi-join. Those of keys with a history of ``long`` versions or more are cut to months and meet by key and month, so that no
+    key's pairs grow with the square of its history; a pair comes out in the first month that both touch, and once. All other
+    versions are moved once, however many months they last. Versions of no duration meet nothing.
     """
     end = F.lit(horizon).cast(left.schema["_ValidTo"].dataType)
+    lasting = [df.where(F.col("_ValidFrom") < F.coalesce("_ValidTo", end)) for df in (left, right)]
+    many = F.broadcast(_long_keys(lasting, keys, long))
 
     def side(df: DataFrame, name: str) -> DataFrame:
         rest = [c for c in df.columns if c not in (*keys, "_ValidFrom", "_ValidTo")]
         rows = df.withColumns({f"_from_{name}": F.col("_ValidFrom"), f"_to_{name}": F.coalesce("_ValidTo", end), f"_open_{name}": F.col("_ValidTo").isNull()})
-        rows = rows.where(F.col(f"_from_{name}") < F.col(f"_to_{name}")).withColumn("_cut", F.explode(_months(F.col(f"_from_{name}"), F.col(f"_to_{name}"))))
+        months = F.when(F.col("_long"), _months(F.col(f"_from_{name}"), F.col(f"_to_{name}"))).otherwise(F.array(F.lit(_WHOLE)))
+        rows = rows.join(many, keys, "left").withColumn("_cut", F.explode(months))
         taken = set(left.columns) if name == "r" else set()
         return rows.select(*keys, "_cut", *(F.col(f"_{c}_{name}") for c in ("from", "to", "open")), *(F.col(c).alias(f"right_{c}" if c in taken else c) for c in rest))
 
-    both = side(left, "l").join(side(right, "r"), [*keys, "_cut"])
+    both = side(lasting[0], "l").join(side(lasting[1], "r"), [*keys, "_cut"])
     start, stop = F.greatest("_from_l", "_from_r"), F.least("_to_l", "_to_r")
-    first = F.col("_cut") == F.year(start) * 12 + F.month(start)
+    first = (F.col("_cut") == _WHOLE) | (F.col("_cut") == F.year(start) * 12 + F.month(start))
     found = both.where((start < stop) & first).withColumns({"_ValidFrom": start, "_ValidTo": F.when(~(F.col("_open_l") & F.col("_open_r")), stop)})
     return found.drop("_cut", *(f"_{c}_{s}" for c in ("from", "to", "open") for s in "lr"))

@@ -113,6 +113,31 @@ def test_temporal_join(spark):
     assert "SortMergeJoin" in got._jdf.queryExecution().toString() or "HashJoin" in got._jdf.queryExecution().toString()
 
 
+def test_temporal_join_moves_versions_once(spark):
+    """Versions that last for years are one row each on their way to the join; those of long histories are cut, to the same result."""
+    d = lambda y, m=1: datetime(y, m, 1)
+    schema = "k int, v string, _ValidFrom timestamp_ntz, _ValidTo timestamp_ntz"
+    left = spark.createDataFrame([(k, f"l{k}-{y}", d(y), None if (k + y) % 3 else d(y + 2)) for k in range(4) for y in range(1990, 1992 + k)], schema)
+    right = spark.createDataFrame([(k, f"r{k}-{y}", d(y, 6), None if (k + y) % 2 else d(y, 8)) for k in range(4) for y in range(1989, 1994)] + [(None, "n", d(1990), None)], schema)
+
+    def nodes(plan):
+        yield plan
+        children = plan.children().iterator()
+        while children.hasNext():
+            yield from nodes(children.next())
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        whole = history.temporal_join(left, right, ["k"], d(2020))
+        rows = sorted(map(str, whole.collect()))
+        made = [n.metrics().apply("numOutputRows").value() for n in nodes(whole._jdf.queryExecution().executedPlan()) if n.nodeName() == "Generate"]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(made) == 2 and sum(made) <= left.count() + right.count()
+    for long in (1, 4, 5):
+        assert sorted(map(str, history.temporal_join(left, right, ["k"], d(2020), long).collect())) == rows and len(rows) > 40
+
+
 def test_presence_drift_over_many_buckets(spark, monkeypatch):
     """No literal list in the plan; buckets that an item is in no scope of are told as well."""
     monkeypatch.setattr(drift, "BITS", 32)
