@@ -6,7 +6,7 @@ lookup, stay the same through delete and re-creation, and are unique in the whol
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,9 +40,9 @@ def item_id(*parts) -> Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
-def row_hash(columns: Iterable[str]) -> Column:
-    """SHA-256 of the row as JSON: columns by name, nulls left out, times to the microsecond."""
-    row = F.struct(*(F.col(c) for c in sorted(columns)))
+def row_hash(columns: Iterable[str], of: Callable[[str], Column] = F.col) -> Column:
+    """SHA-256 of the row as JSON: columns by name, nulls left out, times to the microsecond. ``of`` says where a column is."""
+    row = F.struct(*(of(c) for c in sorted(columns)))
     return F.sha2(F.to_json(row, {"timestampFormat": _FULL, "timestampNTZFormat": _FULL}), 256)
 
 

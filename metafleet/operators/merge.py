@@ -47,13 +47,19 @@ def first_load(snapshot: DataFrame, scope: Sequence[str], keys: Sequence[str], a
     return hashed(snapshot, scope, keys, volatile).withColumns({"_InsertDate": F.lit(as_of), "_ModifyDate": F.lit(as_of)})
 
 
+def scopes_of(df: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """The scopes in ``df``, written: Spark sees how few they are and sends them to the rows, which would
+    else be dealt by scope, all rows of a scope to one task."""
+    return written(df.select(*scope).distinct(), "scopes")
+
+
 def _collected(collected: DataFrame, snapshot: DataFrame, scope: Sequence[str], on_empty: str) -> DataFrame:
     """The scopes whose rows may be deleted; ``on_empty="keep"`` passes over those that came empty."""
-    out = collected.select(*scope).distinct()
-    if on_empty == "keep":
-        out = out.join(snapshot.select(*scope).distinct(), list(scope), "left_semi")
-    elif on_empty != "clear":
+    if on_empty not in ("keep", "clear"):
         raise ValueError(f"on_empty is keep or clear, not {on_empty}")
+    out = scopes_of(collected, scope)
+    if on_empty == "keep":
+        out = out.join(scopes_of(snapshot, scope), list(scope), "left_semi")
     return out.withColumn("_collected", F.lit(True))
 
 
@@ -70,21 +76,27 @@ def merge_snapshot(
     Keys must be unique on both sides (``rules.duplicate_keys``) and not null.
     """
     on = [*scope, *keys]
-    fresh = hashed(snapshot, scope, keys, volatile)
-    fields = [c for c in current.columns if c not in on]
-    c, s = current.select(*on, F.struct(*current.columns).alias("before")), fresh.select(*on, F.struct(*fresh.columns).alias("fresh"))
+    fields, own = ([c for c in df.columns if c not in on] for df in (current, snapshot))
+    # Keys go through the join once, and the new hash is made behind it: what is moved and sorted is as little as it can be.
+    c, s = current.select(*on, F.struct(*fields).alias("_was")), snapshot.select(*on, F.struct(F.lit(True).alias("_there") if not own else own[0], *own[1:]).alias("_now"))
     joined = c.join(s, on, "full_outer").join(_collected(collected, snapshot, scope, on_empty), list(scope), "left")
-    old, new = F.col("before").isNotNull(), F.col("fresh").isNotNull()
+    old, new = F.col("_was").isNotNull(), F.col("_now").isNotNull()
     hit = F.coalesce(F.col("_collected"), F.lit(False))
+    joined = joined.where(hit | old)
+    part = lambda name, side: F.col(name if name in on else f"{side}.{name}").alias(name)
+    fresh = row_hash([name for name in own if name not in volatile], lambda name: part(name, "_now"))
+    joined = joined.select(
+        *on, hit.alias("_hit"), F.when(old, F.struct(*(part(name, "_was") for name in current.columns))).alias("before"),
+        F.when(new, F.struct(*(part(name, "_now") for name in snapshot.columns), fresh.alias("_RowHash"))).alias("fresh"),
+    )
+    old, new, hit = F.col("before").isNotNull(), F.col("fresh").isNotNull(), F.col("_hit")
     changed = F.lit(True) if always else F.col("before._RowHash") != F.col("fresh._RowHash")
     missing = F.lit("update" if on_missing == "zero" else "delete")
-    action = (
-        F.when(~hit & old, "keep").when(~hit, "skip").when(old & ~new, missing).when(new & ~old, "insert").when(changed, "update").otherwise("same")
-    )
-    rows = joined.withColumn("_action", action).where("_action <> 'skip'")
+    action = F.when(~hit, "keep").when(old & ~new, missing).when(new & ~old, "insert").when(changed, "update").otherwise("same")
+    rows = joined.withColumn("_action", action)
 
     def after(name: str):
-        was, now = F.col(f"before.{name}"), F.col(f"fresh.{name}") if name in fresh.columns else None
+        was, now = F.col(f"before.{name}"), F.col(f"fresh.{name}") if name in (*snapshot.columns, "_RowHash") else None
         if name == "_InsertDate":
             return F.coalesce(was, F.lit(as_of))
         if name == "_ModifyDate":
@@ -113,8 +125,9 @@ def merge_zero_fill(current: DataFrame, snapshot: DataFrame, collected: DataFram
 
 def replace_scope(current: DataFrame, snapshot: DataFrame, collected: DataFrame, scope: Sequence[str] = ("scope_id",)) -> DataFrame:
     """Simple imports: a collected scope's rows are what its snapshot has, also if that is none."""
-    kept = current.join(collected.select(*scope).distinct(), list(scope), "left_anti")
-    taken = snapshot.join(collected.select(*scope).distinct(), list(scope), "left_semi")
+    scopes = scopes_of(collected, scope)
+    kept = current.join(scopes, list(scope), "left_anti")
+    taken = snapshot.join(scopes, list(scope), "left_semi")
     return kept.unionByName(taken.select(*current.columns))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
@@ -61,6 +62,10 @@ def oracle(sql: str) -> str:
     return (f"WITH {', '.join(f'{n} AS ({FIXTURES[n]})' for n in names)} " if names else "") + sql
 
 
+#: Rows of a task where a table is dealt by keys.
+TASK_ROWS = 500_000
+
+
 class Inputs:
     """The test tables and fixtures of a folder as DataFrames, by name."""
 
@@ -74,6 +79,12 @@ class Inputs:
             self._made[name] = self.sql(FIXTURES[name], name) if name in FIXTURES else self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._made[name]
 
+    def dealt(self, name: str, *by: str, rows: int = TASK_ROWS) -> Inputs:
+        """The same inputs, a table's rows dealt by expressions into tasks of about ``rows``: their number follows the table."""
+        out, table = Inputs(self.spark, self.sf_dir), getattr(self, name)
+        out._made[name] = table.repartition(max(1, -(-table.count() // rows)), *(F.expr(e) for e in by))
+        return out
+
     def sql(self, text: str, own: str = "") -> DataFrame:
         """A fixture's SQL in Spark: tables become frames, times have no zone."""
         text = text.replace("TIMESTAMP '", "TIMESTAMP_NTZ '").replace("AS TIMESTAMP)", "AS TIMESTAMP_NTZ)")

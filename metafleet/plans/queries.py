@@ -83,8 +83,12 @@ def _(i):
 FROM part_cur c FULL JOIN part_new n ON c.scope_id = n.scope_id AND c.item_key = n.item_key AND c.part_no = n.part_no""")
 def _(i):
     keys = ["item_key", "part_no"]
+    # Every line is a part of one snapshot at least.
+    collected = i.lineitem.select((F.col("l_suppkey") % 8).alias("scope_id"))
+    # Dealt by the parts' keys into as many tasks as the lines need: snapshots, sums and join go on in these.
+    i = i.dealt("lineitem", "l_suppkey % 8", "l_orderkey", "l_linenumber")
     current = merge.first_load(i.part_cur, ["scope_id"], keys, at(T0))
-    m = merge.merge_snapshot(current, i.part_new, i.part_new.select("scope_id").unionByName(i.part_cur.select("scope_id")), keys, at(T1), on_empty="clear")
+    m = merge.merge_snapshot(current, i.part_new, collected, keys, at(T1), on_empty="clear")
     return m.rows.select("scope_id", *keys, F.col("_action").alias("action"), F.col("after.n").alias("n"))
 
 

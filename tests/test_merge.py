@@ -107,3 +107,22 @@ def test_properties(spark, old, new, scopes):
     assert rows(history.as_of(m.next(), closed, D1), "scope_id", "k", "v") == sorted(old, key=str)
     assert rows(history.as_of(m.next(), closed, D2), "scope_id", "k", "v") == after
     assert closed.where("_ValidFrom >= _ValidTo").isEmpty()
+
+
+def test_merge_moves_rows_by_key_alone(spark, tmp_path):
+    """Scopes come to the rows, whatever Spark thinks of their number; the tasks follow the lines, and the keys' join needs no other deal."""
+    from metafleet.plans.fixtures import Inputs
+    from metafleet.plans.queries import QUERIES
+
+    lines = spark.range(3000).selectExpr("id % 50 AS l_suppkey", "id DIV 3 AS l_orderkey", "CAST(id % 3 AS INT) AS l_linenumber", "CAST(id % 7 AS DOUBLE) AS l_quantity")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert Inputs(spark, str(tmp_path)).dealt("lineitem", "l_orderkey", rows=100).lineitem.rdd.getNumPartitions() == 30
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        df = QUERIES["merge_composite_key"](spark, str(tmp_path))
+        n, plan = df.count(), df._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert n == 3000
+    physical = plan.split("== Physical Plan ==")[1].split("== Initial Plan ==")[0]
+    assert "hashpartitioning(scope_id" not in physical and physical.count("REPARTITION_BY_NUM") == 2
