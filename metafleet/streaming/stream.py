@@ -17,7 +17,8 @@ from metafleet.sources.store import ScopedTable
 
 def latest_snapshots(batch: DataFrame, scope: Sequence[str], at: str) -> DataFrame:
     """Of several snapshots of a scope in one batch the last one; a batch may hold many."""
-    last = batch.groupBy(*scope).agg(F.max(at).alias(at))
+    # Tables of a row for each scope are written here: Spark sees their size and doesn't deal the rows by scope.
+    last = written(batch.groupBy(*scope).agg(F.max(at).alias(at)), "last")
     return batch.join(last, [*scope, at], "left_semi")
 
 
@@ -34,13 +35,14 @@ def merge_into(table: ScopedTable, keys: Sequence[str], at: str, changes_path: s
     def run(batch: DataFrame, batch_id: int) -> None:
         scope = table.scope
         fresh = written(latest_snapshots(batch, scope, at), "batch")
-        times = fresh.select(*scope, F.col(at).alias("_At")).distinct()
+        times = written(fresh.select(*scope, F.col(at).alias("_At")).distinct(), "times")
         parts = table.touched(times)
         if not parts:
             return
         rows = fresh.where(F.col(keys[0]).isNotNull())
+        now = F.lit(batch.sparkSession.sql("SELECT current_timestamp()").first()[0])
         if not table.exists():
-            start = written(first_load(rows.drop(at), scope, keys, F.current_timestamp()), "first")
+            start = first_load(rows.drop(at), scope, keys, now)
             if changes_path and log_first:
                 whole = F.struct(*start.columns)
                 logged = start.select(*scope, *keys, F.lit("insert").alias("_action"), F.when(F.lit(False), whole).alias("before"), whole.alias("after"), F.lit(batch_id).alias("_batch"))
@@ -48,10 +50,9 @@ def merge_into(table: ScopedTable, keys: Sequence[str], at: str, changes_path: s
             table.overwrite(start.join(times, scope).withColumnRenamed("_At", "_MergedAt"))
             return
         current = table.read(parts)
-        seen = current.groupBy(*scope).agg(F.max("_MergedAt").alias("_Seen"))
+        seen = written(current.groupBy(*scope).agg(F.max("_MergedAt").alias("_Seen")), "seen")
         times = written(times.join(seen, scope, "left").where(F.col("_Seen").isNull() | (F.col("_At") > F.col("_Seen"))).select(*scope, "_At"), "times")
         rows = rows.join(times, scope, "left_semi")
-        now = F.lit(batch.sparkSession.sql("SELECT current_timestamp()").first()[0])
         merge = merge_snapshot(current.drop("_MergedAt"), rows.drop(at), times, keys, now, scope, on_empty="clear").once()
         folder = f"batch-{batch_id:012d}"
         if changes_path:

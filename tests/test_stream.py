@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 
 from metafleet.sources.store import ScopedTable
-from metafleet.streaming.stream import apply_changes, merge_into, start_status, status_table, stream_changes, stream_snapshots, stream_status
+from metafleet.streaming.stream import apply_changes, latest_snapshots, merge_into, start_status, status_table, stream_changes, stream_snapshots, stream_status
 
 D1, D2, D3 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
 SCHEMA = "scope_id int, k int, v string, at timestamp"
@@ -152,3 +152,16 @@ def test_changes_are_applied_once(spark, tmp_path):
     run = apply_changes(copy, ["k"], "other")
     run(spark.read.option("recursiveFileLookup", "true").parquet(f"{path}/changes"), 0)
     assert rows(copy) == rows(table)
+
+
+def test_snapshots_are_not_dealt_by_scope(spark, tmp_path):
+    """What a batch writes first: a small table of the scopes' times, which is sent to the rows."""
+    rows = spark.range(3000).selectExpr("CAST(id % 3 AS INT) AS scope_id", "CAST(id AS INT) AS k", "'a' AS v", "TIMESTAMP '2024-02-01 00:00:00' AS at")
+    rows.write.parquet(f"{tmp_path}/landed")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10k")
+    try:
+        kept = latest_snapshots(spark.read.parquet(f"{tmp_path}/landed"), ["scope_id"], "at")
+        n, plan = kept.count(), kept._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert n == 3000 and "BroadcastHashJoin" in plan and "hashpartitioning(scope_id" not in plan
