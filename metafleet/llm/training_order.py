@@ -102,7 +102,7 @@ def training_order(tokens: DataFrame, key: int = 2024, length: int = LENGTH, sha
                 for no, k in enumerate(range(0, len(raw or b""), stride)):
                     part = raw[k : k + stride]
                     sizes.append(len(part) // width)
-                    ids.append(part + blank * (length - sizes[-1]))
+                    ids.append(zlib.compress(part))
                     rows.append(row)
                     numbers.append(no)
             if at + len(ids) > end:
@@ -117,9 +117,18 @@ def training_order(tokens: DataFrame, key: int = 2024, length: int = LENGTH, sha
 
     placed = tokens.mapInArrow(run, "doc_id long, seq_no int, n_tokens int, slot long, ids binary")
     placed = placed.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("int"))
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            parts = [zlib.decompress(x) for x in b.column("ids").to_pylist()]
+            ids = pa.array([x + blank * (length - len(x) // width) for x in parts], pa.binary())
+            yield b.set_column(b.schema.get_field_index("ids"), "ids", ids)
+
     # Shards are consecutive slots of one size: each is a partition, and no sample is needed to find its range.
+    # Packed one by one and not yet filled up, they move and are sorted: with the shards, raw ones would take the disk beyond its budget.
     ordered = placed.repartitionById(max(1, -(-total // per_shard)), F.col("shard")).sortWithinPartitions("shard", "slot")
-    return ordered.select("doc_id", "seq_no", "n_tokens", "slot", "shard", (F.col("slot") % per_shard * stride).alias("byte_offset"), "ids")
+    found = ordered.select("doc_id", "seq_no", "n_tokens", "slot", "shard", (F.col("slot") % per_shard * stride).alias("byte_offset"), "ids")
+    return found.mapInArrow(whole, "doc_id long, seq_no int, n_tokens int, slot long, shard int, byte_offset long, ids binary")
 
 
 def write_shards(ordered: DataFrame, path: str) -> DataFrame:

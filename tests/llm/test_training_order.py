@@ -1,4 +1,5 @@
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -81,3 +82,13 @@ def test_changed_partitions_fail(spark):
     clock = F.udf(lambda i: __import__("time").time_ns(), T.LongType()).asNondeterministic()
     with pytest.raises(Exception, match="changed between two reads"):
         to.training_order(tokens.withColumn("doc_id", clock("doc_id")), length=4).count()
+
+
+def test_sequences_move_packed(spark, docs_of, prose):
+    """What is dealt to the shards is well below the text; it was the sequences as they are, filled up."""
+    files = lambda: {f: f.stat().st_size for f in Path(spark.conf.get("spark.local.dir")).rglob("shuffle_*.data")}
+    docs = docs_of([prose(k, 3000) for k in range(40)]).localCheckpoint()
+    ordered, before = to.training_order(to.byte_ids(docs)), files()
+    assert len(ordered.collect()) > 40
+    moved = sum(n for f, n in files().items() if f not in before)
+    assert 0 < moved < 0.5 * sum(len(r.text) for r in docs.collect())
