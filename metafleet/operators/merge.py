@@ -22,8 +22,13 @@ class Merge:
     keys: list[str]
 
     def once(self) -> Merge:
-        """The same merge, its rows written to the shared folder: table, changes and history read them without joining again."""
-        return Merge(written(self.rows, "merge"), self.keys)
+        """The same merge, its rows written to the shared folder: table, changes and history read them without joining again.
+
+        Keys are written in the versions only.
+        """
+        inside = set.intersection(*(set(self.rows.schema[c].dataType.fieldNames()) for c in ("before", "after")))
+        rows = written(self.rows.drop(*(k for k in self.keys if k in inside)), "merge")
+        return Merge(rows.withColumns({k: F.coalesce(f"after.{k}", f"before.{k}") for k in self.keys if k in inside}).select(*self.rows.columns), self.keys)
 
     def next(self) -> DataFrame:
         """The table after the merge."""

@@ -86,6 +86,7 @@ for _dataset, (_columns, _text) in CHECKS.items():
 
 # --- the registry's own datasets, from export to merged tables ------------------------------------------------
 
+_ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 _SYNCED = ("objects", "indexes", "stats", "columns", "index_columns", "partitions", "foreign_keys", "check_constraints", "key_constraints")
 _DIMENSIONS = {"_ObjectID": "database_id int, _SchemaName string, _ObjectName string, _ObjectType string", "_IndexID": "database_id int, _ObjectID long, _IndexName string, _IndexKind string", "_ColumnID": "database_id int, _ObjectID long, _ColumnName string"}
 
@@ -102,12 +103,18 @@ def _catalog_run(i: Inputs) -> sync.SyncRun:
         if "_IndexID" in spec.roles:
             rows = rows.withColumn("_IndexKind", F.lit("stat" if spec.name == "stats" else "index"))
         fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.SCHEMAS[spec.name].struct())
-        none = i.spark.createDataFrame([], "instance_id int, database_id int, " + ", ".join(f"{role} long" for role in spec.roles) + f", {fields}")
-        items = spec.defines and i.spark.createDataFrame([], f"{spec.defines} long, {_DIMENSIONS[spec.defines]}, is_deleted boolean, delete_date timestamp_ntz")
+        none = i.spark.createDataFrame([], "instance_id int, database_id int, " + ", ".join(f"{role} long" for role in spec.roles) + f", {fields}").limit(0)  # with a limit of 0 Spark plans no join with it
+        items = spec.defines and i.spark.createDataFrame([], f"{spec.defines} long, {_DIMENSIONS[spec.defines]}, is_deleted boolean, delete_date timestamp_ntz").limit(0)
         sources[spec.name] = sync.Source(merge.first_load(none, sync.SCOPE["database"], spec.keys, at(T0)), rows, scopes, items=items or None)
     known = i.sql("SELECT * FROM status").limit(0)
     instances = scopes.select("instance_id", "is_enabled").distinct()
-    return sync.sync_run(specs, status.task_matrix(registry.spec_frame(i.spark, specs), instances, scopes, known), known, sources, at(T1))
+    # Rows dealt by scope and object stay where they are for lookups by object and index or column.
+    was = i.spark.conf.get(_ALL_KEYS)
+    i.spark.conf.set(_ALL_KEYS, "false")
+    try:
+        return sync.sync_run(specs, status.task_matrix(registry.spec_frame(i.spark, specs), instances, scopes, known), known, sources, at(T1))
+    finally:
+        i.spark.conf.set(_ALL_KEYS, was)
 
 
 @query("sync_catalog")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
@@ -93,6 +93,8 @@ def _merged(spec: DatasetSpec, source: Source, gate: DataFrame, run: SyncRun, no
     """Merges one dataset's scopes that must run, by its spec."""
     scope, going = SCOPE[spec.level], gate.where("moved = 1")
     rows = source.landing.rows(gate).drop("_range") if source.landing else source.snapshot.join(going.select(*scope), scope, "left_semi")
+    if source.checksums is not None and not source.landing:
+        rows = written(rows, "snapshot")
     if spec.mode == "simple":
         run.tables[spec.name] = merge.replace_scope(source.current, rows, going, scope)
         return
@@ -104,11 +106,14 @@ def _merged(spec: DatasetSpec, source: Source, gate: DataFrame, run: SyncRun, no
         run.items[spec.defines] = written(identity.sync_items(source.items, rows.select(*kept), full, spec.defines, "database_id", now), "items")
     lost = F.lit(False)
     for role, item in spec.refers.items():
-        known = run.items[item].where("not is_deleted").select(F.col(item).alias(role)).distinct().withColumn(f"_{role}", F.lit(True))
-        rows = rows.join(known, role, "left")
-        lost = lost | (F.col(role).isNotNull() & F.col(f"_{role}").isNull())
+        known = run.items[item].where("not is_deleted").select(F.col(item).alias(role))
+        # Ids are moved to find the unknown ones, rows are not: of these there are few, which are sent to the rows.
+        named = rows.select(role).where(F.col(role).isNotNull()).distinct()
+        unknown = written(named.join(known, role, "left_anti").withColumn(f"_{role}", F.lit(True)), "unknown")
+        rows = rows.join(unknown, role, "left")
+        lost = lost | F.coalesce(F.col(f"_{role}"), F.lit(False))
     if spec.refers:
-        rows = written(rows.withColumn("_lost", lost), "referring")
+        rows = rows.withColumn("_lost", lost)
         columns = [c for c in rows.columns if c != "_lost" and c not in {f"_{role}" for role in spec.refers}]
         run.lost[spec.name], rows = rows.where("_lost").select(*columns), rows.where("not _lost").select(*columns)
     rows = rows.select(*[c for c in source.current.columns if c not in merge.BOOKKEEPING])
@@ -157,6 +162,9 @@ def sync_run(specs: Sequence[DatasetSpec], matrix: DataFrame, known: DataFrame,
         def go() -> None:
             k, scope, source = place[spec.name], SCOPE[spec.level], sources[spec.name]
             tasks = queue.where(F.col("dataset_id") == k).select(*scope, F.col("checksum").alias("old_checksum"))
+            if source.checksums is None and not source.landing:
+                # Computed once, so that checksums, items and merge see the same rows.
+                source = replace(source, snapshot=written(source.snapshot.join(tasks.select(*scope), scope, "left_semi"), "snapshot"))
             gate = written(gated(spec, tasks, source), "gate")
             _merged(spec, source, gate, run, now)
             missed = tasks.join(gate.select(*scope), scope, "left_anti").select(*scope, F.lit(None).cast("long").alias("checksum"), F.lit("not collected").alias("error_message"))

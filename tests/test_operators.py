@@ -261,3 +261,31 @@ def test_passing_tables_go(spark):
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     assert not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
     assert kept.count() == 3
+
+
+def test_a_snapshot_is_computed_once(spark):
+    """Checksums, items, unknown ids and merge read one table; each of them computed the snapshot anew."""
+    from metafleet.operators.merge import first_load
+    from metafleet.plans import sync
+
+    names = "instance_id int, database_id int, _ColumnName string"
+    rows = spark.createDataFrame([(0, s, f"c{k}") for s in (1, 2) for k in range(20)], names)
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    roles = {"_ColumnID": ("database_id", "_ColumnName")}
+    spec = DatasetSpec("columns", "database", 720, "complex", True, True, ("_ColumnID",), roles=roles, defines="_ColumnID", refers={"_ColumnID": "_ColumnID"})
+    scopes = spark.createDataFrame([(0, 1), (0, 2)], "instance_id int, database_id int")
+    none = spark.createDataFrame([], "instance_id int, database_id int, _ColumnID long, _ColumnName string")
+    items = spark.createDataFrame([], "_ColumnID long, database_id int, _ColumnName string, is_deleted boolean, delete_date timestamp_ntz")
+    known = spark.createDataFrame([], "instance_id int, database_id int, dataset_id int, checksum long, last_sync timestamp_ntz, last_check timestamp_ntz, last_error timestamp_ntz, error_message string")
+    matrix = scopes.selectExpr("*", "1 AS dataset_id", "720 AS minutes", "cast(null AS bigint) AS checksum", "cast(null AS timestamp_ntz) AS last_check")
+    source = sync.Source(first_load(none, ["instance_id", "database_id"], ["_ColumnID"], F.lit(datetime(2024, 1, 1))), rows.mapInArrow(passed, names), scopes, items=items)
+    run = sync.sync_run([spec], matrix, known, {"columns": source}, F.lit(datetime(2024, 1, 2)))
+    assert run.tables["columns"].count() == 40 == run.items["_ColumnID"].count() and not run.lost["columns"].count()
+    assert {(r.database_id, r.n) for r in run.changes["columns"].where("_ColumnID = after._ColumnID").groupBy("database_id").agg(F.count("*").alias("n")).collect()} == {(1, 20), (2, 20)}
+    assert seen.value == 40
