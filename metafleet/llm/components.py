@@ -12,6 +12,8 @@ from metafleet.llm.shared import written
 #: Stars of a bucket, at least and at most, before the members of different classes are held against each other; beyond the least
 #: number they go on while one leaves at most so many hundredths of the open members.
 STARS, MOST_STARS, LEAVES = 3, 12, 70
+#: Centres that a member is held against in one star, those that it shares most buckets with.
+CENTRES = 8
 #: Members of a bucket that one task holds against all others of it.
 BLOCK = 1 << 12
 #: Pairs of a node and another class that are confirmed in each further round; the last takes all that are left.
@@ -112,13 +114,16 @@ def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def star_pairs(members: DataFrame, turn: int) -> DataFrame:
-    """(a, b) of each member (bucket, node, root, lo) and its bucket's centre of this turn, if that is of another class.
+    """(a, b) of each member (bucket, node, root, lo) and the centres of its buckets of this turn that are of another class.
 
-    The centre is a node of the class with the least root; a large class has the least one, as a rule.
+    The centre is a node of the class with the least root; a large class has the least one, as a rule. A member of a group has as many
+    centres as buckets: of them it takes those that most of its buckets have. The others are held against it in later turns or blocks.
     """
     mixed = F.col("node").bitwiseXOR(seed(turn))
     centres = members.where("root = lo").groupBy("bucket").agg(F.min(mixed).bitwiseXOR(seed(turn)).alias("centre"))
-    return members.where("root <> lo").join(centres, "bucket").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    each = members.where("root <> lo").join(centres, "bucket").groupBy(F.col("node").alias("a")).agg(F.collect_list("centre").alias("all"))
+    counted = F.transform(F.array_distinct("all"), lambda b: F.struct((-F.size(F.filter("all", lambda c: c == b))).alias("n"), b.bitwiseXOR(seed(turn)).alias("mixed")))
+    return each.select("a", F.explode(F.slice(F.array_sort(counted), 1, CENTRES)["mixed"]).alias("mixed")).select("a", F.col("mixed").bitwiseXOR(seed(turn)).alias("b"))
 
 
 def block_pairs(members: DataFrame, sketches: DataFrame, words: int, percent: int) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metafleet.llm.components import linked_classes, parities, seed, shared_buckets
-from metafleet.llm.shared import written
+from metafleet.llm.shared import outcome, written
 
 #: Characters (UTF-16 units) of a shingle; minima of a signature.
 WIDTH, MINIMA = 12, 9
@@ -145,7 +145,9 @@ def _free(docs: DataFrame, *names: str) -> list[str]:
 
 def _drops(docs: DataFrame, percent: int, id_col: str, text_col: str, names: list[str]) -> DataFrame:
     """The lines to drop of each row, in columns of these names: id, text's hash, line numbers."""
-    found = repeated_lines(docs, percent, id_col, text_col).groupBy("doc_id", "row_key").agg(F.array_sort(F.collect_set("line_no")).alias("lines"))
+    rows = lambda: repeated_lines(docs, percent, id_col, text_col).groupBy("doc_id", "row_key").agg(F.array_sort(F.collect_set("line_no")).alias("lines"))
+    # Kept alone: the tables of lines and candidates are larger than the texts.
+    found = outcome(rows, "drops")
     return found.select(*(F.col(c).alias(name) for c, name in zip(("doc_id", "row_key", "lines"), names)))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from metafleet.llm import minhash
 from metafleet.llm import linededup
-from metafleet.llm.components import block_pairs, components, parities, star_pairs
+from metafleet.llm.components import CENTRES, block_pairs, components, parities, star_pairs
 
 
 def brute(rows, shingle, percent):
@@ -114,6 +114,14 @@ def test_star_pairs_are_linear(spark):
     assert sorted(p.a for p in pairs) == list(range(9, 50)) and len({p.b for p in pairs}) == 1 and pairs[0].b < 9
 
 
+def test_star_pairs_take_few_centres(spark):
+    """Twelve buckets with a centre each don't make twelve pairs of a member; what most of its buckets have is among its centres."""
+    rows = [(k, 1000 + (k % 9 if k < 9 else 4), 0, 0) for k in range(12)] + [(k, a, a, 0) for k in range(12) for a in range(1, 30)]
+    pairs = star_pairs(spark.createDataFrame(rows, "bucket long, node long, root long, lo long"), 0).collect()
+    assert {p.a for p in pairs} == set(range(1, 30)) == {p.a for p in pairs if p.b == 1004}
+    assert len(pairs) == len({(p.a, p.b) for p in pairs}) == 29 * CENTRES
+
+
 def sets_of(seed, n=40):
     """Sets with a core each, in groups that share much or little."""
     r = random.Random(seed)

@@ -5,12 +5,15 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 
 import random  # noqa: E402
 import re  # noqa: E402
+from pathlib import Path  # noqa: E402
 
 import test_lines  # noqa: E402
 import test_near_duplicates  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
+from metafleet.llm.shared import shared_dir, written  # noqa: E402
+
 
 def test_stages(spark, docs_of, prose, tmp_path):
     item = " ".join(f"bench{k}" for k in range(30))
@@ -36,6 +39,23 @@ def test_stages(spark, docs_of, prose, tmp_path):
     assert whole == {i: r.decoded for i, r in kept[4].items()}
 
 
+def test_stages_leave_little(spark, docs_of, prose):
+    """Of a stage's own tables only the rows and the verdict stay, and no file of its shuffles."""
+    folder, local = (Path(x.removeprefix("file:")) for x in (shared_dir(spark), spark.conf.get("spark.local.dir")))
+    shuffled = lambda: set(local.rglob("shuffle_*.data"))
+    text = prose(1, 100)
+    docs = docs_of([(4, text), (2, text + " x"), (9, prose(2, 50) + "\n" + text)]).localCheckpoint()
+    for stage, names in ((corpus_pipeline.line_stage, {"drops"}), (corpus_pipeline.near_duplicate_stage, {"rows", "components"})):
+        tables = set(folder.iterdir())
+        stage(spark, docs, "")
+        left = {p.name.rpartition("-")[0] for p in set(folder.iterdir()) - tables}
+        assert left == names
+    moved = docs.groupBy("lang").count().repartition(3, "count")
+    files = shuffled()
+    written(moved, "moved")
+    assert shuffled() <= files
+
+
 def test_near_duplicates_keep_one(spark, docs_of, prose, tmp_path):
     text = prose(1, 100)
     rows = [(4, text), (2, text + " x"), (9, prose(2, 50)), (None, None), (11, "")]
