@@ -113,15 +113,21 @@ def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
     return written(named.join(several, "bucket"), "open")
 
 
-def star_pairs(members: DataFrame, turn: int) -> DataFrame:
+def star_pairs(members: DataFrame, turn: int, sizes: DataFrame | None = None) -> DataFrame:
     """(a, b) of each member (bucket, node, root, lo) and the centres of its buckets of this turn that are of another class.
 
-    The centre is a node of the class with the least root; a large class has the least one, as a rule. A member of a group has as many
-    centres as buckets: of them it takes those that most of its buckets have. The others are held against it in later turns or blocks.
+    By turns the centre is a node of the class with the least root (a large class has the least one, as a rule), the member of the
+    smallest set by ``sizes`` (node, n), which is nearest to all others where members share one passage, or any member. A member of a
+    group has as many centres as buckets: of them it takes those that most of its buckets have. The others are held against it in
+    later turns or blocks.
     """
-    mixed = F.col("node").bitwiseXOR(seed(turn))
-    centres = members.where("root = lo").groupBy("bucket").agg(F.min(mixed).bitwiseXOR(seed(turn)).alias("centre"))
-    each = members.where("root <> lo").join(centres, "bucket").groupBy(F.col("node").alias("a")).agg(F.collect_list("centre").alias("all"))
+    mixed = F.col("node").bitwiseXOR(seed(turn)).alias("mixed")
+    if turn % 3 == 1 and sizes:
+        placed = members.join(sizes, "node").groupBy("bucket").agg(F.min(F.struct("n", mixed, "root")).alias("least"))
+    else:
+        placed = (members.where("root = lo") if turn % 3 == 0 else members).groupBy("bucket").agg(F.min(F.struct(mixed, "root")).alias("least"))
+    centres = placed.select("bucket", F.col("least.mixed").bitwiseXOR(seed(turn)).alias("centre"), F.col("least.root").alias("its"))
+    each = members.join(centres, "bucket").where("root <> its").groupBy(F.col("node").alias("a")).agg(F.collect_list("centre").alias("all"))
     counted = F.transform(F.array_distinct("all"), lambda b: F.struct((-F.size(F.filter("all", lambda c: c == b))).alias("n"), b.bitwiseXOR(seed(turn)).alias("mixed")))
     return each.select("a", F.explode(F.slice(F.array_sort(counted), 1, CENTRES)["mixed"]).alias("mixed")).select("a", F.col("mixed").bitwiseXOR(seed(turn)).alias("b"))
 
@@ -130,16 +136,18 @@ def block_pairs(members: DataFrame, sketches: DataFrame, words: int, percent: in
     """(a, b, off, ra, rb) of all members of a bucket that lie in different classes, ra and rb, and may be linked.
 
     A bucket's members are dealt to blocks, and all of them are held against each block; what the sketches
-    rule out leaves no row.
+    rule out leaves no row. Two members leave their row in the least of the buckets that they share.
     """
-    rows = members.select("bucket", "node", "root").join(sketches, "node")
+    shared = members.groupBy("node").agg(F.collect_list("bucket").alias("buckets"))
+    rows = members.select("bucket", "node", "root").join(shared, "node").join(sketches, "node")
     sized = rows.join(members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), "bucket")
-    side = lambda s: [F.col(c).alias(s + c) for c in ("root", *sketches.columns) if c != "node"]
+    side = lambda s: [F.col(c).alias(s + c) for c in ("root", "buckets", *sketches.columns) if c != "node"]
     left = sized.select("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("node").alias("a"), *side("a"))
     right = sized.select("bucket", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), F.col("node").alias("b"), *side("b"))
-    both = left.join(right, ["bucket", "block"]).where((F.col("a") < F.col("b")) & (F.col("aroot") != F.col("broot")) & may_link("a", "b", words, percent))
+    first = F.forall("abuckets", lambda x: (x >= F.col("bucket")) | ~F.array_contains("bbuckets", x))
+    both = left.join(right, ["bucket", "block"]).where((F.col("a") < F.col("b")) & (F.col("aroot") != F.col("broot")) & may_link("a", "b", words, percent) & first)
     off = difference("a", "b", words) / (F.col("an") + F.col("bn"))
-    return both.select("a", "b", off.alias("off"), F.col("aroot").alias("ra"), F.col("broot").alias("rb")).distinct()
+    return both.select("a", "b", off.alias("off"), F.col("aroot").alias("ra"), F.col("broot").alias("rb"))
 
 
 def linked_classes(members: DataFrame, sketches: DataFrame, confirm: Callable[[DataFrame], DataFrame], words: int, percent: int, across: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -170,7 +178,7 @@ def linked_classes(members: DataFrame, sketches: DataFrame, confirm: Callable[[D
 
     n_open = members.count()
     for turn in range(MOST_STARS):
-        may = _sketched(star_pairs(rest, turn), sketches, words, percent)
+        may = _sketched(star_pairs(rest, turn, sketches.select("node", "n")), sketches, words, percent)
         best = may.groupBy("a").agg(F.min(F.struct("off", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
         tested(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(checked, ["a", "b"], "left_anti"))
         rest = _open(rest, roots)

@@ -18,15 +18,16 @@ WIDTH, MINIMA = 12, 9
 #: Which minima a band has: the lines of a 3 x 3 plane, so that any two minima meet in one band. A pair at
 #: similarity 0.8 shares no band with a chance of 0.0094, at 0.9 of 0.0006.
 BANDS = ((0, 1, 2), (3, 4, 5), (6, 7, 8), (0, 3, 6), (1, 4, 7), (2, 5, 8), (0, 4, 8), (1, 5, 6), (2, 3, 7), (0, 5, 7), (1, 3, 8), (2, 4, 6))
+#: Positions that one row of the search for minima looks at.
+STEP = 8
 #: Words of the bit table that rules pairs out.
 WORDS = 16
 #: Nodes that are sent to every task, at most: 8 MB. More are joined by a shuffle.
 SENT = 1 << 20
 
 
-def normal(line) -> Column:
-    """Lower case, white space folded to single blanks, none at the ends."""
-    low = F.lower(line)
+def folded(low) -> Column:
+    """A lower-case line with white space folded to single blanks, none at the ends."""
     # Few lines have more than single blanks: these searches are cheaper than a replacement for every line.
     odd = F.contains(low, F.lit("  "))
     for c in "\t\x0b\f\r":
@@ -48,10 +49,18 @@ def _shingle(units, start) -> Column:
     return F.xxhash64(F.substring(units, start, F.lit(2 * WIDTH)))
 
 
-def shingle_rows(lines: DataFrame) -> DataFrame:
-    """(node, h): a row for every position of every line (node, line)."""
+def minima(lines: DataFrame) -> DataFrame:
+    """(node, m0, ...): the minima of the shingles of every line (node, line); lines may repeat.
+
+    The shingle nearest to a fixed number, as bits go, is the least of a random order: a minimum per number. A row looks at
+    ``STEP`` positions; those beyond the last one look at the last again, which changes no minimum.
+    """
     units = lines.select("node", F.encode("line", "UTF-16BE").alias("units"))
-    return units.select("node", "units", F.explode(_starts("units")).alias("start")).select("node", _shingle("units", F.col("start")).alias("h"))
+    last = F.greatest(F.octet_length("units") - (2 * WIDTH - 1), F.lit(1))
+    some = units.select("node", "units", F.explode(F.sequence(F.lit(1), last, F.lit(2 * STEP))).alias("start"))
+    hashes = some.select("node", *(_shingle("units", F.least(F.col("start") + 2 * j, last)).alias(f"h{j}") for j in range(STEP)))
+    least = lambda k: F.least(*(F.col(f"h{j}").bitwiseXOR(seed(k)) for j in range(STEP)))
+    return hashes.groupBy("node").agg(*(F.min(least(k)).alias(f"m{k}") for k in range(MINIMA)))
 
 
 def shingle_array(line) -> Column:
@@ -72,18 +81,15 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     ``node`` is its 64-bit hash, ``row_key`` the text's: rows with equal ids and different texts are different rows.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row_key"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "raw"))
-    lines = rows.select("doc_id", "row_key", "line_no", _once(normal("raw")).alias("line")).where("line <> ''")
+    # A text is lowered once, as a whole: what is computed for a row of its own would be computed again at each mention.
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row_key"), F.posexplode(F.split(F.lower(text_col), "\n")).alias("line_no", "low"))
+    lines = rows.select("doc_id", "row_key", "line_no", _once(folded(F.col("low"))).alias("line")).where("line <> ''")
     return lines.select("doc_id", "row_key", "line_no", F.xxhash64("line").alias("node"), "line")
 
 
 def band_table(lines: DataFrame) -> DataFrame:
-    """(bucket, node): a bucket for each band of every distinct line.
-
-    The shingle nearest to a fixed number, as bits go, is the least of a random order: a minimum per number.
-    """
-    minima = shingle_rows(lines).groupBy("node").agg(*(F.min(F.col("h").bitwiseXOR(seed(k))).alias(f"m{k}") for k in range(MINIMA)))
-    signs = written(minima, "signatures")
+    """(bucket, node): a bucket for each band of every distinct line. Of a minimum its last 32 bits are kept."""
+    signs = written(minima(lines).select("node", *(F.expr(f"cast(shiftright(shiftleft(m{k}, 32), 32) as int)").alias(f"m{k}") for k in range(MINIMA))), "signatures")
     keys = F.array(*(F.xxhash64(F.lit(b), *(f"m{k}" for k in band)) for b, band in enumerate(BANDS)))
     return signs.select(F.explode(keys).alias("bucket"), "node")
 
@@ -127,8 +133,11 @@ def repeated_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", t
     spots = lines.select("doc_id", "row_key", "line_no", "node")
     if roots is not None:
         spots = spots.join(roots, "node", "left").withColumn("node", F.coalesce("root", "node"))
-    firsts = spots.groupBy("node").agg(F.min(place).alias("first"), F.min(F.xxhash64("doc_id", "row_key", "line_no")).alias("lo"), F.max(F.xxhash64("doc_id", "row_key", "line_no")).alias("hi"))
-    found = spots.join(firsts.where("lo <> hi").select("node", "first"), "node")
+    # Few lines repeat: which ones do is told by numbers, and only their places are compared.
+    number = F.xxhash64("doc_id", "row_key", "line_no")
+    several = spots.groupBy("node").agg(F.min(number).alias("lo"), F.max(number).alias("hi")).where("lo <> hi").select("node")
+    spots = written(spots.join(several, "node", "left_semi"), "spots")
+    found = spots.join(spots.groupBy("node").agg(F.min(place).alias("first")), "node")
     own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row_key") == F.col("first.row_key")) & (F.col("line_no") == F.col("first.line_no"))
     return found.where(~own).select("doc_id", "row_key", "line_no", F.col("first.doc_id").alias("first_doc"), F.col("first.line_no").alias("first_line"))
 

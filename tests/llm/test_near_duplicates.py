@@ -181,3 +181,19 @@ def test_pairs_at_the_threshold_share_a_band(shared, more, most):
         sides.append(minhash.band_keys(minhash.signatures(doc[order], flat[order], pairs)))
     missed = 1 - (sides[0] == sides[1]).any(axis=1).mean()
     assert missed <= most, missed
+
+
+def test_a_pair_leaves_one_row_whatever_it_shares(spark):
+    """Two members of many buckets are one row of the join itself, not one for each bucket that goes later."""
+    members = spark.createDataFrame([(b, n, n) for b in range(12) for n in range(20)], "bucket long, node long, root long")
+    sets = spark.createDataFrame([(n, h) for n in range(20) for h in range(30)], "node long, h long").groupBy("node").agg(*parities(minhash.WORDS))
+    pairs = block_pairs(members, sets, minhash.WORDS, 80)
+    assert sorted((p.a, p.b) for p in pairs.collect()) == [(a, b) for a in range(20) for b in range(a + 1, 20)]
+    assert "Aggregate [a#" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_smallest_set_is_a_centre_by_turns(spark):
+    """Lines around one passage are held against the shortest of them, whatever class has the least root."""
+    members = spark.createDataFrame([(1, n, n, 0) for n in range(9)], "bucket long, node long, root long, lo long")
+    sizes = spark.createDataFrame([(n, 90 if n != 5 else 40) for n in range(9)], "node long, n long")
+    assert {(p.a, p.b) for p in star_pairs(members, 1, sizes).collect()} == {(n, 5) for n in range(9) if n != 5}
