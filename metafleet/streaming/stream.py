@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
@@ -110,8 +111,13 @@ def by_batch(path: str) -> Callable[[DataFrame, int], None]:
     return run
 
 
+def _numbers(values: pd.Series, known: pd.Series) -> list:
+    """The values as Python numbers, None where they aren't known: a column of numbers with nulls would come as floats."""
+    return [int(v) if k else None for v, k in zip(values, known)]
+
+
 class TaskStatus(StatefulProcessor):
-    """A task's status, folded from its events as ``operators.status.status_apply`` does, one by one.
+    """A task's status, folded from its events as ``operators.status.status_apply`` does, all events of a batch at once.
 
     An event that is older than the watermark or not newer than the task's last one goes to the side as ``late``.
     A timer at the last event's time and ``idle_ms`` ends the task: its state is dropped and its last
@@ -120,46 +126,56 @@ class TaskStatus(StatefulProcessor):
 
     STATE = T.StructType([T.StructField(n, T.StringType() if n == "message" else T.LongType()) for n in ("ts", "event_id", "checksum", "synced", "failed", "message")])
 
-    def __init__(self, keys: Sequence[str], idle_ms: int):
-        self.keys, self.idle_ms = list(keys), idle_ms
+    def __init__(self, idle_ms: int):
+        self.idle_ms = idle_ms
 
     def init(self, handle) -> None:
         self.handle = handle
         self.state = handle.getValueState("status", self.STATE)
 
-    def _row(self, key, kind: str, ts, event_id, checksum, synced, checked, failed, message) -> Row:
-        named = dict(zip(self.keys, key))
-        return Row(**named, kind=kind, ts=ts, event_id=event_id, checksum=checksum, last_sync=synced, last_check=checked, last_error=failed, error_message=message)
+    def _rows(self, key, **columns) -> pd.DataFrame:
+        out = pd.DataFrame({n: pd.Series(v, dtype=object if n in ("kind", "error_message") else "Int64") for n, v in columns.items()})
+        out.insert(0, "_key", key[0])
+        return out
 
     def handleInputRows(self, key, rows, timerValues):
         oldest = timerValues.getCurrentWatermarkInMs() * 1000
-        state = tuple(self.state.get()) if self.state.exists() else None
-        began = state
-        for r in sorted(rows, key=lambda r: (r.ts, r.event_id)):
-            if r.ts < oldest or (state and (r.ts, r.event_id) <= state[:2]):
-                yield self._row(key, "late", r.ts, r.event_id, r.checksum, None, r.ts, None, r.error_message)
-                continue
-            _, _, checksum, synced, failed, message = state or (None,) * 6
-            if r.error_message is not None:
-                failed, message = r.ts, r.error_message
-            else:
-                synced = r.ts if r.checksum is None or checksum is None or r.checksum != checksum else synced
-                checksum = r.checksum
-            state = (r.ts, r.event_id, checksum, synced, failed, message)
-        if state != began:
-            self.state.update(state)
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(state[0] // 1000 + self.idle_ms)
-            yield self._status(key, "status", state)
-
-    def _status(self, key, kind: str, state) -> Row:
-        ts, event_id, checksum, synced, failed, message = state
-        return self._row(key, kind, ts, event_id, checksum, synced, ts, failed, message)
+        state = self.state.get() if self.state.exists() else None
+        e = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "event_id"], kind="stable", ignore_index=True)
+        good = (e["ts"] >= oldest) & ~e.duplicated(["ts", "event_id"])
+        if state:
+            good &= (e["ts"] > state[0]) | ((e["ts"] == state[0]) & (e["event_id"] > state[1]))
+        late, e = e[~good], e[good]
+        if len(late):
+            none = [None] * len(late)
+            ts = late["ts"].tolist()
+            yield self._rows(key, kind=["late"] * len(late), ts=ts, event_id=late["event_id"].tolist(), checksum=_numbers(late["checksum"], late["summed"]), last_sync=none, last_check=ts, last_error=none, error_message=late["error_message"].tolist())
+        if not len(e):
+            return
+        _, _, checksum, synced, failed, message = state or (None,) * 6
+        lost = e["error_message"].notna()
+        if lost.any():
+            failed, message = int(e.loc[lost, "ts"].iloc[-1]), e.loc[lost, "error_message"].iloc[-1]
+        if not lost.all():
+            ok = e[~lost]
+            was, knew = ok["checksum"].shift(fill_value=checksum or 0), ok["summed"].shift(fill_value=checksum is not None)
+            moved = ok.loc[~ok["summed"] | ~knew | (ok["checksum"] != was), "ts"]
+            synced = int(moved.iloc[-1]) if len(moved) else synced
+            checksum = int(ok["checksum"].iloc[-1]) if ok["summed"].iloc[-1] else None
+        if state:
+            self.handle.deleteTimer(state[0] // 1000 + self.idle_ms)
+        state = (int(e["ts"].iloc[-1]), int(e["event_id"].iloc[-1]), checksum, synced, failed, message)
+        self.state.update(state)
+        self.handle.registerTimer(state[0] // 1000 + self.idle_ms)
+        yield self._status(key, "status", state)
+
+    def _status(self, key, kind: str, state) -> pd.DataFrame:
+        ts, event_id, checksum, synced, failed, message = ([v] for v in state)
+        return self._rows(key, kind=[kind], ts=ts, event_id=event_id, checksum=checksum, last_sync=synced, last_check=ts, last_error=failed, error_message=message)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         if self.state.exists():
-            yield self._status(key, "idle", tuple(self.state.get()))
+            yield self._status(key, "idle", self.state.get())
             self.state.clear()
 
     def close(self) -> None:
@@ -172,20 +188,23 @@ def stream_status(events: DataFrame, keys: Sequence[str], ts: str, delay: str, i
     Rows: keys, kind, ts, event_id, checksum, last_sync, last_check, last_error, error_message; ``kind`` is ``status``
     (the task's status after a batch), ``late`` (an event that changed nothing) or ``idle`` (a task that had no event
     for ``idle_ms`` before the watermark, with its last status). The state holds the tasks that aren't idle, so it doesn't grow with
-    events or with tasks long gone. Start it by ``start_status``.
+    events or with tasks long gone. Events have times and numbers; keys are numbers, text, dates or booleans. Start it by ``start_status``.
     """
     watermark = int(events.sparkSession.sql(f"SELECT CAST(INTERVAL {delay} AS INTERVAL SECOND) AS d").first()[0].total_seconds() * 1000)
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     # Spark itself would drop late rows by the column that has the watermark. The column that goes on has the mark
     # and no time, so that late rows arrive as well.
     unmarked = F.lit(None).cast("timestamp").alias("_event_time", metadata={"spark.watermarkDelayMs": watermark})
-    fields = ("event_id", "checksum", "error_message")
-    marked = events.withWatermark(ts, delay).select(*keys, micros.alias("ts"), *(F.col(c) for c in fields), unmarked)
-    kinds = ", ".join(f"`{k}` {t}" for k, t in marked.select(*keys).dtypes)
+    # pandas has no whole numbers with nulls: a key is a JSON text here, and a checksum has a flag.
+    named = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias("_key")
+    numbers = (F.coalesce("checksum", F.lit(0)).cast("long").alias("checksum"), F.col("checksum").isNotNull().alias("summed"))
+    marked = events.withWatermark(ts, delay).select(named, micros.alias("ts"), F.col("event_id").cast("long"), *numbers, "error_message", unmarked)
+    kinds = ", ".join(f"`{k}` {t}" for k, t in events.select(*keys).dtypes)
     times = ("ts", "last_sync", "last_check", "last_error")
-    schema = f"{kinds}, kind string, ts long, event_id long, checksum long, last_sync long, last_check long, last_error long, error_message string"
-    out = marked.groupBy(*keys).transformWithState(TaskStatus(keys, idle_ms), schema, "Append", "EventTime")
-    return out.withColumns({c: F.timestamp_micros(c) for c in times})
+    schema = "_key string, kind string, ts long, event_id long, checksum long, last_sync long, last_check long, last_error long, error_message string"
+    out = marked.groupBy("_key").transformWithStateInPandas(TaskStatus(idle_ms), schema, "Append", "EventTime")
+    own = F.from_json("_key", kinds)
+    return out.select(*(own[k].alias(k) for k in keys), *(F.timestamp_micros(c).alias(c) if c in times else F.col(c) for c in out.columns if c != "_key"))
 
 
 def start_status(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

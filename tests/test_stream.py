@@ -165,3 +165,19 @@ def test_snapshots_are_not_dealt_by_scope(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert n == 3000 and "BroadcastHashJoin" in plan and "hashpartitioning(scope_id" not in plan
+
+
+def test_events_of_a_batch_are_folded_at_once():
+    """A task's events come as tables; numbers beyond 2 ** 53 and unknown checksums keep their values."""
+    import pandas as pd
+    from types import SimpleNamespace as Of
+
+    from metafleet.streaming.stream import TaskStatus
+
+    kept, big = [], 2**53 + 1
+    state = Of(exists=lambda: bool(kept), get=lambda: kept[-1], update=kept.append)
+    task = TaskStatus(1000)
+    task.init(Of(getValueState=lambda *a: state, registerTimer=lambda t: None, deleteTimer=lambda t: None))
+    rows = [pd.DataFrame({"ts": [2000, 1000], "event_id": [2, 1], "checksum": [0, big], "summed": [False, True], "error_message": ["lost", None]}), pd.DataFrame({"ts": [3000, 3000], "event_id": [3, 3], "checksum": [big, big], "summed": [True, True], "error_message": [None, None]})]
+    out = list(task.handleInputRows(("{}",), iter(rows), Of(getCurrentWatermarkInMs=lambda: 0)))
+    assert kept == [(3000, 3, big, 1000, 2000, "lost")] and [list(o["kind"]) for o in out] == [["late"], ["status"]]
