@@ -14,10 +14,14 @@ from metafleet.llm.shared import written
 STARS, MOST_STARS, LEAVES = 3, 12, 70
 #: Centres that a member is held against in one star, those that it shares most buckets with.
 CENTRES = 8
+#: Rows of 8 or 16 bytes that are sent to every task, at most. More are joined by a shuffle.
+SENT = 1 << 20
 #: Members of a bucket that one task holds against all others of it.
 BLOCK = 1 << 12
 #: Pairs of a node and another class that are confirmed in each further round; the last takes all that are left.
 BEST = (1, 8, 64, None)
+#: Pairs that are confirmed at once where so few or fewer are left.
+FEW = 1 << 14
 
 _GOLD = 0x9E3779B97F4A7C15
 
@@ -86,21 +90,34 @@ def may_link(a: str, b: str, words: int, percent: int) -> Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & close
 
 
-def shared_buckets(buckets: DataFrame) -> DataFrame:
-    """Of (bucket, node), distinct rows, those whose bucket has another node; ``lo`` is the bucket's least node.
+def shared_buckets(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What the buckets with two nodes or more hold, of distinct rows (bucket, node): pairs (a, b) and members (bucket, node, lo).
 
-    Extremes are aggregates, combined before they are dealt out, and only those of shared buckets are written. The join takes them back
-    to the rows, and Spark splits it where a bucket is large: no task sees a whole bucket. ``buckets`` is read twice.
+    A bucket of two or three nodes is its pairs: its extremes and all its nodes' xor name them. Larger ones stay buckets; ``lo`` is
+    the least node. The aggregates are combined before they are dealt out, and only those of shared buckets are written. The join
+    takes the larger ones back to the rows, and Spark splits it where a bucket is large: no task sees a whole bucket. ``buckets``
+    is read twice.
     """
-    spans = buckets.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
-    return buckets.join(written(spans.select("bucket", "lo"), "spans"), "bucket").select("bucket", "node", "lo")
+    sums = buckets.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n"), F.bit_xor("node").alias("all"))
+    spans = written(sums.where("lo <> hi").select("bucket", "lo", "hi", "n", F.expr("all ^ lo ^ hi").alias("mid")), "spans")
+    ends = lambda a, b: F.struct(F.col(a).alias("a"), F.col(b).alias("b"))
+    three = F.when(F.col("n") == 3, F.array(ends("lo", "hi"), ends("lo", "mid"), ends("mid", "hi"))).otherwise(F.array(ends("lo", "hi")))
+    pairs = spans.where("n <= 3").select(F.explode(three).alias("p")).select("p.a", "p.b").where("a <> b").distinct()
+    large = spans.where("n > 3").select("bucket", "lo")
+    large = F.broadcast(large) if large.count() <= SENT else large
+    return pairs, buckets.join(large, "bucket").select("bucket", "node", "lo")
+
+
+def nodes_of(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """The distinct nodes of pairs and members."""
+    return members.select("node").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
 
 
 def _renamed(sketches: DataFrame, side: str) -> DataFrame:
     return sketches.select(*(F.col(c).alias(side + c if c != "node" else side) for c in sketches.columns))
 
 
-def _sketched(pairs: DataFrame, sketches: DataFrame, words: int, percent: int) -> DataFrame:
+def sifted(pairs: DataFrame, sketches: DataFrame, words: int, percent: int) -> DataFrame:
     """Of pairs (a, b) those that may be linked, with ``off``: the share that they differ by at least."""
     both = pairs.join(_renamed(sketches, "a"), "a").join(_renamed(sketches, "b"), "b")
     return both.where(may_link("a", "b", words, percent)).withColumn("off", difference("a", "b", words) / (F.col("an") + F.col("bn")))
@@ -150,35 +167,41 @@ def block_pairs(members: DataFrame, sketches: DataFrame, words: int, percent: in
     return both.select("a", "b", off.alias("off"), F.col("aroot").alias("ra"), F.col("broot").alias("rb"))
 
 
-def linked_classes(members: DataFrame, sketches: DataFrame, confirm: Callable[[DataFrame], DataFrame], words: int, percent: int, across: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def linked_classes(pairs: DataFrame, members: DataFrame, sketches: Callable[[DataFrame], DataFrame], confirm: Callable[[DataFrame], DataFrame], words: int, percent: int, across: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
     """(node, root) for the nodes that confirmed links connect; nodes without links may be left out.
 
-    ``members``: see ``shared_buckets``; candidates share a bucket. ``sketches``: node and ``parities`` of its set, which
-    rule pairs out without an error. ``confirm`` takes pairs (a, b) and returns those that are linked.
-    ``across`` does what ``block_pairs`` does, in another way.
+    ``pairs``, ``members``: see ``shared_buckets``; candidates are a pair or share a bucket. ``sketches`` takes a table of nodes and
+    returns each with the ``parities`` of its set, which rule pairs out without an error. ``confirm`` takes pairs (a, b) and returns those that are linked.
+    ``across`` does what ``block_pairs`` does, in another way, from members and their sketches.
 
-    A bucket isn't expanded into pairs. In each star a member is confirmed with the likeliest of its buckets'
-    centres, so that a group of copies soon is one class. Only members of buckets that still hold several
-    classes are then held against each other; of the pairs that the sketches leave, a node's likeliest ones
+    The pairs of small buckets are confirmed at once. A larger bucket isn't expanded into pairs. In each star a member is confirmed
+    with the likeliest of its buckets' centres, so that a group of copies soon is one class. Only members of buckets that still hold
+    several classes are then held against each other; of the pairs that the sketches leave, a node's likeliest ones
     with each other class are confirmed first, the rest if the classes are still apart. At the end every two
     members of a bucket are of one class or known not to be linked.
     """
     spark = members.sparkSession
     roots = spark.createDataFrame([], "node long, root long")
-    none = spark.createDataFrame([], "a long, b long")
-    checked, rest = none, members.withColumn("root", F.col("node"))
+    checked = spark.createDataFrame([], "a long, b long")
 
     def tested(pairs: DataFrame) -> None:
         nonlocal checked, roots
         pairs = written(pairs, "pairs")
+        if pairs.isEmpty():
+            return
         found = written(confirm(pairs), "links")
         checked = checked.unionByName(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
         if not found.isEmpty():
             roots = with_links(roots, found)
 
-    n_open = members.count()
+    tested(pairs)
+    rest = _open(members, roots)
+    n_open = rest.count()
+    if not n_open:
+        return roots
+    sketches = written(sketches(rest.select("node").distinct()), "sketches")
     for turn in range(MOST_STARS):
-        may = _sketched(star_pairs(rest, turn, sketches.select("node", "n")), sketches, words, percent)
+        may = sifted(star_pairs(rest, turn, sketches.select("node", "n")), sketches, words, percent)
         best = may.groupBy("a").agg(F.min(F.struct("off", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
         tested(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(checked, ["a", "b"], "left_anti"))
         rest = _open(rest, roots)
@@ -187,17 +210,18 @@ def linked_classes(members: DataFrame, sketches: DataFrame, confirm: Callable[[D
             return roots
         if turn + 1 >= STARS and n_open * 100 > was * LEAVES:
             break
-    held = across(rest) if across else block_pairs(rest, sketches, words, percent)
+    held = across(rest, sketches) if across else block_pairs(rest, sketches, words, percent)
     left = written(held.join(checked, ["a", "b"], "left_anti"), "left")
     for turn, most in enumerate(BEST):
         if turn:
             apart = rooted(rooted(left.select("a", "b", "off"), roots, "a", "ra"), roots, "b", "rb").where("ra <> rb")
             left = written(apart.join(checked, ["a", "b"], "left_anti"), "left")
-        if left.isEmpty():
+        n_left = left.count()
+        if not n_left:
             return roots
-        if most is None:
+        if most is None or n_left <= FEW:
             tested(left.select("a", "b"))
-        else:
-            rank = F.row_number().over(Window.partitionBy("a", "rb").orderBy("off", "b"))
-            tested(left.select("a", "b", rank.alias("rank")).where(F.col("rank") <= most).select("a", "b"))
+            return roots
+        rank = F.row_number().over(Window.partitionBy("a", "rb").orderBy("off", "b"))
+        tested(left.select("a", "b", rank.alias("rank")).where(F.col("rank") <= most).select("a", "b"))
     return roots

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metafleet.llm.components import linked_classes, parities, seed, shared_buckets
+from metafleet.llm.components import SENT, linked_classes, nodes_of, parities, rooted, seed, shared_buckets
 from metafleet.llm.shared import outcome, written
 
 #: Characters (UTF-16 units) of a shingle; minima of a signature.
@@ -22,8 +22,6 @@ BANDS = ((0, 1, 2), (3, 4, 5), (6, 7, 8), (0, 3, 6), (1, 4, 7), (2, 5, 8), (0, 4
 STEP = 8
 #: Words of the bit table that rules pairs out.
 WORDS = 16
-#: Nodes that are sent to every task, at most: 8 MB. More are joined by a shuffle.
-SENT = 1 << 20
 
 
 def folded(low) -> Column:
@@ -50,7 +48,7 @@ def _shingle(units, start) -> Column:
 
 
 def minima(lines: DataFrame) -> DataFrame:
-    """(node, m0, ...): the minima of the shingles of every line (node, line); lines may repeat.
+    """(node, m0, ..., times): the minima of the shingles of every line (node, line), and how many rows have it.
 
     The shingle nearest to a fixed number, as bits go, is the least of a random order: a minimum per number. A row looks at
     ``STEP`` positions; those beyond the last one look at the last again, which changes no minimum.
@@ -58,9 +56,9 @@ def minima(lines: DataFrame) -> DataFrame:
     units = lines.select("node", F.encode("line", "UTF-16BE").alias("units"))
     last = F.greatest(F.octet_length("units") - (2 * WIDTH - 1), F.lit(1))
     some = units.select("node", "units", F.explode(F.sequence(F.lit(1), last, F.lit(2 * STEP))).alias("start"))
-    hashes = some.select("node", *(_shingle("units", F.least(F.col("start") + 2 * j, last)).alias(f"h{j}") for j in range(STEP)))
+    hashes = some.select("node", "start", *(_shingle("units", F.least(F.col("start") + 2 * j, last)).alias(f"h{j}") for j in range(STEP)))
     least = lambda k: F.least(*(F.col(f"h{j}").bitwiseXOR(seed(k)) for j in range(STEP)))
-    return hashes.groupBy("node").agg(*(F.min(least(k)).alias(f"m{k}") for k in range(MINIMA)))
+    return hashes.groupBy("node").agg(*(F.min(least(k)).alias(f"m{k}") for k in range(MINIMA)), F.count_if(F.col("start") == 1).alias("times"))
 
 
 def shingle_array(line) -> Column:
@@ -87,36 +85,44 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return lines.select("doc_id", "row_key", "line_no", F.xxhash64("line").alias("node"), "line")
 
 
-def band_table(lines: DataFrame) -> DataFrame:
-    """(bucket, node): a bucket for each band of every distinct line. Of a minimum its last 32 bits are kept."""
-    signs = written(minima(lines).select("node", *(F.expr(f"cast(shiftright(shiftleft(m{k}, 32), 32) as int)").alias(f"m{k}") for k in range(MINIMA))), "signatures")
+def signature_table(lines: DataFrame) -> DataFrame:
+    """``minima``, written. Of a minimum its last 32 bits are kept."""
+    return written(minima(lines).select("node", *(F.expr(f"cast(shiftright(shiftleft(m{k}, 32), 32) as int)").alias(f"m{k}") for k in range(MINIMA)), "times"), "signatures")
+
+
+def buckets(signs: DataFrame) -> DataFrame:
+    """(bucket, node): a bucket for each band of every row of ``signature_table``."""
     keys = F.array(*(F.xxhash64(F.lit(b), *(f"m{k}" for k in band)) for b, band in enumerate(BANDS)))
     return signs.select(F.explode(keys).alias("bucket"), "node")
 
 
+def band_table(lines: DataFrame) -> DataFrame:
+    """(bucket, node): a bucket for each band of every distinct line (node, line)."""
+    return buckets(signature_table(lines))
+
+
 def similar(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b) of nodes those with 100 * intersection >= percent * union of their shingle sets.
 
-    ``texts``: (node, line, n), n the size of the set.
+    ``texts``: (node, line). Only the lines of pairs are dealt out, by pairs.
     """
-    left, right = (texts.select(F.col("node").alias(c), F.col("line").alias(f"line_{c}"), F.col("n").alias(f"n_{c}")) for c in "ab")
-    both = pairs.join(left, "a").join(right, "b")
-    sized = both.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), _once(F.size(F.array_intersect(shingle_array("line_a"), shingle_array("line_b")))).alias("shared"))
-    return sized.where(F.col("shared") * 100 >= (F.col("n") - F.col("shared")) * percent).select("a", "b")
+    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node")).join(texts, "node")
+    both = ends.groupBy("a", "b").agg(*(F.max(F.when(F.col("node") == F.col(c), F.col("line"))).alias(f"line_{c}") for c in "ab"))
+    sets = both.select("a", "b", _once(F.struct(shingle_array("line_a").alias("x"), shingle_array("line_b").alias("y"))).alias("s"))
+    return sets.where(F.size(F.array_intersect("s.x", "s.y")) * 100 >= F.size(F.array_union("s.x", "s.y")) * percent).select("a", "b")
 
 
-def line_classes(lines: DataFrame, percent: int) -> DataFrame | None:
+def line_classes(signs: DataFrame, lines: DataFrame, percent: int) -> DataFrame | None:
     """(node, root) of the nodes in links, or None without candidates. ``lines``: (node, line), rows may repeat."""
-    members = written(shared_buckets(band_table(lines)), "members")
-    nodes = members.select("node").distinct()
+    pairs, members = (written(x, name) for x, name in zip(shared_buckets(buckets(signs)), ("candidates", "members")))
+    nodes = nodes_of(pairs, members)
     n = nodes.count()
     if not n:
         return None
     wanted = F.broadcast(nodes) if n <= SENT else nodes
     texts = written(lines.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("line").alias("line")), "texts")
-    sketches = written(sketch_table(texts), "sketches")
-    sized = texts.join(sketches.select("node", "n"), "node")
-    return linked_classes(members, sketches, lambda pairs: similar(pairs, sized, percent), WORDS, percent)
+    sketches = lambda some: sketch_table(texts.join(some, "node", "left_semi"))
+    return linked_classes(pairs, members, sketches, lambda some: similar(some, texts, percent), WORDS, percent)
 
 
 def repeated_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -128,15 +134,16 @@ def repeated_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", t
     are taken whole; an empty table has no lines. Two of m distinct lines share a hash with a chance of m * m / 2 ** 65.
     """
     lines = written(line_table(docs, id_col, text_col), "lines")
+    signs = signature_table(lines.select("node", "line"))
+    roots = line_classes(signs, lines.select("node", "line"), percent)
+    spots, several = lines.select("doc_id", "row_key", "line_no", "node"), signs.where("times > 1").select("node")
+    # Few lines repeat or have a class: only their places are compared.
+    if roots is None:
+        spots = spots.join(several, "node", "left_semi")
+    else:
+        spots = rooted(spots.join(several.unionByName(roots.select("node")), "node", "left_semi"), roots).drop("node").withColumnRenamed("root", "node")
+    spots = written(spots, "spots")
     place = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("at"), "doc_id", "row_key", "line_no")
-    roots = line_classes(lines.select("node", "line"), percent)
-    spots = lines.select("doc_id", "row_key", "line_no", "node")
-    if roots is not None:
-        spots = spots.join(roots, "node", "left").withColumn("node", F.coalesce("root", "node"))
-    # Few lines repeat: which ones do is told by numbers, and only their places are compared.
-    number = F.xxhash64("doc_id", "row_key", "line_no")
-    several = spots.groupBy("node").agg(F.min(number).alias("lo"), F.max(number).alias("hi")).where("lo <> hi").select("node")
-    spots = written(spots.join(several, "node", "left_semi"), "spots")
     found = spots.join(spots.groupBy("node").agg(F.min(place).alias("first")), "node")
     own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row_key") == F.col("first.row_key")) & (F.col("line_no") == F.col("first.line_no"))
     return found.where(~own).select("doc_id", "row_key", "line_no", F.col("first.doc_id").alias("first_doc"), F.col("first.line_no").alias("first_line"))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metafleet.llm.components import BLOCK, linked_classes, shared_buckets
+from metafleet.llm.components import BLOCK, linked_classes, nodes_of, shared_buckets, sifted
 from metafleet.llm.shared import written
 from metafleet.llm.wordhash import SPACE, WordHasher, grams, mixed, slices
 
@@ -236,16 +236,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     words = [f"w{k}" for k in range(WORDS)]
     # Copies have one node: from here on rows are distinct sets.
     classes = written(some.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), *(F.first(w).alias(w) for w in words)), "classes")
-    members = written(shared_buckets(classes.select(F.explode("bands").alias("bucket"), "node")), "members")
+    pairs, members = (written(x, name) for x, name in zip(shared_buckets(classes.select(F.explode("bands").alias("bucket"), "node")), ("candidates", "members")))
 
     # The texts of all nodes that share a bucket with another, fetched once.
-    wanted = classes.join(members.select("node").distinct(), "node").select("node", "least")
+    wanted = classes.join(nodes_of(pairs, members), "node").select("node", "least")
     by_id = docs.select(F.col(id_col).cast("long").alias("least"), F.col(text_col).alias("text")).join(wanted.where("least is not null"), "least").select("node", "text")
     by_row = some.where("own is not null").select("node", F.col("own").alias("text")).join(wanted.where("least is null").select("node"), "node")
     texts = written(_rightful(by_id.unionByName(by_row), shingle), "texts")
 
     sketches = classes.select("node", "n", *words)
-    roots = linked_classes(members, sketches, lambda pairs: confirmed(pairs, texts, shingle, percent), WORDS, percent, lambda rest: held_apart(rest, sketches, percent))
+    likely = sifted(pairs, sketches, WORDS, percent).select("a", "b")
+    roots = linked_classes(likely, members, lambda nodes: sketches.join(nodes, "node", "left_semi"), lambda some: confirmed(some, texts, shingle, percent), WORDS, percent, lambda rest, tables: held_apart(rest, tables, percent))
     named = classes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_node = written(named.join(names, "root").select("node", "component_id"), "named")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from metafleet.llm import minhash
 from metafleet.llm import linededup
-from metafleet.llm.components import CENTRES, block_pairs, components, parities, star_pairs
+from metafleet.llm.components import CENTRES, block_pairs, components, linked_classes, nodes_of, parities, shared_buckets, star_pairs
 
 
 def brute(rows, shingle, percent):
@@ -197,3 +197,36 @@ def test_the_smallest_set_is_a_centre_by_turns(spark):
     members = spark.createDataFrame([(1, n, n, 0) for n in range(9)], "bucket long, node long, root long, lo long")
     sizes = spark.createDataFrame([(n, 90 if n != 5 else 40) for n in range(9)], "node long, n long")
     assert {(p.a, p.b) for p in star_pairs(members, 1, sizes).collect()} == {(n, 5) for n in range(9) if n != 5}
+
+
+def test_small_buckets_are_pairs(spark):
+    """Buckets of two and three nodes leave as their pairs, only larger ones as members; a lone node is no candidate."""
+    held = {1: [7, -9], 2: [5, 3, -4], 3: [3, 5], 4: [8], 5: [1, 2, 3, 4]}
+    pairs, members = shared_buckets(spark.createDataFrame([(b, n) for b, nodes in held.items() for n in nodes], "bucket long, node long"))
+    assert sorted(tuple(p) for p in pairs.collect()) == [(-9, 7), (-4, 3), (-4, 5), (3, 5)]
+    assert sorted(tuple(m) for m in members.collect()) == [(5, n, 1) for n in (1, 2, 3, 4)]
+    assert sorted(r.node for r in nodes_of(pairs, members).collect()) == [-9, -4, 1, 2, 3, 4, 5, 7]
+
+
+def test_small_buckets_take_one_round(spark):
+    """Pairs are confirmed at once, and few pairs that blocks leave too: each round costs a row of Spark jobs."""
+    buckets = [(k, n) for k in range(20) for n in (2 * k, 2 * k + 1)]
+    rounds = []
+
+    def confirm(pairs):
+        rounds.append(sorted(tuple(p) for p in pairs.collect()))
+        return pairs.where("a % 4 = 0 and b = a + 1")
+
+    def sketches(nodes):
+        sets = nodes.select("node", F.explode(F.array(*(F.lit(k).cast("long") for k in range(30)))).alias("h"))
+        return sets.groupBy("node").agg(*parities(minhash.WORDS))
+
+    pairs, members = shared_buckets(spark.createDataFrame(buckets, "bucket long, node long"))
+    roots = {r.node: r.root for r in linked_classes(pairs, members, sketches, confirm, minhash.WORDS, 80).collect()}
+    assert rounds == [[(2 * k, 2 * k + 1) for k in range(20)]] and roots == {n: n - n % 4 for k in range(0, 20, 2) for n in (2 * k, 2 * k + 1)}
+    rounds.clear()
+    # Unlike members of a larger bucket: every two of them are held against each other once, in stars and one more round.
+    pairs, members = shared_buckets(spark.createDataFrame([(99, n) for n in range(2, 40, 4)], "bucket long, node long"))
+    assert linked_classes(pairs, members, sketches, confirm, minhash.WORDS, 80).count() == 0
+    seen = [p for some in rounds for p in some]
+    assert len(seen) == len(set(seen)) == 10 * 9 // 2 and len(rounds) <= 4
