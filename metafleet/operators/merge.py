@@ -100,21 +100,24 @@ def merge_snapshot(
     action = F.when(~hit, "keep").when(old & ~new, missing).when(new & ~old, "insert").when(changed, "update").otherwise("same")
     rows = joined.withColumn("_action", action)
 
-    def after(name: str):
+    def value(name: str):
+        """A column of a row that is inserted or updated; only with ``on_missing="zero"`` the snapshot may lack the row."""
         was, now = F.col(f"before.{name}"), F.col(f"fresh.{name}") if name in (*snapshot.columns, "_RowHash") else None
+        if name in on:
+            return F.col(name)
         if name == "_InsertDate":
             return F.coalesce(was, F.lit(as_of))
         if name == "_ModifyDate":
-            return F.when(F.col("_action").isin("insert", "update"), F.lit(as_of)).otherwise(was)
+            return F.lit(as_of)
         if name in zero:
-            gone = F.when(F.col("fresh").isNull(), F.lit(0).cast(current.schema[name].dataType)).otherwise(now)
-            return F.when(F.col("_action").isin("insert", "update"), gone).otherwise(was)
-        value = was if now is None else F.coalesce(now, was) if name in keep_last else F.when(F.col("fresh").isNotNull(), now).otherwise(was)
-        return F.when(F.col("_action").isin("insert", "update"), value).otherwise(was)
-
-    made = F.struct(*on, *(after(f).alias(f) for f in fields))
-    order = F.struct(*(F.col(f"_made.{name}").alias(name) for name in current.columns))
-    rows = rows.withColumn("_made", made).withColumn("after", F.when(F.col("_action") != "delete", order))
+            return F.when(F.col("fresh").isNull(), F.lit(0).cast(current.schema[name].dataType)).otherwise(now)
+        if now is None or name in keep_last:
+            return was if now is None else F.coalesce(now, was)
+        return now if on_missing == "delete" else F.when(F.col("fresh").isNotNull(), now).otherwise(was)
+
+    # One condition for the whole row: one for each column makes code so long that the JVM never compiles it.
+    taken = F.when(F.col("_action").isin("insert", "update"), F.struct(*(value(name).alias(name) for name in current.columns)))
+    rows = rows.withColumn("after", taken.when(F.col("_action") != "delete", F.col("before")))
     return Merge(rows.select(*on, "_action", "before", "after"), on)
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metafleet.functions import keys as K
@@ -86,16 +89,32 @@ for _dataset, (_columns, _text) in CHECKS.items():
 
 # --- the registry's own datasets, from export to merged tables ------------------------------------------------
 
-_ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
+#: Rows dealt by scope and object stay where they are for lookups by object and index or column; where all parts of a lookup are
+#: small, its rows are hashed and not sorted.
+_SETTINGS = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m"}
 _SYNCED = ("objects", "indexes", "stats", "columns", "index_columns", "partitions", "foreign_keys", "check_constraints", "key_constraints")
 _DIMENSIONS = {"_ObjectID": "database_id int, _SchemaName string, _ObjectName string, _ObjectType string", "_IndexID": "database_id int, _ObjectID long, _IndexName string, _IndexKind string", "_ColumnID": "database_id int, _ObjectID long, _ColumnName string"}
 
 
+@contextmanager
+def _set(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings of the session that hold inside only."""
+    was = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in was.items():
+            spark.conf.set(name, value)
+
+
 def _catalog_run(i: Inputs) -> sync.SyncRun:
     """A first run of the registry's specs: ids are resolved as objects, indexes and columns come, and what refers to them follows."""
     specs = [spec for spec in registry.DATASETS if spec.name in _SYNCED]
     catalog = _catalog(i)
     catalog.tables["indexes"] = catalog.tables["indexes"].withColumn("type", F.lit(1))  # one heap a table at most
+    catalog = catalog.with_ids()
     scopes = i.nation.select(F.lit(0).alias("instance_id"), F.col("n_nationkey").cast("int").alias("database_id"), F.lit(True).alias("is_enabled"))
     sources = {}
     for spec in specs:
@@ -108,19 +127,15 @@ def _catalog_run(i: Inputs) -> sync.SyncRun:
         sources[spec.name] = sync.Source(merge.first_load(none, sync.SCOPE["database"], spec.keys, at(T0)), rows, scopes, items=items or None)
     known = i.sql("SELECT * FROM status").limit(0)
     instances = scopes.select("instance_id", "is_enabled").distinct()
-    # Rows dealt by scope and object stay where they are for lookups by object and index or column.
-    was = i.spark.conf.get(_ALL_KEYS)
-    i.spark.conf.set(_ALL_KEYS, "false")
-    try:
-        return sync.sync_run(specs, status.task_matrix(registry.spec_frame(i.spark, specs), instances, scopes, known), known, sources, at(T1))
-    finally:
-        i.spark.conf.set(_ALL_KEYS, was)
+    return sync.sync_run(specs, status.task_matrix(registry.spec_frame(i.spark, specs), instances, scopes, known), known, sources, at(T1))
 
 
 @query("sync_catalog")
 def _(i):
     out = None
-    for name, df in _catalog_run(i).tables.items():
+    with _set(i.spark, _SETTINGS):
+        run = _catalog_run(i)
+    for name, df in run.tables.items():
         part = df.groupBy("database_id").agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("dataset"), "database_id", "n_rows")
         out = part if out is None else out.unionByName(part)
     return out

@@ -80,7 +80,8 @@ def gated(spec: DatasetSpec, tasks: DataFrame, source: Source) -> DataFrame:
         sums = source.landing.checksums()
     else:
         asked = source.snapshot.join(reached.select(*scope), scope, "left_semi")
-        sums = status.dataset_checksum(asked, scope, [c for c in source.snapshot.columns if c not in scope and c not in spec.volatile], reached)
+        own = [c for c in source.snapshot.columns if c not in {*scope, *spec.volatile, *spec.roles}]
+        sums = written(status.dataset_checksum(asked, scope, own, reached), "checksums")
     both = reached.join(sums.select(*scope, F.col("checksum").alias("new_checksum")), scope, "left").withColumn("has_checksum", F.lit(True))
     missing = status.missing_checksums(both).count()
     if missing:
@@ -89,16 +90,23 @@ def gated(spec: DatasetSpec, tasks: DataFrame, source: Source) -> DataFrame:
     return both.join(must, scope, "left").select(*scope, F.col("new_checksum").alias("checksum"), F.coalesce("_must", F.lit(0)).alias("moved"))
 
 
+def with_ids(spec: DatasetSpec, rows: DataFrame) -> DataFrame:
+    """The rows with the ids of their roles, written: every later step reads the ids, none hashes names again.
+
+    Ids that a snapshot brings along, made by ``merge.with_parents`` of the same names, are taken as they are.
+    """
+    return written(merge.with_parents(rows, {role: names for role, names in spec.roles.items() if role not in rows.columns}), "snapshot")
+
+
 def _merged(spec: DatasetSpec, source: Source, gate: DataFrame, run: SyncRun, now) -> None:
     """Merges one dataset's scopes that must run, by its spec."""
     scope, going = SCOPE[spec.level], gate.where("moved = 1")
     rows = source.landing.rows(gate).drop("_range") if source.landing else source.snapshot.join(going.select(*scope), scope, "left_semi")
-    if source.checksums is not None and not source.landing:
-        rows = written(rows, "snapshot")
+    if source.landing or source.checksums is not None:
+        rows = with_ids(spec, rows)
     if spec.mode == "simple":
         run.tables[spec.name] = merge.replace_scope(source.current, rows, going, scope)
         return
-    rows = merge.with_parents(rows, spec.roles)
     if spec.defines:
         # The items that the snapshot names; a collected scope loses those it names no more, unless it came empty.
         kept = [c for c in source.items.columns if c not in ("is_deleted", "delete_date")]
@@ -164,7 +172,7 @@ def sync_run(specs: Sequence[DatasetSpec], matrix: DataFrame, known: DataFrame,
             tasks = queue.where(F.col("dataset_id") == k).select(*scope, F.col("checksum").alias("old_checksum"))
             if source.checksums is None and not source.landing:
                 # Computed once, so that checksums, items and merge see the same rows.
-                source = replace(source, snapshot=written(source.snapshot.join(tasks.select(*scope), scope, "left_semi"), "snapshot"))
+                source = replace(source, snapshot=with_ids(spec, source.snapshot.join(tasks.select(*scope), scope, "left_semi")))
             gate = written(gated(spec, tasks, source), "gate")
             _merged(spec, source, gate, run, now)
             missed = tasks.join(gate.select(*scope), scope, "left_anti").select(*scope, F.lit(None).cast("long").alias("checksum"), F.lit("not collected").alias("error_message"))

@@ -2,7 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from metafleet.functions import keys as K
+from metafleet.operators.merge import with_parents
 from metafleet.plans.exports import EXPORTS, Catalog
+from metafleet.plans.registry import DATASETS
 from metafleet.plans.schemas import SCHEMAS, Schema, versioned
 
 
@@ -60,6 +62,28 @@ def test_system_objects_name_nothing(catalog):
     assert catalog(15, [(1, 11, 1, "ix", 1, None)]).export("indexes").count() == 0
 
 
+def test_ids_come_with_the_lookups(spark):
+    """What a lookup brings along are the ids that a row's own names make; of two databases with the same object ids as well."""
+    frame = spark.createDataFrame
+    tables = {
+        "schemas": frame([(s, 1, "dbo") for s in (1, 2)], "_DatabaseID int, schema_id int, name string"),
+        "objects": frame([(1, 10, "T ", 1, "U", False), (2, 10, "u", 1, "U", False), (1, 11, "sys", 1, "U", True)], "_DatabaseID int, object_id int, name string, schema_id int, type string, is_ms_shipped boolean"),
+        "indexes": frame([(1, 10, 1, "IX", 1), (2, 10, 1, "heap", 0), (1, 11, 1, "x", 1)], "_DatabaseID int, object_id int, index_id int, name string, type int"),
+        "columns": frame([(s, o, k, f"C{k}") for s, o in ((1, 10), (2, 10), (1, 11)) for k in (1, 2)], "_DatabaseID int, object_id int, column_id int, name string"),
+        "index_columns": frame([(s, o, 1, k, k) for s, o in ((1, 10), (2, 10), (1, 11)) for k in (1, 2)], "_DatabaseID int, object_id int, index_id int, index_column_id int, column_id int"),
+        "foreign_keys": frame([(1, "fk", 20, 1, 10, "F", 10, 1, False)], "_DatabaseID int, name string, object_id int, schema_id int, parent_object_id int, type string, referenced_object_id int, key_index_id int, is_ms_shipped boolean"),
+    }
+    plain = Catalog(tables, frame([(1, 15), (2, 14)], "_DatabaseID int, version int"))
+    found = {"index_columns": {"_ObjectID", "_IndexID", "_ColumnID"}, "foreign_keys": {"_ParentObjectID", "_ReferencedObjectID"}}
+    catalog = plain.with_ids()
+    for dataset, ids in found.items():
+        roles = {role: names for spec in DATASETS if spec.name == dataset for role, names in spec.roles.items() if role in ids}
+        rows, want = (c.export(dataset).withColumns({"database_id": F.col("_DatabaseID"), "_IndexKind": F.lit("index")}) for c in (catalog, plain))
+        assert ids <= set(rows.columns) and not ids & set(want.columns)
+        columns = [*want.columns, *sorted(ids)]
+        assert sorted(map(repr, rows.select(columns).collect())) == sorted(map(repr, with_parents(want, roles).select(columns).collect()))
+
+
 def test_variants_keep_their_types(spark):
     rows = spark.createDataFrame([(1, '{"a": 1, "b": "x"}'), (2, '{"a": "7", "b": {"c": 2.5}}'), (3, "no json"), (4, None)], "k int, v string")
     kept = K.as_variant(rows, ["v"])

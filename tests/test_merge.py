@@ -1,5 +1,6 @@
 """Merge semantics by hand-written rows, and properties of merges and history."""
 
+import re
 from datetime import datetime
 
 import pytest
@@ -126,3 +127,17 @@ def test_merge_moves_rows_by_key_alone(spark, tmp_path):
     assert n == 3000
     physical = plan.split("== Physical Plan ==")[1].split("== Initial Plan ==")[0]
     assert "hashpartitioning(scope_id" not in physical and physical.count("REPARTITION_BY_NUM") == 2
+
+
+def test_code_of_wide_merges_is_compiled(spark, capsys):
+    """The JVM never compiles a method of 8,000 bytes or more; a condition for each of 20 columns made one of 11,896."""
+    columns = ", ".join(f"c{k} string" for k in range(20))
+    wide = spark.createDataFrame([], f"scope_id int, k int, {columns}")
+    merged = merge.merge_snapshot(merge.first_load(wide, ["scope_id"], ["k"], D1), wide, wide.select("scope_id"), ["k"], D2)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        merged.rows.drop("scope_id", "k").explain("codegen")  # as ``once`` writes them
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert 0 < max(sizes) < 8000
